@@ -1,4 +1,4 @@
-"""Threshold rules and alert text.
+"""Threshold rules and alert wording, as SQL text.
 
 A missing metric is skipped on its own. NaN is no anomaly, although Spark sorts
 it above every number; an infinity is one.
@@ -6,121 +6,102 @@ it above every number; an infinity is one.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from typing import NamedTuple
 
 from fieldgauge import contract as C
 from fieldgauge.config import Thresholds
+from fieldgauge.functions.sql import first_match, number, some, text
 
 
-def outside(name: str, low: float, high: float) -> Column:
-    value = F.col(name)
-    return ((value < F.lit(low)) | (value > F.lit(high))) & ~F.isnan(value)
+class Rule(NamedTuple):
+    test: str  # true or false, never null
+    anomaly: str  # struct<type,value,threshold,reading>
 
 
-def _anomaly(kind: str, name: str, value: Column, threshold: Column) -> Column:
-    return F.struct(
-        F.lit(kind).alias("type"),
-        value.alias("value"),
-        threshold.alias("threshold"),
-        F.col(name).cast("double").alias("reading"),
-    )
+def outside(name: str, low: float, high: float) -> str:
+    low, high = number(float(low)), number(float(high))
+    return f"coalesce(({name} < {low} OR {name} > {high}) AND NOT isnan({name}), false)"
 
 
-def range_rule(
-    name: str, limits: tuple[float, float], kind: str, unit: str, low_unit: str
-) -> tuple[Column, Column]:
-    """(condition, anomaly) for one metric that must stay within limits."""
-    low, high = (F.lit(float(edge)).cast("string") for edge in limits)
-    shown = unit.replace("%", "%%")
+def _anomaly(kind: str, value: str, threshold: str, reading: str) -> str:
     return (
-        outside(name, *map(float, limits)),
-        _anomaly(
-            kind,
-            name,
-            F.format_string(f"%.1f{shown}", F.col(name)),
-            F.concat(low, F.lit(f"{low_unit} to "), high, F.lit(unit)),
-        ),
+        f"named_struct('type', {text(kind)}, 'value', {value}, "
+        f"'threshold', {threshold}, 'reading', double({reading}))"
     )
 
 
-def battery_rule(limit: int) -> tuple[Column, Column]:
-    level = F.col("battery_level")
-    return (
-        level < F.lit(limit),
+def range_rule(
+    name: str, limits: tuple[float, float], kind: str, unit: str, low_unit: str
+) -> Rule:
+    """A metric that must stay within limits."""
+    low, high = (f"string({number(float(edge))})" for edge in limits)
+    shape = text("%.1f" + unit.replace("%", "%%"))
+    threshold = f"concat({low}, {text(f'{low_unit} to ')}, {high}, {text(unit)})"
+    value = f"format_string({shape}, {name})"
+    return Rule(outside(name, *limits), _anomaly(kind, value, threshold, name))
+
+
+def battery_rule(limit: int) -> Rule:
+    return Rule(
+        f"coalesce(battery_level < {limit}, false)",
         _anomaly(
             C.BATTERY_ALERT,
+            "concat(string(battery_level), '%')",
+            text(f"> {limit}%"),
             "battery_level",
-            F.concat(level.cast("string"), F.lit("%")),
-            F.lit(f"> {limit}%"),
         ),
     )
 
 
-def rules(thresholds: Thresholds, battery: bool = True) -> list[tuple[Column, Column]]:
+def rules(thresholds: Thresholds, battery: bool = True) -> list[Rule]:
     """All rules in their fixed order."""
     found = [
         range_rule(name, getattr(thresholds, name), kind, unit, low_unit)
         for kind, name, unit, low_unit in C.RANGE_ALERTS
     ]
-    if battery:
-        found.append(battery_rule(thresholds.battery_low))
-    return found
+    return [*found, battery_rule(thresholds.battery_low)] if battery else found
 
 
-def any_breach(thresholds: Thresholds, battery: bool = True) -> Column:
+def any_breach(thresholds: Thresholds, battery: bool = True) -> str:
     """True if some rule fires. Plain comparisons, cheap enough to filter by."""
-    return reduce(
-        or_, (F.coalesce(test, F.lit(False)) for test, _ in rules(thresholds, battery))
-    )
+    return some(rule.test for rule in rules(thresholds, battery))
+
 
+def breaches(thresholds: Thresholds) -> str:
+    """How many rules fire."""
+    return " + ".join(f"int({rule.test})" for rule in rules(thresholds))
 
-def anomaly_list(thresholds: Thresholds, battery: bool = True) -> Column:
+
+def anomaly_list(thresholds: Thresholds, battery: bool = True) -> str:
     """array<struct<type,value,threshold,reading>>, empty if nothing fires."""
-    return F.array_compact(
-        F.array(*(F.when(test, anomaly) for test, anomaly in rules(thresholds, battery)))
-    )
+    items = (first_match([(rule.test, rule.anomaly)]) for rule in rules(thresholds, battery))
+    return f"array_compact(array({', '.join(items)}))"
+
 
+def anomaly_types(anomalies: str) -> str:
+    return f"concat_ws(', ', {anomalies}.type)"
 
-def simple_breach() -> Column:
+
+def simple_breach() -> str:
     """True if temperature, humidity or pressure leaves its fixed range."""
-    return reduce(
-        or_,
-        (
-            F.coalesce(outside(name, low, high), F.lit(False))
-            for name, (low, high) in C.SIMPLE_RANGES.items()
-        ),
-    )
+    return some(outside(name, low, high) for name, (low, high) in C.SIMPLE_RANGES.items())
 
 
-def subject(prefix: str = C.SUBJECT_PREFIX) -> Column:
-    return F.concat(
-        F.lit(f"{prefix} Anomaly detected in "),
-        F.coalesce("deviceId", F.lit("null")),
-        F.lit(" at "),
-        F.coalesce("location", F.lit("null")),
-    )
+_DEVICE, _LOCATION = "coalesce(deviceId, 'null')", "coalesce(location, 'null')"
+
 
+def subject(prefix: str = C.SUBJECT_PREFIX) -> str:
+    lead = text(f"{prefix} Anomaly detected in ")
+    return f"concat({lead}, {_DEVICE}, ' at ', {_LOCATION})"
 
-def body(anomalies: Column, time: Column) -> Column:
+
+def body(anomalies: str, time: str) -> str:
     """Plain-text message with one bullet per anomaly."""
-    values = {
-        "device": F.coalesce("deviceId", F.lit("null")),
-        "location": F.coalesce("location", F.lit("null")),
-        "time": F.date_format(time, "yyyy-MM-dd HH:mm:ss"),
-    }
-    parts, rest = [], C.MESSAGE_HEAD
-    for key, value in values.items():
-        before, rest = rest.split("{" + key + "}")
-        parts += [F.lit(before), value]
-    bullets = F.transform(
-        anomalies,
-        lambda a: F.concat(
-            F.lit("- "), a["type"], F.lit(": "), a["value"],
-            F.lit(" (threshold: "), a["threshold"], F.lit(")"),
-        ),
+    head = text(C.MESSAGE_HEAD.format(device="\0", location="\0", time="\0")).split("\0")
+    values = [_DEVICE, _LOCATION, f"date_format({time}, 'yyyy-MM-dd HH:mm:ss')"]
+    opening = "".join(f"{part}', {value}, '" for part, value in zip(head, values)) + head[-1]
+    bullets = (
+        f"transform({anomalies}, a -> "
+        "concat('- ', a.type, ': ', a.value, ' (threshold: ', a.threshold, ')'))"
     )
-    return F.concat(*parts, F.lit(rest), F.concat_ws("\n", bullets), F.lit(C.MESSAGE_TAIL))
+    return f"concat({opening}, concat_ws('\\n', {bullets}), {text(C.MESSAGE_TAIL)})"

@@ -1,12 +1,7 @@
-"""Epoch and calendar expressions."""
+"""Epoch and calendar expressions, as SQL text."""
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 UNITS = {"ms": 1000, "s": 1}
 
 # 0001-01-01 .. 9999-12-31, the years a calendar column can hold
@@ -14,7 +9,7 @@ _FIRST_SECOND = -62135596800
 _LAST_SECOND = 253402300799
 
 
-def event_time(epoch: Column, unit: str = "ms") -> Column:
+def event_time(epoch: str, unit: str = "ms") -> str:
     """Timestamp at whole-second precision, rounding toward zero.
 
     The unit is always stated, never guessed from the size of the number.
@@ -22,23 +17,15 @@ def event_time(epoch: Column, unit: str = "ms") -> Column:
     """
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {sorted(UNITS)}, not {unit!r}")
-    per_second = UNITS[unit]
-    seconds = F.call_function("div", epoch, F.lit(per_second)) if per_second > 1 else epoch
-    return F.when(seconds.between(_FIRST_SECOND, _LAST_SECOND), F.timestamp_seconds(seconds))
-
-
-def date_parts(time: Column) -> dict[str, Column]:
-    return {"year": F.year(time), "month": F.month(time), "day": F.dayofmonth(time)}
+    per = UNITS[unit]
+    low, high = _FIRST_SECOND * per, _LAST_SECOND * per + per - 1
+    seconds = epoch if per == 1 else f"({epoch}) div {per}"
+    return f"CASE WHEN {epoch} BETWEEN {low} AND {high} THEN timestamp_seconds({seconds}) END"
 
 
-def calendar_parts(time: Column) -> dict[str, Column]:
-    return {**date_parts(time), "hour": F.hour(time)}
+def date_parts(time: str) -> dict[str, str]:
+    return {"year": f"year({time})", "month": f"month({time})", "day": f"dayofmonth({time})"}
 
 
-def as_date(day: dt.date | str) -> dt.date:
-    """A calendar day, without its time of day."""
-    if isinstance(day, dt.datetime):
-        return day.date()
-    if isinstance(day, dt.date):
-        return day
-    return dt.date.fromisoformat(day)
+def calendar_parts(time: str) -> dict[str, str]:
+    return {**date_parts(time), "hour": f"hour({time})"}

@@ -1,25 +1,12 @@
-"""Business labels as ``when`` chains built from the fixed tables."""
+"""Business labels as CASE text built from the fixed tables."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from fieldgauge import contract as C
+from fieldgauge.functions.sql import between, every, first_match, number, one_of, text
 
 
-def first_match(cases: list[tuple[Column, object]], rest) -> Column:
-    """The value of the first case that holds, else ``rest``."""
-    chain = F
-    for condition, value in cases:
-        chain = chain.when(condition, value)
-    return chain.otherwise(rest)
-
-
-def band(bands: C.Bands, mode: str = "reference") -> Column:
+def band(bands: C.Bands, mode: str = "reference") -> str:
     """Category of one metric.
 
     ``reference`` keeps the published integer edges, so 15.5 falls between two
@@ -28,58 +15,70 @@ def band(bands: C.Bands, mode: str = "reference") -> Column:
     """
     if mode not in ("reference", "contiguous"):
         raise ValueError(f"unknown band mode {mode!r}")
-    value = F.col(bands.metric)
-    cases = [(value < bands.floor[1], bands.floor[0])]
+    name = bands.metric
+    cases = [(f"{name} < {number(bands.floor[1])}", text(bands.floor[0]))]
     for here, after in zip(bands.steps, (*bands.steps[1:], None)):
         label, low, high = here
+        inside = between(name, low, high)
         if mode == "contiguous" and after is not None and after[1] > high:
-            cases.append(((value >= low) & (value < after[1]), label))
-        else:
-            cases.append((value.between(low, high), label))
-    return first_match(cases, bands.rest)
+            inside = f"{name} >= {number(low)} AND {name} < {number(after[1])}"
+        cases.append((inside, text(label)))
+    return first_match(cases, text(bands.rest))
 
 
-def comfort() -> Column:
+def comfort() -> str:
     """Comfort index, from the three category columns."""
     return first_match(
         [
-            (reduce(and_, (F.col(c).isin(*allowed) for c, allowed in needs.items())), label)
+            (every(one_of(name, allowed) for name, allowed in needs.items()), text(label))
             for label, needs in C.COMFORT_LEVELS
         ],
-        C.LOWEST_COMFORT,
+        text(C.LOWEST_COMFORT),
     )
 
 
-def season(time: Column) -> Column:
-    month = F.month(time)
-    return first_match([(month.isin(*months), name) for name, months in C.SEASONS], C.LAST_SEASON)
+def season(time: str) -> str:
+    return first_match(
+        [(one_of(f"month({time})", months), text(name)) for name, months in C.SEASONS],
+        text(C.LAST_SEASON),
+    )
 
 
-def device_type(location: Column) -> Column:
+def device_type(location: str) -> str:
     return first_match(
-        [(location.startswith(prefix), kind) for prefix, kind in C.DEVICE_TYPES],
-        C.DEFAULT_DEVICE_TYPE,
+        [(f"startswith({location}, {text(start)})", text(kind)) for start, kind in C.DEVICE_TYPES],
+        text(C.DEFAULT_DEVICE_TYPE),
     )
 
 
-def condition(low_battery: Column, poor_signal: Column) -> Column:
+def condition(low_battery: str, poor_signal: str) -> str:
     """critical if both hold, warning if one does; an unknown side counts as fine."""
     return first_match(
-        [(low_battery & poor_signal, "critical"), (low_battery | poor_signal, "warning")],
-        "good",
+        [
+            (f"{low_battery} AND {poor_signal}", "'critical'"),
+            (f"{low_battery} OR {poor_signal}", "'warning'"),
+        ],
+        "'good'",
     )
 
 
-def device_health(score: Column, hours: Column, battery: Column) -> Column:
+def device_health(score: str, hours: str, battery: str) -> str:
     return first_match(
         [
-            ((score >= min_score) & (hours >= min_hours) & (battery >= min_battery), label)
-            for label, min_score, min_hours, min_battery in C.HEALTH_LEVELS
+            (
+                f"{score} >= {number(low_score)} AND {hours} >= {low_hours} "
+                f"AND {battery} >= {low_battery}",
+                text(label),
+            )
+            for label, low_score, low_hours, low_battery in C.HEALTH_LEVELS
         ],
-        C.LOWEST_HEALTH,
+        text(C.LOWEST_HEALTH),
     )
 
 
-def panel_color(panel: str, value: Column) -> Column:
+def panel_color(panel: str, value: str) -> str:
     lowest, steps = C.PANEL_STEPS[panel]
-    return first_match([(value >= edge, color) for edge, color in reversed(steps)], lowest)
+    return first_match(
+        [(f"{value} >= {number(edge)}", text(color)) for edge, color in reversed(steps)],
+        text(lowest),
+    )

@@ -3,74 +3,72 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
-from operator import add
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from fieldgauge.config import Thresholds
 from fieldgauge.functions import alert_rules
+from fieldgauge.functions.sql import measures, named, text
 
 PENDING, SENT, FAILED = "pending", "sent", "failed"
 
 _DEFAULT = Thresholds()
 
 
-def alerting(readings: DataFrame, thresholds: Thresholds = _DEFAULT, battery: bool = True):
+def alerting(
+    readings: DataFrame, thresholds: Thresholds = _DEFAULT, battery: bool = True
+) -> DataFrame:
     """Readings that break a rule, with ``anomalies`` as array<struct>.
 
     Filtered by plain comparisons first, so that text is formatted only for the
     few readings that alert.
     """
-    return readings.where(alert_rules.any_breach(thresholds, battery)).withColumn(
-        "anomalies", alert_rules.anomaly_list(thresholds, battery)
-    )
+    found = readings.where(alert_rules.any_breach(thresholds, battery))
+    return found.selectExpr("*", f"{alert_rules.anomaly_list(thresholds, battery)} AS anomalies")
 
 
 def anomalies(alerts: DataFrame, keep: list[str]) -> DataFrame:
     """One row per anomaly, from rows with an ``anomalies`` array."""
-    return alerts.select(*keep, F.explode("anomalies").alias("anomaly")).select(
+    return alerts.selectExpr(*keep, "explode(anomalies) AS anomaly").selectExpr(
         *keep,
-        F.col("anomaly.type").alias("anomaly_type"),
-        F.col("anomaly.value").alias("value"),
-        F.col("anomaly.threshold").alias("threshold"),
-        F.col("anomaly.reading").alias("reading"),
+        "anomaly.type AS anomaly_type",
+        "anomaly.value",
+        "anomaly.threshold",
+        "anomaly.reading",
     )
 
 
-def types(alerts: DataFrame, alert_time: Column | None = None) -> DataFrame:
+def types(alerts: DataFrame, alert_time: str | None = None) -> DataFrame:
     """Add the joined anomaly types and, if given, the time of the alert."""
-    joined = F.concat_ws(", ", F.transform("anomalies", lambda a: a["type"]))
-    rows = alerts.withColumn("anomaly_types", joined)
-    return rows if alert_time is None else rows.withColumn("alert_timestamp", alert_time)
+    added = {"anomaly_types": alert_rules.anomaly_types("anomalies")}
+    if alert_time is not None:
+        added["alert_timestamp"] = alert_time
+    return alerts.selectExpr("*", *named(added))
 
 
-def messages(alerts: DataFrame, recipient: str, subject_prefix: str, keep: list[str]):
+def messages(
+    alerts: DataFrame, recipient: str, subject_prefix: str, keep: list[str]
+) -> DataFrame:
     """One message per alerting reading."""
-    return alerts.select(
-        *keep,
-        F.lit(recipient).alias("recipient"),
-        alert_rules.subject(subject_prefix).alias("subject"),
-        alert_rules.body(F.col("anomalies"), F.col("sensor_timestamp")).alias("body"),
-    )
+    message = {
+        "recipient": text(recipient),
+        "subject": alert_rules.subject(subject_prefix),
+        "body": alert_rules.body("anomalies", "sensor_timestamp"),
+    }
+    return alerts.selectExpr(*keep, *named(message))
 
 
 def outbox(message_rows: DataFrame) -> DataFrame:
     """Messages awaiting delivery."""
-    return message_rows.withColumns(
-        {
-            "status": F.lit(PENDING),
-            "attempts": F.lit(0),
-            "last_error": F.lit(None).cast("string"),
-        }
+    return message_rows.selectExpr(
+        "*", f"{text(PENDING)} AS status", "0 AS attempts", "string(NULL) AS last_error"
     )
 
 
-def due(rows: DataFrame, max_retries: int) -> Column:
+def due(max_retries: int) -> str:
     """Unsent, and tried at most ``max_retries`` times: one try plus the retries."""
-    return (F.col("status") != SENT) & (F.col("attempts") <= max_retries)
+    return f"status <> {text(SENT)} AND attempts <= {max_retries}"
 
 
 def deliver(
@@ -83,7 +81,7 @@ def deliver(
     A task that Spark repeats sends its messages again, so delivery is
     at-least-once.
     """
-    marked = rows.withColumn("due_now", due(rows, max_retries))
+    marked = rows.selectExpr("*", f"{due(max_retries)} AS due_now")
 
     def attempt(mail) -> tuple[str, int, str | None]:
         if not mail.due_now:
@@ -112,13 +110,13 @@ def batch_stats(readings: DataFrame, batch: str, thresholds: Thresholds = _DEFAU
 
 def stat_columns(thresholds: Thresholds = _DEFAULT) -> list[Column]:
     """The three counts of a batch, for ``agg`` or ``observe``."""
-    fired = (F.coalesce(t, F.lit(False)).cast("long") for t, _ in alert_rules.rules(thresholds))
-    total = reduce(add, fired)
-    return [
-        F.count(F.lit(1)).alias("records"),
-        F.coalesce(F.sum(total), F.lit(0)).alias("anomalies"),
-        F.count_if(alert_rules.any_breach(thresholds)).alias("alerts"),
-    ]
+    return measures(
+        {
+            "records": "count(1)",
+            "anomalies": f"coalesce(sum({alert_rules.breaches(thresholds)}), 0)",
+            "alerts": f"count_if({alert_rules.any_breach(thresholds)})",
+        }
+    )
 
 
 def simple_range(readings: DataFrame) -> DataFrame:

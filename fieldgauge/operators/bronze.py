@@ -9,31 +9,48 @@ from pyspark.sql import functions as F
 
 from fieldgauge import contract as C
 from fieldgauge.functions import clock, labels
+from fieldgauge.functions.sql import date, named, text, timestamp
 from fieldgauge.operators import ingest
 
 
 def unpack(raw: DataFrame) -> DataFrame:
     """Raw lake rows to flat readings; rows that name no device are dropped."""
-    parts = [F.col(name).alias(f"raw_{name}") for name in C.RAW_PARTITIONS]
-    rows = raw.select("value", *parts)
-    raw_names = [f"raw_{name}" for name in C.RAW_PARTITIONS]
+    parts = [f"raw_{name}" for name in C.RAW_PARTITIONS]
+    rows = raw.selectExpr("value", *named(dict(zip(parts, C.RAW_PARTITIONS))))
     return (
-        ingest.unpack_json(rows, "value", ["value", *raw_names])
-        .where(F.col("deviceId").isNotNull())
-        .select(
+        ingest.unpack_json(rows, "value", ["value", *parts])
+        .where("deviceId IS NOT NULL")
+        .selectExpr(
             "deviceId",
             *C.METRICS[:3],
             "motion",
             *C.METRICS[3:],
             "location",
             "timestamp",
-            *(F.col(f"metadata.{name}").alias(name) for name in C.METADATA),
-            *raw_names,
-            ingest.record_id(json="value").alias("record_id"),
+            *(f"metadata.{name}" for name in C.METADATA),
+            *parts,
+            f"{ingest.record_id(json='value')} AS record_id",
         )
     )
 
 
+def _loaded(as_of: dt.datetime, source: str, job: str) -> dict[str, str]:
+    return {
+        "bronze_ingestion_time": timestamp(as_of),
+        "bronze_date": date(as_of),
+        "data_source": text(source),
+        "ingestion_job": text(job),
+    }
+
+
+def _placed(time: str) -> dict[str, str]:
+    return {
+        "event_date": f"to_date({time})",
+        "processing_status": text(C.INGESTED),
+        "deviceType": labels.device_type("location"),
+    }
+
+
 def stamp(
     readings: DataFrame,
     as_of: dt.datetime,
@@ -41,25 +58,9 @@ def stamp(
     job: str = C.RAW_JOB,
 ) -> DataFrame:
     """Add event date, device type and lineage. ``as_of`` is the time of the load."""
-    time = clock.event_time(F.col("timestamp"))
-    return readings.withColumns(
-        {
-            **_load_columns(as_of, source, job),
-            **clock.date_parts(time),
-            "event_date": F.to_date(time),
-            "processing_status": F.lit(C.INGESTED),
-            "deviceType": labels.device_type(F.col("location")),
-        }
-    )
-
-
-def _load_columns(as_of: dt.datetime, source: str, job: str):
-    return {
-        "bronze_ingestion_time": F.lit(as_of).cast("timestamp"),
-        "bronze_date": F.lit(clock.as_date(as_of)),
-        "data_source": F.lit(source),
-        "ingestion_job": F.lit(job),
-    }
+    time = clock.event_time("timestamp")
+    added = {**_loaded(as_of, source, job), **clock.date_parts(time), **_placed(time)}
+    return readings.selectExpr("*", *named(added))
 
 
 def from_raw(raw: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -68,11 +69,10 @@ def from_raw(raw: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 def historical(loaded: DataFrame, as_of: dt.datetime, file_format: str = "json") -> DataFrame:
     """Rows of an earlier export with date parts and lineage, all columns kept."""
-    time = clock.event_time(F.col("timestamp").cast("long"))
+    time = clock.event_time("bigint(timestamp)")
     source = C.HISTORICAL_SOURCE.format(format=file_format)
-    return loaded.withColumns(
-        {**_load_columns(as_of, source, C.HISTORICAL_JOB), **clock.date_parts(time)}
-    )
+    added = {**_loaded(as_of, source, C.HISTORICAL_JOB), **clock.date_parts(time)}
+    return loaded.selectExpr("*", *named(added))
 
 
 def conform(rows: DataFrame) -> DataFrame:
@@ -80,33 +80,26 @@ def conform(rows: DataFrame) -> DataFrame:
 
     Metadata may be nested or flat. Absent columns become null.
     """
-    nested = "metadata" in rows.columns
-    time = clock.event_time(F.col("timestamp").cast("long"))
-    derived = {
-        "event_date": F.to_date(time),
-        "processing_status": F.lit(C.INGESTED),
-        "deviceType": labels.device_type(F.col("location")),
-    }
-    if nested:
-        inner = rows.schema["metadata"].dataType.fieldNames()
-        derived |= {name: F.col(f"metadata.{name}") for name in C.METADATA if name in inner}
-    if "record_id" not in rows.columns:
-        fields = [name for name in C.READING_SCHEMA.fieldNames() if name in rows.columns]
-        flat = [name for name in C.METADATA if name in rows.columns]
-        derived["record_id"] = F.sha2(F.to_json(F.struct(*fields, *flat)), 256)
-    types = {
-        **{f.name: f.dataType for f in C.READING_SCHEMA if f.name != "metadata"},
-        **{f.name: f.dataType for f in C.READING_SCHEMA["metadata"].dataType},
-        **{f"raw_{name}": "int" for name in C.RAW_PARTITIONS},
-    }
-    rows = rows.withColumns(derived)
-    return rows.select(
-        *(
-            (F.col(name) if name in rows.columns else F.lit(None))
-            .cast(types[name]).alias(name)
-            if name in types
-            else F.col(name)
-            for name in C.BRONZE_COLUMNS
+    present = dict.fromkeys(rows.columns)
+    have = {name: f"`{name}`" for name in present}
+    if "metadata" in present:
+        nested = rows.schema["metadata"].dataType.fieldNames()
+        have |= {name: f"metadata.`{name}`" for name in C.METADATA if name in nested}
+    if "record_id" not in present:
+        fields = [n for n in (*C.READING_SCHEMA.fieldNames(), *C.METADATA) if n in present]
+        have["record_id"] = f"sha2(to_json(struct({', '.join(fields)})), 256)"
+    have |= _placed(clock.event_time("bigint(timestamp)"))
+    types = {f.name: f.dataType.simpleString() for f in C.READING_SCHEMA if f.name != "metadata"}
+    types |= {f.name: f.dataType.simpleString() for f in C.READING_SCHEMA["metadata"].dataType}
+    types |= {f"raw_{name}": "int" for name in C.RAW_PARTITIONS}
+    return rows.selectExpr(
+        *named(
+            {
+                name: f"CAST({have.get(name, 'NULL')} AS {types[name]})"
+                if name in types
+                else have[name]
+                for name in C.BRONZE_COLUMNS
+            }
         )
     )
 

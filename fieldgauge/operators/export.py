@@ -7,24 +7,24 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldgauge.functions.sql import timestamp
+
 TIMESERIES, DAILY, DEVICES = "iot_timeseries", "daily_report", "device_status"
 
 
-def _exported(as_of: dt.datetime):
-    return F.lit(as_of).cast("timestamp").alias("exported_at")
+def _exported(as_of: dt.datetime) -> str:
+    return f"{timestamp(as_of)} AS exported_at"
 
 
 def timeseries(hourly: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return hourly.select(
-        F.timestamp_add(
-            "HOUR", F.col("hour_of_day"), F.col("event_date").cast("timestamp")
-        ).alias("time"),
-        F.col("avg_temperature").alias("temperature"),
-        F.col("avg_humidity").alias("humidity"),
-        F.col("avg_pressure").alias("pressure"),
-        F.col("avg_quality_score").alias("data_quality"),
-        F.col("total_readings").alias("sensor_readings"),
-        F.col("deviceType").alias("device_type"),
+    return hourly.selectExpr(
+        "timestampadd(HOUR, hour_of_day, timestamp(event_date)) AS time",
+        "avg_temperature AS temperature",
+        "avg_humidity AS humidity",
+        "avg_pressure AS pressure",
+        "avg_quality_score AS data_quality",
+        "total_readings AS sensor_readings",
+        "deviceType AS device_type",
         "location",
         "unique_devices",
         _exported(as_of),
@@ -32,42 +32,42 @@ def timeseries(hourly: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 
 def daily_report(daily: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return daily.select(
+    return daily.selectExpr(
         "location",
-        F.col("deviceType").alias("device_type"),
-        F.col("daily_readings").alias("total_readings"),
+        "deviceType AS device_type",
+        "daily_readings AS total_readings",
         "active_devices",
         "active_hours",
-        F.col("daily_avg_temp").alias("avg_temperature"),
-        F.col("daily_min_temp").alias("min_temperature"),
-        F.col("daily_max_temp").alias("max_temperature"),
-        F.col("daily_avg_humidity").alias("avg_humidity"),
-        F.col("daily_avg_pressure").alias("avg_pressure"),
-        F.col("daily_quality_score").alias("quality_score"),
+        "daily_avg_temp AS avg_temperature",
+        "daily_min_temp AS min_temperature",
+        "daily_max_temp AS max_temperature",
+        "daily_avg_humidity AS avg_humidity",
+        "daily_avg_pressure AS avg_pressure",
+        "daily_quality_score AS quality_score",
         "comfort_percentage",
         "optimal_readings",
         "good_readings",
         "poor_readings",
-        F.col("event_date").alias("report_date"),
+        "event_date AS report_date",
         _exported(as_of),
     )
 
 
 def device_status(device: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return device.select(
-        F.col("deviceId").alias("device_id"),
-        F.col("deviceType").alias("device_type"),
+    return device.selectExpr(
+        "deviceId AS device_id",
+        "deviceType AS device_type",
         "location",
         "total_readings",
         "active_hours",
-        F.col("device_quality_score").alias("quality_score"),
-        F.col("device_health").alias("health_status"),
+        "device_quality_score AS quality_score",
+        "device_health AS health_status",
         "avg_temperature",
         "avg_humidity",
         "avg_pressure",
         "first_reading",
         "last_reading",
-        F.col("event_date").alias("report_date"),
+        "event_date AS report_date",
         _exported(as_of),
     )
 

@@ -13,10 +13,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from fieldgauge.functions import clock, labels
+from fieldgauge.functions import labels
+from fieldgauge.functions.sql import date, measures, named, number, timestamp
 
 DEVICE_KEY = ("event_date", "location", "deviceType", "deviceId")
 HOUR_KEY = (*DEVICE_KEY, "hour_of_day")
@@ -43,71 +43,69 @@ _COUNTED = {
 
 def partials(silver: DataFrame, by_hour: bool = True) -> DataFrame:
     """Mergeable measures per device and day, split by hour if asked."""
-    measures = [F.count(F.lit(1)).alias("readings")]
+    found = {"readings": "count(1)"}
     for name in _AVERAGED:
-        measures += [
-            F.sum(F.col(name).cast("double")).alias(f"{name}_sum"),
-            F.count(name).alias(f"{name}_n"),
-        ]
-    measures += [
-        F.min("temperature").alias("temperature_min"),
-        F.max("temperature").alias("temperature_max"),
-        *(F.count_if(F.expr(test)).alias(name) for name, test in _COUNTED.items()),
-        F.bit_or(F.expr("shiftleft(1, hour_of_day)")).alias("hour_bits"),
-        F.min("sensor_timestamp").alias("first_reading"),
-        F.max("sensor_timestamp").alias("last_reading"),
-    ]
-    return silver.groupBy(*(HOUR_KEY if by_hour else DEVICE_KEY)).agg(*measures)
+        found |= {f"{name}_sum": f"sum(double({name}))", f"{name}_n": f"count({name})"}
+    found |= {
+        "temperature_min": "min(temperature)",
+        "temperature_max": "max(temperature)",
+        **{name: f"count_if({test})" for name, test in _COUNTED.items()},
+        "hour_bits": "bit_or(shiftleft(1, hour_of_day))",
+        "first_reading": "min(sensor_timestamp)",
+        "last_reading": "max(sensor_timestamp)",
+    }
+    return silver.groupBy(*(HOUR_KEY if by_hour else DEVICE_KEY)).agg(*measures(found))
 
 
 def merge_hours(parts: DataFrame) -> DataFrame:
     """Partials by hour, merged to one row per device and day."""
     added = ["readings", *_COUNTED]
     added += [f"{name}_{end}" for name in _AVERAGED for end in ("sum", "n")]
-    return parts.groupBy(*DEVICE_KEY).agg(
-        *(F.sum(name).alias(name) for name in added),
-        F.min("temperature_min").alias("temperature_min"),
-        F.max("temperature_max").alias("temperature_max"),
-        F.bit_or("hour_bits").alias("hour_bits"),
-        F.min("first_reading").alias("first_reading"),
-        F.max("last_reading").alias("last_reading"),
-    )
+    merged = {
+        **{name: f"sum({name})" for name in added},
+        "temperature_min": "min(temperature_min)",
+        "temperature_max": "max(temperature_max)",
+        "hour_bits": "bit_or(hour_bits)",
+        "first_reading": "min(first_reading)",
+        "last_reading": "max(last_reading)",
+    }
+    return parts.groupBy(*DEVICE_KEY).agg(*measures(merged))
 
 
-def _mean(name: str) -> Column:
-    return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
+def _mean(name: str) -> str:
+    return f"try_divide(sum({name}_sum), sum({name}_n))"
 
 
-def _percent(part: Column, total: str) -> Column:
-    return part * 100.0 / F.col(total)
+def _percent(part: str, total: str) -> str:
+    return f"({part}) * 100.0D / {total}"
 
 
-def _stamped(table: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return table.withColumns(
-        {
-            "processing_time": F.lit(as_of).cast("timestamp"),
-            "processing_date": F.lit(clock.as_date(as_of)),
-        }
-    )
+def _finished(table: DataFrame, as_of: dt.datetime, derived: dict[str, str]) -> DataFrame:
+    """Add what is derived from the measures, and the time of the run."""
+    run = {"processing_time": timestamp(as_of), "processing_date": date(as_of)}
+    return table.selectExpr("*", *named({**derived, **run}))
+
+
+_MOTION = {"motion_percentage": _percent("motion_detections", "total_readings")}
+_HOURLY_KEY = ("event_date", "hour_of_day", "location", "deviceType")
 
 
 def hourly(by_hour: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Per day, hour, location and device type, from partials by hour."""
-    table = by_hour.groupBy("event_date", "hour_of_day", "location", "deviceType").agg(
-        F.sum("readings").alias("total_readings"),
-        F.count("deviceId").alias("unique_devices"),
-        _mean("temperature").alias("avg_temperature"),
-        F.min("temperature_min").alias("min_temperature"),
-        F.max("temperature_max").alias("max_temperature"),
-        _mean("humidity").alias("avg_humidity"),
-        _mean("pressure").alias("avg_pressure"),
-        _mean("light").alias("avg_light"),
-        _mean("acidity").alias("avg_acidity"),
-        F.sum("motion_detections").alias("motion_detections"),
-        _mean("data_quality_score").alias("avg_quality_score"),
-    )
-    motion = _percent(F.col("motion_detections"), "total_readings")
-    return _stamped(table.withColumn("motion_percentage", motion), as_of)
+    found = {
+        "total_readings": "sum(readings)",
+        "unique_devices": "count(deviceId)",
+        "avg_temperature": _mean("temperature"),
+        "min_temperature": "min(temperature_min)",
+        "max_temperature": "max(temperature_max)",
+        "avg_humidity": _mean("humidity"),
+        "avg_pressure": _mean("pressure"),
+        "avg_light": _mean("light"),
+        "avg_acidity": _mean("acidity"),
+        "motion_detections": "sum(motion_detections)",
+        "avg_quality_score": _mean("data_quality_score"),
+    }
+    return _finished(by_hour.groupBy(*_HOURLY_KEY).agg(*measures(found)), as_of, _MOTION)
 
 
 def hourly_approx(silver: DataFrame, as_of: dt.datetime, rsd: float = 0.05) -> DataFrame:
@@ -116,85 +114,80 @@ def hourly_approx(silver: DataFrame, as_of: dt.datetime, rsd: float = 0.05) -> D
     Also runs on a stream, where exact distinct counts are refused. ``rsd`` is
     the relative standard deviation of the estimate.
     """
-    table = silver.groupBy("event_date", "hour_of_day", "location", "deviceType").agg(
-        F.count(F.lit(1)).alias("total_readings"),
-        F.approx_count_distinct("deviceId", rsd).alias("unique_devices"),
-        F.avg("temperature").alias("avg_temperature"),
-        F.min("temperature").alias("min_temperature"),
-        F.max("temperature").alias("max_temperature"),
-        F.avg("humidity").alias("avg_humidity"),
-        F.avg("pressure").alias("avg_pressure"),
-        F.avg("light").alias("avg_light"),
-        F.avg("acidity").alias("avg_acidity"),
-        F.count_if("motion").alias("motion_detections"),
-        F.avg("data_quality_score").alias("avg_quality_score"),
-    )
-    motion = _percent(F.col("motion_detections"), "total_readings")
-    return _stamped(table.withColumn("motion_percentage", motion), as_of)
+    found = {
+        "total_readings": "count(1)",
+        "unique_devices": f"approx_count_distinct(deviceId, {number(float(rsd))})",
+        "avg_temperature": "avg(temperature)",
+        "min_temperature": "min(temperature)",
+        "max_temperature": "max(temperature)",
+        "avg_humidity": "avg(humidity)",
+        "avg_pressure": "avg(pressure)",
+        "avg_light": "avg(light)",
+        "avg_acidity": "avg(acidity)",
+        "motion_detections": "count_if(motion)",
+        "avg_quality_score": "avg(data_quality_score)",
+    }
+    return _finished(silver.groupBy(*_HOURLY_KEY).agg(*measures(found)), as_of, _MOTION)
 
 
 def daily(by_device: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Per day, location and device type, from partials per device."""
-    table = by_device.groupBy("event_date", "location", "deviceType").agg(
-        F.sum("readings").alias("daily_readings"),
-        F.count("deviceId").alias("active_devices"),
-        F.bit_count(F.bit_or("hour_bits")).cast("long").alias("active_hours"),
-        _mean("temperature").alias("daily_avg_temp"),
-        F.min("temperature_min").alias("daily_min_temp"),
-        F.max("temperature_max").alias("daily_max_temp"),
-        _mean("humidity").alias("daily_avg_humidity"),
-        _mean("pressure").alias("daily_avg_pressure"),
-        _mean("light").alias("daily_avg_light"),
-        _mean("acidity").alias("daily_avg_acidity"),
-        F.sum("motion_detections").alias("daily_motion_detections"),
-        _mean("data_quality_score").alias("daily_quality_score"),
-        *(F.sum(name).alias(name) for name in _COUNTED if name != "motion_detections"),
-    )
-    total = "daily_readings"
-    comfortable = F.col("optimal_readings") + F.col("good_readings")
-    percentages = {
-        "comfort_percentage": _percent(comfortable, total),
-        "motion_percentage": _percent(F.col("daily_motion_detections"), total),
-        "bright_light_percentage": _percent(F.col("bright_light_readings"), total),
-        "neutral_acidity_percentage": _percent(F.col("neutral_acidity_readings"), total),
+    found = {
+        "daily_readings": "sum(readings)",
+        "active_devices": "count(deviceId)",
+        "active_hours": "bigint(bit_count(bit_or(hour_bits)))",
+        "daily_avg_temp": _mean("temperature"),
+        "daily_min_temp": "min(temperature_min)",
+        "daily_max_temp": "max(temperature_max)",
+        "daily_avg_humidity": _mean("humidity"),
+        "daily_avg_pressure": _mean("pressure"),
+        "daily_avg_light": _mean("light"),
+        "daily_avg_acidity": _mean("acidity"),
+        "daily_motion_detections": "sum(motion_detections)",
+        "daily_quality_score": _mean("data_quality_score"),
+        **{name: f"sum({name})" for name in _COUNTED if name != "motion_detections"},
     }
-    return _stamped(table.withColumns(percentages), as_of)
+    shares = {
+        "comfort_percentage": "optimal_readings + good_readings",
+        "motion_percentage": "daily_motion_detections",
+        "bright_light_percentage": "bright_light_readings",
+        "neutral_acidity_percentage": "neutral_acidity_readings",
+    }
+    return _finished(
+        by_device.groupBy("event_date", "location", "deviceType").agg(*measures(found)),
+        as_of,
+        {name: _percent(part, "daily_readings") for name, part in shares.items()},
+    )
 
 
 def device(by_device: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Per day and device, from partials per device; no further shuffle."""
 
     def mean(name):
-        return F.try_divide(F.col(f"{name}_sum"), F.col(f"{name}_n"))
+        return f"try_divide({name}_sum, {name}_n)"
 
-    table = by_device.select(
+    table = by_device.selectExpr(
         "event_date",
         "deviceId",
         "deviceType",
         "location",
-        F.col("readings").alias("total_readings"),
-        F.bit_count("hour_bits").cast("long").alias("active_hours"),
-        mean("temperature").alias("avg_temperature"),
-        mean("humidity").alias("avg_humidity"),
-        mean("pressure").alias("avg_pressure"),
-        mean("light").alias("avg_light"),
-        mean("acidity").alias("avg_acidity"),
-        "motion_detections",
-        mean("data_quality_score").alias("device_quality_score"),
-        mean("battery_level").alias("avg_battery_level"),
-        mean("signal_strength").alias("avg_signal_strength"),
-        "first_reading",
-        "last_reading",
-    )
-    health = labels.device_health(
-        F.col("device_quality_score"), F.col("active_hours"), F.col("avg_battery_level")
-    )
-    return _stamped(
-        table.withColumns(
+        *named(
             {
-                "motion_percentage": _percent(F.col("motion_detections"), "total_readings"),
-                "device_health": health,
+                "total_readings": "readings",
+                "active_hours": "bigint(bit_count(hour_bits))",
+                "avg_temperature": mean("temperature"),
+                "avg_humidity": mean("humidity"),
+                "avg_pressure": mean("pressure"),
+                "avg_light": mean("light"),
+                "avg_acidity": mean("acidity"),
+                "motion_detections": "motion_detections",
+                "device_quality_score": mean("data_quality_score"),
+                "avg_battery_level": mean("battery_level"),
+                "avg_signal_strength": mean("signal_strength"),
             }
         ),
-        as_of,
+        "first_reading",
+        "last_reading",
     )
+    health = labels.device_health("device_quality_score", "active_hours", "avg_battery_level")
+    return _finished(table, as_of, {**_MOTION, "device_health": health})

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldgauge import contract as C
 from fieldgauge.functions import clock
+from fieldgauge.functions.sql import every, first_match, named, text
 
 _CORRUPT = "_corrupt_record"
 _MISNAMED = "device_id"
@@ -23,17 +21,18 @@ _AUDIT_SCHEMA = T.StructType(
 )
 
 ENVELOPE = ("kafka_key", "topic", "partition", "offset", "kafka_timestamp")
+USABLE = "deviceId IS NOT NULL AND sensor_timestamp IS NOT NULL"
 
 
 def envelope(messages: DataFrame) -> DataFrame:
     """Broker columns with key and value as text."""
-    return messages.select(
-        F.col("key").cast("string").alias("kafka_key"),
+    return messages.selectExpr(
+        "string(key) AS kafka_key",
         "topic",
         "partition",
         "offset",
-        F.col("timestamp").alias("kafka_timestamp"),
-        F.col("value").cast("string").alias("original_json"),
+        "timestamp AS kafka_timestamp",
+        "string(value) AS original_json",
     )
 
 
@@ -49,14 +48,19 @@ def unpack_json(rows: DataFrame, json: str, keep: list[str], schema=C.READING_SC
     return rows.select(*keep, F.inline(F.array(parsed)))
 
 
-def parse(messages: DataFrame, epoch_unit: str = "ms", processing_time: Column | None = None):
-    """Flat readings with event time and calendar parts; bad ones have nulls."""
+def parse(
+    messages: DataFrame, epoch_unit: str = "ms", processing_time: str | None = None
+) -> DataFrame:
+    """Flat readings with event time and calendar parts; bad ones have nulls.
+
+    ``processing_time`` is an expression, say ``current_timestamp()`` on a stream.
+    """
     rows = unpack_json(envelope(messages), "original_json", [*ENVELOPE, "original_json"])
-    rows = rows.withColumn("sensor_timestamp", clock.event_time(F.col("timestamp"), epoch_unit))
-    extra = clock.calendar_parts(F.col("sensor_timestamp"))
+    timed = rows.selectExpr("*", f"{clock.event_time('timestamp', epoch_unit)} AS sensor_timestamp")
+    extra = clock.calendar_parts("sensor_timestamp")
     if processing_time is not None:
         extra["processing_time"] = processing_time
-    return rows.select(
+    return timed.selectExpr(
         *ENVELOPE,
         "deviceId",
         "sensor_timestamp",
@@ -65,15 +69,15 @@ def parse(messages: DataFrame, epoch_unit: str = "ms", processing_time: Column |
         *C.METRICS[3:],
         "location",
         "timestamp",
-        *(F.col(f"metadata.{name}").alias(name) for name in C.METADATA),
+        *(f"metadata.{name}" for name in C.METADATA),
         "original_json",
-        *(value.alias(name) for name, value in extra.items()),
+        *named(extra),
     )
 
 
 def accept(parsed: DataFrame) -> DataFrame:
     """Readings that name a device and a usable time."""
-    return parsed.where(F.col("deviceId").isNotNull() & F.col("sensor_timestamp").isNotNull())
+    return parsed.where(USABLE)
 
 
 def raw_rows(accepted: DataFrame) -> DataFrame:
@@ -81,10 +85,10 @@ def raw_rows(accepted: DataFrame) -> DataFrame:
     return accepted.select(F.col("original_json").alias("value"), *C.RAW_PARTITIONS)
 
 
-def record_id(*origin: str, json: str = "original_json") -> Column:
+def record_id(*origin: str, json: str = "original_json") -> str:
     """Stable id: a digest of the message and, where known, its broker position."""
-    parts = [F.col(name).cast("string") for name in origin]
-    return F.sha2(F.concat_ws("|", *parts, F.col(json)), 256)
+    parts = ", ".join((*(f"string({name})" for name in origin), json))
+    return f"sha2(concat_ws('|', {parts}), 256)"
 
 
 def dead_letter(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
@@ -92,22 +96,22 @@ def dead_letter(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
     rows = unpack_json(
         envelope(messages), "original_json", [*ENVELOPE, "original_json"], _AUDIT_SCHEMA
     )
-    nothing_read = reduce(
-        and_, (F.col(f.name).isNull() for f in _AUDIT_SCHEMA if f.name != _CORRUPT)
-    )
-    blank = F.trim(F.coalesce("original_json", F.lit(""))) == ""
-    reason = (
-        F.when(blank | (nothing_read & F.col(_CORRUPT).isNotNull()), "unparseable")
-        .when(F.col("deviceId").isNull(), "missing_device_id")
-        .when(clock.event_time(F.col("timestamp"), epoch_unit).isNull(), "missing_timestamp")
-        .when(F.col("location").isNull(), "missing_location")
+    nothing_read = every(f"{f.name} IS NULL" for f in _AUDIT_SCHEMA if f.name != _CORRUPT)
+    blank = "trim(coalesce(original_json, '')) = ''"
+    reason = first_match(
+        [
+            (f"{blank} OR ({nothing_read} AND {_CORRUPT} IS NOT NULL)", "'unparseable'"),
+            ("deviceId IS NULL", "'missing_device_id'"),
+            (f"({clock.event_time('timestamp', epoch_unit)}) IS NULL", "'missing_timestamp'"),
+            ("location IS NULL", "'missing_location'"),
+        ]
     )
-    return rows.select(
+    return rows.selectExpr(
         *ENVELOPE,
         "original_json",
-        reason.alias("reason"),
-        (F.col("deviceId").isNull() & F.col(_MISNAMED).isNotNull()).alias("misnamed_device_id"),
-    ).where(F.col("reason").isNotNull())
+        f"{reason} AS reason",
+        f"deviceId IS NULL AND {_MISNAMED} IS NOT NULL AS misnamed_device_id",
+    ).where("reason IS NOT NULL")
 
 
 def dead_letter_sample(rejected: DataFrame, size: int = 10) -> DataFrame:
@@ -117,14 +121,14 @@ def dead_letter_sample(rejected: DataFrame, size: int = 10) -> DataFrame:
 
 def required_fields(messages: DataFrame, names: list[str]) -> DataFrame:
     """For each message, which of the named top-level JSON fields are absent."""
-    keys = F.coalesce(F.json_object_keys("original_json"), F.array().cast("array<string>"))
-    missing = F.array_except(F.array(*map(F.lit, names)), keys)
+    wanted = ", ".join(map(text, names))
+    found = "coalesce(json_object_keys(original_json), array())"
     return (
         envelope(messages)
-        .select(*ENVELOPE, missing.alias("missing"))
-        .select(
+        .selectExpr(*ENVELOPE, f"array_except(array({wanted}), {found}) AS missing")
+        .selectExpr(
             *ENVELOPE,
-            (F.size("missing") == 0).alias("is_complete"),
-            F.concat_ws(",", "missing").alias("missing_fields"),
+            "size(missing) = 0 AS is_complete",
+            "concat_ws(',', missing) AS missing_fields",
         )
     )

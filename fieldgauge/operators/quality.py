@@ -6,28 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldgauge.functions import rules
+from fieldgauge.functions.sql import named
 
 
 def flag_rules(rows: DataFrame) -> DataFrame:
     """Add the ten rule flags, their conjunction and the share passed."""
-    return rows.withColumns(
-        {
-            **rules.rule_columns(),
-            "is_valid_record": rules.all_rules(),
-            "data_quality_score": rules.rule_score(),
-        }
-    )
+    return rows.selectExpr("*", *named(rules.rule_columns()))
 
 
 def flag_first_failure(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("data_quality_flag", rules.first_failure())
+    return rows.selectExpr("*", f"{rules.first_failure()} AS data_quality_flag")
 
 
 def counts():
     """The two counts a report is made of, for ``agg`` or ``observe``."""
     return (
         F.count(F.lit(1)).alias("total_records"),
-        F.count_if(rules.all_rules()).alias("valid_records"),
+        F.count_if(F.expr(rules.all_rules())).alias("valid_records"),
     )
 
 
@@ -36,16 +31,15 @@ def grade_counts(counted: DataFrame) -> DataFrame:
 
     An empty input has score 0.0, and no percentages or grade.
     """
-    total, valid = F.col("total_records"), F.col("valid_records")
-    share = F.try_divide(valid.cast("double"), total.cast("double"))
-    lost = F.try_divide((total - valid).cast("double"), total.cast("double"))
-    return counted.select(
+    share = "try_divide(double(valid_records), double(total_records))"
+    lost = "try_divide(double(total_records - valid_records), double(total_records))"
+    return counted.selectExpr(
         "*",
-        (total - valid).alias("invalid_records"),
-        F.coalesce(share, F.lit(0.0)).alias("quality_score"),
-        F.round(share * 100, 2).alias("valid_percentage"),
-        F.round(lost * 100, 2).alias("invalid_percentage"),
-        F.when(total > 0, rules.grade(share * 100)).alias("grade"),
+        "total_records - valid_records AS invalid_records",
+        f"coalesce({share}, 0.0D) AS quality_score",
+        f"round({share} * 100, 2) AS valid_percentage",
+        f"round({lost} * 100, 2) AS invalid_percentage",
+        f"CASE WHEN total_records > 0 THEN {rules.grade(f'{share} * 100')} END AS grade",
     )
 
 
@@ -56,10 +50,11 @@ def report(standardized: DataFrame) -> DataFrame:
 
 def by_device(standardized: DataFrame) -> DataFrame:
     """Real score per device and day, taken before invalid rows are dropped."""
+    score = F.expr(rules.rule_score())
     return standardized.groupBy("event_date", "deviceId", "deviceType", "location").agg(
         *counts(),
-        F.avg(rules.rule_score()).alias("avg_quality_score"),
-        F.min(rules.rule_score()).alias("min_quality_score"),
+        F.avg(score).alias("avg_quality_score"),
+        F.min(score).alias("min_quality_score"),
     )
 
 

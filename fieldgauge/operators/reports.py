@@ -1,33 +1,34 @@
 """Dashboard queries over the ``daily_report`` mart.
 
 Each takes the mart, a location (or several) and, where it looks back in time,
-the day to look back from. Values are passed as literals, never as SQL text.
+the day to look back from. Values are quoted as literals, so no name can break a query.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldgauge import contract as C
-from fieldgauge.functions import clock, labels
+from fieldgauge.functions import labels
+from fieldgauge.functions.sql import as_date, between, date, first_match, measures, named, one_of
 
 
-def _tenths(value: Column) -> Column:
-    return value.cast("decimal(10,1)")
+def _tenths(value: str) -> str:
+    return f"CAST({value} AS DECIMAL(10, 1))"
 
 
 def _at(mart: DataFrame, location: str) -> DataFrame:
-    return mart.where(F.col("location") == F.lit(location))
+    return mart.where(one_of("location", [location]))
 
 
 def _since(mart: DataFrame, as_of, days: int) -> DataFrame:
     """Report dates from ``days`` before ``as_of`` to ``as_of``: plain bounds that prune."""
-    last = clock.as_date(as_of)
+    last = as_date(as_of)
     first = last - dt.timedelta(days=days)
-    return mart.where(F.col("report_date").between(F.lit(first), F.lit(last)))
+    return mart.where(f"report_date BETWEEN {date(first)} AND {date(last)}")
 
 
 def latest(mart: DataFrame, as_of) -> DataFrame:
@@ -36,74 +37,76 @@ def latest(mart: DataFrame, as_of) -> DataFrame:
     The date is a scalar subquery, so it prunes partitions when the mart is a
     table cut by ``report_date``.
     """
-    known = mart.where(F.col("report_date") <= F.lit(clock.as_date(as_of)))
+    known = mart.where(f"report_date <= {date(as_of)}")
     newest = known.agg(F.max("report_date")).scalar()
     return known.where(F.col("report_date") == newest)
 
 
 def locations_in(mart: DataFrame, locations: list[str], as_of) -> DataFrame:
-    return latest(mart, as_of).where(F.col("location").isin(*locations)).select("location")
+    return latest(mart, as_of).where(one_of("location", locations)).select("location")
 
 
 def temperature(mart: DataFrame, location: str, as_of) -> DataFrame:
-    return _at(latest(mart, as_of), location).select(
-        F.col("avg_temperature").alias("Average Temperature"),
-        F.col("min_temperature").alias("Min Temperature"),
-        F.col("max_temperature").alias("Max Temperature"),
-        (F.col("max_temperature") - F.col("min_temperature")).alias("Temperature Range"),
-    )
+    shown = {
+        "Average Temperature": "avg_temperature",
+        "Min Temperature": "min_temperature",
+        "Max Temperature": "max_temperature",
+        "Temperature Range": "max_temperature - min_temperature",
+    }
+    return _at(latest(mart, as_of), location).selectExpr(*named(shown))
 
 
 def irrigation(mart: DataFrame, location: str, as_of, days: int = 7) -> DataFrame:
-    mean = F.avg("avg_humidity")
-    score = labels.first_match(
-        [(mean.between(low, high), points) for low, high, points in C.IRRIGATION_SCORES],
-        C.LOWEST_IRRIGATION,
-    )
-    return (
-        _since(_at(mart, location), as_of, days)
-        .groupBy("location")
-        .agg(_tenths(mean).alias("soil_moisture"), score.alias("irrigation_efficiency"))
+    mean = "avg(avg_humidity)"
+    score = first_match(
+        [(between(mean, low, high), str(points)) for low, high, points in C.IRRIGATION_SCORES],
+        str(C.LOWEST_IRRIGATION),
     )
+    found = {"soil_moisture": _tenths(mean), "irrigation_efficiency": score}
+    return _since(_at(mart, location), as_of, days).groupBy("location").agg(*measures(found))
 
 
 def growing_degree_days(mart: DataFrame, location: str, as_of, days: int = 30) -> DataFrame:
-    mean = F.col("avg_temperature")
-    above = F.when(mean > C.GROWING_BASE_C, _tenths(mean - C.GROWING_BASE_C)).otherwise(
-        _tenths(F.lit(0))
+    above = first_match(
+        [
+            (
+                f"avg_temperature > {C.GROWING_BASE_C}",
+                _tenths(f"avg_temperature - {C.GROWING_BASE_C}"),
+            )
+        ],
+        _tenths("0"),
     )
     return (
         _since(_at(mart, location), as_of, days)
-        .select(
-            F.col("report_date").alias("date"),
+        .selectExpr(
+            "report_date AS date",
             "location",
-            _tenths(mean).alias("daily_avg_temp"),
-            above.alias("growing_degree_days"),
+            f"{_tenths('avg_temperature')} AS daily_avg_temp",
+            f"{above} AS growing_degree_days",
         )
         .orderBy(F.desc("date"), "location")
     )
 
 
 def conditions(mart: DataFrame, location: str, as_of) -> DataFrame:
-    return _at(latest(mart, as_of), location).select(
-        F.col("avg_humidity").alias("Humidity %"),
-        F.col("avg_pressure").alias("Pressure"),
-        F.col("quality_score").alias("Data Quality"),
-        F.col("comfort_percentage").alias("Comfort Level %"),
-    )
+    shown = {
+        "Humidity %": "avg_humidity",
+        "Pressure": "avg_pressure",
+        "Data Quality": "quality_score",
+        "Comfort Level %": "comfort_percentage",
+    }
+    return _at(latest(mart, as_of), location).selectExpr(*named(shown))
 
 
 def field_health(mart: DataFrame, location: str, as_of, days: int = 7) -> DataFrame:
-    return (
-        _since(_at(mart, location), as_of, days)
-        .groupBy("location")
-        .agg(
-            _tenths(F.avg("avg_temperature")).alias("field_temp"),
-            _tenths(F.avg("avg_humidity")).alias("soil_moisture"),
-            _tenths(F.avg("avg_pressure")).alias("atmospheric_pressure"),
-            _tenths(F.avg("comfort_percentage")).alias("growing_conditions_score"),
-        )
-    )
+    shown = {
+        "field_temp": "avg_temperature",
+        "soil_moisture": "avg_humidity",
+        "atmospheric_pressure": "avg_pressure",
+        "growing_conditions_score": "comfort_percentage",
+    }
+    found = {name: _tenths(f"avg({column})") for name, column in shown.items()}
+    return _since(_at(mart, location), as_of, days).groupBy("location").agg(*measures(found))
 
 
 def location_list(mart: DataFrame) -> DataFrame:
@@ -112,4 +115,4 @@ def location_list(mart: DataFrame) -> DataFrame:
 
 def with_status(panel: str, table: DataFrame, value: str) -> DataFrame:
     """Add the colour a panel shows for ``value``."""
-    return table.withColumn("status", labels.panel_color(panel, F.col(value)))
+    return table.selectExpr("*", f"{labels.panel_color(panel, value)} AS status")

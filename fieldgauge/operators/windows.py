@@ -6,31 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldgauge import contract as C
+from fieldgauge.functions.sql import measures
 
 
 def by_window(readings: DataFrame, width: str = C.WINDOW) -> DataFrame:
     """Tumbling windows per device. Location depends on the device, so any will do."""
-    return (
-        readings.groupBy(F.window("sensor_timestamp", width), "deviceId")
-        .agg(
-            F.avg("temperature").alias("avg_temperature"),
-            F.min("temperature").alias("min_temperature"),
-            F.max("temperature").alias("max_temperature"),
-            F.avg("humidity").alias("avg_humidity"),
-            F.avg("pressure").alias("avg_pressure"),
-            F.count(F.lit(1)).alias("record_count"),
-            F.min("location").alias("location"),
-        )
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "deviceId",
-            "avg_temperature",
-            "min_temperature",
-            "max_temperature",
-            "avg_humidity",
-            "avg_pressure",
-            "record_count",
-            "location",
-        )
+    found = {
+        "avg_temperature": "avg(temperature)",
+        "min_temperature": "min(temperature)",
+        "max_temperature": "max(temperature)",
+        "avg_humidity": "avg(humidity)",
+        "avg_pressure": "avg(pressure)",
+        "record_count": "count(1)",
+        "location": "min(location)",
+    }
+    windows = readings.groupBy(F.window("sensor_timestamp", width), "deviceId")
+    return windows.agg(*measures(found)).selectExpr(
+        "window.start AS window_start", "window.end AS window_end", "deviceId", *found
     )

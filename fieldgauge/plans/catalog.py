@@ -11,13 +11,14 @@ import datetime as dt
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldgauge import contract as C
 from fieldgauge import session
 from fieldgauge.config import Settings, Thresholds
 from fieldgauge.functions import clock
+from fieldgauge.functions.sql import named, timestamp
 from fieldgauge.operators import (
     alerts,
     bronze,
@@ -59,11 +60,11 @@ _REGISTRY: dict[str, Query] = {}
 def _register_as(name: str):
     def register(run: Query) -> Query:
         @wraps(run)
-        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return run(session.use_utc(spark), sf_dir)
+        def in_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return run(session.prepared(spark), sf_dir)
 
-        _REGISTRY[name] = in_utc
-        return in_utc
+        _REGISTRY[name] = in_session
+        return in_session
 
     return register
 
@@ -97,9 +98,8 @@ def _raw(spark, sf) -> DataFrame:
 
 def _bronze(spark, sf) -> DataFrame:
     """Bronze rows straight from readings, without the JSON round trip."""
-    return bronze.stamp(_readings(spark, sf), AS_OF).withColumn(
-        "record_id", F.sha2(F.col("event_id").cast("string"), 256)
-    )
+    rows = _readings(spark, sf).selectExpr("*", "sha2(string(event_id), 256) AS record_id")
+    return bronze.stamp(rows, AS_OF)
 
 
 def _standard(spark, sf) -> DataFrame:
@@ -126,10 +126,16 @@ def _device(spark, sf) -> DataFrame:
     return gold.device(_device_partials(spark, sf), AS_OF)
 
 
-def _steady(value: Column) -> Column:
+def _steady(value: str) -> str:
     """Six decimals. The first rounding removes summation noise, so that a value
     halfway between two results goes the same way in every engine."""
-    return F.round(F.round(value, 9), 6)
+    return f"round(round({value}, 9), 6)"
+
+
+def _rounded(rows: DataFrame, names) -> DataFrame:
+    return rows.selectExpr(
+        *named({n: _steady(f"`{n}`") if n in names else f"`{n}`" for n in rows.columns})
+    )
 
 
 def _steadied(rows: DataFrame, prefixes=("avg_", "daily_avg_")) -> DataFrame:
@@ -138,7 +144,7 @@ def _steadied(rows: DataFrame, prefixes=("avg_", "daily_avg_")) -> DataFrame:
     def unsteady(name):
         return name.startswith(prefixes) or name.endswith(("_score", "_percentage"))
 
-    return rows.withColumns({n: _steady(F.col(n)) for n in rows.columns if unsteady(n)})
+    return _rounded(rows, [name for name in rows.columns if unsteady(name)])
 
 
 _CLOCK = ("processing_time", "processing_date", "exported_at")
@@ -180,21 +186,19 @@ def ingest_valid(spark, sf):
 
 @_register
 def epoch_to_timestamp(spark, sf):
-    millis = F.col("timestamp")
-    shifted = millis - 1705000000000  # puts half of the feed before 1970
-    return _readings(spark, sf).select(
-        "event_id",
-        clock.event_time(millis).alias("from_millis"),
-        clock.event_time(F.call_function("div", millis, F.lit(1000)), "s").alias("from_seconds"),
-        clock.event_time(shifted).alias("around_epoch"),
-    )
+    times = {
+        "from_millis": clock.event_time("timestamp"),
+        "from_seconds": clock.event_time("(timestamp div 1000)", "s"),
+        # puts half of the feed before 1970
+        "around_epoch": clock.event_time("(timestamp - 1705000000000)"),
+    }
+    return _readings(spark, sf).selectExpr("event_id", *named(times))
 
 
 @_register
 def calendar_parts(spark, sf):
     rows = _readings(spark, sf)
-    parts = clock.calendar_parts(F.col("sensor_timestamp"))
-    return rows.select("event_id", *(part.alias(name) for name, part in parts.items()))
+    return rows.selectExpr("event_id", *named(clock.calendar_parts("sensor_timestamp")))
 
 
 @_register
@@ -342,21 +346,17 @@ def quality_by_device(spark, sf):
 _UNITS = [f"temperature_{unit}" for unit in ("celsius", "fahrenheit", "kelvin")]
 
 
-def _steady_units(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({name: _steady(F.col(name)) for name in _UNITS})
-
-
 @_register_as("silver")
 def silver_rows(spark, sf):
     rows = _silver(spark, sf)
     clocks = ("sensor_metadata", "bronze_ingestion_time", "silver_processing_time")
     rows = rows.select(*(n for n in rows.columns if n not in clocks))
-    return _steady_units(rows)
+    return _rounded(rows, _UNITS)
 
 
 @_register
 def silver_units(spark, sf):
-    return _steady_units(_silver(spark, sf)).select("record_id", *_UNITS)
+    return _rounded(_silver(spark, sf).select("record_id", *_UNITS), _UNITS)
 
 
 @_register
@@ -474,7 +474,7 @@ def alert_readings(spark, sf):
 
 @_register
 def alert_types(spark, sf):
-    found = alerts.types(alerts.alerting(_readings(spark, sf)), F.lit(AS_OF).cast("timestamp"))
+    found = alerts.types(alerts.alerting(_readings(spark, sf)), timestamp(AS_OF))
     return found.select(*_ALERT_KEY, "anomaly_types", "alert_timestamp")
 
 
@@ -518,8 +518,8 @@ def alert_batch_stats(spark, sf):
 @_register
 def export_timeseries(spark, sf):
     mart = export.ordered(export.TIMESERIES, export.timeseries(_hourly(spark, sf), AS_OF))
-    rounded = ("temperature", "humidity", "pressure", "data_quality")
-    return mart.drop(*_CLOCK).withColumns({n: _steady(F.col(n)) for n in rounded})
+    averages = ("temperature", "humidity", "pressure", "data_quality")
+    return _rounded(mart.drop(*_CLOCK), averages)
 
 
 @_register
@@ -554,13 +554,10 @@ def dash_locations_in(spark, sf):
     return reports.locations_in(_daily_mart(spark, sf), [LOCATION, "lab-a"], AS_OF)
 
 
-def _rounded(rows: DataFrame) -> DataFrame:
-    return rows.select(*(_steady(F.col(f"`{n}`")).alias(n) for n in rows.columns))
-
-
 @_register
 def dash_temperature(spark, sf):
-    return _rounded(reports.temperature(_daily_mart(spark, sf), LOCATION, AS_OF))
+    shown = reports.temperature(_daily_mart(spark, sf), LOCATION, AS_OF)
+    return _rounded(shown, ["Temperature Range"])
 
 
 @_register
@@ -575,7 +572,7 @@ def dash_growing_degree_days(spark, sf):
 
 @_register
 def dash_conditions(spark, sf):
-    return _rounded(reports.conditions(_daily_mart(spark, sf), LOCATION, AS_OF))
+    return reports.conditions(_daily_mart(spark, sf), LOCATION, AS_OF)
 
 
 @_register

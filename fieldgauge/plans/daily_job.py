@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fieldgauge import contract as C
 from fieldgauge import session
-from fieldgauge.functions.clock import as_date
+from fieldgauge.functions.sql import as_date
 from fieldgauge.operators import bronze, export, gold, quality, silver
 from fieldgauge.sources import serving, tables
 
@@ -156,7 +156,7 @@ def run(
     A target that replaces whole tables gets ``look_back`` earlier days as well,
     as many as the dashboards show.
     """
-    session.use_utc(spark)
+    session.prepared(spark)
     target = target or serving.ParquetTarget(lake.path("marts"))
     first, last = as_date(first), as_date(last)
     tables.probe(spark, lake.root)

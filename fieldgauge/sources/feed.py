@@ -8,9 +8,9 @@ planted by arithmetic on the event id. ``FIXTURES.md`` states the rule.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldgauge import contract as C
+from fieldgauge.functions.sql import first_match, named, text
 
 TOPIC = "iot-sensor-data"
 TOPIC_PARTITIONS = 3
@@ -51,51 +51,50 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings(source: DataFrame) -> DataFrame:
     """One reading per event, batch or stream."""
-    site = F.expr("user_id % 5")
-    location = F.lit(_LAST_SITE)
-    for number, name in reversed(list(enumerate(_SITES))):
-        location = F.when(site == number, name).otherwise(location)
-    placed = source.withColumn("location", location)
-    return placed.select(
+    site = first_match(
+        [(f"user_id % 5 = {n}", text(name)) for n, name in enumerate(_SITES)], text(_LAST_SITE)
+    )
+    return source.selectExpr("*", f"{site} AS location").selectExpr(
         "event_id",
         "location",
-        F.date_trunc("second", "ts").alias("sensor_timestamp"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
-        *(F.expr(rule).alias(name) for name, rule in _READING.items()),
+        "date_trunc('second', ts) AS sensor_timestamp",
+        "unix_millis(timestamp(ts)) AS timestamp",
+        *named(_READING),
     )
 
 
-def _json(rows: DataFrame):
-    flat = [f.name for f in C.READING_SCHEMA if f.name != "metadata"]
-    return F.to_json(F.struct(*flat, F.struct(*C.METADATA).alias("metadata")))
+def _json() -> str:
+    flat = ", ".join(f.name for f in C.READING_SCHEMA if f.name != "metadata")
+    return f"to_json(struct({flat}, struct({', '.join(C.METADATA)}) AS metadata))"
 
 
-def _messages(rows: DataFrame, json) -> DataFrame:
-    return rows.select(
-        F.col("deviceId").cast("binary").alias("key"),
-        json.cast("binary").alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        F.expr(f"cast(event_id % {TOPIC_PARTITIONS} as int)").alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.timestamp_millis("timestamp").alias("timestamp"),
+def _messages(rows: DataFrame, value: str) -> DataFrame:
+    return rows.selectExpr("*", f"{_json()} AS json").selectExpr(
+        "binary(deviceId) AS key",
+        f"binary({value}) AS value",
+        f"{text(TOPIC)} AS topic",
+        f"int(event_id % {TOPIC_PARTITIONS}) AS partition",
+        "event_id AS offset",
+        "timestamp_millis(timestamp) AS timestamp",
     )
 
 
 def messages(rows: DataFrame) -> DataFrame:
     """Readings as broker messages: JSON in ``value``, absent fields left out."""
-    return _messages(rows, _json(rows))
+    return _messages(rows, "json")
+
+
+# every way a producer gets a message wrong, by event number
+_DAMAGE = [
+    ("event_id % 71 = 0", "''"),
+    ("event_id % 73 = 0", "concat('{', json)"),
+    ("event_id % 79 = 0", """replace(json, '"deviceId"', '"device_id"')"""),
+    ("event_id % 83 = 0", """replace(json, '"deviceId"', '"sensorId"')"""),
+    ("event_id % 89 = 0", """replace(json, '"timestamp":', '"timestamp":"soon","was":')"""),
+    ("event_id % 103 = 0", """replace(json, '"location"', '"place"')"""),
+]
 
 
 def damaged_messages(rows: DataFrame) -> DataFrame:
-    """The same messages with some broken in every way a producer gets wrong."""
-    json, number = _json(rows), F.col("event_id")
-    return _messages(
-        rows,
-        F.when(number % 71 == 0, F.lit(""))
-        .when(number % 73 == 0, F.concat(F.lit("{"), json))
-        .when(number % 79 == 0, F.replace(json, F.lit('"deviceId"'), F.lit('"device_id"')))
-        .when(number % 83 == 0, F.replace(json, F.lit('"deviceId"'), F.lit('"sensorId"')))
-        .when(number % 89 == 0, F.replace(json, F.lit('"timestamp":'), F.lit('"timestamp":"soon","was":')))
-        .when(number % 103 == 0, F.replace(json, F.lit('"location"'), F.lit('"place"')))
-        .otherwise(json),
-    )
+    """The same messages, some of them broken."""
+    return _messages(rows, first_match(_DAMAGE, "json"))

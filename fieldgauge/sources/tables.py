@@ -8,15 +8,14 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from fieldgauge import contract as C
-from fieldgauge.functions.clock import as_date
+from fieldgauge.functions.sql import as_date, date, named, text
 
 
-def between_days(column: str, first, last) -> Column:
+def between_days(day: str, first, last) -> str:
     """Bounds on a date partition column; they become partition filters."""
-    return F.col(column).between(F.lit(as_date(first)), F.lit(as_date(last)))
+    return f"{day} BETWEEN {date(first)} AND {date(last)}"
 
 
 def write(rows: DataFrame, path: str, partitions: tuple[str, ...], mode: str = "overwrite"):
@@ -65,15 +64,15 @@ def read_days(spark: SparkSession, path: str, first, last) -> DataFrame | None:
 
 def bronze_days(spark: SparkSession, path: str, first, last) -> DataFrame | None:
     """Ingested bronze rows of some days; None if there are none."""
-    return _wanted(read_days(spark, path, first, last), F.col("processing_status") == C.INGESTED)
+    return _wanted(read_days(spark, path, first, last), f"processing_status = {text(C.INGESTED)}")
 
 
 def silver_days(spark: SparkSession, path: str, first, last) -> DataFrame | None:
     """Valid silver rows of some days; None if there are none."""
-    return _wanted(read_days(spark, path, first, last), F.col("is_valid_record"))
+    return _wanted(read_days(spark, path, first, last), "is_valid_record")
 
 
-def _wanted(rows: DataFrame | None, condition: Column) -> DataFrame | None:
+def _wanted(rows: DataFrame | None, condition: str) -> DataFrame | None:
     if rows is None:
         return None
     rows = rows.where(condition)
@@ -91,8 +90,7 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def raw_days(raw: DataFrame, first, last) -> DataFrame:
     """Raw rows of some days; the date is built from partition columns only."""
-    day = F.make_date("year", "month", "day")
-    return raw.where(day.between(F.lit(as_date(first)), F.lit(as_date(last))))
+    return raw.where(between_days("make_date(year, month, day)", first, last))
 
 
 def write_raw(rows: DataFrame, path: str):
@@ -126,10 +124,10 @@ def probe(spark: SparkSession, path: str) -> None:
     """Fail early, with Spark's own error, if ``path`` cannot be written and read."""
     marker = uuid.uuid4().hex
     target = f"{path.rstrip('/')}/_probe"
-    spark.range(1).select(F.lit(marker).alias("marker")).write.mode("overwrite").json(target)
+    spark.range(1).selectExpr(*named({"marker": text(marker)})).write.mode("overwrite").json(target)
     found = spark.read.schema("marker string").json(target).first()
     if found is None or found.marker != marker:
-        raise OSError(f"{path}: what was written could not be read back: {json.dumps(str(found))}")
+        raise OSError(f"{path}: what was written could not be read back")
 
 
 def days(first, last) -> list[dt.date]:

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fieldgauge import contract as C
 from fieldgauge.config import Settings
+from fieldgauge.functions.sql import measures
 from fieldgauge.operators import alerts, ingest, windows
 from fieldgauge.sources import tables
 
@@ -27,11 +28,9 @@ FLOW = "flow"
 def accepted(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
     """Valid readings; received and accepted counts are observed on the way."""
     parsed = ingest.parse(messages, epoch_unit)
-    usable = F.col("deviceId").isNotNull() & F.col("sensor_timestamp").isNotNull()
     counted = parsed.observe(
         FLOW,
-        F.count(F.lit(1)).alias("received"),
-        F.count_if(usable).alias("accepted"),
+        *measures({"received": "count(1)", "accepted": f"count_if({ingest.USABLE})"}),
     )
     return ingest.accept(counted)
 
@@ -122,8 +121,8 @@ def alert_sink(
     epoch_unit: str = "ms",
 ) -> StreamingQuery:
     """Check every reading and write what alerts to the outbox under ``path``."""
-    readings = ingest.accept(ingest.parse(messages, epoch_unit)).withColumn(
-        "record_id", ingest.record_id("topic", "partition", "offset")
+    readings = ingest.accept(ingest.parse(messages, epoch_unit)).selectExpr(
+        "*", f"{ingest.record_id('topic', 'partition', 'offset')} AS record_id"
     )
     return (
         readings.writeStream.queryName("alerts")
