@@ -13,9 +13,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_ESCAPES = str.maketrans(
+    {
+        "\\": "\\\\",
+        "'": "\\'",
+        "\n": "\\n",
+        "$": "\\u0024",  # else ${name} would be replaced by a setting of that name
+    }
+)
+
+
 def text(value: str) -> str:
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
-    return f"'{escaped}'"
+    return f"'{value.translate(_ESCAPES)}'"
 
 
 def number(value: float) -> str:

@@ -98,9 +98,11 @@ def dead_letter(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
     )
     nothing_read = every(f"{f.name} IS NULL" for f in _AUDIT_SCHEMA if f.name != _CORRUPT)
     blank = "trim(coalesce(original_json, '')) = ''"
+    # a JSON null is well-formed, though it names no device
+    malformed = f"{_CORRUPT} IS NOT NULL AND trim(original_json) <> 'null'"
     reason = first_match(
         [
-            (f"{blank} OR ({nothing_read} AND {_CORRUPT} IS NOT NULL)", "'unparseable'"),
+            (f"{blank} OR ({nothing_read} AND {malformed})", "'unparseable'"),
             ("deviceId IS NULL", "'missing_device_id'"),
             (f"({clock.event_time('timestamp', epoch_unit)}) IS NULL", "'missing_timestamp'"),
             ("location IS NULL", "'missing_location'"),

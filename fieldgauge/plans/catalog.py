@@ -264,20 +264,20 @@ def bronze_historical(spark, sf):
 
 @_register
 def bronze_partition_counts(spark, sf):
-    return _bronze_table(spark, sf).groupBy("event_date").agg(F.count("*").alias("n"))
+    rows = spark.read.parquet(_bronze_table(spark, sf))
+    return rows.groupBy("event_date").agg(F.count("*").alias("n"))
 
 
-def _bronze_table(spark, sf) -> DataFrame:
+def _bronze_table(spark, sf) -> str:
+    """Bronze, written: events come in no known order, so they are gathered by day."""
     path = session.scratch(spark, "bronze")
-    tables.write(_bronze(spark, sf), path, C.BRONZE_PARTITIONS)
-    return spark.read.parquet(path)
+    tables.write(tables.packed(_bronze(spark, sf)), path, C.BRONZE_PARTITIONS)
+    return path
 
 
 @_register
 def bronze_slice(spark, sf):
-    path = session.scratch(spark, "bronze")
-    tables.write(_bronze(spark, sf), path, C.BRONZE_PARTITIONS)
-    rows = tables.bronze_days(spark, path, SLICE, SLICE)
+    rows = tables.bronze_days(spark, _bronze_table(spark, sf), SLICE, SLICE)
     return rows.select("event_id", "event_date", *_BRONZE_FACTS)
 
 
@@ -391,19 +391,22 @@ def silver_health(spark, sf):
     )
 
 
+def _silver_table(spark, sf) -> str:
+    path = session.scratch(spark, "silver")
+    rows = tables.packed(_silver(spark, sf), *C.SILVER_PARTITIONS)
+    tables.write(rows, path, C.SILVER_PARTITIONS)
+    return path
+
+
 @_register
 def silver_partition_counts(spark, sf):
-    path = session.scratch(spark, "silver")
-    tables.write(_silver(spark, sf), path, C.SILVER_PARTITIONS)
-    rows = spark.read.parquet(path)
+    rows = spark.read.parquet(_silver_table(spark, sf))
     return rows.groupBy("event_date", "deviceType").agg(F.count("*").alias("n"))
 
 
 @_register
 def silver_slice(spark, sf):
-    path = session.scratch(spark, "silver")
-    tables.write(_silver(spark, sf), path, C.SILVER_PARTITIONS)
-    rows = tables.silver_days(spark, path, SLICE, SLICE)
+    rows = tables.silver_days(spark, _silver_table(spark, sf), SLICE, SLICE)
     return rows.select("record_id", "event_date", "deviceType", "deviceId", "comfort_index")
 
 
@@ -616,9 +619,9 @@ def stream_window_agg(spark, sf):
 
 @_register
 def stream_flow_metrics(spark, sf):
-    path, at = session.scratch(spark, "raw"), session.scratch(spark, "checkpoint")
     messages = feed.damaged_messages(feed.readings(feed.event_stream(spark, sf)))
-    query = streams.drain(streams.raw_sink(messages, path, at, streams.DRAIN))
+    at = session.scratch(spark, "checkpoint")
+    query = streams.drain(streams.flow_probe(messages, at, streams.DRAIN))
     counts = spark.createDataFrame(
         streams.flow_metrics(query), "batch_id long, received long, accepted long"
     )

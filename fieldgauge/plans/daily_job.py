@@ -61,7 +61,7 @@ def append_historical(
 ) -> None:
     """Add an earlier export to bronze. Like any append, running it twice adds it twice."""
     rows = bronze.conform(bronze.historical(loaded, as_of, file_format))
-    tables.write(rows, lake.bronze, C.BRONZE_PARTITIONS, mode="append")
+    tables.write(tables.packed(rows), lake.bronze, C.BRONZE_PARTITIONS, mode="append")
 
 
 def silver_step(spark: SparkSession, lake: Lake, first, last, as_of, bands="reference"):
@@ -123,7 +123,8 @@ def export_step(
     outcome = []
     for name, rows in marts.items():
         try:
-            if rows.isEmpty():
+            # emptying a database table is never meant; by day, no rows replace nothing
+            if not target.by_day and rows.isEmpty():
                 outcome.append((name, 0, None))
                 continue
             laid_out = rows if target.by_day else export.ordered(name, rows)

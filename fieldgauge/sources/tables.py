@@ -30,13 +30,15 @@ def write(rows: DataFrame, path: str, partitions: tuple[str, ...], mode: str = "
     writer.parquet(path)
 
 
-def packed(rows: DataFrame) -> DataFrame:
-    """Rows of an aggregate, gathered by day for writing.
+def packed(rows: DataFrame, *partitions: str) -> DataFrame:
+    """Rows gathered by partition (the day, if none is named) for writing.
 
-    Without this every reducer would write a small file into every day. Adaptive
-    execution splits a day that is too large for one task and joins small ones.
+    For rows that are not already cut that way: an aggregate, or an unsorted
+    load, where every task would write a small file into every partition.
+    Adaptive execution splits a partition that is too large for one task, so a
+    hot day or hour does not become a long task, and joins small ones.
     """
-    return rows.hint("rebalance", "event_date")
+    return rows.hint("rebalance", *(partitions or ("event_date",)))
 
 
 def write_counted(rows: DataFrame, path: str, partitions: tuple[str, ...], *measures: Column):
@@ -95,9 +97,13 @@ def raw_days(raw: DataFrame, first, last) -> DataFrame:
 
 def write_raw(rows: DataFrame, path: str):
     """Raw rows as JSON lines by year, month, day and hour (batch form of the stream sink)."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *C.RAW_PARTITIONS
-    ).json(path)
+    (
+        packed(rows, *C.RAW_PARTITIONS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*C.RAW_PARTITIONS)
+        .json(path)
+    )
 
 
 def read_historical(

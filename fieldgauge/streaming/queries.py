@@ -51,6 +51,20 @@ def raw_sink(
     )
 
 
+def flow_probe(
+    messages: DataFrame, checkpoint: str, trigger: dict = RAW_TRIGGER
+) -> StreamingQuery:
+    """Count what arrives and what is accepted, and store nothing."""
+    return (
+        accepted(messages)
+        .writeStream.queryName("flow")
+        .format("noop")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def window_stream(
     messages: DataFrame, watermark: str = C.WATERMARK, width: str = C.WINDOW
 ) -> DataFrame:
