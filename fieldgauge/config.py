@@ -6,6 +6,7 @@ deployments already set.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields
@@ -28,10 +29,25 @@ class Thresholds:
     acidity: tuple[float, float] = (4.0, 10.0)
     battery_low: int = 20
 
+    @classmethod
+    def from_json(cls, document: str) -> Thresholds:
+        """Limits that differ from the defaults, as a JSON object."""
+        try:
+            given = json.loads(document)
+            values = {k: tuple(v) if isinstance(v, list) else v for k, v in given.items()}
+            return cls(**values)
+        except (TypeError, ValueError, AttributeError) as bad:
+            raise ConfigError(f"thresholds: {bad}") from bad
+
     def __post_init__(self):
         for item in fields(self):
             limits = getattr(self, item.name)
-            if isinstance(limits, tuple) and not limits[0] <= limits[1]:
+            if item.name == "battery_low":
+                if not isinstance(limits, int):
+                    raise ConfigError(f"{item.name}: not a whole number: {limits!r}")
+            elif not (isinstance(limits, tuple) and len(limits) == 2):
+                raise ConfigError(f"{item.name}: not a pair of numbers: {limits!r}")
+            elif not limits[0] <= limits[1]:
                 raise ConfigError(f"{item.name}: {limits[0]} is above {limits[1]}")
 
 

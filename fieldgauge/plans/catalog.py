@@ -155,6 +155,13 @@ def _daily_mart(spark, sf) -> DataFrame:
     return _steadied(export.daily_report(_daily(spark, sf), AS_OF))
 
 
+def _stored(spark, rows: DataFrame) -> DataFrame:
+    """A small table that is used more than once: written, so it is computed once."""
+    path = session.scratch(spark, "table")
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # -- ingest ----------------------------------------------------------------
 
 
@@ -539,10 +546,12 @@ def export_device_status(spark, sf):
 
 @_register
 def export_summary(spark, sf):
+    by_hour = _stored(spark, gold.partials(_silver(spark, sf)))
+    by_device = gold.merge_hours(by_hour)
     tier = {
-        "hourly": _hourly(spark, sf),
-        "daily": _daily(spark, sf),
-        "device": _device(spark, sf),
+        "hourly": gold.hourly(by_hour, AS_OF),
+        "daily": gold.daily(by_device, AS_OF),
+        "device": gold.device(by_device, AS_OF),
     }
     target = serving.ParquetTarget(session.scratch(spark, "marts"))
     outcome = daily_job.export_step(spark, export.marts(tier, AS_OF), target)
@@ -554,12 +563,14 @@ def export_summary(spark, sf):
 
 @_register
 def dash_locations_in(spark, sf):
-    return reports.locations_in(_daily_mart(spark, sf), [LOCATION, "lab-a"], AS_OF)
+    mart = _stored(spark, _daily_mart(spark, sf))
+    return reports.locations_in(mart, [LOCATION, "lab-a"], AS_OF)
 
 
 @_register
 def dash_temperature(spark, sf):
-    shown = reports.temperature(_daily_mart(spark, sf), LOCATION, AS_OF)
+    mart = _stored(spark, _daily_mart(spark, sf))
+    shown = reports.temperature(mart, LOCATION, AS_OF)
     return _rounded(shown, ["Temperature Range"])
 
 
@@ -575,7 +586,7 @@ def dash_growing_degree_days(spark, sf):
 
 @_register
 def dash_conditions(spark, sf):
-    return reports.conditions(_daily_mart(spark, sf), LOCATION, AS_OF)
+    return reports.conditions(_stored(spark, _daily_mart(spark, sf)), LOCATION, AS_OF)
 
 
 @_register

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldgauge import session
-from fieldgauge.config import ConfigError, Settings
+from fieldgauge.config import ConfigError, Settings, Thresholds
 from fieldgauge.sources import broker
 from fieldgauge.streaming import queries
 
@@ -45,8 +45,10 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--checkpoint")
     args.add_argument("--streams", nargs="+", choices=STREAMS, default=STREAMS)
     args.add_argument("--max-offsets-per-trigger", type=int)
+    args.add_argument("--thresholds", type=Thresholds.from_json, default=Thresholds(),
+                      help='JSON, such as {"temperature": [10, 30], "battery_low": 25}')
     opts = args.parse_args(argv)
-    settings = Settings.from_env()
+    settings = Settings.from_env(thresholds=opts.thresholds)
     checkpoint = opts.checkpoint or settings.checkpoint
     if not checkpoint:
         raise ConfigError("SPARK_CHECKPOINT_LOCATION: not set, and no --checkpoint given")

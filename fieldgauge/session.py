@@ -49,6 +49,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     machine, so that a cluster never writes where other executors cannot read.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

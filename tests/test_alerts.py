@@ -192,6 +192,15 @@ def test_bad_settings_are_named():
         Thresholds(humidity=(9.0, 1.0))
 
 
+def test_limits_from_json():
+    found = Thresholds.from_json('{"temperature": [10, 30], "battery_low": 25}')
+    assert (found.temperature, found.battery_low) == ((10, 30), 25)
+    assert found.humidity == Thresholds().humidity
+    for bad in ("[]", "{", '{"wind": [1, 2]}', '{"light": 5}', '{"battery_low": "low"}'):
+        with pytest.raises(ConfigError):
+            Thresholds.from_json(bad)
+
+
 def test_default_limits_are_ordered():
     limits = Thresholds()
     for name in ("temperature", "humidity", "pressure", "light", "acidity"):

@@ -72,6 +72,17 @@ def test_one_day_reads_one_partition(spark, lake):
     assert "EqualTo(processing_status,ingested)" in text
 
 
+def test_raw_days_prune_partitions(spark, tmp_path):
+    messages = feed.messages(feed.readings(feed.events(spark, SMALL)))
+    rows = ingest.raw_rows(ingest.accept(ingest.parse(messages)))
+    first, last = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    tables.write_raw(tables.raw_days(rows, first, last), str(tmp_path / "raw"))
+    one = tables.raw_days(tables.read_raw(spark, str(tmp_path / "raw")), last, last)
+    assert re.search(r"PartitionFilters: \[[^\]]*make_date", plan(one))
+    days = one.select("day").distinct().collect()
+    assert [r.day for r in days] == [3]
+
+
 def test_validity_filter_reaches_the_scan(spark, lake):
     text = plan(silver.from_bronze(spark.read.parquet(lake), AS_OF).select("comfort_index"))
     assert "PushedFilters: [IsNotNull(" in text
