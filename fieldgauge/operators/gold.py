@@ -21,16 +21,10 @@ from fieldgauge.functions.sql import date, measures, named, number, timestamp
 DEVICE_KEY = ("event_date", "location", "deviceType", "deviceId")
 HOUR_KEY = (*DEVICE_KEY, "hour_of_day")
 
-_AVERAGED = (
-    "temperature",
-    "humidity",
-    "pressure",
-    "light",
-    "acidity",
-    "data_quality_score",
-    "battery_level",
-    "signal_strength",
-)
+# A valid row has all of these, so their count is the count of readings ...
+_PRESENT = ("temperature", "humidity", "pressure", "light", "acidity", "data_quality_score")
+# ... while these may be missing, and are counted on their own.
+_OPTIONAL = ("battery_level", "signal_strength")
 _COUNTED = {
     "motion_detections": "motion",
     "optimal_readings": "comfort_index = 'optimal'",
@@ -42,11 +36,11 @@ _COUNTED = {
 
 
 def partials(silver: DataFrame, by_hour: bool = True) -> DataFrame:
-    """Mergeable measures per device and day, split by hour if asked."""
-    found = {"readings": "count(1)"}
-    for name in _AVERAGED:
-        found |= {f"{name}_sum": f"sum(double({name}))", f"{name}_n": f"count({name})"}
-    found |= {
+    """Mergeable measures of valid rows per device and day, split by hour if asked."""
+    found = {
+        "readings": "count(1)",
+        **{f"{name}_sum": f"sum({name})" for name in (*_PRESENT, *_OPTIONAL)},
+        **{f"{name}_n": f"count({name})" for name in _OPTIONAL},
         "temperature_min": "min(temperature)",
         "temperature_max": "max(temperature)",
         **{name: f"count_if({test})" for name, test in _COUNTED.items()},
@@ -60,7 +54,8 @@ def partials(silver: DataFrame, by_hour: bool = True) -> DataFrame:
 def merge_hours(parts: DataFrame) -> DataFrame:
     """Partials by hour, merged to one row per device and day."""
     added = ["readings", *_COUNTED]
-    added += [f"{name}_{end}" for name in _AVERAGED for end in ("sum", "n")]
+    added += [f"{name}_sum" for name in (*_PRESENT, *_OPTIONAL)]
+    added += [f"{name}_n" for name in _OPTIONAL]
     merged = {
         **{name: f"sum({name})" for name in added},
         "temperature_min": "min(temperature_min)",
@@ -73,7 +68,7 @@ def merge_hours(parts: DataFrame) -> DataFrame:
 
 
 def _mean(name: str) -> str:
-    return f"try_divide(sum({name}_sum), sum({name}_n))"
+    return f"try_divide(sum({name}_sum), sum(readings))"
 
 
 def _percent(part: str, total: str) -> str:
@@ -164,7 +159,7 @@ def device(by_device: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Per day and device, from partials per device; no further shuffle."""
 
     def mean(name):
-        return f"try_divide({name}_sum, {name}_n)"
+        return f"try_divide({name}_sum, {'readings' if name in _PRESENT else name + '_n'})"
 
     table = by_device.selectExpr(
         "event_date",
