@@ -1,6 +1,7 @@
-"""Raw lake to serving marts for a range of days.
+r"""Raw lake to serving marts for a range of days.
 
-    spark-submit -m fieldgauge.plans.daily_job --lake PATH --first 2024-01-01 [--last ..]
+    spark-submit --py-files fieldgauge.zip fieldgauge/plans/daily_job.py \
+        --lake PATH --first 2024-01-01 [--last 2024-01-30]
 
 Each step writes its table and the next one reads it back, so nothing is cached
 and a lost executor costs only its own tasks. The first failure ends the run.

@@ -1,7 +1,7 @@
-"""Streams from a Kafka topic, as one application.
+r"""Streams from a Kafka topic, as one application.
 
-    spark-submit --packages <spark-sql-kafka> -m fieldgauge.plans.stream_job --lake PATH \
-        --checkpoint PATH [--streams raw windows alerts]
+    spark-submit --packages <spark-sql-kafka> --py-files fieldgauge.zip \
+        fieldgauge/plans/stream_job.py --lake PATH --checkpoint PATH [--streams raw alerts]
 """
 
 from __future__ import annotations

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from fieldgauge import contract as C
@@ -53,17 +51,21 @@ def read_days(spark: SparkSession, path: str, first, last) -> DataFrame | None:
 
     Only those days' folders are listed, however long the table's history.
     """
-    named = ",".join(day.isoformat() for day in days(first, last))
-    reader = spark.read.option("basePath", path)
-    try:
-        rows = reader.parquet(f"{path}/event_date={{{named}}}")
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    wanted = ",".join(day.isoformat() for day in days(first, last))
+    folders = _matching(spark, f"{path}/event_date={{{wanted}}}")
+    if not folders:
+        return None
+    rows = spark.read.option("basePath", path).parquet(*folders)
     return rows.where(between_days("event_date", first, last))
 
 
+def _matching(spark: SparkSession, glob: str) -> list[str]:
+    """Existing paths that fit a glob, in whatever file system it names."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [found.getPath().toString() for found in system.globStatus(pattern) or ()]
+
+
 def bronze_days(spark: SparkSession, path: str, first, last) -> DataFrame | None:
     """Ingested bronze rows of some days; None if there are none."""
     return _wanted(read_days(spark, path, first, last), f"processing_status = {text(C.INGESTED)}")

@@ -120,10 +120,12 @@ def write_alert_batch(readings: DataFrame, batch_id: int, path: str, settings: S
     counted = readings.observe(seen, *alerts.stat_columns(settings.thresholds))
     found = alert_rows(counted, settings).withColumn("batch_id", F.lit(batch_id))
     tables.write(found, f"{path}/alerts", ("batch_id",))
-    counts = {"batch_id": batch_id, **seen.get}
-    schema = "batch_id long, records long, anomalies long, alerts long"
-    row = spark.createDataFrame([tuple(counts[name.split()[0]] for name in schema.split(", "))], schema)
-    tables.write(row, f"{path}/batch_stats", ("batch_id",))
+    counts = seen.get
+    row = (batch_id, counts["records"], counts["anomalies"], counts["alerts"])
+    stats = spark.createDataFrame(
+        [row], "batch_id long, records long, anomalies long, alerts long"
+    )
+    tables.write(stats, f"{path}/batch_stats", ("batch_id",))
 
 
 def alert_sink(
