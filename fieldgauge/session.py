@@ -16,8 +16,9 @@ DEFAULTS = {
     **RUNTIME,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # keep a few partition files open per task instead of sorting rows by partition
-    "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # keep a few partition files open per task instead of sorting rows by partition;
+    # enough for one day of silver, few enough for their Parquet buffers to fit
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # window state lives off-heap and on local disk, so it may outgrow the heap
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
