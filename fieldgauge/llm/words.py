@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are worked on together; a longer text is taken alone.
 CHUNK_BYTES = 1 << 19
@@ -106,7 +107,7 @@ def split(texts: pa.Array, lower: bool = False) -> Words:
 
 def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts of at most ``most`` bytes together, or of one text."""
-    sizes = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     at = 0
     while at < len(ends):
