@@ -86,7 +86,7 @@ def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLA
             for name, grams in ready
         ]
     )
-    fewest = min(low.values(), default=0.0)
+    fewest, most = min(low.values(), default=0.0), max(high.values(), default=0.0)
 
     def like(grams: Column) -> Column:
         """The most like template, if any may reach the threshold."""
@@ -110,7 +110,11 @@ def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLA
     def best(unit: Column) -> Column:
         return _let(
             _words(unit),
-            lambda words: F.when(F.size(words) - 1 >= fewest, _let(_bigrams(words), like)),
+            # n distinct words make at least n - 1 distinct bigrams: long units end here
+            lambda words: F.when(
+                (F.size(words) - 1 >= fewest) & (F.size(F.array_distinct(words)) - 1 <= most),
+                _let(_bigrams(words), like),
+            ),
         )
 
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -134,6 +138,6 @@ def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLA
             F.col("__licence_top")["name"].alias("licence"),
             F.col("__licence_top")["dice"].alias("dice"),
             F.size(found).cast("long").alias("n_matches"),
-            F.array_sort(F.array_distinct(F.transform(F.col(found), lambda b: b["name"]))).alias("licences"),
+            F.sort_array(F.array_distinct(F.transform(F.col(found), lambda b: b["name"]))).alias("licences"),
         )
     )

@@ -153,7 +153,7 @@ def _hashed(f: Features, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     pairs = np.unique(owner * width + slot)
     text, feature = pairs // width, pairs % width
     value = 1 / np.sqrt(np.maximum(np.bincount(text, minlength=n), 1))[text]
-    shapes = [f.symbols, f.no_letter, f.shouted, f.marked, f.repeats, f.stutter, f.lines, f.stops, f.n < 10, f.insults > 0]
+    shapes = [f.symbols, f.no_letter, f.shouted, f.marked, f.repeats, f.stutter, f.lines, f.stops, f.n < 10, f.insults > 0, f.insults > 1]
     at = np.arange(n)
     text = np.concatenate([text, *[at] * (len(shapes) + 1)])
     feature = np.concatenate([feature, *[np.full(n, width - 64 + k) for k in range(len(shapes) + 1)]])
