@@ -5,10 +5,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from fieldgauge.operators import gold
-from fieldgauge.plans import catalog
+from fieldgauge.plans import catalog, oracles
 
 SMALL, MIDDLE = str(harness.TESTDATA / "sf0.001"), str(harness.TESTDATA / "sf0.01")
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +32,8 @@ def test_only_the_estimate_has_no_sql():
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(SQL) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def counts(spark, name, *keys):
