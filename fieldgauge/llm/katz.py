@@ -44,7 +44,7 @@ from fieldgauge.llm import words as W
 from fieldgauge.llm.frames import stored
 
 CUTOFF = 5
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 #: Bytes of text for each bucket.
 BUCKET_BYTES = 10_000_000
 HOT = 512
