@@ -8,7 +8,7 @@ bitsets and used as often as the counts allow. Nothing is shuffled and nothing i
 
 Tokenizing is by the given tokenizer, on units of blanks plus the word behind them. Its
 pattern never joins a word to what follows, so a unit's ids do not depend on its
-neighbours; a unit seen before in the task is looked up. Texts with other white space
+neighbours; a unit seen before by the worker is looked up. Texts with other white space
 than ASCII blanks, or with a special token's name, are encoded whole.
 
 Defined cases: a null or empty text is the end id alone. Rows that repeat are packed each.
@@ -22,6 +22,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEQUENCE, END_ID = 1024, 0
-#: Remainders that wait in a task, and units that a task remembers.
-WINDOW, REMEMBERED = 16384, 300_000
+#: Remainders that wait in a task, and units that a worker remembers from task to task.
+WINDOW, REMEMBERED = 16384, 800_000
 #: Bytes of text that are encoded together.
 TEXT_BYTES = 4 << 20
 #: Units a task checks against the tokenizer itself.
@@ -88,6 +89,12 @@ class Encoder:
         return [next(whole) if u is None else b"".join(map(known.__getitem__, u)) for u in cut]
 
 
+@cache
+def _encoder(path: str) -> Encoder:
+    """One encoder for a worker's life: its tasks share what it remembers."""
+    return Encoder(path)
+
+
 def _ranked(path: str):
     """The tokenizer of a file by ranks, or None if the file isn't of that plain kind."""
     import public_tokenizers
@@ -258,7 +265,7 @@ def pack(
         packer = _Packer(size, window, TaskContext.get().partitionId() << 40)
         key_type = None
         for batch in batches:
-            encoder = encoder or Encoder(_path(tokenizer))
+            encoder = encoder or _encoder(_path(tokenizer))
             key_type = batch.column(0).type
             for a, b in _groups(batch.column(1), TEXT_BYTES):
                 keys = batch.column(0).slice(a, b - a).to_pylist()
