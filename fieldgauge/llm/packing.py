@@ -32,13 +32,15 @@ from pyspark.sql import functions as F
 
 SEQUENCE, END_ID = 1024, 0
 #: Remainders that wait in a task, and units that a worker remembers from task to task.
-WINDOW, REMEMBERED = 16384, 800_000
+WINDOW, REMEMBERED = 16384, 1_000_000
 #: Bytes of text that are encoded together.
 TEXT_BYTES = 4 << 20
 #: Units a task checks against the tokenizer itself.
 CHECKED_UNITS = 2000
 
 _UNIT = re.compile(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+")
+#: A space that is followed by a blank or by nothing.
+_RUN = re.compile(r" (?:[ \t\n\x0b\x0c\r]|$)")
 #: White space of Unicode besides the ASCII blanks: fixed values.
 _OTHER_SPACE = re.compile("[\x85\xa0  -     　]")
 
@@ -56,37 +58,52 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
         self.quick = _ranked(path)
         self.unproven = CHECKED_UNITS
+        self.units = _Known(self._unit)
+        #: Words behind one space, without the space.
+        self.spaced = _Known(lambda word: self._unit(" " + word))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _units(self, units: list[str]) -> list[bytes]:
+    def _unit(self, unit: str) -> bytes:
         if self.quick is None:
-            return self._ids(units)
-        encode = self.quick.encode_ordinary
-        found = [array("I", encode(u)).tobytes() for u in units]
+            return self._ids([unit])[0]
+        found = array("I", self.quick.encode_ordinary(unit)).tobytes()
         if self.unproven > 0:
-            if self._ids(units[: self.unproven]) != found[: self.unproven]:
+            self.unproven -= 1
+            if self._ids([unit])[0] != found:
                 raise ValueError("the ranks don't give the tokenizer's ids")
-            self.unproven -= len(units)
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        cut = [
-            None if _OTHER_SPACE.search(t) or any(s in t for s in self.special) else _UNIT.findall(t)
-            for t in texts
-        ]
-        known = self.known
-        new = list({u for units in cut if units for u in units if u not in known})
-        known.update(zip(new, self._units(new), strict=True))
-        whole = iter(self._ids([t for t, units in zip(texts, cut, strict=True) if units is None]))
-        return [next(whole) if u is None else b"".join(map(known.__getitem__, u)) for u in cut]
+        for known in (self.units, self.spaced):
+            if len(known) > REMEMBERED:
+                known.clear()
+        return [self._text(t) for t in texts]
+
+    def _text(self, text: str) -> bytes:
+        if _OTHER_SPACE.search(text) or any(s in text for s in self.special):
+            return self._ids([text])[0]
+        if _RUN.search(text):
+            return b"".join(map(self.units.__getitem__, _UNIT.findall(text)))
+        # each space stands alone before a word: cut there
+        first, *rest = text.split(" ")
+        return (self.units[first] if first else b"") + b"".join(map(self.spaced.__getitem__, rest))
+
+
+class _Known(dict):
+    """Remembers what a function gave."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        found = self[key] = self.make(key)
+        return found
 
 
 @cache
