@@ -48,6 +48,10 @@ from fieldgauge.llm.graph import components
 SHINGLE, PERCENT = 3, 90
 #: Split regions with as many members or fewer compare all pairs of components at once.
 SMALL_REGION = 32
+#: Below this likeness the tree's regions would be many and small: the pivots are then the
+#: shingles themselves, and a set lies with the first of its shingles, in order of hash, one
+#: of which any set within r must share with it.
+TREE_PERCENT = 90
 #: Bits of the filter that says which sets are compared at all; 2 MB, whatever the input.
 FILTER_BITS = 1 << 24
 _BITMAP = 32768  # bits of one bitmap of the bitmap functions: fixed value
@@ -84,6 +88,12 @@ def _prefix(x: np.ndarray) -> np.ndarray:
 
 def regions(grams: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, region) of each pivot that a text projects onto."""
+    n = np.diff(bounds)
+    if percent < TREE_PERCENT:
+        first = np.where(n > 0, n + percent * n // -100 + 1, 0)  # n - ceil(share of n) + 1
+        text = np.repeat(np.arange(len(n)), first)
+        place = np.arange(len(text)) - np.repeat(np.cumsum(first) - first, first)
+        return text, grams[bounds[:-1][text] + place]
     largest = 99 // (100 - percent) if percent < 100 else 1 << 62  # union that forces equality
     least = -(-percent * (largest + 1) // 100)  # set that can be part of a larger union
     sums = _prefix(W.mix(grams ^ np.uint64(0xC2B2AE3D27D4EB4F)))
@@ -287,8 +297,21 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
         several = rest.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
         return rest.join(several.select("region"), "region")
 
-    to_pivot = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    links = links_of(to_pivot)
+    # first each set meets one pivot, the least of all its regions'; then, where a region
+    # is not yet one component, its own
+    least = members.groupBy(F.col("node").alias("a")).agg(F.min("pivot").alias("b")).where("a <> b")
+    links = links_of(least)
+    label = components(spark, links)
+    own_comp = label.withColumnRenamed("comp", "own")
+    pivot_comp = label.select(F.col("node").alias("pivot"), F.col("comp").alias("theirs"))
+    apart = (
+        members.select("node", "pivot").where("node <> pivot").distinct()
+        .join(own_comp, "node", "left")
+        .join(pivot_comp, "pivot", "left")
+        .where(F.coalesce("own", "node") != F.coalesce("theirs", "pivot"))
+    )
+    more = apart.select(F.col("node").alias("a"), F.col("pivot").alias("b")).join(least, ["a", "b"], "left_anti")
+    links = links.unionByName(links_of(more))
     label = components(spark, links)
     # regions with one pivot differ from it alike: they are split as one
     together = still_open(members, label).select(F.col("pivot").alias("region"), "node", "pivot").distinct()
