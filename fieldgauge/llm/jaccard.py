@@ -9,6 +9,8 @@ laid out in projections, where distances differ:
   below that node. If two sets are within r, then at every node where they are, some child
   has them within r again, for the differences can't exceed r of the union in all children.
   Going down, they reach a node where the union is so small that within r means equal.
+- Sizes are a projection, too: regions are cut into bands of sizes, with the window that
+  the radius asks for.
 - There, each projected set is a pivot, and its region is the documents that project onto
   it (distance 0). A set of the size where "equal" just ceases to be forced may have its
   partner on either side; it is replicated: it joins its region and goes on down as well.
@@ -36,6 +38,8 @@ component but can't name it. Rows that repeat an id get the same component.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -273,16 +277,29 @@ def _split(pairs: DataFrame, grams: DataFrame, percent: int, ranked: bool) -> Da
     )
 
 
-def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
-    """(node, comp) of the nodes that link to another."""
-    lying = placed.where("size(regions) > 0").select("node", F.explode("regions").alias("region"))
-    several = (
+def _several(lying: DataFrame) -> DataFrame:
+    """(region, pivot) of the regions with several sets."""
+    return (
         lying.groupBy("region")
         .agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
         .where("pivot <> last")
         .select("region", "pivot")
     )
-    members = stored(spark, lying.join(several, "region").distinct(), "jaccard-members")
+
+
+def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
+    """(node, comp) of the nodes that link to another."""
+    lying = placed.where("size(regions) > 0").select("node", "n", F.explode("regions").alias("region"))
+    shared = stored(spark, lying.join(_several(lying), "region").select("region", "node", "n").distinct(), "jaccard-shared")
+    # sizes of sets within r differ by a factor of 100 / percent at most: a set belongs to
+    # its band of sizes and to the next, so that each pair within r has a band in common
+    if percent < 100:
+        band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9)
+        banded = shared.withColumn("band", F.explode(F.array(band, band + 1)))
+    else:
+        banded = shared.withColumn("band", F.col("n"))
+    banded = banded.select(F.xxhash64("region", "band").alias("region"), "node")
+    members = stored(spark, banded.join(_several(banded), "region").distinct(), "jaccard-members")
     grams = stored(spark, _compared(rows, members.select("node"), shingle, seed), "jaccard-sets")
 
     def links_of(pairs: DataFrame) -> DataFrame:
