@@ -196,8 +196,13 @@ def _compared(rows: DataFrame, nodes: DataFrame, shingle: int, seed: int) -> Dat
 
 def _distances(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     """(a, b, distance, links) of distinct pairs (a, b)."""
+    # stored, so that Spark knows their sizes: few pairs are sent to the sets, not the sets
+    # to the pairs, and of the second sides only those wanted move
+    spark = pairs.sparkSession
+    pairs = stored(spark, pairs, "jaccard-wanted")
+    seconds = stored(spark, pairs.select(F.col("b").alias("node")).distinct(), "jaccard-seconds")
     left = grams.select(F.col("node").alias("a"), F.col("grams").alias("x"))
-    right = grams.select(F.col("node").alias("b"), F.col("grams").alias("y"))
+    right = grams.join(seconds, "node", "left_semi").select(F.col("node").alias("b"), F.col("grams").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     return (
         pairs.join(left, "a")
