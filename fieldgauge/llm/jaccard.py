@@ -18,14 +18,11 @@ laid out in projections, where distances differ:
 
 Regions join recursively. The region's smallest set is its pivot; all others are compared
 with it, and components of the links are formed. A region is done when the rest lies in one
-component. Otherwise it is split by what sets its members apart from the pivot p. By the
-triangle inequality a member y outside the radius of p is linked to x only if x and y share
-an element of their differences from p: if they shared none, |x ^ y| = |x ^ p| + |y ^ p|
-would be over the radius. More than that, they can differ in t = |x| (100 - percent) /
-percent elements at most, so they share one of the first t + 1 elements of their
-differences, in any fixed order; rare elements come first. Each such element makes a
-smaller region without the pivot, and these are joined in the same way; a small one by
-comparing its members of different components with each other. The result is exact.
+component. Otherwise more pivots are drawn, twice as many each round, or all if the region
+is small; a pivot is compared with those of other components only, and only if the triangle
+inequality allows it: their distances to the first pivot differ by r at most. A pivot that
+has met all others leaves the region. The result is exact. A large group of texts that are
+near each other, but not within r, takes a number of comparisons near its square.
 
 Equal sets are one node, so copies cost nothing. Nothing is capped; large regions are
 spread by joins, never gathered in a task. Set hashes are 64 bits; a second hash proves
@@ -42,7 +39,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldgauge.llm import words as W
@@ -50,8 +47,8 @@ from fieldgauge.llm.frames import own, stored
 from fieldgauge.llm.graph import components
 
 SHINGLE, PERCENT = 3, 90
-#: Split regions with as many members or fewer compare all pairs of components at once.
-SMALL_REGION = 32
+#: Regions with as many members or fewer compare all pairs of components at once.
+SMALL_REGION = 64
 #: Below this likeness the tree's regions would be many and small: the pivots are then the
 #: shingles themselves, and a set lies with the first of its shingles, in order of hash, one
 #: of which any set within r must share with it.
@@ -248,40 +245,6 @@ def join(
     )
 
 
-def _split(pairs: DataFrame, grams: DataFrame, percent: int, ranked: bool) -> DataFrame:
-    """(region, node): the smaller regions of members (region, node) with their pivot.
-
-    Elements that the pivot lacks come first, as they are rarer; if ``ranked``, those first
-    that fewest members of the region differ in."""
-    x = grams.select(F.col("node"), F.col("grams").alias("x"))
-    y = grams.select(F.col("node").alias("pivot"), F.col("grams").alias("y"))
-    apart = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
-    found = pairs.join(x, "node").join(y, "pivot").select(
-        "region",
-        "node",
-        apart.alias("apart"),
-        (F.floor(F.size("x") * F.lit(100 - percent) / percent) + 1).cast("int").alias("first"),
-    )
-    if not ranked:
-        first = F.slice("apart", F.lit(1), F.col("first"))
-        return found.select(F.explode(first).alias("e"), "region", "node").select(
-            F.xxhash64("region", "e").alias("region"), "node"
-        )
-    rows = stored(
-        pairs.sparkSession,
-        found.select("region", "node", "first", F.explode("apart").alias("e")),
-        "jaccard-apart",
-    )
-    often = rows.groupBy("region", "e").agg(F.count("*").alias("often"))
-    order = Window.partitionBy("region", "node").orderBy("often", "e")  # one set's elements
-    return (
-        rows.join(often, ["region", "e"])
-        .withColumn("rank", F.row_number().over(order))
-        .where((F.col("rank") <= F.col("first")) & (F.col("often") > 1))
-        .select(F.xxhash64("region", "e").alias("region"), "node")
-    )
-
-
 def _several(lying: DataFrame) -> DataFrame:
     """(region, pivot) of the regions with several sets."""
     return (
@@ -307,59 +270,52 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
     members = stored(spark, banded.join(_several(banded), "region").distinct(), "jaccard-members")
     grams = stored(spark, _compared(rows, members.select("node"), shingle, seed), "jaccard-sets")
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = _distances(ordered, grams, percent).where("links").select("a", "b")
-        return stored(spark, found, "jaccard-links")
-
-    def still_open(regions: DataFrame, label: DataFrame) -> DataFrame:
-        """Members, without the pivot, of the regions whose rest has several components."""
-        labelled = regions.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        rest = labelled.where("node <> pivot")
-        several = rest.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-        return rest.join(several.select("region"), "region")
-
-    # first each set meets one pivot, the least of all its regions'; then, where a region
-    # is not yet one component, its own
-    least = members.groupBy(F.col("node").alias("a")).agg(F.min("pivot").alias("b")).where("a <> b")
-    links = links_of(least)
-    label = components(spark, links)
-    own_comp = label.withColumnRenamed("comp", "own")
-    pivot_comp = label.select(F.col("node").alias("pivot"), F.col("comp").alias("theirs"))
-    apart = (
-        members.select("node", "pivot").where("node <> pivot").distinct()
-        .join(own_comp, "node", "left")
-        .join(pivot_comp, "pivot", "left")
-        .where(F.coalesce("own", "node") != F.coalesce("theirs", "pivot"))
+    pairs = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    measured = stored(spark, _distances(pairs, grams, percent), "jaccard-pairs")
+    links = measured.where("links").select("a", "b")
+    first = measured.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "distance")
+    # the pivot has met all others and leaves; the rest keep their distance to it
+    state = stored(
+        spark,
+        members.where("node <> pivot").join(first, ["node", "pivot"]).select("region", "node", "distance"),
+        "jaccard-regions",
     )
-    more = apart.select(F.col("node").alias("a"), F.col("pivot").alias("b")).join(least, ["a", "b"], "left_anti")
-    links = links.unionByName(links_of(more))
-    label = components(spark, links)
-    # regions with one pivot differ from it alike: they are split as one
-    together = still_open(members, label).select(F.col("pivot").alias("region"), "node", "pivot").distinct()
-    state = _split(together, grams, percent, ranked=False)
+    radius = (100 - percent) / 100 + 1e-9
+    pivots = 2
     while True:
-        # sets alone in their region, and regions of one component, need nothing more
-        labelled = state.join(label, "node", "left").select("region", "node", F.coalesce("comp", "node").alias("comp"))
-        several = (
+        label = components(spark, links)
+        labelled = state.join(label, "node", "left").select(
+            "region", "node", "distance", F.coalesce("comp", "node").alias("comp")
+        )
+        open_regions = (
             labelled.groupBy("region")
-            .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("node").alias("pivot"), F.count("*").alias("size"))
+            .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"), F.min(F.xxhash64("node", F.lit(pivots))).alias("least"))
             .where("low <> high")
-            .select("region", "pivot", "size")
+            .select("region", "size", "least")
         )
-        live = stored(spark, labelled.join(several, "region").distinct(), "jaccard-live")
+        live = stored(spark, labelled.join(open_regions, "region"), "jaccard-open")
         if not live.limit(1).count():
             return label
-        few, many = live.where(F.col("size") <= small), live.where(F.col("size") > small)
-        other = few.select("region", F.col("node").alias("b"), F.col("comp").alias("other"))
-        pairs = few.join(other, "region").where("comp <> other AND node < b").select(F.col("node").alias("a"), "b")
-        to_pivot = many.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-        links = links.unionByName(links_of(pairs.unionByName(to_pivot)))
-        label = components(spark, links)
-        if not many.limit(1).count():
-            return label
-        left = still_open(many.select("region", "node", "pivot"), label).select("region", "node", "pivot")
-        state = _split(left, grams, percent, ranked=True)
+        draw = F.xxhash64("node", F.lit(pivots))
+        share = F.pmod(draw, F.lit(1 << 30)) / float(1 << 30)
+        is_pivot = (F.col("size") <= small) | (draw == F.col("least")) | (share * F.col("size") < pivots)
+        live = live.withColumn("pivot", is_pivot)
+        drawn = live.where("pivot").select(
+            "region", F.col("node").alias("b"), F.col("comp").alias("other"), F.col("distance").alias("far")
+        )
+        near = F.abs(F.col("distance") - F.col("far")) <= radius
+        # two pivots of a region meet once
+        once = ~F.col("pivot") | (F.col("node") < F.col("b"))
+        pairs = (
+            live.join(drawn, "region")
+            .where((F.col("comp") != F.col("other")) & near & once)
+            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+            .distinct()
+        )
+        more = stored(spark, _distances(pairs, grams, percent).where("links").select("a", "b"), "jaccard-links")
+        links = links.unionByName(more)
+        state = stored(spark, live.where("NOT pivot").select("region", "node", "distance"), "jaccard-regions")
+        pivots *= 2
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
