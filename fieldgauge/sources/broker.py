@@ -23,20 +23,22 @@ def kafka_options(
     starting_offsets: str = "earliest",
     min_partitions: int | None = MIN_PARTITIONS,
     max_offsets_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
     **more: str,
 ) -> dict[str, str]:
     """Options of the Kafka reader.
 
     ``min_partitions`` above the topic's own count lets several tasks share one
     hot partition. ``max_offsets_per_trigger`` bounds a batch when a stream
-    starts far behind.
+    starts far behind. ``fail_on_data_loss`` stops the stream if offsets are gone;
+    without it they are skipped silently.
     """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "kafka.group.id": group,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
         **CLIENT,
         **more,
     }

@@ -167,9 +167,12 @@ def flow_metrics(query: StreamingQuery) -> list[tuple[int, int, int]]:
     ]
 
 
-def drain(query: StreamingQuery, timeout: int = 3600) -> StreamingQuery:
-    """Wait for an ``availableNow`` query; its failure is raised here."""
-    if not query.awaitTermination(timeout):
+def drain(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:
+    """Wait for an ``availableNow`` query, without a limit unless one is given; its failure
+    is raised here."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"{query.name}: not finished after {timeout} s")
     return query

@@ -170,7 +170,7 @@ def test_flow_counts(spark, tmp_path):
 def test_kafka_options():
     found = broker.kafka_options("b:9092", "t", "g", "latest", max_offsets_per_trigger=1000)
     assert found["subscribe"] == "t" and found["startingOffsets"] == "latest"
-    assert found["failOnDataLoss"] == "false" and found["minPartitions"] == "3"
+    assert found["failOnDataLoss"] == "true" and found["minPartitions"] == "3"
     assert found["maxOffsetsPerTrigger"] == "1000" and found["kafka.group.id"] == "g"
     assert "minPartitions" not in broker.kafka_options("b", "t", min_partitions=None)
 
