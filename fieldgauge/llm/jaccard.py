@@ -5,24 +5,25 @@ are all at distance near 1 from any document taken as a pivot, so Voronoi region
 documents would be replicated to every region by windows of 2 r. The regions are therefore
 laid out in projections, where distances differ:
 
-- A shingle's hash places it in a binary tree, and a node projects a set to its shingles
-  below that node. If two sets are within r, then at every node where they are, some child
-  has them within r again, for the differences can't exceed r of the union in all children.
-  Going down, they reach a node where the union is so small that within r means equal.
+- The pivots are single shingles, and a set lies with some of its own. Shingles have one
+  order everywhere, rare ones first. Two sets within r have at least ceil(threshold * n) of
+  their n shingles in common, so one of the first n - ceil(threshold * n) + 1 of each is
+  shared: a set is replicated to the regions of those, the window that r asks for.
+- Common passages come last in that order, so sharing one brings no one together unless
+  it makes up most of the texts. A text whose own changes exceed r has only these in its
+  window, so a large group of texts that are near, but not within r, mostly falls apart.
+- How common shingles are is counted over all texts in a table of fixed size, where several
+  share a counter. It only sets the order: whatever it says, no pair is missed.
 - Sizes are a projection, too: regions are cut into bands of sizes, with the window that
   the radius asks for.
-- There, each projected set is a pivot, and its region is the documents that project onto
-  it (distance 0). A set of the size where "equal" just ceases to be forced may have its
-  partner on either side; it is replicated: it joins its region and goes on down as well.
-  So each pair within r shares a region. A document is in about a region per six shingles.
 
 Regions join recursively. The region's smallest set is its pivot; all others are compared
 with it, and components of the links are formed. A region is done when the rest lies in one
 component. Otherwise more pivots are drawn, twice as many each round, or all if the region
 is small; a pivot is compared with those of other components only, and only if the triangle
 inequality allows it: their distances to the first pivot differ by r at most. A pivot that
-has met all others leaves the region. The result is exact. A large group of texts that are
-near each other, but not within r, takes a number of comparisons near its square.
+has met all others leaves the region. The result is exact. Texts that share most of a window,
+but are not within r, still take a number of comparisons near the square of theirs.
 
 Equal sets are one node, so copies cost nothing. Nothing is capped; large regions are
 spread by joins, never gathered in a task. Set hashes are 64 bits; a second hash proves
@@ -36,6 +37,7 @@ component but can't name it. Rows that repeat an id get the same component.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +51,9 @@ from fieldgauge.llm.graph import components
 SHINGLE, PERCENT = 3, 90
 #: Regions with as many members or fewer compare all pairs of components at once.
 SMALL_REGION = 64
-#: Below this likeness the tree's regions would be many and small: the pivots are then the
-#: shingles themselves, and a set lies with the first of its shingles, in order of hash, one
-#: of which any set within r must share with it.
-TREE_PERCENT = 90
+#: Bits of a shingle's hash that name its counter: a table of 4 MB, whatever the input.
+COUNTER_BITS = 22
+_BLOCK = 1 << 14  # counters that are summed together
 #: Bits of the filter that says which sets are compared at all; 2 MB, whatever the input.
 FILTER_BITS = 1 << 24
 _BITMAP = 32768  # bits of one bitmap of the bitmap functions: fixed value
@@ -87,37 +88,51 @@ def _prefix(x: np.ndarray) -> np.ndarray:
     return sums
 
 
-def regions(grams: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, region) of each pivot that a text projects onto."""
+def _commonness(rows: DataFrame, shingle: int, seed: int) -> np.ndarray:
+    """How many sets hold the shingles of each counter, as a rounded logarithm."""
+
+    def count(batches):
+        counts = np.zeros(1 << COUNTER_BITS, np.int32)
+        for batch in batches:
+            for a, b in W.chunks(batch.column(0)):
+                grams, _ = sets(batch.column(0).slice(a, b - a), shingle, seed)
+                np.add.at(counts, (grams >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), 1)
+        blocks = counts.reshape(-1, _BLOCK)
+        full = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(full, pa.int32()), pa.array([zlib.compress(blocks[k].tobytes(), 1) for k in full], pa.binary())],
+            names=["block", "counts"],
+        )
+
+    def total(batches):
+        sums = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts = np.frombuffer(zlib.decompress(counts), np.int32)
+                sums[block] = sums.get(block, np.int64(0)) + counts
+        # a quarter of a power of two is one step
+        steps = [np.round(4 * np.log2(1 + s)).astype(np.uint8).tobytes() for s in sums.values()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array(steps, pa.binary())], names=["block", "counts"]
+        )
+
+    schema = "block int, counts binary"
+    counted = rows.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(total, schema)
+    table = np.zeros((1 << COUNTER_BITS) // _BLOCK * _BLOCK, np.uint8).reshape(-1, _BLOCK)
+    for row in counted.collect():  # at most 4 MB
+        table[row.block] = np.frombuffer(row.counts, np.uint8)
+    return table.reshape(-1)
+
+
+def regions(grams: np.ndarray, bounds: np.ndarray, percent: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, region) of each shingle in the window of each text."""
     n = np.diff(bounds)
-    if percent < TREE_PERCENT:
-        first = np.where(n > 0, n + percent * n // -100 + 1, 0)  # n - ceil(share of n) + 1
-        text = np.repeat(np.arange(len(n)), first)
-        place = np.arange(len(text)) - np.repeat(np.cumsum(first) - first, first)
-        return text, grams[bounds[:-1][text] + place]
-    largest = 99 // (100 - percent) if percent < 100 else 1 << 62  # union that forces equality
-    least = -(-percent * (largest + 1) // 100)  # set that can be part of a larger union
-    sums = _prefix(W.mix(grams ^ np.uint64(0xC2B2AE3D27D4EB4F)))
-    text = np.arange(len(bounds) - 1)
-    start, end = bounds[:-1], bounds[1:]
-    here = end - start >= least
-    text, start, end = text[here], start[here], end[here]
-    found_text, found = [], []
-    for depth in range(64):
-        if not len(text):
-            break
-        ones = np.concatenate([[0], np.cumsum((grams >> np.uint64(63 - depth)) & np.uint64(1))]).astype(np.int64)
-        middle = end - (ones[end] - ones[start])
-        text, start, end = np.tile(text, 2), np.concatenate([start, middle]), np.concatenate([middle, end])
-        size = end - start
-        leaf = (size > 0) & (size <= largest)
-        found_text.append(text[leaf])
-        found.append(W.mix(sums[end[leaf]] - sums[start[leaf]]))
-        down = size >= least
-        text, start, end = text[down], start[down], end[down]
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(found_text), np.concatenate(found)
+    owner = np.repeat(np.arange(len(n)), n)
+    grams = grams[np.lexsort((grams, common[(grams >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)], owner))]
+    first = np.where(n > 0, n - -(percent * n // -100) + 1, 0)
+    text = np.repeat(np.arange(len(n)), first)
+    place = np.arange(len(text)) - np.repeat(np.cumsum(first) - first, first)
+    return text, grams[bounds[:-1][text] + place]
 
 
 def _as_long(x: np.ndarray) -> pa.Array:
@@ -134,7 +149,7 @@ def _sums(grams: np.ndarray, bounds: np.ndarray, salt: int) -> np.ndarray:
     return W.mix(sums[bounds[1:]] - sums[bounds[:-1]] + (bounds[1:] - bounds[:-1]).astype(np.uint64))
 
 
-def _placed(rows: DataFrame, shingle: int, percent: int, seed: int) -> DataFrame:
+def _placed(rows: DataFrame, common: np.ndarray, shingle: int, percent: int, seed: int) -> DataFrame:
     """(id, n, node, proof, regions): node and proof are null for an empty set."""
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -143,8 +158,7 @@ def _placed(rows: DataFrame, shingle: int, percent: int, seed: int) -> DataFrame
             for a, b in W.chunks(batch.column(1)):
                 grams, bounds = sets(batch.column(1).slice(a, b - a), shingle, seed)
                 n = np.diff(bounds)
-                text, region = regions(grams, bounds, percent)
-                order = np.argsort(text, kind="stable")
+                text, region = regions(grams, bounds, percent, common)
                 empty = n == 0
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -152,7 +166,7 @@ def _placed(rows: DataFrame, shingle: int, percent: int, seed: int) -> DataFrame
                         pa.array(n.astype(np.int64)),
                         pa.array(_sums(grams, bounds, 1).view(np.int64), mask=empty),
                         pa.array(_sums(grams, bounds, 2).view(np.int64), mask=empty),
-                        _lists(region[order], np.bincount(text, minlength=b - a)),
+                        _lists(region, np.bincount(text, minlength=b - a)),
                     ],
                     names=["id", "n", "node", "proof", "regions"],
                 )
@@ -227,7 +241,8 @@ def join(
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     for seed in range(1, 9):
-        placed = stored(spark, _placed(rows, shingle, percent, seed), "jaccard-placed")
+        common = _commonness(rows, shingle, seed)
+        placed = stored(spark, _placed(rows, common, shingle, percent, seed), "jaccard-placed")
         clash = placed.groupBy("node").agg(F.min("proof").alias("p"), F.max("proof").alias("q"))
         if not clash.where("p <> q").limit(1).count():
             break
