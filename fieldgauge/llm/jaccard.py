@@ -19,9 +19,11 @@ laid out in projections, where distances differ:
 
 Regions join recursively. The region's smallest set is its pivot; all others are compared
 with it, and components of the links are formed. A region is done when the rest lies in one
-component. Otherwise more pivots are drawn, twice as many each round, or all if the region
+component. Otherwise more pivots are drawn, eight times as many each round, or all if the region
 is small; a pivot is compared with those of other components only, and only if the triangle
-inequality allows it: their distances to the first pivot differ by r at most. A pivot that
+inequality allows it: their distances to the first pivot differ by r at most. Nor is a
+pair compared where too few shingles follow the region's own in either set: the first
+region that two sets share stands before all else they have in common. A pivot that
 has met all others leaves the region. The result is exact. Texts that share most of a window,
 but are not within r, still take a number of comparisons near the square of theirs.
 
@@ -51,6 +53,8 @@ from fieldgauge.llm.graph import components
 SHINGLE, PERCENT = 3, 90
 #: Regions with as many members or fewer compare all pairs of components at once.
 SMALL_REGION = 64
+#: Pivots drawn in a region's second round, and how many times more in each that follows.
+FIRST_PIVOTS, MORE_PIVOTS = 8, 8
 #: Bits of a shingle's hash that name its counter: a table of 4 MB, whatever the input.
 COUNTER_BITS = 22
 _BLOCK = 1 << 14  # counters that are summed together
@@ -272,8 +276,8 @@ def _several(lying: DataFrame) -> DataFrame:
 
 def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
     """(node, comp) of the nodes that link to another."""
-    lying = placed.where("size(regions) > 0").select("node", "n", F.explode("regions").alias("region"))
-    shared = stored(spark, lying.join(_several(lying), "region").select("region", "node", "n").distinct(), "jaccard-shared")
+    lying = placed.where("size(regions) > 0").select("node", "n", F.posexplode("regions").alias("place", "region"))
+    shared = stored(spark, lying.join(_several(lying), "region").select("region", "node", "n", "place").distinct(), "jaccard-shared")
     # sizes of sets within r differ by a factor of 100 / percent at most: a set belongs to
     # its band of sizes and to the next, so that each pair within r has a band in common
     if percent < 100:
@@ -281,26 +285,27 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
         banded = shared.withColumn("band", F.explode(F.array(band, band + 1)))
     else:
         banded = shared.withColumn("band", F.col("n"))
-    banded = banded.select(F.xxhash64("region", "band").alias("region"), "node")
+    banded = banded.select(F.xxhash64("region", "band").alias("region"), "node", "n", "place")
     members = stored(spark, banded.join(_several(banded), "region").distinct(), "jaccard-members")
     grams = stored(spark, _compared(rows, members.select("node"), shingle, seed), "jaccard-sets")
 
     pairs = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     measured = stored(spark, _distances(pairs, grams, percent), "jaccard-pairs")
     links = measured.where("links").select("a", "b")
+    kept = ["node", "n", "place", "distance"]
     first = measured.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "distance")
     # the pivot has met all others and leaves; the rest keep their distance to it
     state = stored(
         spark,
-        members.where("node <> pivot").join(first, ["node", "pivot"]).select("region", "node", "distance"),
+        members.where("node <> pivot").join(first, ["node", "pivot"]).select("region", *kept),
         "jaccard-regions",
     )
     radius = (100 - percent) / 100 + 1e-9
-    pivots = 2
+    label = components(spark, links)
+    pivots = FIRST_PIVOTS
     while True:
-        label = components(spark, links)
         labelled = state.join(label, "node", "left").select(
-            "region", "node", "distance", F.coalesce("comp", "node").alias("comp")
+            "region", *kept, F.coalesce("comp", "node").alias("comp")
         )
         open_regions = (
             labelled.groupBy("region")
@@ -316,21 +321,44 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
         is_pivot = (F.col("size") <= small) | (draw == F.col("least")) | (share * F.col("size") < pivots)
         live = live.withColumn("pivot", is_pivot)
         drawn = live.where("pivot").select(
-            "region", F.col("node").alias("b"), F.col("comp").alias("other"), F.col("distance").alias("far")
+            "region",
+            F.col("node").alias("b"),
+            F.col("comp").alias("other"),
+            F.col("distance").alias("far"),
+            F.col("n").alias("m"),
+            F.col("place").alias("place_b"),
         )
         near = F.abs(F.col("distance") - F.col("far")) <= radius
+        # in the first region that two sets share, all they have in common is yet to come
+        enough = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("place_b")) * (100 + percent) >= percent * (
+            F.col("n") + F.col("m")
+        )
         # two pivots of a region meet once
         once = ~F.col("pivot") | (F.col("node") < F.col("b"))
         pairs = (
             live.join(drawn, "region")
-            .where((F.col("comp") != F.col("other")) & near & once)
+            .where((F.col("comp") != F.col("other")) & near & enough & once)
             .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
             .distinct()
         )
         more = stored(spark, _distances(pairs, grams, percent).where("links").select("a", "b"), "jaccard-links")
-        links = links.unionByName(more)
-        state = stored(spark, live.where("NOT pivot").select("region", "node", "distance"), "jaccard-regions")
-        pivots *= 2
+        if more.limit(1).count():
+            label = stored(spark, _merged(spark, label, more), "jaccard-labels")
+        state = stored(spark, live.where("NOT pivot").select("region", *kept), "jaccard-regions")
+        pivots *= MORE_PIVOTS
+
+
+def _merged(spark, label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` after further links: only these are followed, between components."""
+    own_a = label.select(F.col("node").alias("a"), F.col("comp").alias("comp_a"))
+    own_b = label.select(F.col("node").alias("b"), F.col("comp").alias("comp_b"))
+    between = links.join(own_a, "a", "left").join(own_b, "b", "left")
+    between = between.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
+    joined = components(spark, between.distinct())
+    names = joined.select(F.col("node").alias("comp"), F.col("comp").alias("new"))
+    old = label.join(names, "comp", "left").select("node", F.coalesce("new", "comp").alias("comp"))
+    # sets that had no link before
+    return old.unionByName(joined.join(label.select("node"), "node", "left_anti"))
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
