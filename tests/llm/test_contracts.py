@@ -9,7 +9,7 @@ import harness
 import numpy as np
 import pytest
 
-from fieldgauge.llm import catalog
+from fieldgauge.llm import catalog, jaccard
 
 SMALL = str(harness.TESTDATA / "sf0.001")
 MIDDLE = str(harness.TESTDATA / "sf0.01")
@@ -74,6 +74,28 @@ def test_op4(spark, small):
     assert {k: (r.n_shingles, r.component_id) for k, r in found.items()} == expected
 
 
+@pytest.mark.parametrize(("size", "percent"), [(5, 80), (3, 100)])
+def test_jaccard_settings(spark, small, size, percent):
+    expected = brute.joined(small["docs"], size, percent)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    found = rows(jaccard.join(docs, shingle=size, percent=percent), "doc_id")
+    assert {k: (r.n_shingles, r.component_id) for k, r in found.items()} == expected
+
+
+def test_jaccard_near_group(spark):
+    """Copies with few edits and with many, so that links, chains and near misses meet."""
+    base = [f"w{k}" for k in range(120)]
+    docs = []
+    for k in range(90):
+        text = list(base)
+        for at in range(k % 6):
+            text[(k * 17 + at * 23) % 120] = f"x{k}_{at}"
+        docs.append((k, " ".join(text)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = rows(jaccard.join(frame, shingle=3, percent=90, small=4), "doc_id")
+    assert {k: (r.n_shingles, r.component_id) for k, r in found.items()} == brute.joined(docs, 3, 90)
+
+
 def test_op5(spark, small):
     known = {
         "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
