@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 # --------------------------------------------------------------------------
 
 METRICS = ("temperature", "humidity", "pressure", "light", "acidity")
+# What a reading measures, in the order of its columns. Fixed values.
+MEASURED = ("temperature", "humidity", "pressure", "motion", "light", "acidity")
 METADATA = ("battery_level", "signal_strength", "firmware_version")
 
 READING_SCHEMA = T.StructType(
@@ -60,9 +62,7 @@ RAW_SCHEMA = T.StructType(
 
 BRONZE_COLUMNS = (
     "deviceId",
-    *METRICS[:3],
-    "motion",
-    *METRICS[3:],
+    *MEASURED,
     "location",
     "timestamp",
     *METADATA,

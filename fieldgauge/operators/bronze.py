@@ -22,9 +22,7 @@ def unpack(raw: DataFrame) -> DataFrame:
         .where("deviceId IS NOT NULL")
         .selectExpr(
             "deviceId",
-            *C.METRICS[:3],
-            "motion",
-            *C.METRICS[3:],
+            *C.MEASURED,
             "location",
             "timestamp",
             *(f"metadata.{name}" for name in C.METADATA),

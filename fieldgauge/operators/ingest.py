@@ -64,9 +64,7 @@ def parse(
         *ENVELOPE,
         "deviceId",
         "sensor_timestamp",
-        *C.METRICS[:3],
-        "motion",
-        *C.METRICS[3:],
+        *C.MEASURED,
         "location",
         "timestamp",
         *(f"metadata.{name}" for name in C.METADATA),

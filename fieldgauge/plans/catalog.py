@@ -175,7 +175,7 @@ def ingest_envelope(spark, sf):
 
 
 _READING = [
-    "deviceId", "sensor_timestamp", *C.METRICS[:3], "motion", *C.METRICS[3:], "location",
+    "deviceId", "sensor_timestamp", *C.MEASURED, "location",
     "timestamp", *C.METADATA,
 ]
 

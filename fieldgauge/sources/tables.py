@@ -131,7 +131,7 @@ def read_historical(
 def probe(spark: SparkSession, path: str) -> None:
     """Fail early, with Spark's own error, if ``path`` cannot be written and read."""
     marker = uuid.uuid4().hex
-    target = f"{path.rstrip('/')}/_probe"
+    target = f"{path.rstrip('/')}/_probe/{marker}"
     spark.range(1).selectExpr(*named({"marker": text(marker)})).write.mode("overwrite").json(target)
     found = spark.read.schema("marker string").json(target).first()
     if found is None or found.marker != marker:
