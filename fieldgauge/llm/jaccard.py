@@ -23,8 +23,10 @@ component. Otherwise more pivots are drawn, eight times as many each round, or a
 is small; a pivot is compared with those of other components only, and only if the triangle
 inequality allows it: their distances to the first pivot differ by r at most. Nor is a
 pair compared where too few shingles follow the region's own in either set: the first
-region that two sets share stands before all else they have in common. A pivot that
-has met all others leaves the region. The result is exact. Texts that share most of a window,
+region that two sets share stands before all else they have in common. A pair that was
+together in a region shortly before, or in the lower of two bands, is left to that one:
+chains of this end in the first region and band that the pair shares. A pivot that has met
+all others leaves the region. The result is exact. Texts that share most of a window,
 but are not within r, still take a number of comparisons near the square of theirs.
 
 Equal sets are one node, so copies cost nothing. Nothing is capped; large regions are
@@ -55,6 +57,9 @@ SHINGLE, PERCENT = 3, 90
 SMALL_REGION = 64
 #: Pivots drawn in a region's second round, and how many times more in each that follows.
 FIRST_PIVOTS, MORE_PIVOTS = 8, 8
+#: Places before a region's own where a pair that meets there is left to the earlier region.
+#: More save repeated pairs and cost 8 bytes a row each; the result is the same.
+LOOK_BACK = 4
 #: Bits of a shingle's hash that name its counter: a table of 4 MB, whatever the input.
 COUNTER_BITS = 22
 _BLOCK = 1 << 14  # counters that are summed together
@@ -274,25 +279,39 @@ def _several(lying: DataFrame) -> DataFrame:
     )
 
 
+def _places(regions: str):
+    """Of each region: its place in the window, and the few regions just before it."""
+
+    def place(region, k):
+        before = F.slice(regions, F.greatest(k - LOOK_BACK + 1, F.lit(1)), F.least(k, F.lit(LOOK_BACK)))
+        return F.struct(k.alias("place"), region.alias("region"), before.alias("earlier"))
+
+    return F.transform(regions, place)
+
+
 def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
     """(node, comp) of the nodes that link to another."""
-    lying = placed.where("size(regions) > 0").select("node", "n", F.posexplode("regions").alias("place", "region"))
-    shared = stored(spark, lying.join(_several(lying), "region").select("region", "node", "n", "place").distinct(), "jaccard-shared")
+    lying = placed.where("size(regions) > 0")
+    several = _several(lying.select("node", F.explode("regions").alias("region")))
+    member = ["node", "n", "place", "earlier"]
+    placing = lying.select("node", "n", F.inline(_places("regions")))
+    shared = stored(spark, placing.join(several, "region").select("region", *member).distinct(), "jaccard-shared")
     # sizes of sets within r differ by a factor of 100 / percent at most: a set belongs to
     # its band of sizes and to the next, so that each pair within r has a band in common
     if percent < 100:
         band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9)
-        banded = shared.withColumn("band", F.explode(F.array(band, band + 1)))
+        banded = shared.select("*", F.posexplode(F.array(band, band + 1)).alias("upper", "band"))
     else:
-        banded = shared.withColumn("band", F.col("n"))
-    banded = banded.select(F.xxhash64("region", "band").alias("region"), "node", "n", "place")
+        banded = shared.select("*", F.lit(0).alias("upper"), F.col("n").alias("band"))
+    member = [*member, "upper"]
+    banded = banded.select(F.xxhash64("region", "band").alias("region"), *member)
     members = stored(spark, banded.join(_several(banded), "region").distinct(), "jaccard-members")
     grams = stored(spark, _compared(rows, members.select("node"), shingle, seed), "jaccard-sets")
 
     pairs = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     measured = stored(spark, _distances(pairs, grams, percent), "jaccard-pairs")
     links = measured.where("links").select("a", "b")
-    kept = ["node", "n", "place", "distance"]
+    kept = [*member, "distance"]
     first = measured.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "distance")
     # the pivot has met all others and leaves; the rest keep their distance to it
     state = stored(
@@ -327,17 +346,21 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
             F.col("distance").alias("far"),
             F.col("n").alias("m"),
             F.col("place").alias("place_b"),
+            F.col("earlier").alias("earlier_b"),
+            F.col("upper").alias("upper_b"),
         )
         near = F.abs(F.col("distance") - F.col("far")) <= radius
         # in the first region that two sets share, all they have in common is yet to come
         enough = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("place_b")) * (100 + percent) >= percent * (
             F.col("n") + F.col("m")
         )
+        # the pair is also in an earlier region of this band, or in the band below
+        elsewhere = ((F.col("upper") == 1) & (F.col("upper_b") == 1)) | F.arrays_overlap("earlier", "earlier_b")
         # two pivots of a region meet once
         once = ~F.col("pivot") | (F.col("node") < F.col("b"))
         pairs = (
             live.join(drawn, "region")
-            .where((F.col("comp") != F.col("other")) & near & enough & once)
+            .where((F.col("comp") != F.col("other")) & near & enough & once & ~elsewhere)
             .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
             .distinct()
         )
