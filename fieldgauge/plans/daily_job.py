@@ -40,6 +40,10 @@ class Lake:
     def bronze(self):
         return self.path("bronze")
 
+    @property
+    def history(self):
+        return self.path("bronze_history")
+
     @property
     def silver(self):
         return self.path("silver")
@@ -51,8 +55,8 @@ class Lake:
 def bronze_step(spark: SparkSession, lake: Lake, first, last, as_of) -> int:
     raw = tables.raw_days(tables.read_raw(spark, lake.raw), first, last)
     rows = bronze.from_raw(raw, as_of)
-    counted = tables.write_counted(
-        rows, lake.bronze, C.BRONZE_PARTITIONS, F.count(F.lit(1)).alias("rows")
+    counted = tables.replace_counted(
+        rows, lake.bronze, C.BRONZE_PARTITIONS, first, last, F.count(F.lit(1)).alias("rows")
     )
     return counted["rows"]
 
@@ -60,21 +64,28 @@ def bronze_step(spark: SparkSession, lake: Lake, first, last, as_of) -> int:
 def append_historical(
     spark: SparkSession, lake: Lake, loaded: DataFrame, as_of, file_format: str
 ) -> None:
-    """Add an earlier export to bronze. Like any append, running it twice adds it twice."""
+    """Add an earlier export to bronze, in a table that the daily load does not replace.
+
+    Like any append, running it twice adds it twice.
+    """
     rows = bronze.conform(bronze.historical(loaded, as_of, file_format))
-    tables.write(tables.packed(rows), lake.bronze, C.BRONZE_PARTITIONS, mode="append")
+    tables.write(tables.packed(rows), lake.history, C.BRONZE_PARTITIONS, mode="append")
 
 
 def silver_step(spark: SparkSession, lake: Lake, first, last, as_of, bands="reference"):
     """Write valid rows; the quality report is counted in the same pass."""
-    rows = tables.bronze_days(spark, lake.bronze, first, last)
+    rows = tables.bronze_days(spark, lake.bronze, first, last, lake.history)
     if rows is None:
+        scores, parts = lake.gold("quality_by_device"), C.GOLD_PARTITIONS
+        tables.replace_days(spark, None, scores, parts, first, last)
+        tables.replace_days(spark, None, lake.silver, C.SILVER_PARTITIONS, first, last)
         counts = {"total_records": 0, "valid_records": 0}
     else:
         standard = silver.standardize(rows)
         scores = tables.packed(quality.by_device(standard))
-        tables.write(scores, lake.gold("quality_by_device"), C.GOLD_PARTITIONS)
-        counts = _write_silver(standard, lake, as_of, bands)
+        path = lake.gold("quality_by_device")
+        tables.replace_days(spark, scores, path, C.GOLD_PARTITIONS, first, last)
+        counts = _write_silver(standard, lake, first, last, as_of, bands)
     counted = spark.createDataFrame(
         [(counts["total_records"], counts["valid_records"])],
         "total_records long, valid_records long",
@@ -82,20 +93,26 @@ def silver_step(spark: SparkSession, lake: Lake, first, last, as_of, bands="refe
     return quality.grade_counts(counted)
 
 
-def _write_silver(standard: DataFrame, lake: Lake, as_of, bands):
+def _write_silver(standard: DataFrame, lake: Lake, first, last, as_of, bands):
     seen = Observation()
     rows = silver.from_standard(standard.observe(seen, *quality.counts()), as_of, bands)
-    tables.write(rows, lake.silver, C.SILVER_PARTITIONS)
+    spark = standard.sparkSession
+    tables.replace_days(spark, rows, lake.silver, C.SILVER_PARTITIONS, first, last)
     return seen.get
 
 
 def gold_step(spark: SparkSession, lake: Lake, first, last, as_of) -> bool:
     """One scan of silver into hourly partials, three tables from those."""
+
+    def replace(name, table):
+        tables.replace_days(spark, table, lake.gold(name), C.GOLD_PARTITIONS, first, last)
+
     rows = tables.silver_days(spark, lake.silver, first, last)
     if rows is None:
+        for name in ("partials", "hourly", "daily", "device"):
+            replace(name, None)
         return False
-    parts = tables.packed(gold.partials(rows))
-    tables.write(parts, lake.gold("partials"), C.GOLD_PARTITIONS)
+    replace("partials", tables.packed(gold.partials(rows)))
     by_hour = tables.read_days(spark, lake.gold("partials"), first, last)
     by_device = gold.merge_hours(by_hour)
     for name, table in {
@@ -103,7 +120,7 @@ def gold_step(spark: SparkSession, lake: Lake, first, last, as_of) -> bool:
         "daily": gold.daily(by_device, as_of),
         "device": gold.device(by_device, as_of),
     }.items():
-        tables.write(tables.packed(table), lake.gold(name), C.GOLD_PARTITIONS)
+        replace(name, tables.packed(table))
     return True
 
 

@@ -28,6 +28,37 @@ def write(rows: DataFrame, path: str, partitions: tuple[str, ...], mode: str = "
     writer.parquet(path)
 
 
+def replace_days(
+    spark: SparkSession, rows: DataFrame | None, path: str, partitions: tuple[str, ...], first, last
+) -> None:
+    """Make a table hold exactly ``rows`` for some days; None or no rows empties them.
+
+    A file that was there before the write, and still is, lies in a partition that
+    ``rows`` no longer has. If a run ends before such files are removed, the next one
+    over these days removes them.
+    """
+    files = f"{path}/{_day_folders(first, last)}{'/*' * len(partitions)}"
+    before = set(_matching(spark, files))
+    if rows is not None:
+        write(rows, path, partitions)
+    stale = before.intersection(_matching(spark, files))
+    for name in stale:
+        _delete(spark, name)
+    folders = {name.rsplit("/", depth)[0] for name in stale for depth in range(1, len(partitions) + 1)}
+    for folder in sorted(folders, key=len, reverse=True):
+        if not _matching(spark, f"{folder}/*"):
+            _delete(spark, folder)
+
+
+def _day_folders(first, last) -> str:
+    return f"event_date={{{','.join(day.isoformat() for day in days(first, last))}}}"
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def packed(rows: DataFrame, *partitions: str) -> DataFrame:
     """Rows gathered by partition (the day, if none is named) for writing.
 
@@ -39,10 +70,12 @@ def packed(rows: DataFrame, *partitions: str) -> DataFrame:
     return rows.hint("rebalance", *(partitions or ("event_date",)))
 
 
-def write_counted(rows: DataFrame, path: str, partitions: tuple[str, ...], *measures: Column):
-    """Write, and return measures over the rows taken in the same pass."""
+def replace_counted(
+    rows: DataFrame, path: str, partitions: tuple[str, ...], first, last, *measures: Column
+):
+    """Replace days, and return measures over the rows taken in the same pass."""
     seen = Observation()
-    write(rows.observe(seen, *measures), path, partitions)
+    replace_days(rows.sparkSession, rows.observe(seen, *measures), path, partitions, first, last)
     return seen.get
 
 
@@ -51,8 +84,7 @@ def read_days(spark: SparkSession, path: str, first, last) -> DataFrame | None:
 
     Only those days' folders are listed, however long the table's history.
     """
-    wanted = ",".join(day.isoformat() for day in days(first, last))
-    folders = _matching(spark, f"{path}/event_date={{{wanted}}}")
+    folders = _matching(spark, f"{path}/{_day_folders(first, last)}")
     if not folders:
         return None
     rows = spark.read.option("basePath", path).parquet(*folders)
@@ -66,9 +98,14 @@ def _matching(spark: SparkSession, glob: str) -> list[str]:
     return [found.getPath().toString() for found in system.globStatus(pattern) or ()]
 
 
-def bronze_days(spark: SparkSession, path: str, first, last) -> DataFrame | None:
-    """Ingested bronze rows of some days; None if there are none."""
-    return _wanted(read_days(spark, path, first, last), f"processing_status = {text(C.INGESTED)}")
+def bronze_days(spark: SparkSession, path: str, first, last, *more: str) -> DataFrame | None:
+    """Ingested bronze rows of some days, from one or more tables; None if there are none."""
+    found = [read_days(spark, table, first, last) for table in (path, *more)]
+    rows = None
+    for table in found:
+        if table is not None:
+            rows = table if rows is None else rows.unionByName(table)
+    return _wanted(rows, f"processing_status = {text(C.INGESTED)}")
 
 
 def silver_days(spark: SparkSession, path: str, first, last) -> DataFrame | None:

@@ -183,6 +183,51 @@ def test_historical_rows_reach_silver(spark, lake):
     assert (row.deviceId, row.data_source) == ("warehouse-a-001", "batch-json")
 
 
+def test_a_run_owns_its_days_and_keeps_history(spark, tmp_path):
+    """A location corrected in raw, an earlier load, and then no valid row at all."""
+    day = dt.date(2024, 1, 1)
+    lake = daily_job.Lake(str(tmp_path / "lake"))
+    messages = feed.messages(feed.readings(feed.events(spark, SMALL)))
+    good = tables.raw_days(ingest.raw_rows(ingest.accept(ingest.parse(messages))), day, day)
+
+    def run(value="value"):
+        rows = good.selectExpr(f"{value} AS value", *[c for c in good.columns if c != "value"])
+        tables.write_raw(rows, lake.raw)
+        daily_job.run(spark, lake, day, day, AS_OF)
+        return {n: table(spark, lake.gold(n)).count() for n in GOLD}
+
+    def silver_rows():
+        return tables.silver_days(spark, lake.silver, day, day)
+
+    run("regexp_replace(value, 'field-[ab]', 'moved-x')")
+    corrected = run()
+    fresh = daily_job.Lake(str(tmp_path / "fresh"))
+    tables.write_raw(good, fresh.raw)
+    daily_job.run(spark, fresh, day, day, AS_OF)
+    for name in GOLD:
+        assert same(table(spark, lake.gold(name)), table(spark, fresh.gold(name))), name
+    before = silver_rows().count()
+    old = samples.readings(spark, {"timestamp": 1704067200000}).select(
+        *[k for k in samples.NORMAL if k not in samples.C.METADATA], *samples.C.METADATA
+    )
+    daily_job.append_historical(spark, lake, old, AS_OF, "json")
+    for _ in range(2):
+        run()
+        assert silver_rows().count() == before + 1
+    assert sum(corrected.values()) > 0
+
+
+def test_days_without_rows_are_emptied(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(4).selectExpr("id", f"date_add(DATE '{D1}', int(id)) AS event_date")
+    tables.replace_days(spark, rows, path, ("event_date",), D1, D4)
+    tables.replace_days(spark, rows.where("id = 0"), path, ("event_date",), D1, D3)
+    assert sorted(r.id for r in table(spark, path).collect()) == [0, 3]
+    tables.replace_days(spark, None, path, ("event_date",), D1, D1)
+    assert tables.read_days(spark, path, D1, D3) is None
+    assert tables.read_days(spark, path, D1, D4).count() == 1
+
+
 def _earlier(spark):
     flat = {k: v for k, v in samples.NORMAL.items() if k not in samples.C.METADATA}
     rows = samples.readings(spark, {}).select(*flat, *samples.C.METADATA)
