@@ -23,7 +23,7 @@ def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weak.score(read(spark, sf_dir, "documents"))
+    return weak.score(read(spark, sf_dir, "documents"), labels=read(spark, sf_dir, "labels"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
