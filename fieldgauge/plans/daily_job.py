@@ -124,11 +124,15 @@ def gold_step(spark: SparkSession, lake: Lake, first, last, as_of) -> bool:
     return True
 
 
+_SERVED = ("hourly", "daily", "device")
+
+
 def gold_tables(spark: SparkSession, lake: Lake, first, last) -> dict[str, DataFrame]:
-    return {
-        name: tables.read_days(spark, lake.gold(name), first, last)
-        for name in ("hourly", "daily", "device")
-    }
+    return {name: tables.read_days(spark, lake.gold(name), first, last) for name in _SERVED}
+
+
+def all_gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame | None]:
+    return {name: tables.read_all_days(spark, lake.gold(name)) for name in _SERVED}
 
 
 def export_step(
@@ -168,12 +172,10 @@ def run(
     as_of: dt.datetime,
     target: serving.Target | None = None,
     bands: str = "reference",
-    look_back: int = 30,
 ) -> dict[str, DataFrame]:
     """All steps for the days from ``first`` to ``last``; returns the two reports.
 
-    A target that replaces whole tables gets ``look_back`` earlier days as well,
-    as many as the dashboards show.
+    A target that replaces whole tables gets all days of gold, so none leaves it.
     """
     session.prepared(spark)
     target = target or serving.ParquetTarget(lake.path("marts"))
@@ -182,10 +184,13 @@ def run(
     bronze_step(spark, lake, first, last, as_of)
     report = silver_step(spark, lake, first, last, as_of, bands)
     outcome = spark.createDataFrame([], "table_name string, records long, error string")
-    if gold_step(spark, lake, first, last, as_of):
-        earliest = first if target.by_day else first - dt.timedelta(days=look_back)
-        marts = export.marts(gold_tables(spark, lake, earliest, last), as_of)
-        outcome = export_step(spark, marts, target)
+    filled = gold_step(spark, lake, first, last, as_of)
+    if target.by_day:
+        served = gold_tables(spark, lake, first, last) if filled else {}
+    else:  # also after a run without rows: its days may have had some before
+        served = all_gold_tables(spark, lake)
+    if served and None not in served.values():
+        outcome = export_step(spark, export.marts(served, as_of), target)
     failed = outcome.where("error is not null").collect()  # at most one row per mart
     if failed:
         raise RuntimeError("; ".join(f"{row.table_name}: {row.error}" for row in failed))

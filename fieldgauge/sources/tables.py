@@ -91,6 +91,11 @@ def read_days(spark: SparkSession, path: str, first, last) -> DataFrame | None:
     return rows.where(between_days("event_date", first, last))
 
 
+def read_all_days(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table's rows of all days; None if there is no folder for any."""
+    return spark.read.parquet(path) if _matching(spark, f"{path}/event_date=*") else None
+
+
 def _matching(spark: SparkSession, glob: str) -> list[str]:
     """Existing paths that fit a glob, in whatever file system it names."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(glob)
