@@ -1,8 +1,15 @@
 """Licence scan: normalised text against licence templates by Dice over word bigrams.
 
-A text is looked at line by line and by paragraphs of several lines, so a notice is found
-in a long document and when it is wrapped. A unit's bigrams meet only the templates whose
-size allows the threshold: Dice of at least t needs sizes within a factor of (2 - t) / t.
+A text is one run of words. Compared with each template are the whole text, its lines, its
+paragraphs, its sentences, and windows of as many words as the template has, wherever they
+begin with a pair of words of the template. So a notice is found alone, wrapped, in a comment
+block, and inside a longer line or paragraph. Paragraphs end at lines without a letter or
+digit, so also at lines of comment marks alone. Of likenesses that overlap, the one with the
+most pairs in common counts, then the largest Dice, the shortest, and the first name.
+
+Two bounds end the work early, and lose nothing. Dice of at least t needs t / (2 - t) of a
+template's n bigrams. A text without m of its words lacks m - 1 of its bigrams at least, so
+most texts end after one look at their words; and sizes must be within a factor of (2 - t) / t.
 All DataFrame functions, row by row; the templates are a constant. Nothing is shuffled.
 
 Normalising: lower case, and everything but letters and digits is a blank.
@@ -13,6 +20,7 @@ that are equally like, the first by name counts. Rows that repeat give equal res
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -50,82 +58,133 @@ def _let(value: Column, body) -> Column:
 
 
 def _words(unit: Column) -> Column:
-    return F.split(F.btrim(F.regexp_replace(F.lower(unit), "[^\\p{L}\\p{N}]+", " ")), " ")
+    """The words; none for a unit without letters and digits."""
+    found = F.split(F.btrim(F.regexp_replace(F.lower(unit), "[^\\p{L}\\p{N}]+", " ")), " ")
+    return F.filter(found, lambda w: w != "")
 
 
 def _bigrams(words: Column) -> Column:
-    """Distinct pairs of neighbours, as strings; none for fewer than two words."""
+    """Pairs of neighbours in order, as strings; none for fewer than two words."""
     pairs = F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1)))
-    return F.when(F.size(words) < 2, F.array().cast("array<string>")).otherwise(F.array_distinct(pairs))
+    return F.when(F.size(words) < 2, F.array().cast("array<string>")).otherwise(pairs)
+
+
+def _ranges(pieces: Column) -> Column:
+    """The place of each piece's first word in the text, and the number of its words."""
+    none = F.array().cast("array<struct<start:int,n:int>>")
+    sums = F.aggregate(
+        F.transform(pieces, lambda p: F.size(_words(p))),
+        F.struct(F.lit(0).alias("at"), none.alias("found")),
+        lambda s, n: F.struct(
+            (s["at"] + n).alias("at"),
+            F.when(n < 2, s["found"]).otherwise(F.concat(s["found"], F.array(F.struct(s["at"].alias("start"), n.alias("n"))))).alias("found"),
+        ),
+    )
+    return sums["found"]
 
 
-def _prepared(templates: dict[str, str]) -> list[tuple[str, list[str]]]:
+def _prepared(templates: dict[str, str]) -> list[tuple[str, list[str], list[str]]]:
+    """(name, words, distinct bigrams)."""
     found = []
     for name in sorted(templates):
         words = re.sub(r"[\W_]+", " ", templates[name].lower()).split()
-        found.append((name, sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})))
+        found.append((name, words, sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})))
     return found
 
 
+#: Between paragraphs: a line without letters and digits follows. Between sentences: also blanks after a mark.
+_PARAGRAPH = "\n(?=[^\\p{L}\\p{N}\n]*\n)"
+_SENTENCE = _PARAGRAPH + "|(?<=[.!?])\\s+"
+
+
 def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of ``docs`` and: licence (string), dice (double), n_matches (long: units
+    """All columns of ``docs`` and: licence (string), dice (double), n_matches (long: places
     that reach the threshold), licences (array of names, sorted). Own names go."""
     added = ["licence", "dice", "n_matches", "licences"]
-    ready = _prepared(templates)
-    # sizes that can reach the threshold with a template of n bigrams
-    low = {name: threshold / (2 - threshold) * len(grams) for name, grams in ready}
-    high = {name: (2 - threshold) / threshold * len(grams) for name, grams in ready}
+    least = threshold / (2 - threshold)
     constant = F.array(
         *[
             F.struct(
                 F.lit(name).alias("name"),
-                F.lit(float(low[name])).alias("low"),
-                F.lit(float(high[name])).alias("high"),
+                F.lit(least * len(grams)).alias("low"),
+                F.lit(len(grams) / least).alias("high"),
+                F.lit(len(words)).alias("n"),
+                F.array(*[F.lit(w) for w in sorted(set(words))]).alias("words"),
+                # distinct words that a text must have at least
+                F.lit(len(set(words)) - math.floor(len(grams) * (1 - least) + 1 + 1e-9)).alias("need"),
                 F.array(*[F.lit(g) for g in grams]).alias("grams"),
             )
-            for name, grams in ready
+            for name, words, grams in _prepared(templates)
         ]
     )
-    fewest, most = min(low.values(), default=0.0), max(high.values(), default=0.0)
-
-    def like(grams: Column) -> Column:
-        """The most like template, if any may reach the threshold."""
-        n = F.size(grams)
-        fits = F.filter(constant, lambda t: (n >= t["low"]) & (n <= t["high"]))
-        scored = F.transform(
-            fits,
-            lambda t: F.struct(
-                (2.0 * F.size(F.array_intersect(grams, t["grams"])) / (n + F.size(t["grams"]))).alias("dice"),
-                t["name"].alias("name"),
+    vocabulary = F.array(*[F.lit(w) for w in sorted({w for _, words, _ in _prepared(templates) for w in words})])
+
+    def like(bigrams: Column, template: Column, start: Column, n: Column) -> Column:
+        """A range of words against a template; smaller is better, by hits and loss."""
+        return _let(
+            F.array_distinct(F.slice(bigrams, start + 1, n - 1)),
+            lambda own: _let(
+                F.size(F.array_intersect(own, template["grams"])),
+                lambda both: F.struct(
+                    (-both).alias("hits"),
+                    (1 - 2.0 * both / (F.size(own) + F.size(template["grams"]))).alias("loss"),
+                    n.alias("n"),
+                    start.alias("start"),
+                    template["name"].alias("name"),
+                    (2.0 * both / (F.size(own) + F.size(template["grams"]))).alias("dice"),
+                ),
             ),
         )
-        good = F.filter(scored, lambda s: s["dice"] >= threshold)
-        # the largest Dice; of equal ones the first name
+
+    def places(bigrams: Column, units: Column, template: Column) -> Column:
+        """All places where the text is like the template."""
+        fits = F.filter(units, lambda u: (u["n"] - 1 >= template["low"]) & (F.size(F.array_distinct(F.slice(bigrams, u["start"] + 1, u["n"] - 1))) <= template["high"]))
+        begins = F.filter(F.sequence(F.lit(0), F.size(bigrams) - 1), lambda i: F.array_contains(template["grams"], F.get(bigrams, i)))
+        windows = F.transform(begins, lambda i: F.struct(i.alias("start"), F.least(template["n"], F.size(bigrams) + 1 - i).alias("n")))
+        return F.filter(
+            F.transform(F.concat(fits, windows), lambda u: like(bigrams, template, u["start"], u["n"])),
+            lambda m: m["dice"] >= threshold,
+        )
+
+    def apart(matches: Column) -> Column:
+        """The best of the matches that overlap."""
         return F.aggregate(
-            good,
-            F.struct(F.lit(0.0).alias("dice"), F.lit(None).cast("string").alias("name")),
-            lambda best, s: F.when(s["dice"] > best["dice"], s).otherwise(best),
+            F.sort_array(matches),
+            none,
+            lambda kept, m: F.when(
+                F.exists(kept, lambda k: (m["start"] < k["start"] + k["n"]) & (k["start"] < m["start"] + m["n"])), kept
+            ).otherwise(F.concat(kept, F.array(m))),
         )
 
-    def best(unit: Column) -> Column:
+    none = F.array().cast("array<struct<hits:int,loss:double,n:int,start:int,name:string,dice:double>>")
+    whole = F.coalesce(F.col(text), F.lit(""))
+
+    def search(words: Column, live: Column) -> Column:
+        units = F.concat(
+            F.array(F.struct(F.lit(0).alias("start"), F.size(words).alias("n"))),
+            _ranges(F.split(whole, "\n", -1)),
+            _ranges(F.split(whole, _PARAGRAPH, -1)),
+            _ranges(F.split(whole, _SENTENCE, -1)),
+        )
         return _let(
-            _words(unit),
-            # n distinct words make at least n - 1 distinct bigrams: long units end here
-            lambda words: F.when(
-                (F.size(words) - 1 >= fewest) & (F.size(F.array_distinct(words)) - 1 <= most),
-                _let(_bigrams(words), like),
+            _bigrams(words),
+            lambda bigrams: _let(
+                F.filter(live, lambda t: F.size(F.array_intersect(bigrams, t["grams"])) >= t["low"]),
+                lambda near: F.when(F.size(near) == 0, none).otherwise(
+                    _let(units, lambda u: apart(F.flatten(F.transform(near, lambda t: places(bigrams, u, t)))))
+                ),
             ),
         )
 
-    whole = F.coalesce(F.col(text), F.lit(""))
-    lines = F.split(whole, "\n", -1)
-    paragraphs = F.filter(F.split(whole, "\n[ \\t\\r]*\n", -1), lambda p: F.instr(p, "\n") > 0)
-    units = F.filter(
-        F.transform(F.concat(lines, paragraphs), best), lambda b: b["name"].isNotNull()
-    )
+    def search_if_any(words: Column) -> Column:
+        present = F.array_intersect(words, vocabulary)
+        live = _let(present, lambda has: F.filter(constant, lambda t: F.size(F.array_intersect(has, t["words"])) >= t["need"]))
+        return _let(live, lambda t: F.when((F.size(t) == 0) | (F.size(words) < 2), none).otherwise(search(words, t)))
+
+    units = _let(_words(whole), search_if_any)
     found = "__licences_found"
     top = F.aggregate(
-        F.col(found),
+        F.transform(F.col(found), lambda b: F.struct(b["dice"].alias("dice"), b["name"].alias("name"))),
         F.struct(F.lit(0.0).alias("dice"), F.lit(None).cast("string").alias("name")),
         lambda a, b: F.when((b["dice"] > a["dice"]) | ((b["dice"] == a["dice"]) & (b["name"] < a["name"])), b).otherwise(a),
     )
