@@ -632,10 +632,8 @@ def stream_window_agg(spark, sf):
 def stream_flow_metrics(spark, sf):
     messages = feed.damaged_messages(feed.readings(feed.event_stream(spark, sf)))
     at = session.scratch(spark, "checkpoint")
-    query = streams.drain(streams.flow_probe(messages, at, streams.DRAIN))
-    counts = spark.createDataFrame(
-        streams.flow_metrics(query), "batch_id long, received long, accepted long"
-    )
+    streams.drain(streams.flow_probe(messages, at, streams.DRAIN))
+    counts = streams.flow_counts(spark, at)
     return counts.agg(F.sum("received").alias("received"), F.sum("accepted").alias("accepted"))
 
 

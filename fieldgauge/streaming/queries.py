@@ -23,6 +23,8 @@ WINDOW_TRIGGER = {"processingTime": "1 minute"}
 DRAIN = {"availableNow": True}
 
 FLOW = "flow"
+FLOW_COUNTS = {"received": "count(1)", "accepted": f"count_if({ingest.USABLE})"}
+FLOW_SCHEMA = "received long, accepted long, batch_id long"
 
 
 def accepted(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
@@ -30,7 +32,7 @@ def accepted(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
     parsed = ingest.parse(messages, epoch_unit)
     counted = parsed.observe(
         FLOW,
-        *measures({"received": "count(1)", "accepted": f"count_if({ingest.USABLE})"}),
+        *measures(FLOW_COUNTS),
     )
     return ingest.accept(counted)
 
@@ -54,15 +56,37 @@ def raw_sink(
 def flow_probe(
     messages: DataFrame, checkpoint: str, trigger: dict = RAW_TRIGGER
 ) -> StreamingQuery:
-    """Count what arrives and what is accepted, and store nothing."""
-    return (
-        accepted(messages)
+    """Count what arrives and what is accepted, and store the counts by batch."""
+    spark, path = messages.sparkSession, flow_path(checkpoint)
+    # a stream without a batch has a table too
+    spark.createDataFrame([], FLOW_SCHEMA).write.mode("append").partitionBy("batch_id").parquet(path)
+    query = (
+        ingest.parse(messages)
         .writeStream.queryName("flow")
-        .format("noop")
+        .foreachBatch(lambda rows, batch_id: write_flow_batch(rows, batch_id, path))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
+    query.flow_path = path
+    return query
+
+
+def flow_path(checkpoint: str) -> str:
+    """Where a flow probe's counts are: beside its progress, so they begin and end with it."""
+    return f"{checkpoint.rstrip('/')}/flow_counts"
+
+
+def write_flow_batch(parsed: DataFrame, batch_id: int, path: str) -> None:
+    """One micro-batch's counts. A batch that is run again replaces its own."""
+    counts = parsed.agg(*measures(FLOW_COUNTS)).withColumn("batch_id", F.lit(batch_id))
+    tables.write(counts, path, ("batch_id",))
+
+
+def flow_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(batch_id, received, accepted) of every batch."""
+    rows = spark.read.schema(FLOW_SCHEMA).parquet(flow_path(checkpoint))
+    return rows.select("batch_id", "received", "accepted")
 
 
 def window_stream(
@@ -159,12 +183,10 @@ def anomaly_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def flow_metrics(query: StreamingQuery) -> list[tuple[int, int, int]]:
-    """(batch, received, accepted) of the batches the query still remembers."""
-    return [
-        (p.batchId, p.observedMetrics[FLOW].received, p.observedMetrics[FLOW].accepted)
-        for p in query.recentProgress
-        if FLOW in p.observedMetrics
-    ]
+    """(batch, received, accepted) of every batch of a flow probe."""
+    spark = SparkSession.getActiveSession()
+    rows = flow_counts(spark, query.flow_path.removesuffix("/flow_counts"))
+    return sorted(tuple(row) for row in rows.collect())
 
 
 def drain(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:

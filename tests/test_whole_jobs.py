@@ -1,12 +1,14 @@
-"""Whole jobs: older days in whole-table targets."""
+"""Whole jobs: older days in whole-table targets, flow counts of many batches."""
 
 import datetime as dt
 
 import harness
+import samples
 
 from fieldgauge.operators import export, ingest
 from fieldgauge.plans import daily_job
-from fieldgauge.sources import feed, tables
+from fieldgauge.sources import broker, feed, tables
+from fieldgauge.streaming import queries as streams
 
 SMALL = str(harness.TESTDATA / "sf0.001")
 AS_OF = dt.datetime(2024, 3, 31, 6)
@@ -42,3 +44,18 @@ def test_whole_table_target_keeps_days_of_more_than_a_month_ago(spark, tmp_path)
     daily_job.run(spark, lake, new, new, AS_OF, Whole())
     assert set(seen) == {export.TIMESERIES, export.DAILY, export.DEVICES}
     assert all(days == {old, new} for days in seen.values()), seen
+
+
+def test_flow_counts_of_more_batches_than_the_query_remembers(spark, tmp_path):
+    arrived, at = tmp_path / "in", str(tmp_path / "at")
+    for k in range(5):
+        samples.envelopes(spark, samples.message(), "{", first_offset=2 * k).coalesce(1).write.mode(
+            "append"
+        ).parquet(str(arrived))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    try:
+        source = broker.file_stream(spark, str(arrived), files_per_trigger=1)
+        query = streams.drain(streams.flow_probe(source, at, streams.DRAIN))
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert streams.flow_metrics(query) == [(k, 2, 1) for k in range(5)]
