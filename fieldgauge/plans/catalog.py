@@ -494,13 +494,9 @@ def alert_types_without_battery(spark, sf):
     return found.select(*_ALERT_KEY, "anomaly_types")
 
 
-# light is derived with more than one decimal, where engines round ties apart
-_ANY_LIGHT = Thresholds(light=(float("-inf"), float("inf")))
-
-
 @_register
 def alert_messages(spark, sf):
-    found = alerts.alerting(_readings(spark, sf), _ANY_LIGHT)
+    found = alerts.alerting(_readings(spark, sf))
     return alerts.messages(found, RECIPIENT, C.SUBJECT_PREFIX, ["event_id"])
 
 
@@ -640,7 +636,7 @@ def stream_flow_metrics(spark, sf):
 @_register
 def stream_alerts(spark, sf):
     path, at = session.scratch(spark, "alerts"), session.scratch(spark, "checkpoint")
-    settings = Settings(recipient=RECIPIENT, thresholds=_ANY_LIGHT)
+    settings = Settings(recipient=RECIPIENT)
     query = streams.alert_sink(_message_stream(spark, sf), path, at, settings, streams.DRAIN)
     streams.drain(query)
     return streams.alert_table(spark, path).select(

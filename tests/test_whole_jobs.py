@@ -1,12 +1,14 @@
-"""Whole jobs: older days in whole-table targets, flow counts of many batches."""
+"""Whole jobs: older days in whole-table targets, flow counts of many batches, all alert rules."""
 
 import datetime as dt
+import re
 
 import harness
+import pytest
 import samples
 
 from fieldgauge.operators import export, ingest
-from fieldgauge.plans import daily_job
+from fieldgauge.plans import catalog, daily_job, oracles
 from fieldgauge.sources import broker, feed, tables
 from fieldgauge.streaming import queries as streams
 
@@ -59,3 +61,18 @@ def test_flow_counts_of_more_batches_than_the_query_remembers(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert streams.flow_metrics(query) == [(k, 2, 1) for k in range(5)]
+
+
+def _all_rules(name):
+    """The registered SQL's text with all six rules, rounding the shortest decimal half up."""
+    half_up = r"CAST(CAST(round(CAST(CAST(\1 AS VARCHAR) AS DECIMAL(30, 15)), 1) AS DECIMAL(20, 1)) AS VARCHAR)"
+    rules = {k: re.sub(r"printf\('%\.1f', (\w+)\)", half_up, v) for k, v in oracles._STANDARD.items()}
+    ctes, body = {**oracles._CTES, **rules}, oracles._BODIES[name]
+    return "WITH " + ", ".join(f"{c} AS ({ctes[c].strip()})" for c in oracles._needed(body, ctes)) + " " + body
+
+
+@pytest.mark.parametrize("name", ["alert_messages", "stream_alerts"])
+def test_messages_have_all_six_rules(spark, name):
+    frame = catalog.queries()[name](spark, SMALL).cache()
+    assert frame.where("body LIKE '%- Light: %'").count() > 0
+    assert harness.differences(frame, harness.duck(SMALL), _all_rules(name)) == ""
