@@ -207,15 +207,20 @@ def original_bytes(found: DataFrame) -> DataFrame:
     revisit's response is missing or has another digest. Few records are revisits, so only
     they and the responses that may be meant are shuffled, without payloads."""
     slim = found.drop("payload")
-    originals = slim.where("record_type = 'response'").select(
-        F.col("record_id").alias("refers_to_id"),
-        F.col("stated_bytes").alias("original_bytes"),
-        F.col("payload_digest").alias("original_digest"),
+    # ids may repeat: one row for each id and digest. Grouped by another key than the join's,
+    # so that the join has a shuffle of its own, in which a hot response's revisits can be split
+    originals = (
+        slim.where("record_type = 'response'")
+        .groupBy(F.concat_ws(" ", "record_id", "payload_digest").alias("key"))
+        .agg(
+            F.first("record_id").alias("refers_to_id"),
+            F.first("payload_digest").alias("payload_digest"),
+            F.first("stated_bytes").alias("original_bytes"),
+        )
+        .drop("key")
     )
-    revisits = slim.where("record_type = 'revisit'").join(originals, "refers_to_id", "left")
-    proven = F.when(
-        F.col("original_digest") == F.col("payload_digest"), F.col("original_bytes")
-    ).otherwise(F.raise_error(F.concat(F.lit("no response for "), F.col("record_id"))).cast("long"))
+    revisits = slim.where("record_type = 'revisit'").join(originals, ["refers_to_id", "payload_digest"], "left")
+    proven = F.when(F.col("original_bytes").isNotNull(), F.col("original_bytes")).otherwise(F.raise_error(F.concat(F.lit("no response for "), F.col("record_id"))).cast("long"))
     columns = ["record_id", "record_type", "url", "date", "payload_digest", "refers_to_id"]
     return (
         slim.where("record_type = 'response'")
