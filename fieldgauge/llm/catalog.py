@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import cascade, jaccard, katz, licenses, lines, minhash, mixing, packing, warc, weak
+from fieldgauge.llm import cascade, jaccard, katz, licenses, lines, minhash, mixing, nearest, packing, phrases, spelling, warc, weak
 from fieldgauge.llm.frames import read, stored
 from fieldgauge.session import scratch
 
@@ -100,6 +100,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -113,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_packing,
         op10_line_dedup,
+        op11_spelling_variants,
+        op12_collocations,
+        op13_nearest,
     )
 }
 
@@ -137,4 +152,39 @@ WITH split AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op12_collocations": f"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), cut AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM piece
+), gram AS (
+  SELECT lang, unnest(w) AS g, 1 AS k FROM cut
+  UNION ALL SELECT lang, w[i] || ' ' || w[i + 1], 2 FROM cut, unnest(range(1, len(w))) AS s(i)
+  UNION ALL SELECT lang, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2], 3
+  FROM cut, unnest(range(1, len(w) - 1)) AS s(i)
+), f AS (
+  SELECT lang, g, k, CAST(count(*) AS HUGEINT) AS c FROM gram GROUP BY ALL
+), total AS (SELECT lang, sum(c) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidate AS (
+  SELECT lang, g, k, c, string_split(g, ' ') AS w FROM f WHERE k > 1 AND c >= 10
+), taken AS (
+  SELECT DISTINCT p.lang, p.g FROM candidate p JOIN candidate t
+  ON p.lang = t.lang AND p.k = 2 AND t.k = 3 AND 100 * t.c >= 50 * p.c
+    AND (p.g = t.w[1] || ' ' || t.w[2] OR p.g = t.w[2] || ' ' || t.w[3])
+), half AS (
+  SELECT x.lang, x.g, x.c AS a, i, l.c AS l, r.c AS r, 1000000 * x.c * x.c // (l.c * r.c) AS score
+  FROM candidate x, unnest(range(1, x.k)) AS s(i), f l, f r
+  WHERE l.lang = x.lang AND r.lang = x.lang
+    AND l.g = array_to_string(x.w[1:i], ' ') AND r.g = array_to_string(x.w[i + 1:], ' ')
+), lowest AS (
+  SELECT * FROM half QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, i) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank
+  FROM lowest WHERE (lang, g) NOT IN (SELECT (lang, g) FROM taken)
+)
+SELECT lang, rank, g AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
 }

@@ -81,8 +81,8 @@ class Words:
         return sums[self.offsets[1:]] - sums[self.offsets[:-1]]
 
 
-def split(texts: pa.Array, lower: bool = False) -> Words:
-    """The words of every text; a null text has none."""
+def split(texts: pa.Array, lower: bool = False, solid_bytes: np.ndarray = SOLID) -> Words:
+    """The words of every text, runs of the bytes marked in ``solid_bytes``; a null text has none."""
     texts = texts.cast(pa.large_string())
     if texts.null_count:
         texts = texts.fill_null("")
@@ -91,7 +91,7 @@ def split(texts: pa.Array, lower: bool = False) -> Words:
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     buf, at = raw[at[0] : at[-1]], at - at[0]
     n = len(buf)
-    solid = SOLID[buf]
+    solid = solid_bytes[buf]
     begin, stop = solid.copy(), solid.copy()
     begin[1:] &= ~solid[:-1]
     stop[:-1] &= ~solid[1:]

@@ -161,3 +161,61 @@ def dedup(docs, chars=40, least=5):
 
 def crc(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 5
+
+
+def one_edit(x, y):
+    """Whether exactly one code point is replaced, deleted or inserted."""
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) == len(y):
+        return sum(a != b for a, b in zip(x, y, strict=True)) == 1
+    return len(x) == len(y) + 1 and any(x[:i] + x[i + 1 :] == y for i in range(len(x)))
+
+
+def spelling(docs, damage=97):
+    """{word: (form, root, n, n_near, form_n)} of (id, text)."""
+    counts = Counter()
+    for k, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(UPPER)
+            h = zlib.crc32(f"{'' if k is None else k}:{run}".encode())
+            if h % damage == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    n = {w: c for w, c in counts.items() if len(w) >= 5 and c >= 3}
+    by_hole = defaultdict(set)  # words that agree but for one place
+    for w in n:
+        for i in range(len(w)):
+            by_hole[w[:i] + "*" + w[i + 1 :]].add(w)
+    near = defaultdict(set)
+    for group in by_hole.values():
+        for w in group:
+            near[w] |= group - {w}
+    for w in n:
+        for i in range(len(w)):
+            short = w[:i] + w[i + 1 :]
+            if short in n:
+                near[w].add(short)
+                near[short].add(w)
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best and n[best] >= 2 * n[w] else None
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+
+    return {w: (form[w], root(w), n[w], len(near[w]), n.get(form[w])) for w in n}
+
+
+def nearest(vectors, k=20):
+    """{row: [(id, score), ...]} for (id, vector) rows whose id divides by 20."""
+    ids = [i for i, _ in vectors]
+    found = {}
+    for at, (i, v) in enumerate(vectors):
+        if i % 20 == 0:
+            scores = [(-sum(a * b for a, b in zip(v, w, strict=False)), ids[j]) for j, (_, w) in enumerate(vectors) if j != at]
+            found[at] = [(j, -s) for s, j in sorted(scores)[:k]]
+    return found
