@@ -97,6 +97,7 @@ RAW_JOB = "bronze-batch-job-v2"
 HISTORICAL_SOURCE = "batch-{format}"
 HISTORICAL_JOB = "bronze-batch-job-v1"
 INGESTED = "ingested"
+NO_TIME = "missing_timestamp"
 SILVER_LINEAGE = "bronze_to_silver_v2"
 SILVER_JOB = "silver-batch-job"
 SILVER_VERSION = "2.0"

@@ -125,6 +125,27 @@ def hourly_approx(silver: DataFrame, as_of: dt.datetime, rsd: float = 0.05) -> D
     return _finished(silver.groupBy(*_HOURLY_KEY).agg(*measures(found)), as_of, _MOTION)
 
 
+# Sketches of 2**12 registers: a relative standard error of 1.04 / 64.
+SKETCH_LOG = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_LOG / 2)
+
+
+def sketches(by_hour: DataFrame) -> DataFrame:
+    """A sketch of the devices of each hourly row, from partials by hour."""
+    devices = {"readings": "sum(readings)", "devices": f"hll_sketch_agg(deviceId, {SKETCH_LOG})"}
+    return by_hour.groupBy(*_HOURLY_KEY).agg(*measures(devices))
+
+
+def devices(stored_sketches: DataFrame, *keys: str) -> DataFrame:
+    """Estimated distinct devices by any of the sketches' keys, over whatever days they hold.
+
+    Exact distinct counts of two days cannot be added up; sketches are united instead, at a
+    few kilobytes a row, without going back to the readings.
+    """
+    found = {"devices": "hll_sketch_estimate(hll_union_agg(devices))", "readings": "sum(readings)"}
+    return stored_sketches.groupBy(*keys).agg(*measures(found))
+
+
 def daily(by_device: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Per day, location and device type, from partials per device."""
     found = {

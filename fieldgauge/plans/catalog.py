@@ -271,14 +271,15 @@ def bronze_historical(spark, sf):
 
 @_register
 def bronze_partition_counts(spark, sf):
-    rows = spark.read.parquet(_bronze_table(spark, sf))
+    rows = tables.read_days(spark, _bronze_table(spark, sf))
     return rows.groupBy("event_date").agg(F.count("*").alias("n"))
 
 
 def _bronze_table(spark, sf) -> str:
     """Bronze, written: events come in no known order, so they are gathered by day."""
     path = session.scratch(spark, "bronze")
-    tables.write(tables.packed(_bronze(spark, sf)), path, C.BRONZE_PARTITIONS)
+    rows = tables.packed(_bronze(spark, sf))
+    tables.replace_days(spark, rows, path, C.BRONZE_PARTITIONS, FIRST, LAST)
     return path
 
 
@@ -401,13 +402,13 @@ def silver_health(spark, sf):
 def _silver_table(spark, sf) -> str:
     path = session.scratch(spark, "silver")
     rows = tables.packed(_silver(spark, sf), *C.SILVER_PARTITIONS)
-    tables.write(rows, path, C.SILVER_PARTITIONS)
+    tables.replace_days(spark, rows, path, C.SILVER_PARTITIONS, FIRST, LAST)
     return path
 
 
 @_register
 def silver_partition_counts(spark, sf):
-    rows = spark.read.parquet(_silver_table(spark, sf))
+    rows = tables.read_days(spark, _silver_table(spark, sf))
     return rows.groupBy("event_date", "deviceType").agg(F.count("*").alias("n"))
 
 
@@ -455,9 +456,34 @@ def gold_device(spark, sf):
     return _steadied(_device(spark, sf).drop(*_CLOCK))
 
 
+def _within(estimate: str, exact: str, error: float) -> str:
+    """Whether an estimate is within three standard errors, rounded to whole devices."""
+    return f"abs({estimate} - {exact}) <= ceil(3 * {error:.6f}D * {exact})"
+
+
 @_register
 def gold_hourly_approx(spark, sf):
-    return _steadied(gold.hourly_approx(_silver(spark, sf), AS_OF).drop(*_CLOCK))
+    """The hourly table by estimated device counts, and whether those are within their bound."""
+    keys = ["event_date", "hour_of_day", "location", "deviceType"]
+    guessed = gold.hourly_approx(_silver(spark, sf), AS_OF).withColumnRenamed("unique_devices", "estimate")
+    exact = _hourly(spark, sf).select(*keys, "unique_devices")
+    judged = guessed.join(exact, keys).withColumn(
+        "devices_within_bound", F.expr(_within("estimate", "unique_devices", 0.05))
+    )
+    return _steadied(judged.drop("estimate", "unique_devices", *_CLOCK))
+
+
+@_register
+def gold_devices_sketch(spark, sf):
+    """Devices of all days by stored hourly sketches, against the exact count."""
+    by_hour = gold.partials(_silver(spark, sf))
+    keys = ["location", "deviceType"]
+    path = session.scratch(spark, "sketches")
+    tables.replace_days(spark, tables.packed(gold.sketches(by_hour)), path, C.GOLD_PARTITIONS, FIRST, LAST)
+    united = gold.devices(tables.read_days(spark, path), *keys).withColumnRenamed("devices", "estimate")
+    exact = by_hour.groupBy(*keys).agg(F.count_distinct("deviceId").alias("devices"))
+    within = F.expr(_within("estimate", "devices", gold.SKETCH_ERROR)).alias("within_bound")
+    return united.join(exact, keys).select(*keys, "devices", within)
 
 
 @_register
@@ -473,7 +499,7 @@ _ALERT_KEY = ["event_id", "deviceId", "location", "sensor_timestamp"]
 @_register
 def alert_anomalies(spark, sf):
     found = alerts.anomalies(alerts.alerting(_readings(spark, sf)), _ALERT_KEY)
-    return found.drop("value")  # one-decimal text, compared as the number it shows
+    return found
 
 
 @_register
@@ -502,8 +528,7 @@ def alert_messages(spark, sf):
 
 @_register
 def alert_custom_thresholds(spark, sf):
-    found = alerts.anomalies(alerts.alerting(_readings(spark, sf), NARROW), ["event_id"])
-    return found.drop("value")
+    return alerts.anomalies(alerts.alerting(_readings(spark, sf), NARROW), ["event_id"])
 
 
 @_register
@@ -554,6 +579,75 @@ def export_summary(spark, sf):
     return daily_job.export_summary(outcome, AS_OF)
 
 
+# -- the stored job: raw to marts through tables, and read back -----------------
+
+
+def _lake(spark) -> daily_job.Lake:
+    return daily_job.Lake(session.scratch(spark, "lake"))
+
+
+def _run_job(spark, lake) -> None:
+    daily_job.run(spark, lake, FIRST, LAST, AS_OF)
+
+
+def _stored_daily(spark, lake) -> DataFrame:
+    return _steadied(tables.read_days(spark, lake.gold("daily")).drop(*_CLOCK))
+
+
+@_register
+def job_gold_daily(spark, sf):
+    """The daily table after a run of all steps, each of which reads what the last one stored."""
+    lake = _lake(spark)
+    tables.write_raw(_raw(spark, sf), lake.raw)
+    _run_job(spark, lake)
+    return _stored_daily(spark, lake)
+
+
+@_register
+def job_after_correction(spark, sf):
+    """Devices sent under a wrong site, then corrected in raw: the second run leaves no trace."""
+    lake = _lake(spark)
+    wrong = F.regexp_replace("value", "field-[ab]", "moved-x")
+    tables.write_raw(_raw(spark, sf).withColumn("value", wrong), lake.raw)
+    _run_job(spark, lake)
+    tables.write_raw(_raw(spark, sf), lake.raw)
+    _run_job(spark, lake)
+    return _stored_daily(spark, lake)
+
+
+def _export_files(spark, rows: DataFrame) -> str:
+    """Readings as an earlier Parquet export: metadata nested, no date parts."""
+    path = session.scratch(spark, "export")
+    fields = [f.name for f in C.READING_SCHEMA if f.name != "metadata"]
+    rows.select("event_id", *fields, F.struct(*C.METADATA).alias("metadata")).write.parquet(path)
+    return path
+
+
+@_register
+def job_with_history(spark, sf):
+    """A third of all readings from an export that is loaded twice, the rest by the daily load."""
+    lake, rows = _lake(spark), _readings(spark, sf)
+    export_path = _export_files(spark, rows.where("event_id % 3 = 0"))
+    for _ in range(2):
+        daily_job.load_historical(spark, lake, export_path, AS_OF, "parquet")
+    sent = feed.messages(rows.where("event_id % 3 <> 0"))
+    tables.write_raw(ingest.raw_rows(ingest.accept(ingest.parse(sent))), lake.raw)
+    _run_job(spark, lake)
+    return _stored_daily(spark, lake)
+
+
+@_register
+def bronze_history_quarantine(spark, sf):
+    """Rows of an export without a time: kept apart, with the reason, whole."""
+    lake = _lake(spark)
+    timeless = F.when(F.col("event_id") % 89 != 0, F.col("timestamp"))
+    rows = _readings(spark, sf).withColumn("timestamp", timeless)
+    daily_job.load_historical(spark, lake, _export_files(spark, rows), AS_OF, "parquet")
+    return daily_job.quarantine(spark, lake).select(
+        "deviceId", "deviceType", "location", *C.METRICS, *C.METADATA, "event_date", "reason"
+    )
+
+
 # -- dashboard -------------------------------------------------------------
 
 

@@ -20,7 +20,7 @@ from fieldgauge import contract as C
 from fieldgauge import session
 from fieldgauge.functions.sql import as_date
 from fieldgauge.operators import bronze, export, gold, quality, silver
-from fieldgauge.sources import serving, tables
+from fieldgauge.sources import serving, tables, versions
 
 
 @dataclass(frozen=True)
@@ -55,21 +55,50 @@ class Lake:
 def bronze_step(spark: SparkSession, lake: Lake, first, last, as_of) -> int:
     raw = tables.raw_days(tables.read_raw(spark, lake.raw), first, last)
     rows = bronze.from_raw(raw, as_of)
-    counted = tables.replace_counted(
-        rows, lake.bronze, C.BRONZE_PARTITIONS, first, last, F.count(F.lit(1)).alias("rows")
+    counted = tables.replace_days(
+        spark, rows, lake.bronze, C.BRONZE_PARTITIONS, first, last, F.count(F.lit(1)).alias("rows")
     )
-    return counted["rows"]
+    return counted.get("rows", 0)
 
 
 def append_historical(
-    spark: SparkSession, lake: Lake, loaded: DataFrame, as_of, file_format: str
+    spark: SparkSession, lake: Lake, loaded: DataFrame, as_of, file_format: str, sources=None
 ) -> None:
     """Add an earlier export to bronze, in a table that the daily load does not replace.
 
-    Like any append, running it twice adds it twice.
+    Rows alone are added as often as this runs; ``load_historical`` knows what it has loaded.
     """
     rows = bronze.conform(bronze.historical(loaded, as_of, file_format))
-    tables.write(tables.packed(rows), lake.history, C.BRONZE_PARTITIONS, mode="append")
+    versions.append(spark, tables.packed(rows), lake.history, C.BRONZE_PARTITIONS, sources)
+
+
+def load_historical(
+    spark: SparkSession, lake: Lake, path: str, as_of, file_format: str = "json", **options
+) -> int:
+    """Add the files of an export that were not loaded before; returns how many.
+
+    A file is known by its path, size and time of change. Rows and the list of files take
+    effect together, so a load that is run again, or ends half-way, adds nothing twice.
+    """
+    files = tables.input_files(spark, path)
+    new = files.join(versions.sources(spark, lake.history), "source", "left_anti")
+    found = new.collect()  # Spark lists the files of a scan on the driver as well
+    if not found:
+        return 0
+    paths = [row.path for row in found]
+    whole_folder = not any(c in path for c in "*?[{") and not paths[0].endswith(path.rstrip("/"))
+    if whole_folder:  # folders named key=value stay columns
+        options = {"basePath": path, **options}
+    loaded = tables.read_historical(spark, paths, file_format, **options)
+    sources = spark.createDataFrame([(row.source,) for row in found], "source string")
+    append_historical(spark, lake, loaded, as_of, file_format, sources)
+    return len(found)
+
+
+def quarantine(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """Historical rows that no day can be given, with the reason; None if there are none."""
+    rows = versions.read_undated(spark, lake.history)
+    return None if rows is None else rows.withColumn("reason", F.lit(C.NO_TIME))
 
 
 def silver_step(spark: SparkSession, lake: Lake, first, last, as_of, bands="reference"):
@@ -109,13 +138,14 @@ def gold_step(spark: SparkSession, lake: Lake, first, last, as_of) -> bool:
 
     rows = tables.silver_days(spark, lake.silver, first, last)
     if rows is None:
-        for name in ("partials", "hourly", "daily", "device"):
+        for name in ("partials", "sketches", "hourly", "daily", "device"):
             replace(name, None)
         return False
     replace("partials", tables.packed(gold.partials(rows)))
     by_hour = tables.read_days(spark, lake.gold("partials"), first, last)
     by_device = gold.merge_hours(by_hour)
     for name, table in {
+        "sketches": gold.sketches(by_hour),
         "hourly": gold.hourly(by_hour, as_of),
         "daily": gold.daily(by_device, as_of),
         "device": gold.device(by_device, as_of),
@@ -132,7 +162,7 @@ def gold_tables(spark: SparkSession, lake: Lake, first, last) -> dict[str, DataF
 
 
 def all_gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame | None]:
-    return {name: tables.read_all_days(spark, lake.gold(name)) for name in _SERVED}
+    return {name: tables.read_days(spark, lake.gold(name)) for name in _SERVED}
 
 
 def export_step(
@@ -187,6 +217,9 @@ def run(
     filled = gold_step(spark, lake, first, last, as_of)
     if target.by_day:
         served = gold_tables(spark, lake, first, last) if filled else {}
+        target = target.covering(first, last)
+        for name, day in export.DAY.items() if not filled else ():
+            target.replace(name, day, None)
     else:  # also after a run without rows: its days may have had some before
         served = all_gold_tables(spark, lake)
     if served and None not in served.values():

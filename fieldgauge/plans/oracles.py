@@ -226,6 +226,12 @@ FROM readings GROUP BY 1, 2, 3
 }
 
 
+def _one_decimal(name: str) -> str:
+    """One decimal place, the shortest text of the number rounded half up, as Java does."""
+    exact = f"CAST(CAST({name} AS VARCHAR) AS DECIMAL(30, 15))"
+    return f"CAST(CAST(round({exact}, 1) AS DECIMAL(20, 1)) AS VARCHAR)"
+
+
 def _anomaly_ctes(t, h, p, light, a, battery) -> dict[str, str]:
     """Rules with the given limits; each limit pair is (low, high)."""
     rules = [
@@ -238,7 +244,7 @@ def _anomaly_ctes(t, h, p, light, a, battery) -> dict[str, str]:
     parts = [
         f"SELECT *, {n} AS rule, '{kind}' AS anomaly_type, {name} AS reading, "
         f"'{pair[0]}{low_unit} to {pair[1]}{unit}' AS threshold, "
-        f"printf('%.1f', {name}) || '{low_unit if low_unit else unit}' AS value "
+        f"{_one_decimal(name)} || '{low_unit if low_unit else unit}' AS value "
         f"FROM readings WHERE {name} < {pair[0]} OR {name} > {pair[1]}"
         for n, (kind, name, pair, low_unit, unit) in enumerate(rules)
         if pair is not None
@@ -254,7 +260,6 @@ def _anomaly_ctes(t, h, p, light, a, battery) -> dict[str, str]:
 
 _STANDARD = _anomaly_ctes((-10.0, 80.0), (0.0, 100.0), (900.0, 1100.0), (0.0, 1000.0), (4.0, 10.0), 20)
 _NO_BATTERY = _anomaly_ctes((-10.0, 80.0), (0.0, 100.0), (900.0, 1100.0), (0.0, 1000.0), (4.0, 10.0), None)
-_NO_LIGHT = _anomaly_ctes((-10.0, 80.0), (0.0, 100.0), (900.0, 1100.0), None, (4.0, 10.0), 20)
 _NARROW = _anomaly_ctes((20.0, 25.0), (40.0, 60.0), (1000.0, 1020.0), (100.0, 500.0), (6.0, 8.0), 50)
 
 _TYPES = """string_agg(anomaly_type, ', ' ORDER BY rule)"""
@@ -393,8 +398,18 @@ _BODIES = {
     "gold_hourly": "SELECT * FROM hourly",
     "gold_daily": "SELECT * FROM daily",
     "gold_device": "SELECT * FROM device",
+    "gold_hourly_approx": "SELECT * EXCLUDE (unique_devices), true AS devices_within_bound FROM hourly",
+    "gold_devices_sketch": """SELECT location, deviceType, count(DISTINCT deviceId) AS devices,
+        true AS within_bound FROM silver GROUP BY location, deviceType""",
+    "job_gold_daily": "SELECT * FROM daily",
+    "job_after_correction": "SELECT * FROM daily",
+    "job_with_history": "SELECT * FROM daily",
+    "bronze_history_quarantine": """SELECT deviceId, deviceType, location, temperature, humidity,
+        pressure, light, acidity, battery_level, signal_strength, firmware_version,
+        CAST(NULL AS DATE) AS event_date, 'missing_timestamp' AS reason
+        FROM bronze WHERE event_id % 89 = 0""",
     "window_agg_batch": "SELECT * FROM windows",
-    "alert_anomalies": f"SELECT {_ALERT_KEY}, anomaly_type, threshold, reading FROM anomalies",
+    "alert_anomalies": f"SELECT {_ALERT_KEY}, anomaly_type, value, threshold, reading FROM anomalies",
     "alert_readings": f"""SELECT {_ALERT_KEY}, CAST(count(*) AS INTEGER) AS n_anomalies
         FROM anomalies GROUP BY {_ALERT_KEY}""",
     "alert_types": f"""SELECT {_ALERT_KEY}, {_TYPES} AS anomaly_types,
@@ -403,7 +418,7 @@ _BODIES = {
         FROM anomalies GROUP BY {_ALERT_KEY}""",
     "alert_messages": f"""SELECT event_id, 'admin@company.com' AS recipient,
         {_SUBJECT} AS subject, {_BODY} AS body FROM anomalies GROUP BY {_ALERT_KEY}""",
-    "alert_custom_thresholds": """SELECT event_id, anomaly_type, threshold, reading
+    "alert_custom_thresholds": """SELECT event_id, anomaly_type, value, threshold, reading
         FROM anomalies""",
     "alert_simple_range": """SELECT event_id, deviceId, temperature, humidity, pressure
         FROM readings WHERE temperature < 10 OR temperature > 35 OR humidity < 20
@@ -473,8 +488,6 @@ _BODIES = {
 
 _RULES_USED = {
     "alert_types_without_battery": _NO_BATTERY,
-    "alert_messages": _NO_LIGHT,
-    "stream_alerts": _NO_LIGHT,
     "alert_custom_thresholds": _NARROW,
 }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -52,7 +53,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     shared = shared or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="fieldgauge-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, name: str) -> None:
+    """Delete a file or folder in whatever file system it names; Spark has no call for it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from fieldgauge.sources import versions
+
 
 class Target(Protocol):
     # True if a mart is replaced day by day, False if as a whole
@@ -28,21 +30,38 @@ def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
 
 @dataclass(frozen=True)
 class ParquetTarget:
-    """Marts as Parquet tables cut by report date."""
+    """Marts as versioned Parquet tables cut by report date.
+
+    With ``days`` a mart is made to hold exactly the rows given for those days; without,
+    the days that rows have are replaced.
+    """
 
     path: str
+    days: tuple | None = None
     by_day = True
 
-    def replace(self, name: str, day: str, rows: DataFrame) -> int:
-        dated = rows.withColumn("report_date", F.to_date(day))
-        counted, seen = _counted(dated.hint("rebalance", "report_date"))
-        (
-            counted.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("report_date")
-            .parquet(f"{self.path.rstrip('/')}/{name}")
+    def covering(self, first, last) -> ParquetTarget:
+        """The same target for a run over some days."""
+        return replace(self, days=(first, last))
+
+    def replace(self, name: str, day: str, rows: DataFrame | None) -> int:
+        spark = SparkSession.active()
+        if rows is not None:
+            rows = rows.withColumn("report_date", F.to_date(day)).hint("rebalance", "report_date")
+        first, last = self.days or rows.select(F.min("report_date"), F.max("report_date")).first()
+        if first is None:
+            return 0
+        count = F.count(F.lit(1)).alias("n")
+        seen = versions.replace_days(
+            spark, rows, self.table(name), ("report_date",), first, last, count, day="report_date"
         )
-        return seen.get["n"]
+        return seen.get("n", 0)
+
+    def table(self, name: str) -> str:
+        return f"{self.path.rstrip('/')}/{name}"
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame | None:
+        return versions.read(spark, self.table(name), day="report_date")
 
 
 @dataclass(frozen=True)

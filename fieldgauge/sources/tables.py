@@ -1,14 +1,16 @@
-"""Lake tables: partitioned Parquet, and the raw JSON tier."""
+"""Lake tables: partitioned Parquet in versions, and the raw JSON tier."""
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from fieldgauge import contract as C
-from fieldgauge.functions.sql import as_date, date, named, text
+from fieldgauge.functions.sql import date, named, text
+from fieldgauge.session import delete
+from fieldgauge.sources import versions
+from fieldgauge.sources.versions import days as days
 
 
 def between_days(day: str, first, last) -> str:
@@ -19,8 +21,7 @@ def between_days(day: str, first, last) -> str:
 def write(rows: DataFrame, path: str, partitions: tuple[str, ...], mode: str = "overwrite"):
     """Write Parquet. ``overwrite`` replaces only the partitions that ``rows`` has.
 
-    A run that is repeated, or repeated in part after executors were lost,
-    leaves the same table and does not touch other days.
+    For tables of batches, which a repeated batch replaces; tables of days are versioned.
     """
     writer = rows.write.mode(mode).partitionBy(*partitions)
     if mode == "overwrite":
@@ -28,37 +29,6 @@ def write(rows: DataFrame, path: str, partitions: tuple[str, ...], mode: str = "
     writer.parquet(path)
 
 
-def replace_days(
-    spark: SparkSession, rows: DataFrame | None, path: str, partitions: tuple[str, ...], first, last
-) -> None:
-    """Make a table hold exactly ``rows`` for some days; None or no rows empties them.
-
-    A file that was there before the write, and still is, lies in a partition that
-    ``rows`` no longer has. If a run ends before such files are removed, the next one
-    over these days removes them.
-    """
-    files = f"{path}/{_day_folders(first, last)}{'/*' * len(partitions)}"
-    before = set(_matching(spark, files))
-    if rows is not None:
-        write(rows, path, partitions)
-    stale = before.intersection(_matching(spark, files))
-    for name in stale:
-        _delete(spark, name)
-    folders = {name.rsplit("/", depth)[0] for name in stale for depth in range(1, len(partitions) + 1)}
-    for folder in sorted(folders, key=len, reverse=True):
-        if not _matching(spark, f"{folder}/*"):
-            _delete(spark, folder)
-
-
-def _day_folders(first, last) -> str:
-    return f"event_date={{{','.join(day.isoformat() for day in days(first, last))}}}"
-
-
-def _delete(spark: SparkSession, name: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def packed(rows: DataFrame, *partitions: str) -> DataFrame:
     """Rows gathered by partition (the day, if none is named) for writing.
 
@@ -70,59 +40,23 @@ def packed(rows: DataFrame, *partitions: str) -> DataFrame:
     return rows.hint("rebalance", *(partitions or ("event_date",)))
 
 
-def replace_counted(
-    rows: DataFrame, path: str, partitions: tuple[str, ...], first, last, *measures: Column
-):
-    """Replace days, and return measures over the rows taken in the same pass."""
-    seen = Observation()
-    replace_days(rows.sparkSession, rows.observe(seen, *measures), path, partitions, first, last)
-    return seen.get
-
-
-def read_days(spark: SparkSession, path: str, first, last) -> DataFrame | None:
-    """A table's rows of some days; None if there is no folder for any of them.
-
-    Only those days' folders are listed, however long the table's history.
-    """
-    folders = _matching(spark, f"{path}/{_day_folders(first, last)}")
-    if not folders:
-        return None
-    rows = spark.read.option("basePath", path).parquet(*folders)
-    return rows.where(between_days("event_date", first, last))
-
-
-def read_all_days(spark: SparkSession, path: str) -> DataFrame | None:
-    """A table's rows of all days; None if there is no folder for any."""
-    return spark.read.parquet(path) if _matching(spark, f"{path}/event_date=*") else None
-
-
-def _matching(spark: SparkSession, glob: str) -> list[str]:
-    """Existing paths that fit a glob, in whatever file system it names."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(glob)
-    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [found.getPath().toString() for found in system.globStatus(pattern) or ()]
+replace_days, read_days = versions.replace_days, versions.read
 
 
 def bronze_days(spark: SparkSession, path: str, first, last, *more: str) -> DataFrame | None:
     """Ingested bronze rows of some days, from one or more tables; None if there are none."""
-    found = [read_days(spark, table, first, last) for table in (path, *more)]
     rows = None
-    for table in found:
-        if table is not None:
-            rows = table if rows is None else rows.unionByName(table)
-    return _wanted(rows, f"processing_status = {text(C.INGESTED)}")
+    for table in (path, *more):
+        found = read_days(spark, table, first, last)
+        if found is not None:
+            rows = found if rows is None else rows.unionByName(found)
+    return None if rows is None else rows.where(f"processing_status = {text(C.INGESTED)}")
 
 
 def silver_days(spark: SparkSession, path: str, first, last) -> DataFrame | None:
     """Valid silver rows of some days; None if there are none."""
-    return _wanted(read_days(spark, path, first, last), "is_valid_record")
-
-
-def _wanted(rows: DataFrame | None, condition: str) -> DataFrame | None:
-    if rows is None:
-        return None
-    rows = rows.where(condition)
-    return None if rows.isEmpty() else rows
+    rows = read_days(spark, path, first, last)
+    return None if rows is None else rows.where("is_valid_record")
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -150,9 +84,16 @@ def write_raw(rows: DataFrame, path: str):
     )
 
 
+def input_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, source) of the files under a path; ``source`` changes if the file does."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    changed = "concat_ws('|', path, length, unix_micros(modificationTime))"
+    return files.selectExpr("path", f"sha2({changed}, 256) AS source")
+
+
 def read_historical(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     file_format: str = "json",
     schema=None,
     multiline: bool = False,
@@ -176,10 +117,6 @@ def probe(spark: SparkSession, path: str) -> None:
     target = f"{path.rstrip('/')}/_probe/{marker}"
     spark.range(1).selectExpr(*named({"marker": text(marker)})).write.mode("overwrite").json(target)
     found = spark.read.schema("marker string").json(target).first()
+    delete(spark, target)
     if found is None or found.marker != marker:
         raise OSError(f"{path}: what was written could not be read back")
-
-
-def days(first, last) -> list[dt.date]:
-    first, last = as_date(first), as_date(last)
-    return [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]

@@ -44,7 +44,11 @@ def lake(tmp_path, raw):
 
 
 def table(spark, path):
-    return spark.read.parquet(path)
+    return tables.read_days(spark, path)
+
+
+def mart(spark, lake, name):
+    return serving.ParquetTarget(f"{lake.root}/marts").read(spark, name)
 
 
 def same(left, right):
@@ -71,8 +75,7 @@ def test_running_again_changes_nothing_and_keeps_other_days(spark, lake):
     daily_job.run(spark, lake, D3, D3, AS_OF)
     assert {n: table(spark, lake.gold(n)).count() for n in GOLD} == before
     assert table(spark, lake.silver).count() == silver_rows
-    mart = table(spark, f"{lake.root}/marts/{export.DAILY}")
-    assert mart.count() == before["daily"]
+    assert mart(spark, lake, export.DAILY).count() == before["daily"]
     summary = first["export"].first()
     assert summary.tables_exported == 3 and summary.records_exported == sum(before.values())
     report = first["quality"].first()
@@ -139,7 +142,7 @@ def test_a_failed_mart_ends_the_job_but_not_the_others(spark, lake):
 
     with pytest.raises(RuntimeError, match="daily_report: ConnectionError: no route"):
         daily_job.run(spark, lake, D1, D1, AS_OF, Refusing(f"{lake.root}/marts"))
-    assert table(spark, f"{lake.root}/marts/{export.DEVICES}").count() > 0
+    assert mart(spark, lake, export.DEVICES).count() > 0
 
 
 def test_whole_table_target_gets_the_look_back_in_order(spark, lake):

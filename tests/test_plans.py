@@ -30,7 +30,8 @@ def shuffles(frame) -> int:
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("bronze"))
-    tables.write(tables.packed(catalog._bronze(spark, SMALL)), path, ("event_date",))
+    rows = tables.packed(catalog._bronze(spark, SMALL))
+    tables.replace_days(spark, rows, path, ("event_date",), catalog.FIRST, catalog.LAST)
     return path
 
 

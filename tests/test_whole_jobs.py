@@ -1,7 +1,6 @@
 """Whole jobs: older days in whole-table targets, flow counts of many batches, all alert rules."""
 
 import datetime as dt
-import re
 
 import harness
 import pytest
@@ -32,7 +31,7 @@ def test_whole_table_target_keeps_days_of_more_than_a_month_ago(spark, tmp_path)
             return 1
 
     daily_job.run(spark, lake, old, old, AS_OF, Whole())
-    silver = spark.read.parquet(lake.silver)
+    silver = tables.read_days(spark, lake.silver)
     assert {d for days in seen.values() for d in days} == {old} and silver.count() > 0
     # a later day, put into raw by moving the readings' time
     later = int((new - old).days) * 86_400_000
@@ -63,16 +62,8 @@ def test_flow_counts_of_more_batches_than_the_query_remembers(spark, tmp_path):
     assert streams.flow_metrics(query) == [(k, 2, 1) for k in range(5)]
 
 
-def _all_rules(name):
-    """The registered SQL's text with all six rules, rounding the shortest decimal half up."""
-    half_up = r"CAST(CAST(round(CAST(CAST(\1 AS VARCHAR) AS DECIMAL(30, 15)), 1) AS DECIMAL(20, 1)) AS VARCHAR)"
-    rules = {k: re.sub(r"printf\('%\.1f', (\w+)\)", half_up, v) for k, v in oracles._STANDARD.items()}
-    ctes, body = {**oracles._CTES, **rules}, oracles._BODIES[name]
-    return "WITH " + ", ".join(f"{c} AS ({ctes[c].strip()})" for c in oracles._needed(body, ctes)) + " " + body
-
-
 @pytest.mark.parametrize("name", ["alert_messages", "stream_alerts"])
 def test_messages_have_all_six_rules(spark, name):
     frame = catalog.queries()[name](spark, SMALL).cache()
     assert frame.where("body LIKE '%- Light: %'").count() > 0
-    assert harness.differences(frame, harness.duck(SMALL), _all_rules(name)) == ""
+    assert harness.differences(frame, harness.duck(SMALL), oracles.oracle_sql()[name]) == ""
