@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.session import scratch
+from fieldgauge.session import delete, scratch
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +29,13 @@ def stored(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def freed(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete the folders of stored frames; for those whose readers are stored themselves."""
+    for frame in frames:
+        for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+            delete(spark, folder)
+
+
 def by_batch(
     frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:

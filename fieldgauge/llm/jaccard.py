@@ -35,7 +35,9 @@ them, and on a clash all is done anew with other hashes.
 
 Defined cases: without words a document has no shingles and is its own component. With
 fewer words than a shingle, the sequence is the one shingle. A null id belongs to a
-component but can't name it. Rows that repeat an id get the same component.
+component but can't name it. Rows that repeat an id are rows of their own, each in its own
+text's component; ``keep_one`` says which of them stay. An empty table gives no rows. A very
+long text is hashed whole, in memory of about 60 bytes for each of its bytes.
 """
 
 from __future__ import annotations
@@ -47,9 +49,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldgauge.llm import words as W
-from fieldgauge.llm.frames import own, stored
+from fieldgauge.llm.frames import freed, own, stored
 from fieldgauge.llm.graph import components
 
 SHINGLE, PERCENT = 3, 90
@@ -60,6 +63,8 @@ FIRST_PIVOTS, MORE_PIVOTS = 8, 8
 #: Places before a region's own where a pair that meets there is left to the earlier region.
 #: More save repeated pairs and cost 8 bytes a row each; the result is the same.
 LOOK_BACK = 4
+#: As many pairs, of 16 bytes, are sent to all tasks; more are joined by a shuffle.
+SENT_PAIRS = 1 << 20
 #: Bits of a shingle's hash that name its counter: a table of 4 MB, whatever the input.
 COUNTER_BITS = 22
 _BLOCK = 1 << 14  # counters that are summed together
@@ -216,16 +221,19 @@ def _compared(rows: DataFrame, nodes: DataFrame, shingle: int, seed: int) -> Dat
 
 def _distances(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     """(a, b, distance, links) of distinct pairs (a, b)."""
-    # stored, so that Spark knows their sizes: few pairs are sent to the sets, not the sets
-    # to the pairs, and of the second sides only those wanted move
+    # few pairs are sent to the sets, which then stay where they are; of the second sides
+    # only those wanted move
     spark = pairs.sparkSession
     pairs = stored(spark, pairs, "jaccard-wanted")
     seconds = stored(spark, pairs.select(F.col("b").alias("node")).distinct(), "jaccard-seconds")
+    sent = pairs, seconds
+    if pairs.count() <= SENT_PAIRS:
+        sent = F.broadcast(pairs), F.broadcast(seconds)
     left = grams.select(F.col("node").alias("a"), F.col("grams").alias("x"))
-    right = grams.join(seconds, "node", "left_semi").select(F.col("node").alias("b"), F.col("grams").alias("y"))
+    right = grams.join(sent[1], "node", "left_semi").select(F.col("node").alias("b"), F.col("grams").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     return (
-        pairs.join(left, "a")
+        sent[0].join(left, "a")
         .join(right, "b")
         .select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("sum"))
         .select(
@@ -247,26 +255,38 @@ def join(
 ) -> DataFrame:
     """(id, n_shingles, component_id): documents link if the sets of their shingles have a
     Jaccard likeness of ``percent`` or more; component_id is the smallest id reached."""
+    found, _ = _joined(docs, id, text, shingle, percent, small)
+    return found.select(
+        F.col("id").alias(id),
+        F.col("n").alias("n_shingles"),
+        F.coalesce("first.id", "id").alias("component_id"),
+    )
+
+
+def _joined(docs: DataFrame, id: str, text: str, shingle: int, percent: int, small: int) -> tuple[DataFrame, int]:
+    """The hashes' seed, and (id, n, node, first) of each row, stored: its set, and the first (id, node) of its
+    component by id and set. All other scratch tables are deleted."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     for seed in range(1, 9):
         common = _commonness(rows, shingle, seed)
         placed = stored(spark, _placed(rows, common, shingle, percent, seed), "jaccard-placed")
         clash = placed.groupBy("node").agg(F.min("proof").alias("p"), F.max("proof").alias("q"))
         if not clash.where("p <> q").limit(1).count():
             break
+        freed(spark, placed)
     else:
         raise RuntimeError("64-bit hashes clash for every seed")
     label = _labels(spark, rows, placed, shingle, percent, small, seed)
     comp = F.coalesce(F.col("comp"), F.col("node"))
-    named = placed.select("id", "n", "node").join(label, "node", "left").select("id", "n", comp.alias("comp"))
-    # only components of several documents are joined with their name
-    least = named.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("first"))
-    return named.join(least, "comp", "left").select(
-        F.col("id").alias(id),
-        F.col("n").alias("n_shingles"),
-        F.coalesce("first", "id").alias("component_id"),
-    )
+    named = placed.select("id", "n", "node").join(label, "node", "left").select("id", "n", "node", comp.alias("comp"))
+    # a row without an id can't name its component
+    candidate = F.when(F.col("id").isNotNull(), F.struct("id", "node"))
+    least = named.where("comp IS NOT NULL").groupBy("comp").agg(F.min(candidate).alias("first"))
+    found = named.join(least, "comp", "left").select("id", "n", "node", "first")
+    found = stored(spark, found, "jaccard-components")
+    freed(spark, placed, label)
+    return found, seed
 
 
 def _several(lying: DataFrame) -> DataFrame:
@@ -279,22 +299,25 @@ def _several(lying: DataFrame) -> DataFrame:
     )
 
 
-def _places(regions: str):
-    """Of each region: its place in the window, and the few regions just before it."""
+def _earlier(places: DataFrame, placed: DataFrame) -> DataFrame:
+    """``places`` (node, place, ...) with the few regions of the set just before that place.
 
-    def place(region, k):
-        before = F.slice(regions, F.greatest(k - LOOK_BACK + 1, F.lit(1)), F.least(k, F.lit(LOOK_BACK)))
-        return F.struct(k.alias("place"), region.alias("region"), before.alias("earlier"))
-
-    return F.transform(regions, place)
+    Added to those rows only that are still to be compared: beside every row of every region,
+    these lists would be most of what is shuffled.
+    """
+    windows = placed.where("size(regions) > 0").groupBy("node").agg(F.any_value("regions").alias("regions"))
+    start = F.greatest(F.col("place") - LOOK_BACK + 1, F.lit(1))
+    before = F.slice("regions", start, F.least("place", F.lit(LOOK_BACK)))
+    wanted = places.select("node").distinct()
+    return places.join(windows.join(wanted, "node", "left_semi"), "node").withColumn("earlier", before).drop("regions")
 
 
 def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
     """(node, comp) of the nodes that link to another."""
     lying = placed.where("size(regions) > 0")
     several = _several(lying.select("node", F.explode("regions").alias("region")))
-    member = ["node", "n", "place", "earlier"]
-    placing = lying.select("node", "n", F.inline(_places("regions")))
+    member = ["node", "n", "place"]
+    placing = lying.select("node", "n", F.posexplode("regions").alias("place", "region"))
     shared = stored(spark, placing.join(several, "region").select("region", *member).distinct(), "jaccard-shared")
     # sizes of sets within r differ by a factor of 100 / percent at most: a set belongs to
     # its band of sizes and to the next, so that each pair within r has a band in common
@@ -306,21 +329,24 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
     member = [*member, "upper"]
     banded = banded.select(F.xxhash64("region", "band").alias("region"), *member)
     members = stored(spark, banded.join(_several(banded), "region").distinct(), "jaccard-members")
+    freed(spark, shared)
     grams = stored(spark, _compared(rows, members.select("node"), shingle, seed), "jaccard-sets")
 
     pairs = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     measured = stored(spark, _distances(pairs, grams, percent), "jaccard-pairs")
     links = measured.where("links").select("a", "b")
-    kept = [*member, "distance"]
+    kept = [*member, "earlier", "distance"]
     first = measured.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "distance")
     # the pivot has met all others and leaves; the rest keep their distance to it
-    state = stored(
-        spark,
-        members.where("node <> pivot").join(first, ["node", "pivot"]).select("region", *kept),
-        "jaccard-regions",
-    )
-    radius = (100 - percent) / 100 + 1e-9
     label = components(spark, links)
+    # regions whose rest lies in one component are done, and need no more of their rows
+    rest = members.where("node <> pivot").join(first, ["node", "pivot"]).join(label, "node", "left")
+    rest = stored(spark, rest.select("region", *member, "distance", F.coalesce("comp", "node").alias("comp")), "jaccard-rest")
+    undone = rest.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    state = rest.join(undone.select("region"), "region", "left_semi").select("region", *member, "distance")
+    state = stored(spark, _earlier(state, placed).select("region", *kept), "jaccard-regions")
+    freed(spark, members, measured, rest)
+    radius = (100 - percent) / 100 + 1e-9
     pivots = FIRST_PIVOTS
     while True:
         labelled = state.join(label, "node", "left").select(
@@ -334,6 +360,7 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
         )
         live = stored(spark, labelled.join(open_regions, "region"), "jaccard-open")
         if not live.limit(1).count():
+            freed(spark, grams, state, live)
             return label
         draw = F.xxhash64("node", F.lit(pivots))
         share = F.pmod(draw, F.lit(1 << 30)) / float(1 << 30)
@@ -367,7 +394,9 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
         more = stored(spark, _distances(pairs, grams, percent).where("links").select("a", "b"), "jaccard-links")
         if more.limit(1).count():
             label = stored(spark, _merged(spark, label, more), "jaccard-labels")
+        seen = state
         state = stored(spark, live.where("NOT pivot").select("region", *kept), "jaccard-regions")
+        freed(spark, seen, live, more)
         pivots *= MORE_PIVOTS
 
 
@@ -384,10 +413,44 @@ def _merged(spark, label: DataFrame, links: DataFrame) -> DataFrame:
     return old.unionByName(joined.join(label.select("node"), "node", "left_anti"))
 
 
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """Of each component the rows with the smallest id, in the columns of ``docs``. Rows
-    without an id stay."""
-    found = join(docs, id, text, **settings)
-    key = own("id")
-    gone = found.where(F.col(id) != F.col("component_id")).select(F.col(id).alias(key)).distinct()
-    return docs.join(gone, docs[id] == F.col(key), "left_anti")
+def keep_one(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
+    small: int = SMALL_REGION,
+) -> DataFrame:
+    """One row of each component, the first by id and set, in the columns of ``docs``.
+
+    Rows without an id stay. Where an id repeats, its rows are told apart by their sets: each
+    stays or goes for its own text, and of rows with one id and one set one stays.
+    """
+    spark = docs.sparkSession
+    found, seed = _joined(docs, id, text, shingle, percent, small)
+    key, node = own("id"), own("node")
+    named = found.where("id IS NOT NULL").withColumnsRenamed({"id": key, "node": node})
+    twice = named.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(key)
+    twice = stored(spark, twice, "jaccard-repeated")
+    goes = F.col(node).isNotNull() & (F.struct(F.col(key).alias("id"), F.col(node).alias("node")) != F.col("first"))
+    gone = named.where(goes).select(key, node).distinct()
+    same_id = F.col(f"`{id}`") == F.col(key)
+    if twice.isEmpty():
+        return docs.join(gone.select(key), same_id, "left_anti")
+    single = docs.join(twice, same_id, "left_anti").join(gone.select(key), same_id, "left_anti")
+    several = _with_node(docs.join(twice, same_id, "left_semi"), text, own("set"), shingle, seed)
+    its_set = F.col(several.columns[-1])
+    left = several.join(gone, same_id & (its_set == F.col(node)), "left_anti")
+    one = left.where(its_set.isNotNull()).dropDuplicates([id, several.columns[-1]])
+    return single.unionByName(one.unionByName(left.where(its_set.isNull())).drop(several.columns[-1]))
+
+
+def _with_node(rows: DataFrame, text: str, name: str, shingle: int, seed: int) -> DataFrame:
+    """``rows`` with the hash of their set as a last column, null for an empty set."""
+    at = rows.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            for a, b in W.chunks(batch.column(at)):
+                part = batch.slice(a, b - a)
+                grams, bounds = sets(part.column(at), shingle, seed)
+                empty = np.diff(bounds) == 0
+                yield part.append_column(name, pa.array(_sums(grams, bounds, 1).view(np.int64), mask=empty))
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())]))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm.frames import BLANKS, ascii_lower, own, stored
+from fieldgauge.llm.frames import BLANKS, ascii_lower, freed, own, stored
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: Batches of one pass over a table; runs of a level before they are merged.
@@ -99,6 +99,7 @@ class LineRuns:
             for other in full[1:]:
                 whole = whole.unionByName(other)
             self._put(level + 1, _merged(whole))
+            freed(self.spark, *full)
 
     def merged(self) -> DataFrame:
         """One row for each key: its keeper and the number of documents with it."""
@@ -162,6 +163,9 @@ def dedup(
         .groupBy(F.col("id").alias(gone))
         .agg(F.collect_set(F.struct("h1", "h2")).alias(dropped))
     )
+    # what is dropped is little beside the keys of all lines, which can go
+    decisions = stored(spark, decisions, "line-decisions")
+    freed(spark, lines, *(run for level in runs.levels for run in level))
     rest = docs.drop("n_lines", "n_dropped")
     joined = rest.join(decisions, rest[id] == decisions[gone], "left")
 
