@@ -6,10 +6,11 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from fieldgauge.config import Thresholds
 from fieldgauge.functions import alert_rules
-from fieldgauge.functions.sql import measures, named, text
+from fieldgauge.functions.sql import measures, named, text, timestamp
 
 PENDING, SENT, FAILED = "pending", "sent", "failed"
 
@@ -107,6 +108,53 @@ def deliver(
     return marked.mapInPandas(run, rows.schema)
 
 
+# -- delivery by an append-only ledger of attempts ----------------------------------
+
+ATTEMPT_SCHEMA = (
+    "record_id string, attempt int, status string, error string, attempted_at timestamp, attempt_date date"
+)
+
+
+def folded(alerts: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Each message once, by its record id, with what the latest of its attempts left."""
+    last = ledger.groupBy("record_id").agg(
+        F.max_by(F.struct("status", "error"), F.struct("attempt", "attempted_at")).alias("last"),
+        F.max("attempt").alias("tried"),
+        F.max("attempted_at").alias("last_attempt"),
+    )
+    # the same message read by several runs: any of its equal rows
+    once = alerts.drop("status", "attempts", "last_error", "run", "batch_id").dropDuplicates(["record_id"])
+    return once.join(last, "record_id", "left").selectExpr(
+        *once.columns,
+        f"coalesce(last.status, {text(PENDING)}) AS status",
+        "coalesce(tried, 0) AS attempts",
+        "last.error AS last_error",
+        "last_attempt",
+    )
+
+
+def due_rows(state: DataFrame, as_of, max_retries: int = 3, backoff: str = "1 minute") -> DataFrame:
+    """Messages to try now: never tried, or failed with retries left and ``backoff`` times a
+    power of two since the last attempt over."""
+    wait = f"make_dt_interval(0, 0, 0, int(pow(2, least(attempts, 20) - 1)) * {_seconds(backoff)})"
+    rested = f"last_attempt IS NULL OR last_attempt + {wait} <= {timestamp(as_of)}"
+    return state.where(f"{due(max_retries)} AND ({rested})")
+
+
+def attempts(rows: DataFrame, send: Callable[[str, str, str], None], as_of) -> DataFrame:
+    """Ledger rows of one try of each message. ``send`` runs on the executors, as in ``deliver``."""
+    tried = deliver(rows.select("record_id", "recipient", "subject", "body", "status", "attempts", "last_error"), send, 1 << 30)
+    return tried.selectExpr(
+        "record_id", "attempts AS attempt", "status", "last_error AS error",
+        f"{timestamp(as_of)} AS attempted_at", f"to_date({timestamp(as_of)}) AS attempt_date",
+    )
+
+
+def _seconds(interval: str) -> int:
+    number, unit = interval.split()
+    return int(number) * {"second": 1, "minute": 60, "hour": 3600}[unit.rstrip("s")]
+
+
 def batch_stats(readings: DataFrame, batch: str, thresholds: Thresholds = _DEFAULT) -> DataFrame:
     """Readings, anomalies and alerts per batch."""
     return readings.groupBy(batch).agg(*stat_columns(thresholds))

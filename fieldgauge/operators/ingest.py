@@ -89,8 +89,11 @@ def record_id(*origin: str, json: str = "original_json") -> str:
     return f"sha2(concat_ws('|', {parts}), 256)"
 
 
-def dead_letter(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
-    """Rejected or incomplete messages, each with the first reason that applies."""
+def judge(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
+    """Every message with ``usable`` and the first reason against it, null if there is none.
+
+    ``event_date`` is the day of arrival. A message without a place is usable and has a reason.
+    """
     rows = unpack_json(
         envelope(messages), "original_json", [*ENVELOPE, "original_json"], _AUDIT_SCHEMA
     )
@@ -98,11 +101,12 @@ def dead_letter(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
     blank = "trim(coalesce(original_json, '')) = ''"
     # a JSON null is well-formed, though it names no device
     malformed = f"{_CORRUPT} IS NOT NULL AND trim(original_json) <> 'null'"
+    time = clock.event_time("timestamp", epoch_unit)
     reason = first_match(
         [
             (f"{blank} OR ({nothing_read} AND {malformed})", "'unparseable'"),
             ("deviceId IS NULL", "'missing_device_id'"),
-            (f"({clock.event_time('timestamp', epoch_unit)}) IS NULL", "'missing_timestamp'"),
+            (f"({time}) IS NULL", f"'{C.NO_TIME}'"),
             ("location IS NULL", "'missing_location'"),
         ]
     )
@@ -111,7 +115,14 @@ def dead_letter(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
         "original_json",
         f"{reason} AS reason",
         f"deviceId IS NULL AND {_MISNAMED} IS NOT NULL AS misnamed_device_id",
-    ).where("reason IS NOT NULL")
+        f"deviceId IS NOT NULL AND ({time}) IS NOT NULL AS usable",
+        "to_date(kafka_timestamp) AS event_date",
+    )
+
+
+def dead_letter(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
+    """Rejected or incomplete messages, each with the first reason that applies."""
+    return judge(messages, epoch_unit).where("reason IS NOT NULL").drop("usable", "event_date")
 
 
 def dead_letter_sample(rejected: DataFrame, size: int = 10) -> DataFrame:

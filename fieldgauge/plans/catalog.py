@@ -721,9 +721,9 @@ def stream_window_agg(spark, sf):
 @_register
 def stream_flow_metrics(spark, sf):
     messages = feed.damaged_messages(feed.readings(feed.event_stream(spark, sf)))
-    at = session.scratch(spark, "checkpoint")
-    streams.drain(streams.flow_probe(messages, at, streams.DRAIN))
-    counts = streams.flow_counts(spark, at)
+    at, path = session.scratch(spark, "checkpoint"), session.scratch(spark, "flow")
+    streams.drain(streams.flow_probe(messages, at, path, streams.DRAIN))
+    counts = streams.flow_counts(spark, path)
     return counts.agg(F.sum("received").alias("received"), F.sum("accepted").alias("accepted"))
 
 
@@ -737,3 +737,66 @@ def stream_alerts(spark, sf):
         "deviceId", "location", "sensor_timestamp", "anomaly_types", "recipient", "subject",
         "body", "status", "attempts",
     )
+
+
+def _twice_delivered(spark, sf) -> DataFrame:
+    """Damaged messages as a stream, every seventh of them delivered twice."""
+    messages = feed.damaged_messages(feed.readings(feed.event_stream(spark, sf)))
+    times = F.explode(F.expr("if(`offset` % 7 = 0, array(0, 1), array(0))"))
+    return messages.withColumn("delivery", times).drop("delivery")
+
+
+@_register
+def stream_dead_letter(spark, sf):
+    """What the reject stream stores of them: each rejected message once."""
+    path, at = session.scratch(spark, "rejects"), session.scratch(spark, "checkpoint")
+    streams.drain(streams.reject_sink(_twice_delivered(spark, sf), path, at, streams.DRAIN))
+    return tables.read_days(spark, f"{path}/dead_letters").select(
+        "topic", "partition", "offset", "reason", "misnamed_device_id"
+    )
+
+
+@_register
+def stream_message_counts(spark, sf):
+    """Received, accepted, rejected and repeated messages: nothing is lost or counted twice."""
+    path, at = session.scratch(spark, "rejects"), session.scratch(spark, "checkpoint")
+    ledger = streams.ProgressLedger(spark, f"{path}/progress")
+    spark.streams.addListener(ledger)
+    try:
+        query = streams.drain(streams.reject_sink(_twice_delivered(spark, sf), path, at, streams.DRAIN))
+        ledger.wait(query)
+    finally:
+        spark.streams.removeListener(ledger)
+    return streams.message_counts(spark, path, f"{path}/progress")
+
+
+def _refuse_one_site(recipient: str, subject: str, body: str) -> None:
+    if subject.endswith(LOCATION):
+        raise ConnectionError("no route")
+
+
+@_register
+def alert_outbox_due(spark, sf):
+    """The outbox after two rounds with a sender that fails for one site: what is due, and why."""
+    path = session.scratch(spark, "alerting")
+    rows = _readings(spark, sf).selectExpr("*", "sha2(string(event_id), 256) AS record_id")
+    for run in ("first", "anew"):  # a stream that begins again reads the same messages
+        streams.write_alert_batch(rows, 0, path, Settings(recipient=RECIPIENT), run)
+    for minutes in (0, 1, 2):  # the last is too early for a third try
+        when = AS_OF + dt.timedelta(minutes=minutes)
+        streams.deliver_due(spark, path, _refuse_one_site, when)
+    later = AS_OF + dt.timedelta(minutes=3)
+    return alerts.due_rows(streams.outbox_state(spark, path), later).select(
+        "record_id", "deviceId", "sensor_timestamp", "subject", "status", "attempts", "last_error"
+    )
+
+
+@_register
+def raw_compacted(spark, sf):
+    """Raw days that many batches have left in many files, compacted and read back."""
+    path, rows = session.scratch(spark, "raw"), _raw(spark, sf)
+    batch = F.pmod(F.xxhash64("value"), F.lit(4))
+    for k in (0, 1, 2, 3, 0):  # the first batch is run again
+        tables.append_raw(rows.where(batch == k), path, f"stream/{k}")
+    tables.compact_raw(spark, path, FIRST, LAST)
+    return bronze.unpack(tables.read_raw(spark, path)).drop("record_id")

@@ -53,7 +53,7 @@ class Lake:
 
 
 def bronze_step(spark: SparkSession, lake: Lake, first, last, as_of) -> int:
-    raw = tables.raw_days(tables.read_raw(spark, lake.raw), first, last)
+    raw = tables.read_raw(spark, lake.raw, first, last)
     rows = bronze.from_raw(raw, as_of)
     counted = tables.replace_days(
         spark, rows, lake.bronze, C.BRONZE_PARTITIONS, first, last, F.count(F.lit(1)).alias("rows")

@@ -480,6 +480,16 @@ _BODIES = {
         (SELECT max(sensor_timestamp) - INTERVAL 10 MINUTE FROM readings)""",
     "stream_flow_metrics": """SELECT count(*) AS received,
         count(*) FILTER (damage IN (0, 6)) AS accepted FROM damaged""",
+    "raw_compacted": f"SELECT {_FLAT}, {_RAW_PARTS} FROM bronze",
+    "stream_dead_letter": "SELECT * FROM rejected",
+    "stream_message_counts": """SELECT count(*) + count(*) FILTER (event_id % 7 = 0) AS received,
+        count(*) FILTER (damage IN (0, 6)) AS accepted,
+        count(*) FILTER (damage NOT IN (0, 6)) AS rejected,
+        count(*) FILTER (event_id % 7 = 0) AS repeated, CAST(0 AS BIGINT) AS too_late FROM damaged""",
+    "alert_outbox_due": f"""SELECT sha256(CAST(event_id AS VARCHAR)) AS record_id, deviceId,
+        sensor_timestamp, {_SUBJECT} AS subject, 'failed' AS status, CAST(2 AS INTEGER) AS attempts,
+        'ConnectionError: no route' AS last_error
+        FROM anomalies WHERE location = {_LOCATION} GROUP BY {_ALERT_KEY}""",
     "stream_alerts": f"""SELECT deviceId, location, sensor_timestamp, {_TYPES} AS anomaly_types,
         'admin@company.com' AS recipient, {_SUBJECT} AS subject, {_BODY} AS body,
         'pending' AS status, CAST(0 AS INTEGER) AS attempts

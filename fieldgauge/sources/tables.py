@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldgauge import contract as C
 from fieldgauge.functions.sql import date, named, text
@@ -59,29 +60,76 @@ def silver_days(spark: SparkSession, path: str, first, last) -> DataFrame | None
     return None if rows is None else rows.where("is_valid_record")
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw rows, one JSON object per line, with the schema declared.
+# -- the raw tier: JSON lines in a folder for each day of event time --------------
 
-    Read from the root: the stream's commit log there names the files that
-    count, so leftovers of a failed batch are not read.
+RAW_LINE = "value string, hour int"
+
+
+def _raw_lines(rows: DataFrame) -> DataFrame:
+    return rows.selectExpr("value", "hour", "make_date(year, month, day) AS event_date")
+
+
+def _read_lines(spark: SparkSession, path: str, first=None, last=None, only=None) -> DataFrame | None:
+    return versions.read(spark, path, first, last, file_format="json", schema=RAW_LINE, only=only)
+
+
+def read_raw(spark: SparkSession, path: str, first=None, last=None) -> DataFrame:
+    """Raw rows of all days or of some; no rows if there are none.
+
+    The manifest names the folders that count, so neither a stream's log of all its files nor
+    a listing of other days is read.
     """
-    return spark.read.schema(C.RAW_SCHEMA).json(path)
+    rows = _read_lines(spark, path, first, last)
+    if rows is None:
+        return spark.createDataFrame([], C.RAW_SCHEMA)
+    return rows.selectExpr(
+        "value", "year(event_date) AS year", "month(event_date) AS month", "day(event_date) AS day", "hour"
+    )
 
 
 def raw_days(raw: DataFrame, first, last) -> DataFrame:
-    """Raw rows of some days; the date is built from partition columns only."""
+    """Raw rows of some days; the date is built from date parts only."""
     return raw.where(between_days("make_date(year, month, day)", first, last))
 
 
-def write_raw(rows: DataFrame, path: str):
-    """Raw rows as JSON lines by year, month, day and hour (batch form of the stream sink)."""
-    (
-        packed(rows, *C.RAW_PARTITIONS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*C.RAW_PARTITIONS)
-        .json(path)
+def write_raw(rows: DataFrame, path: str) -> None:
+    """Raw rows as JSON lines; the days that they have are replaced."""
+    lines = packed(_raw_lines(rows))
+    replace_days(rows.sparkSession, lines, path, ("event_date",), None, None, file_format="json")
+
+
+def append_raw(rows: DataFrame, path: str, source: str) -> bool:
+    """A batch of raw rows, added to its days once: one file for a day, if it is not large."""
+    lines = packed(_raw_lines(rows))
+    return versions.append_once(rows.sparkSession, lines, path, ("event_date",), source, file_format="json")
+
+
+def compact_raw(spark: SparkSession, path: str, first, last, file_bytes: int = 256 << 20) -> int:
+    """Rewrite closed days that many batches have left in many small files; returns how many.
+
+    A day's files are packed into as few of about ``file_bytes`` as hold them; a day that has
+    no more than that is left alone. It must get no more rows meanwhile, see ``versions``.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/data")
+    files = files.selectExpr(
+        "regexp_extract(path, '/version=([^/]+)/', 1) AS folder",
+        "to_date(regexp_extract(path, '/event_date=([^/]+)/', 1)) AS day",
+        "length",
+    )
+    live = versions.counting(spark, path, between_days("day", first, last))
+    sizes = files.join(live, ["folder", "day"]).groupBy("day").agg(
+        F.count("*").alias("files"), F.ceil(F.sum("length") / file_bytes).cast("int").alias("needed")
     )
+    found = sizes.where("files > needed").select("day", "needed").collect()  # a row per day
+    if found:
+        lines = _read_lines(spark, path, only=[one.day for one in found])
+        wanted = F.broadcast(spark.createDataFrame(found, "event_date date, needed int"))
+        # as many parts of a day as files are needed, each written by one task
+        part = F.expr("pmod(xxhash64(value), needed)").alias("part")
+        cut = lines.join(wanted, "event_date").select("value", "hour", "event_date", part)
+        rows = cut.repartition("event_date", "part").drop("part")
+        replace_days(spark, rows, path, ("event_date",), None, None, file_format="json")
+    return len(found)
 
 
 def input_files(spark: SparkSession, path: str) -> DataFrame:

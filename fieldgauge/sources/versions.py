@@ -47,7 +47,8 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def counting(spark: SparkSession, path: str, condition: str = "true") -> DataFrame:
     """(day, folder) of the data that counts, for the days that meet a condition."""
-    rows = manifest(spark, path).where(F.col("mode") != SOURCE).where(condition)
+    # small rows: one task folds them, without a shuffle
+    rows = manifest(spark, path).where(F.col("mode") != SOURCE).where(condition).coalesce(1)
     replaced = F.max(F.when(F.col("mode") == REPLACE, F.struct("commit", "folder")))
     since = rows.withColumn("since", replaced.over(Window.partitionBy("day")))
     kept = since.where("has_rows AND (since IS NULL OR struct(commit, folder) >= since)")
@@ -56,17 +57,21 @@ def counting(spark: SparkSession, path: str, condition: str = "true") -> DataFra
 
 def replace_days(
     spark: SparkSession, rows: DataFrame | None, path: str, partitions: tuple[str, ...], first, last,
-    *measures: Column, day: str = "event_date",
+    *measures: Column, day: str = "event_date", file_format: str = "parquet",
 ) -> dict:
     """Make a table hold exactly ``rows`` for some days; None or no rows empties them.
 
+    Without ``first``, the days that the rows have are replaced.
+
     Returns the measures, taken in the pass that writes. Rows of other days are an error.
     """
     commit, folder = _next(spark, path)
-    wanted, found, seen = days(first, last), set(), {}
+    found, seen = set(), {}
     if rows is not None:
-        seen = _write(rows, path, folder, partitions, day, measures)
+        seen = _write(rows, path, folder, partitions, day, measures, file_format)
         found = set(seen.pop(_DAYS))
+    wanted = sorted(found) if first is None else days(first, last)
+    if rows is not None:
         others = found.difference(wanted)
         if others or seen.pop(_NO_DAY):
             raise ValueError(f"{path}: rows outside {first} to {last}: {sorted(map(str, others)) or 'undated'}")
@@ -77,14 +82,14 @@ def replace_days(
 
 def append(
     spark: SparkSession, rows: DataFrame, path: str, partitions: tuple[str, ...],
-    sources: DataFrame | None = None, day: str = "event_date",
+    sources: DataFrame | None = None, day: str = "event_date", file_format: str = "parquet",
 ) -> None:
     """Add rows to their days. ``sources`` (source) are remembered in the same commit.
 
     Rows without a day are kept too, see ``read_undated``.
     """
     commit, folder = _next(spark, path)
-    seen = _write(rows, path, folder, partitions, day, ())
+    seen = _write(rows, path, folder, partitions, day, (), file_format)
     found = [*sorted(seen[_DAYS]), *([None] if seen[_NO_DAY] else [])]
     entries = spark.createDataFrame([(commit, APPEND, folder, one, True, None) for one in found], MANIFEST)
     if sources is not None:
@@ -97,18 +102,36 @@ def append(
     _commit(spark, path, commit, entries)
 
 
-def read(spark: SparkSession, path: str, first=None, last=None, day: str = "event_date") -> DataFrame | None:
+def append_once(
+    spark: SparkSession, rows: DataFrame, path: str, partitions: tuple[str, ...], source: str, **more
+) -> bool:
+    """Add rows under a name, say of a stream's batch; not again if that name was committed."""
+    if not manifest(spark, path).where((F.col("mode") == SOURCE) & (F.col("source") == source)).isEmpty():
+        return False
+    append(spark, rows, path, partitions, spark.createDataFrame([(source,)], "source string"), **more)
+    return True
+
+
+def read(
+    spark: SparkSession, path: str, first=None, last=None, day: str = "event_date",
+    file_format: str = "parquet", schema: str | None = None, only: list[dt.date] | None = None,
+) -> DataFrame | None:
     """The rows of some days or, without bounds, of all; None if there are none.
 
+    ``only`` names single days instead.
+
     Only folders of those days are listed, however long the table's history.
     """
     bounds = "{} IS NOT NULL" if first is None else f"{{}} BETWEEN {date(first)} AND {date(last)}"
+    if only is not None:
+        bounds = f"{{}} IN ({', '.join(map(date, only))})" if only else "false"
     found = counting(spark, path, bounds.format("day")).collect()  # a row per day and load
     if not found:
         return None
     folders = sorted(f"{path}/data/version={r.folder}/{day}={r.day}" for r in found)
-    rows = spark.read.option("basePath", f"{path}/data").parquet(*folders).drop("version")
-    return rows.where(bounds.format(day))
+    reader = spark.read.format(file_format).option("basePath", f"{path}/data")
+    reader = reader if schema is None else reader.schema(f"{schema}, {day} date, version string")
+    return reader.load(folders).drop("version").where(bounds.format(day))
 
 
 def read_undated(spark: SparkSession, path: str, day: str = "event_date") -> DataFrame | None:
@@ -151,22 +174,22 @@ def vacuum(spark: SparkSession, path: str) -> int:
 
 
 def _next(spark: SparkSession, path: str) -> tuple[int, str]:
-    last = manifest(spark, path).agg(F.max("commit")).first()[0]
+    last = manifest(spark, path).coalesce(1).agg(F.max("commit")).first()[0]
     commit = 1 if last is None else last + 1
     return commit, f"v{commit:09d}-{uuid.uuid4().hex[:8]}"
 
 
-def _write(rows: DataFrame, path: str, folder: str, partitions, day: str, measures) -> dict:
+def _write(rows: DataFrame, path: str, folder: str, partitions, day: str, measures, file_format: str) -> dict:
     seen = Observation()
     found = [F.collect_set(day).alias(_DAYS), F.count_if(F.col(day).isNull()).alias(_NO_DAY)]
     observed = rows.observe(seen, *found, *measures)
-    observed.write.partitionBy(*partitions).parquet(f"{path}/data/version={folder}")
+    observed.write.partitionBy(*partitions).format(file_format).save(f"{path}/data/version={folder}")
     return {_DAYS: [], _NO_DAY: 0, **seen.get}
 
 
 def _commit(spark: SparkSession, path: str, commit: int, entries: DataFrame) -> None:
     """One file, so that the rename that ends the write is the moment of the change."""
     entries.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
-    writers = manifest(spark, path).where(F.col("commit") == commit).select("folder").distinct().count()
-    if writers > 1:
+    writers = manifest(spark, path).where(F.col("commit") == commit).coalesce(1)
+    if writers.agg(F.count_distinct("folder")).first()[0] > 1:
         raise RuntimeError(f"{path}: another writer committed at the same time; run this one again")

@@ -6,15 +6,18 @@ for the topic, and starts one query with its own checkpoint.
 
 from __future__ import annotations
 
+import threading
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from fieldgauge import contract as C
 from fieldgauge.config import Settings
 from fieldgauge.functions.sql import measures
 from fieldgauge.operators import alerts, ingest, windows
-from fieldgauge.sources import tables
+from fieldgauge.sources import tables, versions
 
 # Default triggers
 RAW_TRIGGER = {"processingTime": "10 seconds"}
@@ -22,45 +25,154 @@ WINDOW_TRIGGER = {"processingTime": "1 minute"}
 
 DRAIN = {"availableNow": True}
 
-FLOW = "flow"
 FLOW_COUNTS = {"received": "count(1)", "accepted": f"count_if({ingest.USABLE})"}
-FLOW_SCHEMA = "received long, accepted long, batch_id long"
+FLOW_SCHEMA = "received long, accepted long, run string, batch_id long"
 
 
 def accepted(messages: DataFrame, epoch_unit: str = "ms") -> DataFrame:
-    """Valid readings; received and accepted counts are observed on the way."""
-    parsed = ingest.parse(messages, epoch_unit)
-    counted = parsed.observe(
-        FLOW,
-        *measures(FLOW_COUNTS),
-    )
-    return ingest.accept(counted)
+    """Valid readings."""
+    return ingest.accept(ingest.parse(messages, epoch_unit))
+
+
+def stream_run(spark: SparkSession) -> str:
+    """The id of the stream whose batch this thread runs: it lives as long as its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "by-hand"
 
 
 def raw_sink(
-    messages: DataFrame, path: str, checkpoint: str, trigger: dict = RAW_TRIGGER
+    messages: DataFrame, path: str, checkpoint: str, trigger: dict = RAW_TRIGGER, epoch_unit: str = "ms"
 ) -> StreamingQuery:
-    """Messages as sent, as JSON lines by event year, month, day and hour."""
+    """Messages as sent, as JSON lines in the raw tier's day folders.
+
+    A batch that is run again is not added again; another checkpoint adds its own.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        tables.append_raw(rows, path, f"{stream_run(rows.sparkSession)}/{batch_id}")
+
     return (
-        ingest.raw_rows(accepted(messages))
+        ingest.raw_rows(ingest.accept(ingest.parse(messages, epoch_unit)))
         .writeStream.queryName("raw-lake")
-        .format("json")
-        .outputMode("append")
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(*C.RAW_PARTITIONS)
         .trigger(**trigger)
-        .start(path)
+        .start()
+    )
+
+
+# -- every message accounted for ---------------------------------------------------
+
+POSITION = ["topic", "partition", "offset"]
+ARRIVED = "arrived"
+COUNTS_SCHEMA = "run string, batch_id long, accepted long, rejected long, incomplete long"
+PROGRESS_SCHEMA = "run string, batch_id long, received long, repeated long, too_late long"
+
+
+def once_each(messages: DataFrame, delay: str = C.WATERMARK) -> DataFrame:
+    """Messages without those that were delivered again within ``delay`` of event time.
+
+    Told apart by their place in the topic. What is remembered is bounded by the delay;
+    messages are counted as they arrive.
+    """
+    arrived = messages.observe(ARRIVED, F.count(F.lit(1)).alias("received"))
+    return arrived.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(POSITION)
+
+
+def reject_sink(
+    messages: DataFrame, path: str, checkpoint: str, trigger: dict = RAW_TRIGGER, epoch_unit: str = "ms",
+    delay: str = C.WATERMARK,
+) -> StreamingQuery:
+    """Store messages that are rejected or incomplete, with the reason, and count all.
+
+    ``path`` gets ``dead_letters`` by day of arrival, and ``counts`` by batch. A batch
+    that is run again adds nothing.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        run = stream_run(spark)
+        seen = Observation()
+        judged = ingest.judge(rows, epoch_unit)
+        counted = judged.observe(seen, *measures(REJECT_COUNTS))
+        letters = tables.packed(counted.where("reason IS NOT NULL").drop("usable"))
+        source, table = f"{run}/{batch_id}", f"{path}/dead_letters"
+        if versions.append_once(spark, letters, table, ("event_date",), source):
+            counts = seen.get
+        else:  # a batch run again, whose letters are stored: its counts may not be
+            counts = judged.agg(*measures(REJECT_COUNTS)).first()
+        counted = spark.createDataFrame([(run, batch_id, *(counts[n] for n in REJECT_COUNTS))], COUNTS_SCHEMA)
+        tables.write(counted, f"{path}/counts", ("run", "batch_id"))
+
+    return (
+        once_each(messages, delay)
+        .writeStream.queryName("rejects")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+#: Accepted and rejected add up to the messages; the incomplete are among the accepted.
+REJECT_COUNTS = {
+    "accepted": "count_if(usable)",
+    "rejected": "count_if(NOT usable)",
+    "incomplete": "count_if(usable AND reason IS NOT NULL)",
+}
+
+
+class ProgressLedger(StreamingQueryListener):
+    """Stores what a batch received, and dropped as repeated or as too late, when it ends.
+
+    For streams of ``once_each``. Add it with ``spark.streams.addListener`` before the start.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self._ended = spark, path, {}
+
+    def onQueryStarted(self, event):  # noqa: N802 - names of the interface
+        self._ended.setdefault(str(event.id), threading.Event())
+
+    def onQueryProgress(self, event):  # noqa: N802
+        progress = event.progress
+        arrived = progress.observedMetrics.get(ARRIVED)
+        if arrived is None:
+            return
+        states = progress.stateOperators
+        repeated = sum(int(s.customMetrics.get("numDroppedDuplicateRows", 0)) for s in states)
+        late = sum(s.numRowsDroppedByWatermark for s in states)
+        row = (str(progress.id), progress.batchId, arrived["received"], repeated, late)
+        rows = self.spark.createDataFrame([row], PROGRESS_SCHEMA)
+        tables.write(rows.coalesce(1), self.path, ("run", "batch_id"))
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        self._ended.setdefault(str(event.id), threading.Event()).set()
+
+    def wait(self, query: StreamingQuery, timeout: float | None = None) -> None:
+        """Until all progress of an ended query is stored."""
+        if not self._ended.setdefault(str(query.id), threading.Event()).wait(timeout):
+            raise TimeoutError(f"{query.id}: its end was not reported")
+
+
+def message_counts(spark: SparkSession, path: str, progress: str) -> DataFrame:
+    """received, accepted, rejected, repeated and too_late of all batches of all runs."""
+    counts = spark.read.schema(COUNTS_SCHEMA).parquet(f"{path}/counts")
+    arrived = spark.read.schema(PROGRESS_SCHEMA).parquet(progress)
+    return (
+        counts.agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+        .join(arrived.agg(*(F.sum(n).alias(n) for n in ("received", "repeated", "too_late"))))
+        .select("received", "accepted", "rejected", "repeated", "too_late")
     )
 
 
 def flow_probe(
-    messages: DataFrame, checkpoint: str, trigger: dict = RAW_TRIGGER
+    messages: DataFrame, checkpoint: str, path: str, trigger: dict = RAW_TRIGGER
 ) -> StreamingQuery:
-    """Count what arrives and what is accepted, and store the counts by batch."""
-    spark, path = messages.sparkSession, flow_path(checkpoint)
-    # a stream without a batch has a table too
-    spark.createDataFrame([], FLOW_SCHEMA).write.mode("append").partitionBy("batch_id").parquet(path)
-    query = (
+    """Count what arrives and what is accepted, and store the counts by run and batch."""
+    return (
         ingest.parse(messages)
         .writeStream.queryName("flow")
         .foreachBatch(lambda rows, batch_id: write_flow_batch(rows, batch_id, path))
@@ -68,32 +180,38 @@ def flow_probe(
         .trigger(**trigger)
         .start()
     )
-    query.flow_path = path
-    return query
-
-
-def flow_path(checkpoint: str) -> str:
-    """Where a flow probe's counts are: beside its progress, so they begin and end with it."""
-    return f"{checkpoint.rstrip('/')}/flow_counts"
 
 
 def write_flow_batch(parsed: DataFrame, batch_id: int, path: str) -> None:
     """One micro-batch's counts. A batch that is run again replaces its own."""
-    counts = parsed.agg(*measures(FLOW_COUNTS)).withColumn("batch_id", F.lit(batch_id))
-    tables.write(counts, path, ("batch_id",))
+    spark = parsed.sparkSession
+    counts = parsed.agg(*measures(FLOW_COUNTS))
+    tables.write(
+        counts.withColumns({"run": F.lit(stream_run(spark)), "batch_id": F.lit(batch_id)}), path, ("run", "batch_id")
+    )
+
+
+def flow_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(run, batch_id, received, accepted) of every batch; no rows before the first."""
+    return _read_or_none(spark, path, FLOW_SCHEMA).select("run", "batch_id", "received", "accepted")
 
 
-def flow_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """(batch_id, received, accepted) of every batch."""
-    rows = spark.read.schema(FLOW_SCHEMA).parquet(flow_path(checkpoint))
-    return rows.select("batch_id", "received", "accepted")
+def _read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table that may not have been written yet: then it has no rows."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def window_stream(
-    messages: DataFrame, watermark: str = C.WATERMARK, width: str = C.WINDOW
+    messages: DataFrame, watermark: str = C.WATERMARK, width: str = C.WINDOW, epoch_unit: str = "ms"
 ) -> DataFrame:
     """Device windows of a stream. Readings later than the watermark are dropped."""
-    return windows.by_window(accepted(messages).withWatermark("sensor_timestamp", watermark), width)
+    readings = accepted(messages, epoch_unit).withWatermark("sensor_timestamp", watermark)
+    return windows.by_window(readings, width)
 
 
 def window_sink(
@@ -102,6 +220,7 @@ def window_sink(
     checkpoint: str,
     trigger: dict = WINDOW_TRIGGER,
     partitions: tuple[str, ...] = ("window_date",),
+    epoch_unit: str = "ms",
 ) -> StreamingQuery:
     """Closed windows as Parquet.
 
@@ -109,7 +228,7 @@ def window_sink(
     suits a small fleet only: every batch writes a file per device.
     """
     return (
-        window_stream(messages)
+        window_stream(messages, epoch_unit=epoch_unit)
         .withColumn("window_date", F.to_date("window_start"))
         .writeStream.queryName("device-windows")
         .format("parquet")
@@ -133,23 +252,27 @@ def alert_rows(readings: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def write_alert_batch(readings: DataFrame, batch_id: int, path: str, settings: Settings) -> None:
+def write_alert_batch(
+    readings: DataFrame, batch_id: int, path: str, settings: Settings, run: str | None = None
+) -> None:
     """One micro-batch: alerts and counts, from a single pass over the readings.
 
-    Both tables are cut by batch, and writing replaces the batch. A batch that
-    is run again after a failure therefore leaves no duplicates.
+    Both tables are cut by run and batch, and writing replaces the batch. A batch that
+    is run again after a failure leaves no duplicates, and a stream that begins anew with
+    another checkpoint is another run, which overwrites nothing.
     """
     spark = readings.sparkSession
+    run = run or stream_run(spark)
     seen = Observation()
     counted = readings.observe(seen, *alerts.stat_columns(settings.thresholds))
-    found = alert_rows(counted, settings).withColumn("batch_id", F.lit(batch_id))
-    tables.write(found, f"{path}/alerts", ("batch_id",))
+    found = alert_rows(counted, settings).withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id)})
+    tables.write(found, f"{path}/alerts", ("run", "batch_id"))
     counts = seen.get
-    row = (batch_id, counts["records"], counts["anomalies"], counts["alerts"])
+    row = (run, batch_id, counts["records"], counts["anomalies"], counts["alerts"])
     stats = spark.createDataFrame(
-        [row], "batch_id long, records long, anomalies long, alerts long"
+        [row], "run string, batch_id long, records long, anomalies long, alerts long"
     )
-    tables.write(stats, f"{path}/batch_stats", ("batch_id",))
+    tables.write(stats, f"{path}/batch_stats", ("run", "batch_id"))
 
 
 def alert_sink(
@@ -174,21 +297,38 @@ def alert_sink(
 
 
 def alert_table(spark: SparkSession, path: str) -> DataFrame:
+    """The alerts of all runs. A message that several runs have read is in each of them."""
     return spark.read.parquet(f"{path}/alerts")
 
 
+def outbox_state(spark: SparkSession, path: str) -> DataFrame:
+    """Each alert message once, with the status, attempts and last error of its ledger."""
+    return alerts.folded(alert_table(spark, path), _attempts(spark, path))
+
+
+def deliver_due(
+    spark: SparkSession, path: str, send, as_of, max_retries: int = 3, backoff: str = "1 minute"
+) -> None:
+    """One delivery round: try what is due, and append what came of it to the ledger.
+
+    Neither alerts nor earlier attempts are rewritten. Rows that a run was trying when it
+    ended are due again, so delivery is at-least-once.
+    """
+    due = alerts.due_rows(outbox_state(spark, path), as_of, max_retries, backoff)
+    alerts.attempts(due, send, as_of).write.mode("append").partitionBy("attempt_date").parquet(
+        f"{path}/attempts"
+    )
+
+
+def _attempts(spark: SparkSession, path: str) -> DataFrame:
+    return _read_or_none(spark, f"{path}/attempts", alerts.ATTEMPT_SCHEMA)
+
+
 def anomaly_table(spark: SparkSession, path: str) -> DataFrame:
     """The written alerts, one row per anomaly."""
     return alerts.anomalies(alert_table(spark, path), ["batch_id", *_ALERT_KEY])
 
 
-def flow_metrics(query: StreamingQuery) -> list[tuple[int, int, int]]:
-    """(batch, received, accepted) of every batch of a flow probe."""
-    spark = SparkSession.getActiveSession()
-    rows = flow_counts(spark, query.flow_path.removesuffix("/flow_counts"))
-    return sorted(tuple(row) for row in rows.collect())
-
-
 def drain(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query, without a limit unless one is given; its failure
     is raised here."""

@@ -85,14 +85,14 @@ def test_raw_days_prune_partitions(spark, tmp_path):
 
 
 def test_validity_filter_reaches_the_scan(spark, lake):
-    text = plan(silver.from_bronze(spark.read.parquet(lake), AS_OF).select("comfort_index"))
+    text = plan(silver.from_bronze(tables.read_days(spark, lake), AS_OF).select("comfort_index"))
     assert "PushedFilters: [IsNotNull(" in text
     shown = re.search(r"ReadSchema: (\S+)", text)[1]
     assert "firmware_version" not in shown and "record_id" not in shown
 
 
 def test_gold_shuffles(spark, lake):
-    rows = silver.from_bronze(spark.read.parquet(lake), AS_OF)
+    rows = silver.from_bronze(tables.read_days(spark, lake), AS_OF)
     by_device = gold.partials(rows, by_hour=False)
     assert shuffles(gold.device(by_device, AS_OF)) == 1
     assert shuffles(gold.daily(by_device, AS_OF)) == 2
@@ -103,18 +103,18 @@ def test_gold_shuffles(spark, lake):
 
 
 def test_partials_carry_only_what_is_used(spark, lake):
-    rows = silver.from_bronze(spark.read.parquet(lake), AS_OF)
+    rows = silver.from_bronze(tables.read_days(spark, lake), AS_OF)
     slim = gold.daily(gold.partials(rows, by_hour=False), AS_OF).select("location", "active_hours")
     assert "temperature_sum" not in logical(slim)
 
 
 def test_bronze_report_expands_groups_not_rows(spark, lake):
-    text = plan(bronze.report(spark.read.parquet(lake)))
+    text = plan(bronze.report(tables.read_days(spark, lake)))
     assert text.index("Expand") < text.index("partial_min(bronze_ingestion_time")
 
 
 def test_every_aggregate_combines_before_its_shuffle(spark, lake):
-    rows = spark.read.parquet(lake)
+    rows = tables.read_days(spark, lake)
     for table in (quality.by_device(silver.standardize(rows)), bronze.distribution(rows, "location")):
         assert "partial_count" in plan(table)
 

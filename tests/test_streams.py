@@ -113,9 +113,16 @@ def test_alerts_survive_a_restart_and_a_replay(spark, tmp_path):
     readings = ingest.accept(ingest.parse(again)).selectExpr(
         "*", f"{ingest.record_id('topic', 'partition', 'offset')} AS record_id"
     )
-    streams.write_alert_batch(readings, 1, out, settings)
+    run = found.first().run
+    streams.write_alert_batch(readings, 1, out, settings, run)
     assert streams.alert_table(spark, out).count() == 2
     assert spark.read.parquet(f"{out}/batch_stats").count() == 2
+    # a stream that begins anew overwrites nothing, and its messages are the same ones
+    source = broker.file_stream(spark, str(arrived))
+    streams.drain(streams.alert_sink(source, out, str(tmp_path / "anew"), settings, streams.DRAIN))
+    both = streams.alert_table(spark, out)
+    assert both.select("run").distinct().count() == 2 and both.count() == 4
+    assert streams.outbox_state(spark, out).count() == 2
 
 
 def test_stream_alerts_equal_batch_alerts(spark, tmp_path):
@@ -161,10 +168,96 @@ def test_a_failed_stream_is_raised(spark, tmp_path):
 def test_flow_counts(spark, tmp_path):
     arrived = tmp_path / "in"
     arrive(spark, arrived, minute(0), "{", "{}")
+    path = str(tmp_path / "flow")
+    assert streams.flow_counts(spark, path).count() == 0
     query = streams.flow_probe(
-        broker.file_stream(spark, str(arrived)), str(tmp_path / "at"), streams.DRAIN
+        broker.file_stream(spark, str(arrived)), str(tmp_path / "at"), path, streams.DRAIN
     )
-    assert streams.flow_metrics(streams.drain(query)) == [(0, 3, 1)]
+    streams.drain(query)
+    assert rows_of(streams.flow_counts(spark, path), "batch_id", "received", "accepted") == [(0, 3, 1)]
+
+
+def test_a_message_delivered_twice_is_stored_and_counted_once(spark, tmp_path):
+    """Repeated within a batch, in a later batch and after a restart."""
+    arrived, path, at = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "at")
+    ledger = streams.ProgressLedger(spark, f"{path}/progress")
+    spark.streams.addListener(ledger)
+    try:
+        for values in ([minute(0), "{"], ["{"], [minute(2), minute(2, deviceId=None)]):
+            offset = 1 if values == ["{"] else 0 if len(values[0]) > 1 and values[0] == minute(0) else 2
+            arrive(spark, arrived, *values, first_offset=offset)
+            query = streams.reject_sink(broker.file_stream(spark, str(arrived)), path, at, streams.DRAIN)
+            ledger.wait(streams.drain(query), 300)
+    finally:
+        spark.streams.removeListener(ledger)
+    letters = tables.read_days(spark, f"{path}/dead_letters")
+    assert rows_of(letters, "offset", "reason") == [(1, "unparseable"), (3, "missing_device_id")]
+    counts = streams.message_counts(spark, path, f"{path}/progress").first()
+    assert tuple(counts) == (5, 2, 2, 1, 0)
+    assert counts.received == counts.accepted + counts.rejected + counts.repeated
+
+
+def test_a_reject_batch_run_again_adds_nothing(spark, tmp_path, monkeypatch):
+    """The run ends after the letters are stored and before the counts are."""
+    arrived, path, at = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "at")
+    arrive(spark, arrived, minute(0), "{")
+
+    def stop(*_):
+        raise KeyError("stopped")
+
+    with monkeypatch.context() as between, pytest.raises(Exception, match="stopped"):
+        between.setattr(tables, "write", stop)
+        streams.drain(streams.reject_sink(broker.file_stream(spark, str(arrived)), path, at, streams.DRAIN))
+    streams.drain(streams.reject_sink(broker.file_stream(spark, str(arrived)), path, at, streams.DRAIN))
+    assert tables.read_days(spark, f"{path}/dead_letters").count() == 1
+    # a batch without messages may follow, which only moves the watermark
+    counts = spark.read.parquet(f"{path}/counts").where("accepted + rejected > 0")
+    assert rows_of(counts, "accepted", "rejected") == [(1, 1)]
+
+
+def test_sent_messages_are_never_rewritten(spark, tmp_path):
+    """Retries with growing pauses, up to a limit; files that exist stay as they are."""
+    path, settings = str(tmp_path / "out"), Settings(recipient="a@example.org")
+    bad = samples.envelopes(spark, minute(0, temperature=95.0), minute(1, acidity=1.0))
+    readings = ingest.accept(ingest.parse(bad)).selectExpr("*", "string(offset) AS record_id")
+    streams.write_alert_batch(readings, 0, path, settings, "r")
+
+    def send(recipient, subject, body):
+        if "Temperature" in body:
+            raise ConnectionError("no route")
+
+    start, tried = dt.datetime(2024, 1, 1, 12), []
+    for minutes in range(12):
+        before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*.parquet")}
+        streams.deliver_due(spark, path, send, start + dt.timedelta(minutes=minutes), max_retries=3)
+        assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+        state = {r.record_id: r for r in streams.outbox_state(spark, path).collect()}
+        tried.append(state["0"].attempts)
+    # tries at once, then after one, two and four minutes
+    assert tried == [1, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4, 4]
+    assert (state["1"].status, state["1"].attempts, state["1"].last_error) == ("sent", 1, None)
+    assert (state["0"].status, state["0"].last_error) == ("failed", "ConnectionError: no route")
+
+
+def test_raw_files_are_few_and_compacted(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    messages = feed.messages(feed.readings(feed.events(spark, SMALL)))
+    rows = ingest.raw_rows(ingest.accept(ingest.parse(messages)))
+    day = dt.date(2024, 1, 5)
+    for k in range(3):
+        assert tables.append_raw(rows.where(f"hour % 3 = {k}"), path, f"run/{k}")
+    assert not tables.append_raw(rows.where("hour % 3 = 0"), path, "run/0")
+    one = tables.read_raw(spark, path, day, day)
+    assert len(one.inputFiles()) == 3
+    assert all("event_date=2024-01-05" in name for name in one.inputFiles())
+    expected = tables.raw_days(rows, day, day).count()
+    assert tables.compact_raw(spark, path, day, day) == 1 and tables.compact_raw(spark, path, day, day) == 0
+    again = tables.read_raw(spark, path, day, day)
+    assert len(again.inputFiles()) == 1 and again.count() == expected == one.count()
+    assert tables.read_raw(spark, path).count() == rows.count()
+    # a batch whose day was compacted is still known
+    assert not tables.append_raw(rows.where("hour % 3 = 1"), path, "run/1")
+    assert tables.read_raw(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_kafka_options():
