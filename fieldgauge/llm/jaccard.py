@@ -21,7 +21,9 @@ Regions join recursively. The region's smallest set is its pivot; all others are
 with it, and components of the links are formed. A region is done when the rest lies in one
 component. Otherwise more pivots are drawn, eight times as many each round, or all if the region
 is small; a pivot is compared with those of other components only, and only if the triangle
-inequality allows it: their distances to the first pivot differ by r at most. Nor is a
+inequality allows it: their distances to the first pivot differ by r at most. Sets are read
+for a pair only if their sketches, of fixed size, leave it possible that they are within r;
+for others the sketches' lower bound of the distance is kept, and 1 as the upper. Nor is a
 pair compared where too few shingles follow the region's own in either set: the first
 region that two sets share stands before all else they have in common. A pair that was
 together in a region shortly before, or in the lower of two bands, is left to that one:
@@ -63,6 +65,8 @@ FIRST_PIVOTS, MORE_PIVOTS = 8, 8
 #: Places before a region's own where a pair that meets there is left to the earlier region.
 #: More save repeated pairs and cost 8 bytes a row each; the result is the same.
 LOOK_BACK = 4
+#: Parities of a set's shingles that tell most pairs beyond the radius apart without their sets.
+SKETCH_BITS = 1024
 #: As many pairs, of 16 bytes, are sent to all tasks; more are joined by a shuffle.
 SENT_PAIRS = 1 << 20
 #: Bits of a shingle's hash that name its counter: a table of 4 MB, whatever the input.
@@ -163,8 +167,23 @@ def _sums(grams: np.ndarray, bounds: np.ndarray, salt: int) -> np.ndarray:
     return W.mix(sums[bounds[1:]] - sums[bounds[:-1]] + (bounds[1:] - bounds[:-1]).astype(np.uint64))
 
 
+def _sketches(grams: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """For each set, ``SKETCH_BITS`` parities: whether an odd number of shingles fall on a bit.
+
+    The parities in which two sketches differ are those of the sets' symmetric difference, so
+    there are no more of them than shingles in that difference.
+    """
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    place = owner * SKETCH_BITS + (grams % np.uint64(SKETCH_BITS)).astype(np.int64)
+    place, count = np.unique(place, return_counts=True)
+    place = place[count % 2 == 1]
+    longs = np.zeros((len(bounds) - 1) * SKETCH_BITS // 64, np.uint64)
+    np.bitwise_or.at(longs, place // 64, np.uint64(1) << (place % 64).astype(np.uint64))
+    return _lists(longs, np.full(len(bounds) - 1, SKETCH_BITS // 64))
+
+
 def _placed(rows: DataFrame, common: np.ndarray, shingle: int, percent: int, seed: int) -> DataFrame:
-    """(id, n, node, proof, regions): node and proof are null for an empty set."""
+    """(id, n, node, proof, regions, sketch): node and proof are null for an empty set."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -181,11 +200,12 @@ def _placed(rows: DataFrame, common: np.ndarray, shingle: int, percent: int, see
                         pa.array(_sums(grams, bounds, 1).view(np.int64), mask=empty),
                         pa.array(_sums(grams, bounds, 2).view(np.int64), mask=empty),
                         _lists(region, np.bincount(text, minlength=b - a)),
+                        _sketches(grams, bounds),
                     ],
-                    names=["id", "n", "node", "proof", "regions"],
+                    names=["id", "n", "node", "proof", "regions", "sketch"],
                 )
 
-    return rows.mapInArrow(run, f"id {kind}, n long, node long, proof long, regions array<long>")
+    return rows.mapInArrow(run, f"id {kind}, n long, node long, proof long, regions array<long>, sketch array<long>")
 
 
 def _compared(rows: DataFrame, nodes: DataFrame, shingle: int, seed: int) -> DataFrame:
@@ -219,21 +239,49 @@ def _compared(rows: DataFrame, nodes: DataFrame, shingle: int, seed: int) -> Dat
     return found.groupBy("node").agg(F.any_value("grams").alias("grams"))
 
 
-def _distances(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
-    """(a, b, distance, links) of distinct pairs (a, b)."""
+def _judged(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(a, b, lo, possible) of distinct pairs: a lower bound of the distance by the sketches
+    (node, n, sketch), and whether it lies within the radius."""
+    first = sketches.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("x"))
+    second = sketches.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("y"))
+    differ = F.aggregate(
+        F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, k: total + k
+    )
+    apart = pairs.join(first, "a").join(second, "b").select(
+        "a", "b", differ.cast("long").alias("apart"), (F.col("n_a") + F.col("n_b")).alias("sum")
+    )
+    return apart.select(
+        "a",
+        "b",
+        (2 * F.col("apart") / (F.col("sum") + F.col("apart"))).alias("lo"),
+        (100 * (F.col("sum") - F.col("apart")) >= percent * (F.col("sum") + F.col("apart"))).alias("possible"),
+    )
+
+
+def _distances(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int, seed: int) -> DataFrame:
+    """(a, b, distance, links) of distinct pairs (a, b), stored; the sets are read for them."""
     # few pairs are sent to the sets, which then stay where they are; of the second sides
     # only those wanted move
     spark = pairs.sparkSession
     pairs = stored(spark, pairs, "jaccard-wanted")
     seconds = stored(spark, pairs.select(F.col("b").alias("node")).distinct(), "jaccard-seconds")
+    nodes = seconds.union(pairs.select(F.col("a").alias("node")))
+    grams = stored(spark, _compared(rows, nodes, shingle, seed), "jaccard-sets")
     sent = pairs, seconds
     if pairs.count() <= SENT_PAIRS:
         sent = F.broadcast(pairs), F.broadcast(seconds)
+    found = _overlaps(sent[0], sent[1], grams, percent)
+    found = stored(spark, found, "jaccard-pairs")
+    freed(spark, pairs, seconds, grams)
+    return found
+
+
+def _overlaps(pairs: DataFrame, seconds: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     left = grams.select(F.col("node").alias("a"), F.col("grams").alias("x"))
-    right = grams.join(sent[1], "node", "left_semi").select(F.col("node").alias("b"), F.col("grams").alias("y"))
+    right = grams.join(seconds, "node", "left_semi").select(F.col("node").alias("b"), F.col("grams").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     return (
-        sent[0].join(left, "a")
+        pairs.join(left, "a")
         .join(right, "b")
         .select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("sum"))
         .select(
@@ -305,11 +353,12 @@ def _earlier(places: DataFrame, placed: DataFrame) -> DataFrame:
     Added to those rows only that are still to be compared: beside every row of every region,
     these lists would be most of what is shuffled.
     """
-    windows = placed.where("size(regions) > 0").groupBy("node").agg(F.any_value("regions").alias("regions"))
+    wanted = places.select("node").distinct()
+    windows = placed.select("node", "regions").join(wanted, "node", "left_semi")
+    windows = windows.groupBy("node").agg(F.any_value("regions").alias("regions"))
     start = F.greatest(F.col("place") - LOOK_BACK + 1, F.lit(1))
     before = F.slice("regions", start, F.least("place", F.lit(LOOK_BACK)))
-    wanted = places.select("node").distinct()
-    return places.join(windows.join(wanted, "node", "left_semi"), "node").withColumn("earlier", before).drop("regions")
+    return places.join(windows, "node").withColumn("earlier", before).drop("regions")
 
 
 def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
@@ -330,22 +379,35 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
     banded = banded.select(F.xxhash64("region", "band").alias("region"), *member)
     members = stored(spark, banded.join(_several(banded), "region").distinct(), "jaccard-members")
     freed(spark, shared)
-    grams = stored(spark, _compared(rows, members.select("node"), shingle, seed), "jaccard-sets")
+    wanted = members.select("node").distinct()
+    sketches = placed.join(wanted, "node", "left_semi").groupBy("node").agg(
+        F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch")
+    )
+    sketches = stored(spark, sketches, "jaccard-sketches")
+
+    def near_pairs(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        judged = stored(spark, _judged(pairs, sketches, percent), "jaccard-judged")
+        return judged, _distances(judged.where("possible").select("a", "b"), rows, shingle, percent, seed)
 
     pairs = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    measured = stored(spark, _distances(pairs, grams, percent), "jaccard-pairs")
+    judged, measured = near_pairs(pairs)
     links = measured.where("links").select("a", "b")
-    kept = [*member, "earlier", "distance"]
-    first = measured.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "distance")
-    # the pivot has met all others and leaves; the rest keep their distance to it
+    # the pivot has met all others and leaves; the rest keep the bounds of their distance to it
+    kept = [*member, "earlier", "lo", "hi"]
+    first = judged.join(measured, ["a", "b"], "left").select(
+        F.col("a").alias("node"),
+        F.col("b").alias("pivot"),
+        F.coalesce("distance", "lo").alias("lo"),
+        F.coalesce("distance", F.lit(1.0)).alias("hi"),
+    )
     label = components(spark, links)
     # regions whose rest lies in one component are done, and need no more of their rows
     rest = members.where("node <> pivot").join(first, ["node", "pivot"]).join(label, "node", "left")
-    rest = stored(spark, rest.select("region", *member, "distance", F.coalesce("comp", "node").alias("comp")), "jaccard-rest")
+    rest = stored(spark, rest.select("region", *member, "lo", "hi", F.coalesce("comp", "node").alias("comp")), "jaccard-rest")
     undone = rest.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    state = rest.join(undone.select("region"), "region", "left_semi").select("region", *member, "distance")
+    state = rest.join(undone.select("region"), "region", "left_semi").select("region", *member, "lo", "hi")
     state = stored(spark, _earlier(state, placed).select("region", *kept), "jaccard-regions")
-    freed(spark, members, measured, rest)
+    freed(spark, members, judged, measured, rest)
     radius = (100 - percent) / 100 + 1e-9
     pivots = FIRST_PIVOTS
     while True:
@@ -360,7 +422,7 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
         )
         live = stored(spark, labelled.join(open_regions, "region"), "jaccard-open")
         if not live.limit(1).count():
-            freed(spark, grams, state, live)
+            freed(spark, sketches, state, live)
             return label
         draw = F.xxhash64("node", F.lit(pivots))
         share = F.pmod(draw, F.lit(1 << 30)) / float(1 << 30)
@@ -370,13 +432,14 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
             "region",
             F.col("node").alias("b"),
             F.col("comp").alias("other"),
-            F.col("distance").alias("far"),
+            F.col("lo").alias("lo_b"),
+            F.col("hi").alias("hi_b"),
             F.col("n").alias("m"),
             F.col("place").alias("place_b"),
             F.col("earlier").alias("earlier_b"),
             F.col("upper").alias("upper_b"),
         )
-        near = F.abs(F.col("distance") - F.col("far")) <= radius
+        near = (F.col("lo") - F.col("hi_b") <= radius) & (F.col("lo_b") - F.col("hi") <= radius)
         # in the first region that two sets share, all they have in common is yet to come
         enough = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("place_b")) * (100 + percent) >= percent * (
             F.col("n") + F.col("m")
@@ -391,12 +454,13 @@ def _labels(spark, rows, placed, shingle, percent, small, seed) -> DataFrame:
             .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
             .distinct()
         )
-        more = stored(spark, _distances(pairs, grams, percent).where("links").select("a", "b"), "jaccard-links")
+        judged, measured = near_pairs(pairs)
+        more = measured.where("links").select("a", "b")
         if more.limit(1).count():
             label = stored(spark, _merged(spark, label, more), "jaccard-labels")
         seen = state
         state = stored(spark, live.where("NOT pivot").select("region", *kept), "jaccard-regions")
-        freed(spark, seen, live, more)
+        freed(spark, seen, live, judged, measured)
         pivots *= MORE_PIVOTS
 
 

@@ -187,3 +187,24 @@ def test_one_vector_many_times(spark):
     found = lists(nearest.search(frame, F.col("vec_id") == 1, k=4, block=16))
     more = [k for k, v in rows if np.dot(v, [1, 2, 3]) > 14]
     assert [i for i, _ in found[1]] == (more + [3, 5, 7, 9])[:4] if len(more) < 4 else True
+
+
+# -- the Jaccard join's sketches ---------------------------------------------------
+
+
+def test_sketches_never_exceed_the_difference():
+    import pyarrow as pa
+
+    from fieldgauge.llm import jaccard
+
+    draw = random.Random(8)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(draw.choices(words, k=draw.randint(0, 300))) for _ in range(40)]
+    texts += [t.replace("w1 ", "x ") for t in texts]
+    grams, bounds = jaccard.sets(pa.array(texts), 3, 1)
+    sets = [set(grams[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    bits = [np.array(s, np.int64).view(np.uint8) for s in jaccard._sketches(grams, bounds).to_pylist()]
+    for a in range(0, 80, 3):
+        for b in range(a, 80, 5):
+            apart = int(np.unpackbits(bits[a] ^ bits[b]).sum())
+            assert apart <= len(sets[a] ^ sets[b]) and (apart - len(sets[a] ^ sets[b])) % 2 == 0
