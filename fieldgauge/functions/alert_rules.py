@@ -97,9 +97,9 @@ def subject(prefix: str = C.SUBJECT_PREFIX) -> str:
 
 def body(anomalies: str, time: str) -> str:
     """Plain-text message with one bullet per anomaly."""
-    head = text(C.MESSAGE_HEAD.format(device="\0", location="\0", time="\0")).split("\0")
-    values = [_DEVICE, _LOCATION, f"date_format({time}, 'yyyy-MM-dd HH:mm:ss')"]
-    opening = "".join(f"{part}', {value}, '" for part, value in zip(head, values)) + head[-1]
+    head = text(C.MESSAGE_HEAD.format(device="%s", location="%s", time="%s"))
+    sent = f"date_format({time}, 'yyyy-MM-dd HH:mm:ss')"
+    opening = f"format_string({head}, {_DEVICE}, {_LOCATION}, {sent})"
     bullets = (
         f"transform({anomalies}, a -> "
         "concat('- ', a.type, ': ', a.value, ' (threshold: ', a.threshold, ')'))"

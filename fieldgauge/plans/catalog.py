@@ -579,6 +579,78 @@ def export_summary(spark, sf):
     return daily_job.export_summary(outcome, AS_OF)
 
 
+# -- feeds that reach the branches that the usual one does not --------------------
+
+
+def _health_feed(spark, sf) -> DataFrame:
+    """One day of devices that differ in the hours they send and in their battery."""
+    hours = "event_id % (6 + 6 * (user_id % 4))"
+    day = 1705276800  # 2024-01-15, a fixed value
+    rows = feed.events(spark, sf).selectExpr("event_id", "user_id")
+    time = rows.selectExpr(
+        "event_id", f"timestamp_seconds({day} + 3600 * ({hours})) AS sensor_timestamp",
+        f"1000 * ({day} + 3600 * ({hours})) AS timestamp",
+        "int(case user_id % 5 when 4 then null else 25 + 20 * (user_id % 5) end) AS battery_level",
+    )
+    return _readings(spark, sf).drop("sensor_timestamp", "timestamp", "battery_level").join(time, "event_id")
+
+
+def _year_feed(spark, sf) -> DataFrame:
+    """The same readings over a year."""
+    later = "event_id % 366"
+    return _readings(spark, sf).withColumns(
+        {
+            "timestamp": F.expr(f"timestamp + ({later}) * 86400000"),
+            "sensor_timestamp": F.expr(f"sensor_timestamp + make_dt_interval(int({later}))"),
+        }
+    )
+
+
+_BROKEN = {
+    "deviceId": "if(event_id % 11 = 0, '', deviceId)",
+    "location": "if(event_id % 13 = 0, '', location)",
+    "timestamp": "if(event_id % 17 = 0, null, timestamp)",
+    "sensor_timestamp": "if(event_id % 17 = 0, null, sensor_timestamp)",
+    "humidity": "if(event_id % 19 = 0, 100.5D, humidity)",
+    "pressure": "if(event_id % 23 = 0, if(event_id % 2 = 0, -1.0D, 499.0D), pressure)",
+    "light": "if(event_id % 29 = 0, -0.5D, light)",
+}
+
+
+def _broken_feed(spark, sf) -> DataFrame:
+    """Readings that break every rule but the one on the device type, which has a default."""
+    return _readings(spark, sf).withColumns({name: F.expr(rule) for name, rule in _BROKEN.items()})
+
+
+def _bronze_of(rows: DataFrame) -> DataFrame:
+    return bronze.stamp(rows.selectExpr("*", "sha2(string(event_id), 256) AS record_id"), AS_OF)
+
+
+@_register
+def silver_calendar_year(spark, sf):
+    rows = silver.from_bronze(_bronze_of(_year_feed(spark, sf)), AS_OF)
+    return rows.select("record_id", "hour_of_day", "day_of_week", "is_weekend", "season")
+
+
+@_register
+def gold_device_health(spark, sf):
+    rows = silver.from_bronze(_bronze_of(_health_feed(spark, sf)), AS_OF)
+    table = gold.device(gold.partials(rows, by_hour=False), AS_OF)
+    return table.select("deviceId", "active_hours", "total_readings", "device_health")
+
+
+@_register
+def silver_rule_flags_broken(spark, sf):
+    flagged = quality.flag_rules(silver.standardize(_bronze_of(_broken_feed(spark, sf))))
+    flags = [f"{name}_valid" for name in C.RULES]
+    return flagged.select("record_id", *flags, "is_valid_record", "data_quality_score")
+
+
+@_register
+def quality_flag_broken(spark, sf):
+    return quality.flag_first_failure(_broken_feed(spark, sf)).select("event_id", "data_quality_flag")
+
+
 # -- the stored job: raw to marts through tables, and read back -----------------
 
 
@@ -669,6 +741,12 @@ def dash_irrigation(spark, sf):
     return reports.irrigation(_daily_mart(spark, sf), LOCATION, AS_OF)
 
 
+@_register
+def dash_irrigation_status(spark, sf):
+    score = reports.irrigation(_daily_mart(spark, sf), LOCATION, AS_OF)
+    return reports.with_status("irrigation", score, "irrigation_efficiency")
+
+
 @_register
 def dash_growing_degree_days(spark, sf):
     return reports.growing_degree_days(_daily_mart(spark, sf), LOCATION, AS_OF)

@@ -480,6 +480,24 @@ _BODIES = {
         (SELECT max(sensor_timestamp) - INTERVAL 10 MINUTE FROM readings)""",
     "stream_flow_metrics": """SELECT count(*) AS received,
         count(*) FILTER (damage IN (0, 6)) AS accepted FROM damaged""",
+    "silver_calendar_year": """SELECT record_id, hour_of_day, day_of_week, is_weekend, season
+        FROM silver""",
+    "gold_device_health": "SELECT deviceId, active_hours, total_readings, device_health FROM device",
+    "silver_rule_flags_broken": f"""SELECT record_id, {_FLAG_NAMES}, is_valid_record,
+        data_quality_score FROM scored""",
+    "quality_flag_broken": """SELECT event_id, CASE
+        WHEN temperature IS NULL OR temperature < -50 OR temperature > 100 THEN 'INVALID_TEMP'
+        WHEN humidity IS NULL OR humidity < 0 OR humidity > 100 THEN 'INVALID_HUMIDITY'
+        WHEN pressure IS NULL OR pressure < 0 THEN 'INVALID_PRESSURE'
+        ELSE 'VALID' END AS data_quality_flag FROM readings""",
+    "dash_irrigation_status": f"""SELECT *, CASE WHEN irrigation_efficiency >= 85 THEN 'dark-green'
+        WHEN irrigation_efficiency >= 30 THEN 'semi-dark-green' ELSE 'red' END AS status FROM (
+        SELECT location, CAST(avg(avg_humidity) AS DECIMAL(10, 1)) AS soil_moisture,
+        CASE WHEN avg(avg_humidity) BETWEEN 40 AND 70 THEN 100
+             WHEN avg(avg_humidity) BETWEEN 30 AND 80 THEN 75
+             WHEN avg(avg_humidity) BETWEEN 20 AND 90 THEN 50 ELSE 25 END AS irrigation_efficiency
+        FROM mart WHERE location = {_LOCATION}
+        AND report_date BETWEEN {_AS_OF_DATE} - 7 AND {_AS_OF_DATE} GROUP BY location) s""",
     "raw_compacted": f"SELECT {_FLAT}, {_RAW_PARTS} FROM bronze",
     "stream_dead_letter": "SELECT * FROM rejected",
     "stream_message_counts": """SELECT count(*) + count(*) FILTER (event_id % 7 = 0) AS received,
@@ -496,7 +514,39 @@ _BODIES = {
         FROM anomalies GROUP BY {_ALERT_KEY}""",
 }
 
+def _replaced(**columns: str) -> dict[str, str]:
+    """The feed with some columns given anew."""
+    given = ", ".join(f'{expr} AS "{name}"' for name, expr in columns.items())
+    return {"readings": f"SELECT * REPLACE ({given}) FROM ({_CTES['readings']}) r"}
+
+
+_HOUR = "event_id % (6 + 6 * (user_id % 4))"
+_HEALTH_FEED = {
+    "readings": _replaced(
+        sensor_timestamp=f"TIMESTAMP '2024-01-15 00:00:00' + to_hours(CAST({_HOUR} AS INTEGER))",
+        timestamp=f"1705276800000 + 3600000 * ({_HOUR})",
+        battery_level="CAST(CASE user_id % 5 WHEN 4 THEN NULL ELSE 25 + 20 * (user_id % 5) END AS INTEGER)",
+    )["readings"].replace("SELECT event_id, loc", "SELECT event_id, user_id, loc", 1)
+}
+_YEAR_FEED = _replaced(
+    sensor_timestamp="sensor_timestamp + to_days(CAST(event_id % 366 AS INTEGER))",
+    timestamp='"timestamp" + (event_id % 366) * 86400000',
+)
+_BROKEN_FEED = _replaced(
+    deviceId="CASE WHEN event_id % 11 = 0 THEN '' ELSE deviceId END",
+    location="CASE WHEN event_id % 13 = 0 THEN '' ELSE location END",
+    timestamp='CASE WHEN event_id % 17 <> 0 THEN "timestamp" END',
+    sensor_timestamp="CASE WHEN event_id % 17 <> 0 THEN sensor_timestamp END",
+    humidity="CASE WHEN event_id % 19 = 0 THEN 1005 / 1e1 ELSE humidity END",
+    pressure="CASE WHEN event_id % 46 = 0 THEN -1e0 WHEN event_id % 23 = 0 THEN 499e0 ELSE pressure END",
+    light="CASE WHEN event_id % 29 = 0 THEN -5 / 1e1 ELSE light END",
+)
+
 _RULES_USED = {
+    "gold_device_health": {**_STANDARD, **_HEALTH_FEED},
+    "silver_calendar_year": {**_STANDARD, **_YEAR_FEED},
+    "silver_rule_flags_broken": {**_STANDARD, **_BROKEN_FEED},
+    "quality_flag_broken": {**_STANDARD, **_BROKEN_FEED},
     "alert_types_without_battery": _NO_BATTERY,
     "alert_custom_thresholds": _NARROW,
 }
