@@ -51,6 +51,17 @@ def partials(silver: DataFrame, by_hour: bool = True) -> DataFrame:
     return silver.groupBy(*(HOUR_KEY if by_hour else DEVICE_KEY)).agg(*measures(found))
 
 
+def fingerprints(silver: DataFrame) -> DataFrame:
+    """(event_date, readings, digest): equal for a day whose rows are the same, in any order.
+
+    The digest is the sum of a hash of each row, of all that gold uses; so it needs no sort,
+    and one small row for each day and task is shuffled.
+    """
+    used = [*HOUR_KEY, *_PRESENT, *_OPTIONAL, "motion", "comfort_index", "light_category", "acidity_category", "sensor_timestamp"]
+    digest = f"string(sum(CAST(xxhash64({', '.join(used)}) AS decimal(20, 0))))"
+    return silver.groupBy("event_date").agg(*measures({"readings": "count(1)", "digest": digest}))
+
+
 def merge_hours(parts: DataFrame) -> DataFrame:
     """Partials by hour, merged to one row per device and day."""
     added = ["readings", *_COUNTED]

@@ -31,7 +31,7 @@ from fieldgauge.operators import (
     windows,
 )
 from fieldgauge.plans import daily_job
-from fieldgauge.sources import feed, serving, tables
+from fieldgauge.sources import broker, feed, serving, tables
 from fieldgauge.streaming import queries as streams
 
 AS_OF = dt.datetime(2024, 1, 31)
@@ -817,6 +817,35 @@ def stream_alerts(spark, sf):
     )
 
 
+def _in_turns(spark, sf, turns: int = 4) -> str:
+    """The feed's messages as files that arrive one after another, in no order of time."""
+    path = session.scratch(spark, "arrived")
+    messages = _messages(spark, sf)
+    for k in range(turns):
+        messages.where(F.pmod(F.xxhash64("offset"), F.lit(turns)) == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@_register
+def stream_window_latest(spark, sf):
+    """Windows corrected by readings of later batches, all within the watermark's delay.
+
+    The delay is the feed's whole span, so that no reading is too late."""
+    path, at = session.scratch(spark, "windows"), session.scratch(spark, "checkpoint")
+    source = broker.file_stream(spark, _in_turns(spark, sf), files_per_trigger=1)
+    streams.drain(streams.window_update_sink(source, path, at, streams.DRAIN, watermark="400 days"))
+    return _steadied(streams.latest_windows(spark, path))
+
+
+@_register
+def stream_window_state(spark, sf):
+    """Windows that the state still holds after a restart: those that the watermark leaves open."""
+    path, at = session.scratch(spark, "windows"), session.scratch(spark, "checkpoint")
+    for _ in range(2):  # the second run starts from the checkpoint and finds nothing new
+        streams.drain(streams.window_sink(_message_stream(spark, sf), path, at, streams.DRAIN))
+    return streams.open_windows(spark, at)
+
+
 def _twice_delivered(spark, sf) -> DataFrame:
     """Damaged messages as a stream, every seventh of them delivered twice."""
     messages = feed.damaged_messages(feed.readings(feed.event_stream(spark, sf)))

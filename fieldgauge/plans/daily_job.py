@@ -130,19 +130,48 @@ def _write_silver(standard: DataFrame, lake: Lake, first, last, as_of, bands):
     return seen.get
 
 
-def gold_step(spark: SparkSession, lake: Lake, first, last, as_of) -> bool:
-    """One scan of silver into hourly partials, three tables from those."""
+GOLD_TABLES = ("partials", "sketches", "hourly", "daily", "device")
+_FINGERPRINTS = "fingerprints"
+
 
-    def replace(name, table):
-        tables.replace_days(spark, table, lake.gold(name), C.GOLD_PARTITIONS, first, last)
+def gold_step(spark: SparkSession, lake: Lake, first, last, as_of) -> bool:
+    """Gold of the days whose silver rows have changed; returns whether any day has rows.
 
+    One scan of silver into hourly partials, the tables from those. A day's fingerprint is
+    stored last, so a run that ends before computes the day again.
+    """
     rows = tables.silver_days(spark, lake.silver, first, last)
+    found = {} if rows is None else {r.event_date: r for r in gold.fingerprints(rows).collect()}
+    known = tables.read_days(spark, lake.gold(_FINGERPRINTS), first, last)
+    before = {} if known is None else {r.event_date: r for r in known.collect()}  # a row per day
+
+    def same(day):
+        now, then = found.get(day), before.get(day)
+        return (now and (now.readings, now.digest)) == (then and (then.readings, then.digest))
+
+    changed = [day for day in tables.days(first, last) if not same(day)]
+    if changed:
+        _write_gold(spark, lake, None if rows is None else rows.where(F.col("event_date").isin(changed)), changed, as_of)
+        prints = [found[day] for day in changed if day in found]
+        stored = spark.createDataFrame(prints, "event_date date, readings long, digest string").coalesce(1)
+        _replace_gold(spark, lake, _FINGERPRINTS, stored, changed)
+    return bool(found)
+
+
+def _replace_gold(spark: SparkSession, lake: Lake, name: str, table: DataFrame | None, changed) -> None:
+    tables.replace_days(spark, table, lake.gold(name), C.GOLD_PARTITIONS, None, None, only=changed)
+
+
+def _write_gold(spark: SparkSession, lake: Lake, rows: DataFrame | None, changed, as_of) -> None:
     if rows is None:
-        for name in ("partials", "sketches", "hourly", "daily", "device"):
-            replace(name, None)
-        return False
-    replace("partials", tables.packed(gold.partials(rows)))
-    by_hour = tables.read_days(spark, lake.gold("partials"), first, last)
+        for name in GOLD_TABLES:
+            _replace_gold(spark, lake, name, None, changed)
+        return
+    _replace_gold(spark, lake, "partials", tables.packed(gold.partials(rows)), changed)
+    by_hour = tables.read_days(spark, lake.gold("partials"), only=changed)
+    if by_hour is None:  # the last days with rows have lost them
+        _write_gold(spark, lake, None, changed, as_of)
+        return
     by_device = gold.merge_hours(by_hour)
     for name, table in {
         "sketches": gold.sketches(by_hour),
@@ -150,8 +179,7 @@ def gold_step(spark: SparkSession, lake: Lake, first, last, as_of) -> bool:
         "daily": gold.daily(by_device, as_of),
         "device": gold.device(by_device, as_of),
     }.items():
-        replace(name, tables.packed(table))
-    return True
+        _replace_gold(spark, lake, name, tables.packed(table), changed)
 
 
 _SERVED = ("hourly", "daily", "device")

@@ -478,6 +478,9 @@ _BODIES = {
     # a window closes once the watermark, ten minutes behind the newest reading, passes its end
     "stream_window_agg": """SELECT * FROM windows WHERE window_end <=
         (SELECT max(sensor_timestamp) - INTERVAL 10 MINUTE FROM readings)""",
+    "stream_window_latest": "SELECT * FROM windows",
+    "stream_window_state": """SELECT deviceId, window_start, window_end FROM windows WHERE window_end >
+        (SELECT max(sensor_timestamp) - INTERVAL 10 MINUTE FROM readings)""",
     "stream_flow_metrics": """SELECT count(*) AS received,
         count(*) FILTER (damage IN (0, 6)) AS accepted FROM damaged""",
     "silver_calendar_year": """SELECT record_id, hour_of_day, day_of_week, is_weekend, season

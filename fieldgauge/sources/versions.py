@@ -57,11 +57,11 @@ def counting(spark: SparkSession, path: str, condition: str = "true") -> DataFra
 
 def replace_days(
     spark: SparkSession, rows: DataFrame | None, path: str, partitions: tuple[str, ...], first, last,
-    *measures: Column, day: str = "event_date", file_format: str = "parquet",
+    *measures: Column, day: str = "event_date", file_format: str = "parquet", only: list[dt.date] | None = None,
 ) -> dict:
     """Make a table hold exactly ``rows`` for some days; None or no rows empties them.
 
-    Without ``first``, the days that the rows have are replaced.
+    Without ``first``, the days that the rows have are replaced; ``only`` names single days.
 
     Returns the measures, taken in the pass that writes. Rows of other days are an error.
     """
@@ -70,11 +70,14 @@ def replace_days(
     if rows is not None:
         seen = _write(rows, path, folder, partitions, day, measures, file_format)
         found = set(seen.pop(_DAYS))
-    wanted = sorted(found) if first is None else days(first, last)
+    if only is None:
+        wanted = sorted(found) if first is None else days(first, last)
+    else:
+        wanted = sorted(only)
     if rows is not None:
         others = found.difference(wanted)
         if others or seen.pop(_NO_DAY):
-            raise ValueError(f"{path}: rows outside {first} to {last}: {sorted(map(str, others)) or 'undated'}")
+            raise ValueError(f"{path}: rows outside {wanted[:1]} to {wanted[-1:]}: {sorted(map(str, others)) or 'undated'}")
     entries = [(commit, REPLACE, folder, one, one in found, None) for one in wanted]
     _commit(spark, path, commit, spark.createDataFrame(entries, MANIFEST))
     return seen

@@ -240,6 +240,66 @@ def window_sink(
     )
 
 
+_WINDOW_KEY = ["deviceId", "window_start", "window_end"]
+
+
+def window_update_sink(
+    messages: DataFrame, path: str, checkpoint: str, trigger: dict = WINDOW_TRIGGER, epoch_unit: str = "ms",
+    watermark: str = C.WATERMARK,
+) -> StreamingQuery:
+    """Windows as they stand after every batch, open ones included.
+
+    A batch adds the windows that it has changed, once; ``latest_windows`` reads them merged.
+    So a dashboard need not wait for the watermark, and a late reading corrects its window.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        run = stream_run(spark)
+        changed = rows.withColumns(
+            {"window_date": F.to_date("window_start"), "run": F.lit(run), "batch_id": F.lit(batch_id)}
+        )
+        changed = changed.hint("rebalance", "window_date")
+        versions.append_once(spark, changed, path, ("window_date",), f"{run}/{batch_id}", day="window_date")
+
+    return (
+        window_stream(messages, watermark, epoch_unit=epoch_unit)
+        .writeStream.queryName("window-updates")
+        .outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def latest_windows(spark: SparkSession, path: str, first=None, last=None) -> DataFrame | None:
+    """Each window of some days, or of all, as its last batch left it; None if there are none.
+
+    A window only gains readings, so of several runs over one topic the fullest is the latest.
+    """
+    rows = versions.read(spark, path, first, last, day="window_date")
+    if rows is None:
+        return None
+    values = [c for c in rows.columns if c not in (*_WINDOW_KEY, "run", "batch_id", "window_date")]
+    newest = F.max_by(F.struct(*values), F.struct("record_count", "batch_id")).alias("newest")
+    return rows.groupBy(*_WINDOW_KEY).agg(newest).select(*_WINDOW_KEY, "newest.*")
+
+
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What a window stream still holds in its state store: windows that may get readings."""
+    state = spark.read.format("statestore").load(checkpoint)
+    # windows and device are the keys of the state, in whatever order they were grouped
+    keys = {f.name: f.dataType for f in state.schema["key"].dataType}
+    window = next(name for name, kind in keys.items() if kind.typeName() == "struct")
+    device = next(name for name, kind in keys.items() if kind.typeName() == "string")
+    return state.select(
+        F.col(f"key.`{device}`").alias("deviceId"),
+        F.col(f"key.`{window}`.start").alias("window_start"),
+        F.col(f"key.`{window}`.end").alias("window_end"),
+    )
+
+
 _ALERT_KEY = ["record_id", "deviceId", "location", "sensor_timestamp"]
 
 

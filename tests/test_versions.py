@@ -114,6 +114,33 @@ def test_marts_follow_a_day_that_loses_its_rows(spark, tmp_path):
         assert {r[0] for r in left.select("report_date").collect()} == {D1}, name
 
 
+def test_gold_is_computed_for_changed_days_only(spark, tmp_path):
+    lake = daily_job.Lake(str(tmp_path / "lake"))
+    raw = catalog._raw(spark, SMALL)
+    tables.write_raw(tables.raw_days(raw, D1, D3), lake.raw)
+
+    def run(as_of):
+        daily_job.run(spark, lake, D1, D3, as_of)
+        commits = {n: versions.manifest(spark, lake.gold(n)).count() for n in daily_job.GOLD_TABLES}
+        rows = tables.read_days(spark, lake.gold("daily")).select("event_date", "processing_time").distinct()
+        return commits, {r.event_date: r.processing_time for r in rows.collect()}
+
+    first = run(AS_OF)
+    later = AS_OF + dt.timedelta(hours=1)
+    assert run(later) == first  # nothing has changed, nothing is written
+    moved = F.regexp_replace("value", "field-[ab]", "moved-x")
+    tables.write_raw(tables.raw_days(raw, D2, D2).withColumn("value", moved), lake.raw)
+    commits, times = run(later)
+    assert commits == {name: n + 1 for name, n in first[0].items()}
+    assert times == {D1: AS_OF, D2: later, D3: AS_OF}
+    daily = tables.read_days(spark, lake.gold("daily"))
+    assert {r[0] for r in daily.where("location = 'moved-x'").select("event_date").collect()} == {D2}
+    # a day that loses its rows
+    broken = F.regexp_replace("value", '"motion":(true|false)', '"x":0')
+    tables.write_raw(tables.raw_days(raw, D3, D3).withColumn("value", broken), lake.raw)
+    assert set(run(later)[1]) == {D1, D2}
+
+
 # -- historical loads ------------------------------------------------------------
 
 
