@@ -81,7 +81,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), path)
     records = stored(spark, warc.read(spark, path, with_payload=False), "warc-records")
-    number = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).cast("long")
+    number = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
     return warc.original_bytes(records).select(
         number("record_id").alias("page_id"),
         "payload_bytes",

@@ -114,7 +114,7 @@ def next_rows(rows: DataFrame, id: str, columns: list[str]) -> DataFrame:
     No window spans the table: rows are put in order within groups of neighbouring ids,
     and each group's largest row is found by doing the same with the groups.
     """
-    group, head = own("group"), own("head")
+    group, head, after_group, found = own("group"), own("head"), own("after"), own("found")
     grouped = rows.withColumn(group, _group(F.col(id).cast("long")))
     order = Window.partitionBy(group).orderBy(F.col(id).desc())
     inside = grouped.withColumn("next", F.lead(F.struct(*columns)).over(order)).withColumn(
@@ -126,13 +126,13 @@ def next_rows(rows: DataFrame, id: str, columns: list[str]) -> DataFrame:
     ids = heads.select(group)
     follows = _next_keys(ids, group, levels)
     after = (
-        follows.join(heads.select(F.col(group).alias("key"), F.col(head).alias("found")), F.col("to") == F.col("key"))
-        .select(F.col("from").alias("group"), "found")
+        follows.join(heads.select(F.col(group).alias("key"), F.col(head).alias(found)), F.col("to") == F.col("key"))
+        .select(F.col("from").alias(after_group), found)
     )
     return (
-        inside.join(after, F.col(group) == F.col("group"), "left")
-        .withColumn("next", F.coalesce("next", "found"))
-        .drop(group, head, "group", "found")
+        inside.join(after, F.col(group) == F.col(after_group), "left")
+        .withColumn("next", F.coalesce("next", found))
+        .drop(group, head, after_group, found)
     )
 
 

@@ -147,29 +147,29 @@ def mix(
     )
     plan = stored(spark, plan.join(_cuts(slim, plan, seed, sums.n), F.col("source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source"), "mix-plan")
 
-    keyed = own("source")
+    names = {c: own(c) for c in (*plan.columns, "times", "n")}
+    plan_of = {c: F.col(name) for c, name in names.items()}
     small = F.broadcast if sums.n <= BROADCAST_SOURCES else (lambda x: x)
-    settled = plan.withColumnRenamed("source", keyed)
-    joined = rest.join(small(settled), F.col(f"`{source}`").eqNullSafe(F.col(keyed)))
+    settled = plan.withColumnsRenamed({c: names[c] for c in plan.columns})
+    joined = rest.join(small(settled), F.col(f"`{source}`").eqNullSafe(plan_of["source"]))
     key = F.col(f"`{id}`")
-    last = F.col("full") + 1
-    block, place = _block(key, last, seed, F.col("blocks")), _place(key, last, seed)
-    taken = (block < F.col("cut_block")) | ((block == F.col("cut_block")) & (place <= F.col("cut_place")))
-    times = F.col("full") + F.when(F.coalesce(taken, F.lit(False)), 1).otherwise(0)
-    names = {c: own(c) for c in ("weight", "blocks", "times", "n")}
+    last = plan_of["full"] + 1
+    block, place = _block(key, last, seed, plan_of["blocks"]), _place(key, last, seed)
+    cut_block, cut_place = plan_of["cut_block"], plan_of["cut_place"]
+    taken = (block < cut_block) | ((block == cut_block) & (place <= cut_place))
+    times = plan_of["full"] + F.when(F.coalesce(taken, F.lit(False)), 1).otherwise(0)
     return (
         joined.withColumn(names["times"], times)
-        .where(F.col(names["times"]) > 0)
-        .withColumnsRenamed({"weight": names["weight"], "blocks": names["blocks"]})
+        .where(plan_of["times"] > 0)
         .withColumn(names["n"], n_words(F.col(f"`{text}`")))
-        .withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col(names["times"]))))
+        .withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), plan_of["times"])))
         .select(
             *[F.col(f"`{c}`") for c in rest.columns],
-            F.col(names["n"]).alias("n_tokens"),
+            plan_of["n"].alias("n_tokens"),
             "epoch",
-            _block(key, F.col("epoch"), seed, F.col(names["blocks"])).alias("block"),
+            _block(key, F.col("epoch"), seed, plan_of["blocks"]).alias("block"),
             _place(key, F.col("epoch"), seed).alias("place"),
-            F.col(names["weight"]).alias("weight"),
+            plan_of["weight"].alias("weight"),
         )
     )
 

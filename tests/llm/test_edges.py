@@ -49,3 +49,24 @@ def test_values(spark):
     assert found[5].component_id == 4 == found[4].component_id
     rows = cascade.apply(docs).collect()
     assert {r.n_words for r in rows if r.doc_id == 7} == {brute.base("a b c d e f")["n_words"]}
+
+
+def test_names_that_the_operators_use_themselves(spark):
+    """Columns of the input may have the names of columns that are made on the way."""
+    names = ["full", "room", "blocks", "cut_block", "cut_place", "group", "found", "key", "head", "upto", "raw"]
+    docs = spark.createDataFrame([r for r in ODD if r[0] is not None][:5], SCHEMA)
+    odd = docs.select("*", *(F.lit("other").alias(c) for c in names))
+    mixed = mixing.mix(odd)
+    assert {*names} <= {*mixed.columns} and mixed.select("doc_id").distinct().count() == 5
+    after = minhash.next_rows(odd, "doc_id", ["doc_id"]).select("doc_id", "next.doc_id", *names).collect()
+    assert sorted(r[:2] for r in after) == [(1, 5), (2, 1), (3, 2), (4, 3), (5, 4)]
+
+
+def test_pages_without_an_id(spark, tmp_path):
+    from fieldgauge.llm import catalog
+
+    rows = [(1, "u", "<p>a</p>"), (None, "u", "<p>a</p>"), (2, "u", None), (3, "u", "<p>a</p>"), (3, "u", "<p>a</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    found = catalog.op8_warc(spark, str(tmp_path)).collect()
+    assert sorted((r.page_id or 0, r.payload_bytes) for r in found) == [(0, 8), (1, 8), (2, 0), (3, 8), (3, 8)]
