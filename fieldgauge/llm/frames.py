@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from fieldgauge.session import delete, scratch
 
 
+#: Spark's setting to delete the shuffles of a query when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -23,9 +27,17 @@ def own(name: str) -> str:
 
 def stored(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared scratch folder and read again: a lost executor
-    costs no more than what is in flight, and nothing before is computed twice."""
+    costs no more than what is in flight, and nothing before is computed twice.
+
+    The shuffles that led to them are deleted with the write's end, as nothing reads them
+    again; a frame that is run again all the same makes its shuffles anew."""
     path = scratch(spark, name)
-    frame.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 

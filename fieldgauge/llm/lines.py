@@ -52,6 +52,22 @@ def keys(docs: DataFrame, id: str, text: str, min_chars: int = MIN_CHARS) -> Dat
     return stripped.where(F.length("line") >= min_chars).select("id", h1.alias("h1"), h2.alias("h2"))
 
 
+def _steps(values: Column) -> Column:
+    """Powers of two up to an array's size, the largest first: the steps of a search in it."""
+    return F.filter(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]), lambda s: s <= F.size(values))
+
+
+def _in_sorted(values: Column, steps: Column, key: Column) -> Column:
+    """Whether a sorted array has the key, by binary search: a text of very many dropped
+    lines takes time in proportion to its lines."""
+    below = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, s: F.when(F.get(values, at + s - 1) < key, at + s).otherwise(at),
+    )
+    return F.coalesce(F.get(values, below) == key, F.lit(False))
+
+
 class LineRuns:
     """Runs of line hashes in levels. ``add`` takes batches in falling order of ids."""
 
@@ -161,7 +177,7 @@ def dedup(
         salted.join(common, ["h1", "h2", "salt"])
         .where(F.col("id") != F.col("keeper"))
         .groupBy(F.col("id").alias(gone))
-        .agg(F.collect_set(F.struct("h1", "h2")).alias(dropped))
+        .agg(F.sort_array(F.collect_set(F.struct("h1", "h2"))).alias(dropped))
     )
     # what is dropped is little beside the keys of all lines, which can go
     decisions = stored(spark, decisions, "line-decisions")
@@ -172,12 +188,12 @@ def dedup(
     def stays(line: Column) -> Column:
         stripped = _stripped(line)
         h1, h2 = _hashes(stripped)
-        found = F.array_contains(F.col(dropped), F.struct(h1.alias("h1"), h2.alias("h2")))
+        found = _in_sorted(F.col(dropped), F.col(steps), F.struct(h1.alias("h1"), h2.alias("h2")))
         return ~((F.length(stripped) >= min_chars) & found)
 
-    every, some = own("every"), own("some")
+    every, some, steps = own("every"), own("some"), own("steps")
     every_line = split_lines(F.col(text))
-    cut = joined.withColumn(every, F.size(every_line).cast("long")).withColumn(
+    cut = joined.withColumns({every: F.size(every_line).cast("long"), steps: _steps(F.col(dropped))}).withColumn(
         some, F.when(F.col(dropped).isNotNull(), F.filter(every_line, stays))
     )
     kept = F.when(F.col(some).isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(
