@@ -1,30 +1,39 @@
-"""Katz backoff scoring with a bigram model learned from the corpus itself.
+"""Katz backoff scoring with an n-gram model learned from the corpus itself.
 
-Good-Turing discounts apply to counts up to CUTOFF, for words and for bigrams. A bigram
+Good-Turing discounts apply to counts up to CUTOFF, for each order on its own. An n-gram
 that was seen has its discounted count over its history's; one that was not has the
-history's backoff weight times the word's own probability. The weight is exactly what makes
-the probabilities after a history sum to one. Unknown words share the words' reserved mass.
+history's backoff weight times the probability after the history without its first word, and
+so on down to the word alone. The weight is exactly what makes the probabilities after a
+history sum to one. Unknown words share the words' reserved mass.
 
 The work goes through Spark by packed arrays. A *block* is a few million tokens of one
 task; a *bucket* is a share of all words or histories.
 
 1. Each block sends its distinct words (64-bit hash, training count) to their buckets. The
    bucket sums them, stores its part of the word table, and answers with ids and counts.
-2. Each block sends its distinct bigrams by history. The bucket sums them, stores its part
-   of the bigram table with what the backoff weights need, and answers with the counts.
-3. Each block scores its texts from the answers: seen bigram, or weight and word.
+2. For each order from 2: each block sends its distinct n-grams by history, which is the id
+   of the n-1 words before. The bucket sums them, stores its part of the order's table with
+   what the backoff weights need, and answers with the n-grams' counts and ids, which are
+   the next order's histories.
+3. Each block scores its texts from the answers: the recursion runs upwards, and at each
+   order a token takes its seen n-gram, or the weight times what it had from the order below.
+
+A follower that was seen after a history was seen after the shorter one. So the mass that a
+weight divides by is a sum of discounted counts of the order below, over the shorter
+history's denominator: the buckets get counts, never probabilities, and the sum is exact.
 
 A history with over 1 / HOT of all tokens is split over all buckets by the second word, and
 its sums are added up: at most HOT such histories exist, so their list and sums are small.
-A word or bigram reaches a bucket once for each block, never once for each occurrence.
+A word or n-gram reaches a bucket once for each block, never once for each occurrence.
 
-Blocks are cut anew in steps 1 to 3 from the same scan. A block's name has its place
+Blocks are cut anew in each step from the same scan. A block's name has its place
 and a digest of its contents; if the scan differs, an answer finds no block, and the job fails, never scores
-wrongly. Words are told apart by 64-bit hashes, bigrams by the words' ids.
+wrongly. Words are told apart by 64-bit hashes, n-grams by the ids of history and word.
 
 Defined cases: a null or empty text is the end token alone. Rows that repeat count each.
-Without training texts N is 0; only the end and unknown words remain, all by the reserved
-mass. An empty table gives an empty result.
+The first words of a text have a start mark before them and no longer history. A very long
+text is one block. Without training texts N is 0; only the end and unknown words remain, all
+by the reserved mass. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,7 +52,7 @@ from pyspark.sql import functions as F
 from fieldgauge.llm import words as W
 from fieldgauge.llm.frames import stored
 
-CUTOFF = 5
+ORDER, CUTOFF = 3, 5
 BLOCK_TOKENS = 2_000_000
 #: Bytes of text for each bucket.
 BUCKET_BYTES = 10_000_000
@@ -188,35 +197,114 @@ def _cuts(place: np.ndarray):
 
 
 @dataclass
-class Bigrams:
-    """A block's distinct bigrams of known histories by bucket, history and word."""
+class Level:
+    """What all blocks need of one order: its discounts, and the sums of split histories."""
+
+    order: int
+    hot: np.ndarray  # ids of the split histories, sorted
+    discount: np.ndarray | None = None
+    count: np.ndarray | None = None  # of the split histories, with START before the others
+    mass: np.ndarray | None = None
+    low: np.ndarray | None = None
+
+    @property
+    def split(self) -> np.ndarray:
+        return np.append(START, self.hot) if self.order == 2 else self.hot
+
+
+@dataclass
+class Grams:
+    """A block's distinct n-grams of known histories, in order of bucket and history."""
 
     place: np.ndarray  # bucket
     history: np.ndarray  # ids
     word: np.ndarray
-    times: np.ndarray  # in training texts
-    count: np.ndarray  # of the word, in all training texts
-    of_token: np.ndarray  # which bigram each token closes, or -1
+    times: np.ndarray  # in the block's training texts
+    lower: np.ndarray  # without the first word, in all training texts
+    count: np.ndarray  # of the history, in all training texts; of a split one elsewhere
+    size: np.ndarray  # the denominator of the history without its first word
+    head: np.ndarray  # the number of the run of equal histories in a bucket
+    of_token: np.ndarray  # which n-gram each token closes, or -1
 
     @staticmethod
-    def of(block: Block, ids: np.ndarray, counts: np.ndarray, buckets: int, hot: np.ndarray) -> Bigrams:
-        n = len(ids)
+    def of(block: Block, words: np.ndarray, below: Chain, level: Level, buckets: int) -> Grams:
+        n, mark = len(words), len(below.ids)
         before = np.empty(len(block.local), np.int64)
-        before[1:] = block.local[:-1]
-        before[np.cumsum(block.sizes) - block.sizes] = n  # a text's start
-        own = np.append(ids, START)
+        before[1:] = below.local[:-1]
+        before[np.cumsum(block.sizes) - block.sizes] = mark  # a text's start
+        before[before < 0] = mark + 1
+        own = np.append(below.ids, [START if level.order == 2 else UNKNOWN, UNKNOWN])
         has = own[before] != UNKNOWN
-        pairs, inverse = np.unique(before[has] * n + block.local[has], return_inverse=True)
+        # what was not seen after the shorter history was not seen after this one
+        lower = below.times()[has]
+        pairs, first, inverse = np.unique(
+            before[has] * (n + 1) + np.where(lower > 0, block.local[has], n), return_index=True, return_inverse=True
+        )
         times = np.bincount(inverse, weights=block.train()[has], minlength=len(pairs)).astype(np.int64)
-        history, word = own[pairs // n], ids[pairs % n]
-        split = (history == START) | np.isin(history, hot)
-        place = np.where(split, _bucket(word + 0x1000003 * history, buckets), _bucket(history, buckets))
-        order = np.lexsort((word, history, place))
+        history, word = own[pairs // (n + 1)], np.append(words, UNKNOWN)[pairs % (n + 1)]
+        place = np.where(np.isin(history, level.split), _bucket(word + 0x1000003 * history, buckets), _bucket(history, buckets))
+        # small numbers are sorted by radix; the runs of a history stay together
+        order = np.argsort(place.astype(np.min_scalar_type(buckets)), kind="stable")
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
         of_token = np.full(len(block.local), -1)
         of_token[has] = rank[inverse]
-        return Bigrams(place[order], history[order], word[order], times[order], counts[pairs % n][order], of_token)
+        place, history = place[order], history[order]
+        new = np.append(True, (place[1:] != place[:-1]) | (history[1:] != history[:-1]))[: len(place)]
+        count = np.append(below.counts, [0, 0])[pairs // (n + 1)]
+        return Grams(
+            place, history, word[order], times[order], lower[first][order], count[order],
+            below.size[has][first][order], np.cumsum(new) - 1, of_token,
+        )
+
+
+@dataclass
+class Chain:
+    """What a block knows of its tokens by the answers of the orders up to one."""
+
+    local: np.ndarray  # the n-gram that ends at each token, or -1
+    ids: np.ndarray  # of each n-gram, UNKNOWN without training text
+    counts: np.ndarray  # of each n-gram in all training texts
+    size: np.ndarray  # the denominator of each token's history
+    chance: np.ndarray  # each token's probability
+    backed: np.ndarray  # whether it is the word's own, weighted
+
+    def times(self) -> np.ndarray:
+        return np.append(self.counts, 0)[self.local]
+
+    @staticmethod
+    def words(block: Block, ids: np.ndarray, counts: np.ndarray, unigrams: Unigrams) -> Chain:
+        n = len(block.local)
+        size = np.full(n, max(1, unigrams.total) / unigrams.scale)
+        return Chain(block.local, ids, counts, size, unigrams.probability(counts)[block.local], np.ones(n, bool))
+
+    def after(self, grams: Grams, replies: list[dict], level: Level, buckets: int) -> Chain:
+        """The next order, by the answers to its n-grams."""
+        replies = sorted(replies, key=lambda r: r["bucket"])
+        d, cutoff = level.discount, len(level.discount) - 1
+        seen = np.concatenate([get(r["a"]) for r in replies] or [np.zeros(0, np.int64)])
+        if len(seen) != len(grams.word):
+            raise ValueError("the answers don't fit the block: the scan has changed")
+        ranks = np.concatenate([get(r["b"]) for r in replies] or [np.zeros(0, np.int64)])
+        ids = np.where(ranks > 0, START + (ranks - 1) * buckets + 1 + grams.place[: len(ranks)], UNKNOWN)
+        mass = np.concatenate([get(r["c"]) for r in replies] or [np.zeros(0)])
+        low = np.concatenate([get(r["d"]).reshape(cutoff, -1) for r in replies] or [np.zeros((cutoff, 0), np.int64)], axis=1)
+        at = np.flatnonzero(np.append(True, grams.head[1:] != grams.head[:-1])[: len(grams.head)])
+        heads, count = grams.history[at], grams.count[at]
+        if len(level.split) and len(heads):
+            where = np.minimum(np.searchsorted(level.split, heads), len(level.split) - 1)
+            here = level.split[where] == heads
+            where = where[here]
+            count[here], mass[here], low[:, here] = level.count[where], level.mass[where], level.low[:, where]
+        size, weight = _weights(count, mass / grams.size[at], low, d)
+        has = grams.of_token >= 0
+        mine = grams.of_token[has]
+        head, times = grams.head[mine], seen[mine]
+        chance, sizes, backed = self.chance.copy(), np.ones(len(has)), self.backed.copy()
+        chance[has] = np.where(times > 0, discounted(times, d) / np.maximum(size[head], 1), weight[head] * chance[has])
+        sizes[has] = size[head]
+        backed[has] &= times == 0
+        return Chain(grams.of_token, ids, seen, sizes, chance, backed)
 
 
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -244,7 +332,7 @@ def _sum_words(buckets: int, cutoff: int):
         for r, own in zip(rows, hashes, strict=True):
             mine = inverse[at : at + len(own)]
             at += len(own)
-            out.append(("answer", bucket, r["block"], put(ids[mine]), put(counts[mine])))
+            out.append(("answer1", bucket, r["block"], put(ids[mine]), put(counts[mine])))
         return pa.Table.from_batches([_packed(out)])
 
     return work
@@ -264,8 +352,10 @@ def _pairs(history: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return first, inverse
 
 
-def _sum_bigrams(unigrams: Unigrams, cutoff: int):
-    """A bucket of histories: its part of the table, its totals, an answer to each block."""
+def _sum_grams(level: Level, below: np.ndarray, cutoff: int, buckets: int, last: bool):
+    """A bucket of histories: its part of the table, its totals, an answer to each block.
+
+    The n-gram of rank r in the table has the id START + 1 + r * buckets + bucket."""
 
     def work(key, table):
         bucket = key[0].as_py()
@@ -276,33 +366,38 @@ def _sum_bigrams(unigrams: Unigrams, cutoff: int):
         word = np.concatenate([get(r["c"]) for r in rows])
         first, inverse = _pairs(history, word)
         times = np.bincount(inverse, weights=np.concatenate([get(r["d"]) for r in rows])).astype(np.int64)
-        count = np.concatenate([get(r["e"]) for r in rows])[first]
+        lower = np.concatenate([get(r["e"]) for r in rows])[first]
         h, w = history[first], word[first]
         heads_all, begin = _runs(h)
         seen = times > 0
-        mass = np.add.reduceat(np.where(seen, unigrams.probability(count), 0.0), begin)
+        mass = np.add.reduceat(np.where(seen, discounted(lower, below), 0.0), begin)
         low = np.stack([np.add.reduceat((times == r).astype(np.int64), begin) for r in range(1, cutoff + 1)])
         of = np.bincount(np.minimum(times, cutoff + 2), minlength=cutoff + 3)[1 : cutoff + 2]
         followers = np.add.reduceat(seen.astype(np.int64), begin)
         out = [
-            ("bigram", bucket, "", put(heads_all), put(followers), put(w[seen]), put(times[seen])),
-            ("history", bucket, "", put(heads_all), put(mass), put(low.ravel())),
+            (f"gram{level.order}", bucket, "", put(heads_all), put(followers), put(w[seen]), put(times[seen])),
             ("total", bucket, "", put(of)),
         ]
+        here = np.isin(heads_all, level.split)
+        if here.any():
+            out.append(("split", bucket, "", put(heads_all[here]), put(mass[here]), put(low[:, here].ravel())))
+        ranks = np.where(seen, np.cumsum(seen), 0)
         at = 0
         for r, own, n in zip(rows, heads, sizes, strict=True):
-            size = int(n.sum())
-            mine = np.searchsorted(heads_all, own)
-            out.append(("answer", bucket, r["block"], put(times[inverse[at : at + size]]), put(own), put(mass[mine]), put(low[:, mine].ravel())))
-            at += size
+            mine = inverse[at : at + int(n.sum())]
+            at += len(mine)
+            of_head = np.searchsorted(heads_all, own)
+            known = np.zeros(0, np.int64) if last else ranks[mine]
+            answer = put(times[mine]), put(known), put(mass[of_head]), put(low[:, of_head].ravel())
+            out.append((f"answer{level.order}", bucket, r["block"], *answer))
         return pa.Table.from_batches([_packed(out)])
 
     return work
 
 
 def _weights(count: np.ndarray, mass: np.ndarray, low: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each history's denominator and backoff weight, from its count, the unigram mass of
-    its followers, and how many followers have each low count."""
+    """Each history's denominator and backoff weight, from its count, the mass that its
+    followers have by the order below, and how many followers have each low count."""
     r = np.arange(1, len(d))
     lost = ((1 - d[1:]) * r) @ low
     none = lost <= 0  # nothing was discounted: make room for one more event
@@ -327,7 +422,7 @@ def _total(table: DataFrame, n: int) -> list[int]:
 
 
 def _answers(table: DataFrame) -> DataFrame:
-    return table.where("kind = 'answer'")
+    return table.where("kind LIKE 'answer%'")
 
 
 def score(
@@ -335,11 +430,12 @@ def score(
     held_out: Column,
     id: str = "doc_id",
     text: str = "text",
+    order: int = ORDER,
     cutoff: int = CUTOFF,
     block_tokens: int = BLOCK_TOKENS,
     bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
-    """Learn from the rows for which ``held_out`` is false and score all rows: the id,
+    """A model of n-grams of up to ``order`` words. Learn from the rows for which ``held_out`` is false and score all rows: the id,
     held_out (boolean), n_tokens, n_known, train_tokens (long), base_score, score, and
     backoffs: how many tokens fell back to the word's own probability (long)."""
     spark = docs.sparkSession
@@ -362,56 +458,38 @@ def score(
     word_table = stored(spark, asked.groupBy("bucket").applyInArrow(_sum_words(buckets, cutoff), _PACKED), "katz-words")
     total, distinct, *of = _total(word_table, cutoff + 3)
     unigrams = Unigrams.of(total, distinct, of, cutoff)
-    hot = _hot_words(word_table, total)
-    hot_ids = np.array(sorted(hot), np.int64)
-
     blocks = rows.mapInArrow(texts, _PACKED)
     known = _answers(word_table)
 
-    def ask_bigrams(key, left, right):
-        block, ids, counts = _meet(left, right)
-        b = Bigrams.of(block, ids, counts, buckets, hot_ids)
-        out = []
-        for p, s, e in _cuts(b.place):
-            heads, at = _runs(b.history[s:e])
-            sizes = np.diff(np.append(at, e - s))
-            out.append(("ask", p, block.name, put(heads), put(sizes), put(b.word[s:e]), put(b.times[s:e]), put(b.count[s:e])))
-        return pa.Table.from_batches([_packed(out)])
-
-    asked = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(ask_bigrams, _PACKED)
-    bigram_table = stored(spark, asked.groupBy("bucket").applyInArrow(_sum_bigrams(unigrams, cutoff), _PACKED), "katz-bigrams")
-    d = discounts(_total(bigram_table, cutoff + 1), cutoff)
-    split = _split_histories(bigram_table, hot, cutoff)
+    def ask(level: Level, levels: list[Level]):
+        def work(key, left, right):
+            block, ids, _, below = _replayed(left, right, unigrams, levels, buckets)
+            grams = Grams.of(block, ids, below, level, buckets)
+            out = []
+            for p, s, e in _cuts(grams.place):
+                heads, at = _runs(grams.history[s:e])
+                sizes = np.diff(np.append(at, e - s))
+                out.append(("ask", p, block.name, put(heads), put(sizes), put(grams.word[s:e]), put(grams.times[s:e]), put(grams.lower[s:e])))
+            return pa.Table.from_batches([_packed(out)])
+
+        return work
+
+    levels: list[Level] = []
+    table, below = word_table, unigrams.discount
+    for k in range(2, order + 1):
+        hot = _hot(table, k - 1, total, buckets)
+        level = Level(k, np.array(sorted(hot), np.int64))
+        asked = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(ask(level, list(levels)), _PACKED)
+        summed = asked.groupBy("bucket").applyInArrow(_sum_grams(level, below, cutoff, buckets, k == order), _PACKED)
+        table = stored(spark, summed, f"katz-{k}-grams")
+        level.discount = below = discounts(_total(table, cutoff + 1), cutoff)
+        _add_split(table, level, hot, cutoff)
+        levels.append(level)
+        known = known.unionByName(_answers(table))
 
     def finish(key, left, right):
-        answers = right.to_pylist()
-        block, ids, counts = _meet(left, [r for r in answers if not r["c"]])
-        b = Bigrams.of(block, ids, counts, buckets, hot_ids)
-        replies = sorted((r for r in answers if r["c"]), key=lambda r: r["bucket"])
-        seen = np.concatenate([get(r["a"]) for r in replies] or [np.zeros(0, np.int64)])
-        if len(seen) != len(b.word):
-            raise ValueError("the answers don't fit the block: the scan has changed")
-        heads = np.concatenate([get(r["b"]) for r in replies] or [np.zeros(0, np.int64)])
-        mass = np.concatenate([get(r["c"]) for r in replies] or [np.zeros(0)])
-        low = np.concatenate([get(r["d"]).reshape(cutoff, -1) for r in replies] or [np.zeros((cutoff, 0), np.int64)], axis=1)
-        _, at = _runs(b.place * np.int64(1 << 40) + b.history) if not len(b.history) or b.history.max() < 1 << 40 else _runs_two(b.place, b.history)
-        of_head = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(b.history))))
-        count_of = _lookup(ids, counts)
-        count = count_of(heads)
-        for h, (n, m, lows) in split.items():
-            here = heads == h
-            count[here], mass[here] = n, m
-            low[:, here] = lows[:, None]
-        size, weight = _weights(count, mass, low, d)
-        p = unigrams.probability(b.count)
-        with np.errstate(divide="ignore"):
-            value = np.log10(np.where(seen > 0, discounted(seen, d) / np.maximum(size[of_head], 1), weight[of_head] * p))
-        words = unigrams.probability(counts)
-        token = np.log10(words)[block.local]
-        has = b.of_token >= 0
-        token[has] = value[b.of_token[has]]
-        fell = np.ones(len(token), bool)
-        fell[has] = seen[b.of_token[has]] == 0
+        block, _, counts, chain = _replayed(left, right, unigrams, levels, buckets)
+        token, fell = np.log10(chain.chance), chain.backed
         base = np.log10((counts + 0.5) / (unigrams.total + 0.5 * (unigrams.distinct + 1)))[block.local]
         starts = np.cumsum(block.sizes) - block.sizes
         n = len(starts)
@@ -428,71 +506,64 @@ def score(
         return pa.Table.from_arrays(columns, names=[f.split()[0] for f in fields])
 
     fields = ["id " + id_kind, "held_out boolean", "n_tokens long", "n_known long", "train_tokens long", "base_score double", "score double", "backoffs long"]
-    replies = known.unionByName(_answers(bigram_table))
-    found = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(finish, ", ".join(fields))
+    found = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(finish, ", ".join(fields))
     return found.withColumnRenamed("id", id)
 
 
-def _runs_two(a: np.ndarray, b: np.ndarray) -> tuple[None, np.ndarray]:
-    return None, np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-
-
-def _lookup(ids: np.ndarray, counts: np.ndarray):
-    order = np.argsort(ids)
-    ids, counts = ids[order], counts[order]
-
-    def find(wanted: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
-        return np.where(ids[at] == wanted, counts[at], 0).astype(np.int64)
-
-    return find
-
-
-def _meet(left: pa.Table, right) -> tuple[Block, np.ndarray, np.ndarray]:
-    """A block and the ids and counts of its words, in order of hash."""
-    rows = left.to_pylist()
-    answers = right if isinstance(right, list) else right.to_pylist()
+def _replayed(left: pa.Table, right: pa.Table, unigrams: Unigrams, levels: list[Level], buckets: int):
+    """A block, the ids and counts of its words in order of hash, and what the answers of
+    all levels say of its tokens."""
+    rows, answers = left.to_pylist(), right.to_pylist()
     if len({r["block"] for r in rows}) != 1 or not answers:
         raise ValueError("an answer without its block: the scan has changed")
-    answers = sorted(answers, key=lambda r: r["bucket"])
+    by_order: dict[str, list[dict]] = {}
+    for r in answers:
+        by_order.setdefault(r["kind"], []).append(r)
     block = Block.from_row(rows[0])
-    ids = np.concatenate([get(r["a"]) for r in answers])
-    counts = np.concatenate([get(r["b"]) for r in answers])
-    return block, ids, counts
+    words = sorted(by_order["answer1"], key=lambda r: r["bucket"])
+    ids = np.concatenate([get(r["a"]) for r in words])
+    counts = np.concatenate([get(r["b"]) for r in words])
+    chain = Chain.words(block, ids, counts, unigrams)
+    for level in levels:
+        grams = Grams.of(block, ids, chain, level, buckets)
+        chain = chain.after(grams, by_order.get(f"answer{level.order}", []), level, buckets)
+    return block, ids, counts, chain
 
 
-def _hot_words(table: DataFrame, total: int) -> dict[int, int]:
-    """Ids and counts of the words with over 1 / HOT of all tokens."""
+def _hot(table: DataFrame, order: int, total: int, buckets: int) -> dict[int, int]:
+    """Ids and counts of the words or n-grams with over 1 / HOT of all tokens."""
+    kind, times = ("word", "c") if order == 1 else (f"gram{order}", "d")
 
     def run(batches):
         for batch in batches:
-            for ids, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids, counts = get(ids), get(counts)
-                big = counts * HOT > total
-                yield pa.RecordBatch.from_arrays([pa.array(ids[big].astype(np.int64)), pa.array(counts[big])], names=["id", "n"])
+            for bucket, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts = get(counts)
+                big = np.flatnonzero(counts * HOT > total)
+                ids = START + 1 + big * buckets + bucket
+                yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), pa.array(counts[big].astype(np.int64))], names=["id", "n"])
 
-    found = table.where("kind = 'word'").select("b", "c").mapInArrow(run, "id long, n long")
+    found = table.where(F.col("kind") == kind).select("bucket", times).mapInArrow(run, "id long, n long")
     return {r.id: r.n for r in found.collect()}
 
 
-def _split_histories(table: DataFrame, hot: dict[int, int], cutoff: int) -> dict[int, tuple[int, float, np.ndarray]]:
-    """Counts, mass and low counts of the histories whose bigrams lie in many buckets."""
-    wanted = np.array(sorted([START, *hot]), np.int64)
+def _add_split(table: DataFrame, level: Level, hot: dict[int, int], cutoff: int) -> None:
+    """Counts, mass and low counts of the histories whose n-grams lie in many buckets."""
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                heads, mass, low = get(row["a"]), get(row["b"]), get(row["c"]).reshape(cutoff, -1)
-                here = np.isin(heads, wanted)
-                columns = [pa.array(heads[here].astype(np.int64)), pa.array(mass[here])]
-                columns += [pa.array(x[here]) for x in low.astype(np.int64)]
+                columns = [pa.array(get(row["a"]).astype(np.int64)), pa.array(get(row["b"]))]
+                columns += [pa.array(x) for x in get(row["c"]).reshape(cutoff, -1).astype(np.int64)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["id", "mass", *[f"r{r}" for r in range(1, cutoff + 1)]]
-    parts = table.where("kind = 'history'").select("a", "b", "c").mapInArrow(run, "id long, mass double, " + ", ".join(f"{c} long" for c in names[2:]))
-    sums = parts.groupBy("id").agg(*[F.sum(c).alias(c) for c in names[1:]]).collect()
-    starts = _started(table)
-    return {r.id: (hot.get(r.id, starts), r.mass, np.array(r[2:])) for r in sums}
+    parts = table.where("kind = 'split'").select("a", "b", "c").mapInArrow(run, "id long, mass double, " + ", ".join(f"{c} long" for c in names[2:]))
+    sums = {r.id: r for r in parts.groupBy("id").agg(*[F.sum(c).alias(c) for c in names[1:]]).collect()}
+    counts = {**hot, START: _started(table)} if level.order == 2 else hot
+    split = [int(h) for h in level.split]
+    level.count = np.array([counts[h] for h in split], np.int64)
+    level.mass = np.array([sums[h].mass if h in sums else 0.0 for h in split])
+    level.low = np.array([[sums[h][2 + r] if h in sums else 0 for h in split] for r in range(cutoff)], np.int64).reshape(cutoff, -1)
 
 
 def _started(table: DataFrame) -> int:
@@ -506,5 +577,5 @@ def _started(table: DataFrame) -> int:
                 n += int(get(row["d"])[history == START].sum())
         yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
 
-    parts = table.where("kind = 'bigram'").select("a", "b", "d").mapInArrow(run, "n long")
+    parts = table.where("kind = 'gram2'").select("a", "b", "d").mapInArrow(run, "n long")
     return int(parts.agg(F.sum("n")).first()[0] or 0)

@@ -35,13 +35,13 @@ def base(text):
     }
 
 
-def katz(docs, cutoff=5):
-    """{id: (n_tokens, n_known, N, base, score)} from (id, text, held)."""
+def katz(docs, cutoff=5, order=3):
+    """{id: (n_tokens, n_known, N, base, score)} from (id, text, held), and for some histories
+    of each length the sum of all words' probabilities."""
     end, start = object(), object()
     tokens = {k: [*words(t), end] for k, t, _ in docs}
     train = [k for k, _, held in docs if not held]
     one = Counter(w for k in train for w in tokens[k])
-    two = Counter(p for k in train for p in zip([start, *tokens[k]], tokens[k], strict=False))
     total, distinct = sum(one.values()), len(one)
 
     def discounts(counter):
@@ -55,7 +55,7 @@ def katz(docs, cutoff=5):
                     d[r] = x if 0 < x < 1 else 1.0
         return d
 
-    d1, d2 = discounts(one), discounts(two)
+    d1 = discounts(one)
     lost = sum((1 - d1.get(c, 1)) * c for c in one.values())
     scale = 1.0 if lost > 0 else total / (total + 1)
     reserved = (lost / total if lost > 0 else 1 / (total + 1)) if total else 1.0
@@ -64,22 +64,37 @@ def katz(docs, cutoff=5):
         c = one[w]
         return d1.get(c, 1) * c / total * scale if c else reserved
 
-    after = defaultdict(dict)
-    for (h, w), c in two.items():
-        after[h][w] = c
+    after = {k: defaultdict(dict) for k in range(2, order + 1)}
+    d = {}
+    for k in after:
+        grams = Counter()
+        for name in train:
+            marked = [start, *tokens[name]]
+            grams.update(tuple(marked[i : i + k]) for i in range(len(marked) - k + 1))
+        d[k] = discounts(grams)
+        for gram, c in grams.items():
+            after[k][gram[:-1]][gram[-1]] = c
     weights = {}
-    for h, follow in after.items():
-        n = sum(follow.values())
-        gone = sum((1 - d2.get(c, 1)) * c for c in follow.values())
-        size = n if gone > 0 else n + 1
-        weights[h] = size, (gone or 1) / size / (1 - sum(map(p1, follow)))
-
-    def p2(h, w):
-        if h not in after:
+
+    def p(h, w):
+        if not h:
             return p1(w)
+        k = len(h) + 1
+        if h not in after[k]:
+            return p(h[1:], w)
+        follow = after[k][h]
+        if h not in weights:
+            n = sum(follow.values())
+            gone = sum((1 - d[k].get(c, 1)) * c for c in follow.values())
+            size = n if gone > 0 else n + 1
+            weights[h] = size, (gone or 1) / size / (1 - sum(p(h[1:], x) for x in follow))
         size, weight = weights[h]
-        c = after[h].get(w, 0)
-        return d2.get(c, 1) * c / size if c else weight * p1(w)
+        c = follow.get(w, 0)
+        return d[k].get(c, 1) * c / size if c else weight * p(h[1:], w)
+
+    def score(ts):
+        marked = [start, *ts]
+        return sum(math.log10(p(tuple(marked[max(0, i - order + 1) : i]), marked[i])) for i in range(1, len(marked)))
 
     found = {}
     for k, ts in tokens.items():
@@ -88,9 +103,9 @@ def katz(docs, cutoff=5):
             sum(one[w] > 0 for w in ts),
             total,
             sum(math.log10((one[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in ts),
-            sum(math.log10(p2(h, w)) for h, w in zip([start, *ts], ts, strict=False)),
+            score(ts),
         )
-    sums = {h: sum(p2(h, w) for w in one) + p2(h, None) for h in list(after)[:40]}
+    sums = {h: sum(p(h, w) for w in one) + p(h, None) for k in after for h in list(after[k])[:40]}
     return found, sums
 
 

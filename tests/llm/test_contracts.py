@@ -8,8 +8,9 @@ import brute
 import harness
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from fieldgauge.llm import catalog, jaccard
+from fieldgauge.llm import catalog, jaccard, katz
 
 SMALL = str(harness.TESTDATA / "sf0.001")
 MIDDLE = str(harness.TESTDATA / "sf0.01")
@@ -46,6 +47,20 @@ def test_op1(spark, small):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_katz_orders(spark, small, order):
+    """Other orders, over blocks and buckets so small that texts and histories are split."""
+    docs = [(k, t, k % 7 == 3) for k, t in small["docs"] if k % 4 == 0]
+    docs += [(-1, "the the the the the the end", False), (-2, "the the the the", True), (-3, None, True)]
+    expected, sums = brute.katz(docs, order=order)
+    frame = spark.createDataFrame(docs, "doc_id long, text string, held boolean")
+    found = rows(katz.score(frame, F.col("held"), order=order, block_tokens=500, bucket_bytes=2000), "doc_id")
+    for k, _, _ in docs:
+        assert found[k].score == pytest.approx(expected[k][4], rel=1e-9)
+        assert order > 1 or found[k].backoffs == found[k].n_tokens
+    assert all(s == pytest.approx(1, abs=1e-9) for s in sums.values())
+
+
 def test_op2(spark):
     found = rows(catalog.op2_weak_quality(spark, MIDDLE), "doc_id")
     labels = harness.duck(MIDDLE).execute("SELECT doc_id, quality, toxic FROM labels").fetchall()
