@@ -6,7 +6,7 @@ history's backoff weight times the probability after the history without its fir
 so on down to the word alone. The weight is exactly what makes the probabilities after a
 history sum to one. Unknown words share the words' reserved mass.
 
-The work goes through Spark by packed arrays. A *block* is a few million tokens of one
+The work goes through Spark by packed arrays. A *block* is a million tokens or so of one
 task; a *bucket* is a share of all words or histories.
 
 1. Each block sends its distinct words (64-bit hash, training count) to their buckets. The
@@ -26,9 +26,8 @@ A history with over 1 / HOT of all tokens is split over all buckets by the secon
 its sums are added up: at most HOT such histories exist, so their list and sums are small.
 A word or n-gram reaches a bucket once for each block, never once for each occurrence.
 
-Blocks are cut anew in each step from the same scan. A block's name has its place
-and a digest of its contents; if the scan differs, an answer finds no block, and the job fails, never scores
-wrongly. Words are told apart by 64-bit hashes, n-grams by the ids of history and word.
+Texts are cut into blocks and hashed once, and the blocks stored. A block's name has its
+place and a digest of its contents; an answer that finds no block fails the job. Words are told apart by 64-bit hashes, n-grams by the ids of history and word.
 
 Defined cases: a null or empty text is the end token alone. Rows that repeat count each.
 The first words of a text have a start mark before them and no longer history. A very long
@@ -53,7 +52,7 @@ from fieldgauge.llm import words as W
 from fieldgauge.llm.frames import stored
 
 ORDER, CUTOFF = 3, 5
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 #: Bytes of text for each bucket.
 BUCKET_BYTES = 10_000_000
 HOT = 512
@@ -164,7 +163,7 @@ class Block:
     @staticmethod
     def of(place: str, ids, held, sizes, hashes) -> Block:
         keys, tokens, n = pa.concat_arrays(ids), np.concatenate(hashes), np.concatenate(sizes)
-        distinct, local = np.unique(tokens, return_inverse=True)
+        distinct, _, local = _distinct(tokens)
         named = hashlib.blake2b(tokens, digest_size=16)
         named.update(repr(keys.to_pylist()).encode())
         return Block(f"{place}-{named.hexdigest()}", keys, np.concatenate(held).astype(bool), n, distinct, local)
@@ -177,12 +176,13 @@ class Block:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, pa.schema([("id", self.ids.type)])) as out:
             out.write_batch(pa.RecordBatch.from_arrays([self.ids], names=["id"]))
-        return ("text", 0, self.name, sink.getvalue().to_pybytes(), put(self.held.astype(np.uint8)), put(self.sizes), put(self.local))
+        return ("text", 0, self.name, sink.getvalue().to_pybytes(), put(self.held.astype(np.uint8)), put(self.sizes), put(self.local), put(self.hashes))
 
     @staticmethod
     def from_row(row: dict) -> Block:
         ids = pa.ipc.open_stream(row["a"]).read_all().column(0).combine_chunks()
-        return Block(row["block"], ids, get(row["b"]).astype(bool), get(row["c"]), np.zeros(0, np.uint64), get(row["d"]))
+        hashes = get(row["e"]) if row["e"] else np.zeros(0, np.uint64)
+        return Block(row["block"], ids, get(row["b"]).astype(bool), get(row["c"]), hashes, get(row["d"]))
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -237,12 +237,10 @@ class Grams:
         has = own[before] != UNKNOWN
         # what was not seen after the shorter history was not seen after this one
         lower = below.times()[has]
-        pairs, first, inverse = np.unique(
-            before[has] * (n + 1) + np.where(lower > 0, block.local[has], n), return_index=True, return_inverse=True
-        )
+        pairs, first, inverse = _distinct(before[has] * (n + 1) + np.where(lower > 0, block.local[has], n))
         times = np.bincount(inverse, weights=block.train()[has], minlength=len(pairs)).astype(np.int64)
         history, word = own[pairs // (n + 1)], np.append(words, UNKNOWN)[pairs % (n + 1)]
-        place = np.where(np.isin(history, level.split), _bucket(word + 0x1000003 * history, buckets), _bucket(history, buckets))
+        place = np.where(_among(history, level.split), _bucket(word + 0x1000003 * history, buckets), _bucket(history, buckets))
         # small numbers are sorted by radix; the runs of a history stay together
         order = np.argsort(place.astype(np.min_scalar_type(buckets)), kind="stable")
         rank = np.empty_like(order)
@@ -307,6 +305,24 @@ class Chain:
         return Chain(grams.of_token, ids, seen, sizes, chance, backed)
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values in order, a place of each, and each value's number. Unlike
+    ``np.unique`` it needs no stable sort: any place will do."""
+    order = np.argsort(x)
+    ordered = x[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])[: len(x)]
+    inverse = np.empty_like(order)
+    inverse[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], inverse
+
+
+def _among(x: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Which values are in a short sorted array."""
+    if not len(few):
+        return np.zeros(len(x), bool)
+    return few[np.minimum(np.searchsorted(few, x), len(few) - 1)] == x
+
+
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values of the runs of equal neighbours, and where each begins."""
     first = np.append(True, x[1:] != x[:-1]) if len(x) else np.zeros(0, bool)
@@ -321,7 +337,7 @@ def _sum_words(buckets: int, cutoff: int):
         bucket = key[0].as_py()
         rows = table.sort_by("block").to_pylist()
         hashes = [get(r["a"]) for r in rows]
-        distinct, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+        distinct, _, inverse = _distinct(np.concatenate(hashes))
         counts = np.bincount(inverse, weights=np.concatenate([get(r["b"]) for r in rows])).astype(np.int64)
         known = counts > 0
         ids = np.where(known, 2 + (np.cumsum(known) - 1) * buckets + bucket, UNKNOWN)
@@ -347,8 +363,7 @@ def _pairs(history: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarra
         inverse = np.empty_like(order)
         inverse[order] = np.cumsum(new) - 1
         return order[new], inverse
-    joined = history.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64)
-    _, first, inverse = np.unique(joined, return_index=True, return_inverse=True)
+    _, first, inverse = _distinct(history.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64))
     return first, inverse
 
 
@@ -378,7 +393,7 @@ def _sum_grams(level: Level, below: np.ndarray, cutoff: int, buckets: int, last:
             (f"gram{level.order}", bucket, "", put(heads_all), put(followers), put(w[seen]), put(times[seen])),
             ("total", bucket, "", put(of)),
         ]
-        here = np.isin(heads_all, level.split)
+        here = _among(heads_all, level.split)
         if here.any():
             out.append(("split", bucket, "", put(heads_all[here]), put(mass[here]), put(low[:, here].ravel())))
         ranks = np.where(seen, np.cumsum(seen), 0)
@@ -449,16 +464,18 @@ def score(
             yield _packed([block.row()])
 
     def ask_words(batches):
-        for block in Block.blocks(batches, block_tokens):
+        for row in (row for batch in batches for i in range(len(batch)) for row in batch.slice(i, 1).to_pylist()):
+            block = Block.from_row(row)
             times = np.bincount(block.local, weights=block.train(), minlength=len(block.hashes)).astype(np.int64)
             place = (block.hashes >> np.uint64(40)).astype(np.int64) * buckets >> 24  # by range
             yield _packed([("ask", p, block.name, put(block.hashes[s:e]), put(times[s:e])) for p, s, e in _cuts(place)])
 
-    asked = rows.mapInArrow(ask_words, _PACKED)
+    scanned = stored(spark, rows.mapInArrow(texts, _PACKED), "katz-blocks")
+    asked = scanned.mapInArrow(ask_words, _PACKED)
     word_table = stored(spark, asked.groupBy("bucket").applyInArrow(_sum_words(buckets, cutoff), _PACKED), "katz-words")
     total, distinct, *of = _total(word_table, cutoff + 3)
     unigrams = Unigrams.of(total, distinct, of, cutoff)
-    blocks = rows.mapInArrow(texts, _PACKED)
+    blocks = scanned.withColumn("e", F.lit(None).cast("binary"))  # hashes are for the words alone
     known = _answers(word_table)
 
     def ask(level: Level, levels: list[Level]):
