@@ -63,14 +63,22 @@ _PACKED = "kind string, bucket int, block string, a binary, b binary, c binary,
 
 def put(x: np.ndarray) -> bytes:
     """An array by byte planes, compressed; signed numbers, none below 0, in the
-    smallest type that fits. Unsigned ones are hashes and stay as they are."""
+    smallest type that fits. Unsigned ones are hashes and stay as they are. Fractions, most
+    of which recur, are their distinct values and each one's number."""
+    if x.dtype.kind == "f":
+        values, _, number = _distinct(x)
+        coded = zstandard.compress(values.tobytes(), 3)
+        return b"dict" + len(coded).to_bytes(8, "little") + coded + put(number)
     if x.dtype.kind == "i" and (top := int(x.max(initial=0))) < 1 << 32:
         x = x.astype(np.min_scalar_type(top))
     planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T
-    return x.dtype.str.encode().ljust(4) + zstandard.compress(planes.tobytes(), 1)
+    return x.dtype.str.encode().ljust(4) + zstandard.compress(planes.tobytes(), 3)
 
 
 def get(data: bytes) -> np.ndarray:
+    if data[:4] == b"dict":
+        end = 12 + int.from_bytes(data[4:12], "little")
+        return np.frombuffer(zstandard.decompress(data[12:end]), np.float64)[get(data[end:])]
     kind = np.dtype(data[:4].decode().strip())
     raw = np.frombuffer(zstandard.decompress(data[4:]), np.uint8)
     x = np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).ravel()
@@ -176,13 +184,19 @@ class Block:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, pa.schema([("id", self.ids.type)])) as out:
             out.write_batch(pa.RecordBatch.from_arrays([self.ids], names=["id"]))
-        return ("text", 0, self.name, sink.getvalue().to_pybytes(), put(self.held.astype(np.uint8)), put(self.sizes), put(self.local), put(self.hashes))
+        # tokens by how frequent their words are: most take a byte
+        frequent = np.argsort(-np.bincount(self.local, minlength=len(self.hashes)), kind="stable")
+        rank = np.empty_like(frequent)
+        rank[frequent] = np.arange(len(frequent))
+        texts = self.sizes.astype(np.int64) * 2 + self.held
+        return ("text", 0, self.name, sink.getvalue().to_pybytes(), put(texts), put(frequent), put(rank[self.local]), put(self.hashes))
 
     @staticmethod
     def from_row(row: dict) -> Block:
         ids = pa.ipc.open_stream(row["a"]).read_all().column(0).combine_chunks()
         hashes = get(row["e"]) if row["e"] else np.zeros(0, np.uint64)
-        return Block(row["block"], ids, get(row["b"]).astype(bool), get(row["c"]), hashes, get(row["d"]))
+        texts = get(row["b"])
+        return Block(row["block"], ids, texts % 2 == 1, texts // 2, hashes, get(row["c"])[get(row["d"])])
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -340,7 +354,9 @@ def _sum_words(buckets: int, cutoff: int):
         distinct, _, inverse = _distinct(np.concatenate(hashes))
         counts = np.bincount(inverse, weights=np.concatenate([get(r["b"]) for r in rows])).astype(np.int64)
         known = counts > 0
-        ids = np.where(known, 2 + (np.cumsum(known) - 1) * buckets + bucket, UNKNOWN)
+        # frequent words get small ids, which take fewer bytes wherever they go
+        ids = np.full(len(counts), UNKNOWN)
+        ids[np.argsort(-counts, kind="stable")[: known.sum()]] = START + 1 + np.arange(known.sum()) * buckets + bucket
         of = np.bincount(np.minimum(counts, cutoff + 2), minlength=cutoff + 3)[1 : cutoff + 2]
         hot = np.array([counts.sum(), known.sum(), *of], np.int64)
         out = [("word", bucket, "", put(distinct[known]), put(ids[known]), put(counts[known])), ("total", bucket, "", put(hot))]
@@ -550,16 +566,17 @@ def _replayed(left: pa.Table, right: pa.Table, unigrams: Unigrams, levels: list[
 def _hot(table: DataFrame, order: int, total: int, buckets: int) -> dict[int, int]:
     """Ids and counts of the words or n-grams with over 1 / HOT of all tokens."""
     kind, times = ("word", "c") if order == 1 else (f"gram{order}", "d")
+    words = order == 1  # their ids are in the table, those of n-grams follow from the place
 
     def run(batches):
         for batch in batches:
-            for bucket, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts = get(counts)
+            for row in batch.to_pylist():
+                counts = get(row[times])
                 big = np.flatnonzero(counts * HOT > total)
-                ids = START + 1 + big * buckets + bucket
+                ids = get(row["b"])[big] if words else START + 1 + big * buckets + row["bucket"]
                 yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), pa.array(counts[big].astype(np.int64))], names=["id", "n"])
 
-    found = table.where(F.col("kind") == kind).select("bucket", times).mapInArrow(run, "id long, n long")
+    found = table.where(F.col("kind") == kind).select("bucket", "b", times).mapInArrow(run, "id long, n long")
     return {r.id: r.n for r in found.collect()}
 
 
