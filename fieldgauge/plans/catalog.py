@@ -837,6 +837,21 @@ def stream_window_latest(spark, sf):
     return _steadied(streams.latest_windows(spark, path))
 
 
+@_register
+def stream_late_rows(spark, sf):
+    """Windows that lack readings which came too late.
+
+    Every eleventh reading arrives after all others; those more than five days old by then
+    are behind the watermark."""
+    path, at = session.scratch(spark, "windows"), session.scratch(spark, "checkpoint")
+    arrived, messages = session.scratch(spark, "arrived"), _messages(spark, sf)
+    for behind in ("`offset` % 11 != 0", "`offset` % 11 = 0"):
+        messages.where(behind).write.mode("append").parquet(arrived)
+        source = broker.file_stream(spark, arrived)
+        streams.drain(streams.window_update_sink(source, path, at, streams.DRAIN, watermark="5 days"))
+    return streams.late_counts(streams.accepted(messages), streams.latest_windows(spark, path))
+
+
 @_register
 def stream_window_state(spark, sf):
     """Windows that the state still holds after a restart: those that the watermark leaves open."""

@@ -479,6 +479,15 @@ _BODIES = {
     "stream_window_agg": """SELECT * FROM windows WHERE window_end <=
         (SELECT max(sensor_timestamp) - INTERVAL 10 MINUTE FROM readings)""",
     "stream_window_latest": "SELECT * FROM windows",
+    # the watermark is what the first batch left: five days behind its newest reading
+    "stream_late_rows": """SELECT * FROM (
+        SELECT deviceId, time_bucket(INTERVAL 5 MINUTE, sensor_timestamp) AS window_start,
+          time_bucket(INTERVAL 5 MINUTE, sensor_timestamp) + INTERVAL 5 MINUTE AS window_end,
+          count(*) AS accepted, count(*) - count(*) FILTER (late) AS held, count(*) FILTER (late) AS late
+        FROM (SELECT *, event_id % 11 = 0 AND time_bucket(INTERVAL 5 MINUTE, sensor_timestamp)
+                + INTERVAL 5 MINUTE <= (SELECT max(sensor_timestamp) - INTERVAL 5 DAY FROM readings
+                WHERE event_id % 11 != 0) AS late FROM readings) r
+        GROUP BY 1, 2, 3) w WHERE late > 0""",
     "stream_window_state": """SELECT deviceId, window_start, window_end FROM windows WHERE window_end >
         (SELECT max(sensor_timestamp) - INTERVAL 10 MINUTE FROM readings)""",
     "stream_flow_metrics": """SELECT count(*) AS received,

@@ -286,6 +286,27 @@ def latest_windows(spark: SparkSession, path: str, first=None, last=None) -> Dat
     return rows.groupBy(*_WINDOW_KEY).agg(newest).select(*_WINDOW_KEY, "newest.*")
 
 
+def late_counts(readings: DataFrame, held: DataFrame, width: str = C.WINDOW) -> DataFrame:
+    """Windows that lack readings: accepted, in the stored window, and late.
+
+    ``readings`` are all that were accepted, as the raw tier keeps them: its stream has no
+    watermark. ``held`` is the window stream's table. What a window lacks came after the
+    watermark had passed its end, or the window is not written yet; ``latest_windows`` of an
+    update sink has every window that ever got a reading, so there it is lateness alone.
+    The readings are reduced to a count for each window before they meet the table.
+    """
+    counted = readings.groupBy(F.window("sensor_timestamp", width), "deviceId").agg(
+        F.count(F.lit(1)).alias("accepted")
+    )
+    counted = counted.select("deviceId", "window.start", "window.end", "accepted").toDF(*_WINDOW_KEY, "accepted")
+    in_window = F.coalesce("record_count", F.lit(0).cast("long"))
+    return (
+        counted.join(held.select(*_WINDOW_KEY, "record_count"), _WINDOW_KEY, "left")
+        .select(*_WINDOW_KEY, "accepted", in_window.alias("held"), (F.col("accepted") - in_window).alias("late"))
+        .where("late > 0")
+    )
+
+
 def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
     """What a window stream still holds in its state store: windows that may get readings."""
     state = spark.read.format("statestore").load(checkpoint)

@@ -72,6 +72,22 @@ def test_late_readings_are_dropped(spark, tmp_path):
     assert rows_of(found, "m", "n") == [(0, 2), (35, 1), (40, 1)]
 
 
+def test_late_readings_are_counted_by_window(spark, tmp_path):
+    """Windows and late readings add up to what was accepted, also after a restart."""
+    arrived, out, at = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "at")
+    batches = [[minute(1), minute(2)], [minute(40)], [minute(3), minute(39), minute(11)]]
+    for n, values in enumerate(batches):
+        arrive(spark, arrived, *values, first_offset=n * 10)
+        source = broker.file_stream(spark, str(arrived), files_per_trigger=1)
+        streams.drain(streams.window_update_sink(source, out, at, streams.DRAIN))
+    accepted = streams.accepted(spark.read.parquet(str(arrived)))
+    held = streams.latest_windows(spark, out)
+    late = streams.late_counts(accepted, held).selectExpr("minute(window_start) AS m", "accepted", "held", "late")
+    assert rows_of(late, "m", "accepted", "held", "late") == [(0, 3, 2, 1), (10, 1, 0, 1)]
+    assert held.agg({"record_count": "sum"}).first()[0] + 2 == accepted.count()
+    assert streams.late_counts(accepted.limit(0), held).isEmpty()
+
+
 def test_windows_by_device_folder(spark, tmp_path):
     arrived, out, at = tmp_path / "in", tmp_path / "out", str(tmp_path / "at")
     arrive(spark, arrived, minute(0), minute(0, deviceId="other"), minute(60))
