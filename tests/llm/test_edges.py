@@ -70,3 +70,14 @@ def test_pages_without_an_id(spark, tmp_path):
     pages.write.parquet(str(tmp_path / "pages.parquet"))
     found = catalog.op8_warc(spark, str(tmp_path)).collect()
     assert sorted((r.page_id or 0, r.payload_bytes) for r in found) == [(0, 8), (1, 8), (2, 0), (3, 8), (3, 8)]
+
+
+def test_lines_of_very_long_texts(spark):
+    """Thousands of dropped lines in a text; lines of its own between them stay, repeats go too."""
+    shared = [f"line {i} of a passage that many documents hold in common" for i in range(3000)]
+    docs = [(k, "\n".join([*shared, f"the own line of document {k}, which is long enough too", *shared])) for k in range(6)]
+    found = {r.doc_id: r for r in lines.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for k, text in docs[:-1]:
+        assert (found[k].n_lines, found[k].n_dropped) == (6001, 6000)
+        assert found[k].text == text.split("\n")[3000]
+    assert (found[5].text, found[5].n_dropped) == (docs[5][1], 0)
