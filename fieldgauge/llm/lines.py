@@ -183,7 +183,9 @@ def dedup(
     decisions = stored(spark, decisions, "line-decisions")
     freed(spark, lines, *(run for level in runs.levels for run in level))
     rest = docs.drop("n_lines", "n_dropped")
-    joined = rest.join(decisions, rest[id] == decisions[gone], "left")
+    # one plan at every size: few decisions would be sent to the texts, many are met by a shuffle
+    # of them, so what small tables take of disk would say nothing of large ones
+    joined = rest.join(decisions.hint("merge"), rest[id] == decisions[gone], "left")
 
     def stays(line: Column) -> Column:
         stripped = _stripped(line)
