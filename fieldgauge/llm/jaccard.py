@@ -495,9 +495,11 @@ def keep_one(
     goes = F.col(node).isNotNull() & (F.struct(F.col(key).alias("id"), F.col(node).alias("node")) != F.col("first"))
     gone = named.where(goes).select(key, node).distinct()
     same_id = F.col(f"`{id}`") == F.col(key)
+    # one plan at every size: few ids would be sent to the texts, many are met by a shuffle of them
+    going = gone.select(key).hint("merge")
     if twice.isEmpty():
-        return docs.join(gone.select(key), same_id, "left_anti")
-    single = docs.join(twice, same_id, "left_anti").join(gone.select(key), same_id, "left_anti")
+        return docs.join(going, same_id, "left_anti")
+    single = docs.join(twice, same_id, "left_anti").join(going, same_id, "left_anti")
     several = _with_node(docs.join(twice, same_id, "left_semi"), text, own("set"), shingle, seed)
     its_set = F.col(several.columns[-1])
     left = several.join(gone, same_id & (its_set == F.col(node)), "left_anti")

@@ -1,6 +1,6 @@
-"""Plans that are the same at every size."""
+"""Plans that are the same at every size, and scratch tables that go when they are read."""
 
-from fieldgauge.llm import lines
+from fieldgauge.llm import jaccard, lines
 
 LINE = "a line that many documents share, long enough to count"
 DOCS = [(k, f"{LINE}\nits own words are number {k}" if k % 2 else "one two three four five six") for k in range(12)]
@@ -18,3 +18,9 @@ def test_line_dedup_joins_small_decisions_as_it_does_large_ones(spark):
     cut = lines.dedup(_docs(spark))
     assert "SortMergeJoin" in _plan(cut) and "BroadcastHashJoin" not in _plan(cut)
     assert {r.doc_id: r.n_dropped for r in cut.collect()} == {k: int(k % 2 and k < 11) for k, _ in DOCS}
+
+
+def test_keep_one_drops_few_documents_as_it_does_many(spark):
+    left = jaccard.keep_one(_docs(spark))
+    assert "SortMergeJoin" in _plan(left) and "BroadcastHashJoin" not in _plan(left)
+    assert sorted(r.doc_id for r in left.collect()) == [0, *range(1, 12, 2)]
