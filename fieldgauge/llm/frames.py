@@ -25,7 +25,7 @@ def own(name: str) -> str:
     return f"__{name}_{uuid.uuid4().hex[:8]}"
 
 
-def stored(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+def stored(spark: SparkSession, frame: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """The rows written to the shared scratch folder and read again: a lost executor
     costs no more than what is in flight, and nothing before is computed twice.
 
@@ -35,17 +35,19 @@ def stored(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
     try:
-        frame.write.parquet(path)
+        frame.write.partitionBy(*by).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def freed(spark: SparkSession, *frames: DataFrame) -> None:
-    """Delete the folders of stored frames; for those whose readers are stored themselves."""
+def freed(spark: SparkSession, *frames: DataFrame, only: str = "") -> None:
+    """Delete the folders of stored frames, or only those named so, which a frame that is
+    stored by a column has; for those whose readers are stored themselves."""
     for frame in frames:
         for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
-            delete(spark, folder)
+            if folder.endswith(only):
+                delete(spark, folder)
 
 
 def by_batch(

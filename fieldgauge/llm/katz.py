@@ -6,7 +6,7 @@ history's backoff weight times the probability after the history without its fir
 so on down to the word alone. The weight is exactly what makes the probabilities after a
 history sum to one. Unknown words share the words' reserved mass.
 
-The work goes through Spark by packed arrays. A *block* is a million tokens or so of one
+The work goes through Spark by packed arrays. A *block* is 750,000 tokens or so of one
 task; a *bucket* is a share of all words or histories.
 
 1. Each block sends its distinct words (64-bit hash, training count) to their buckets. The
@@ -18,6 +18,10 @@ task; a *bucket* is a share of all words or histories.
 3. Each block scores its texts from the answers: the recursion runs upwards, and at each
    order a token takes its seen n-gram, or the weight times what it had from the order below.
 
+After each order its table goes, and the answers are stored with their block, a share of the
+blocks at a time. So disk holds the blocks and all answers once, and either the n-grams of one
+order on their way to the buckets or one share on its way to the blocks, never both.
+
 A follower that was seen after a history was seen after the shorter one. So the mass that a
 weight divides by is a sum of discounted counts of the order below, over the shorter
 history's denominator: the buckets get counts, never probabilities, and the sum is exact.
@@ -49,13 +53,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldgauge.llm import words as W
-from fieldgauge.llm.frames import stored
+from fieldgauge.llm.frames import freed, stored
 
 ORDER, CUTOFF = 3, 5
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 750_000
 #: Bytes of text for each bucket.
 BUCKET_BYTES = 10_000_000
 HOT = 512
+#: Shares of the blocks, which meet their answers one after another: a share is in a shuffle
+#: at a time, and goes from where it was stored when it is stored anew.
+SHARES = 4
 UNKNOWN, START = 0, 1
 _END = np.uint64(0x5851F42D4C957F2D)
 _PACKED = "kind string, bucket int, block string, a binary, b binary, c binary, d binary, e binary"
@@ -194,7 +201,8 @@ class Block:
     @staticmethod
     def from_row(row: dict) -> Block:
         ids = pa.ipc.open_stream(row["a"]).read_all().column(0).combine_chunks()
-        hashes = get(row["e"]) if row["e"] else np.zeros(0, np.uint64)
+        # without hashes once the words are answered: then answers are there, or nothing
+        hashes = get(row["e"]) if row["kind"] == "text" and row["e"] else np.zeros(0, np.uint64)
         texts = get(row["b"])
         return Block(row["block"], ids, texts % 2 == 1, texts // 2, hashes, get(row["c"])[get(row["d"])])
 
@@ -405,10 +413,9 @@ def _sum_grams(level: Level, below: np.ndarray, cutoff: int, buckets: int, last:
         low = np.stack([np.add.reduceat((times == r).astype(np.int64), begin) for r in range(1, cutoff + 1)])
         of = np.bincount(np.minimum(times, cutoff + 2), minlength=cutoff + 3)[1 : cutoff + 2]
         followers = np.add.reduceat(seen.astype(np.int64), begin)
-        out = [
-            (f"gram{level.order}", bucket, "", put(heads_all), put(followers), put(w[seen]), put(times[seen])),
-            ("total", bucket, "", put(of)),
-        ]
+        out = [("total", bucket, "", put(of))]
+        if not last or level.order == 2:  # the next order's histories, and the number of texts
+            out.append((f"gram{level.order}", bucket, "", put(heads_all), put(followers), put(w[seen]), put(times[seen])))
         here = _among(heads_all, level.split)
         if here.any():
             out.append(("split", bucket, "", put(heads_all[here]), put(mass[here]), put(low[:, here].ravel())))
@@ -452,10 +459,6 @@ def _total(table: DataFrame, n: int) -> list[int]:
     return [int(found.get(k, 0)) for k in range(n)]
 
 
-def _answers(table: DataFrame) -> DataFrame:
-    return table.where("kind LIKE 'answer%'")
-
-
 def score(
     docs: DataFrame,
     held_out: Column,
@@ -488,22 +491,23 @@ def score(
 
     scanned = stored(spark, rows.mapInArrow(texts, _PACKED), "katz-blocks")
     asked = scanned.mapInArrow(ask_words, _PACKED)
-    word_table = stored(spark, asked.groupBy("bucket").applyInArrow(_sum_words(buckets, cutoff), _PACKED), "katz-words")
+    word_table = _table(asked.groupBy("bucket").applyInArrow(_sum_words(buckets, cutoff), _PACKED), "katz-words")
     total, distinct, *of = _total(word_table, cutoff + 3)
     unigrams = Unigrams.of(total, distinct, of, cutoff)
-    blocks = scanned.withColumn("e", F.lit(None).cast("binary"))  # hashes are for the words alone
-    known = _answers(word_table)
+    bare = scanned.withColumn("e", F.lit(None).cast("binary"))  # hashes are for the words alone
+    blocks = [bare.where(_share() == share) for share in range(SHARES)]
 
     def ask(level: Level, levels: list[Level]):
-        def work(key, left, right):
-            block, ids, _, below = _replayed(left, right, unigrams, levels, buckets)
-            grams = Grams.of(block, ids, below, level, buckets)
-            out = []
-            for p, s, e in _cuts(grams.place):
-                heads, at = _runs(grams.history[s:e])
-                sizes = np.diff(np.append(at, e - s))
-                out.append(("ask", p, block.name, put(heads), put(sizes), put(grams.word[s:e]), put(grams.times[s:e]), put(grams.lower[s:e])))
-            return pa.Table.from_batches([_packed(out)])
+        def work(batches):
+            for row in (row for batch in batches for i in range(len(batch)) for row in batch.slice(i, 1).to_pylist()):
+                block, ids, _, below = _replayed(row, _kept(row), unigrams, levels, buckets)
+                grams = Grams.of(block, ids, below, level, buckets)
+                out = []
+                for p, s, e in _cuts(grams.place):
+                    heads, at = _runs(grams.history[s:e])
+                    sizes = np.diff(np.append(at, e - s))
+                    out.append(("ask", p, block.name, put(heads), put(sizes), put(grams.word[s:e]), put(grams.times[s:e]), put(grams.lower[s:e])))
+                yield _packed(out)
 
         return work
 
@@ -512,16 +516,20 @@ def score(
     for k in range(2, order + 1):
         hot = _hot(table, k - 1, total, buckets)
         level = Level(k, np.array(sorted(hot), np.int64))
-        asked = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(ask(level, list(levels)), _PACKED)
+        freed(spark, table, only=f"share={SHARES}")
+        blocks = _by_block(blocks, table, _with_answers, _PACKED, f"katz-{k - 1}-blocks", k > 2)
+        if k == 2:
+            freed(spark, scanned)
+        asked = _union(blocks).mapInArrow(ask(level, list(levels)), _PACKED)
         summed = asked.groupBy("bucket").applyInArrow(_sum_grams(level, below, cutoff, buckets, k == order), _PACKED)
-        table = stored(spark, summed, f"katz-{k}-grams")
+        table = _table(summed, f"katz-{k}-grams")
         level.discount = below = discounts(_total(table, cutoff + 1), cutoff)
         _add_split(table, level, hot, cutoff)
         levels.append(level)
-        known = known.unionByName(_answers(table))
 
     def finish(key, left, right):
-        block, _, counts, chain = _replayed(left, right, unigrams, levels, buckets)
+        row = _row(left)
+        block, _, counts, chain = _replayed(row, _kept(row) + right.to_pylist(), unigrams, levels, buckets)
         token, fell = np.log10(chain.chance), chain.backed
         base = np.log10((counts + 0.5) / (unigrams.total + 0.5 * (unigrams.distinct + 1)))[block.local]
         starts = np.cumsum(block.sizes) - block.sizes
@@ -539,20 +547,76 @@ def score(
         return pa.Table.from_arrays(columns, names=[f.split()[0] for f in fields])
 
     fields = ["id " + id_kind, "held_out boolean", "n_tokens long", "n_known long", "train_tokens long", "base_score double", "score double", "backoffs long"]
-    found = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(finish, ", ".join(fields))
-    return found.withColumnRenamed("id", id)
+    freed(spark, table, only=f"share={SHARES}")
+    found = _by_block(blocks, table, finish, ", ".join(fields), "katz-scores", order > 1)
+    if order < 2:
+        freed(spark, scanned)
+    return _union(found).withColumnRenamed("id", id)
+
+
+def _share() -> Column:
+    return F.pmod(F.xxhash64("block"), F.lit(SHARES)).cast("int")
+
+
+def _table(rows: DataFrame, name: str) -> DataFrame:
+    """A table stored by share: the answers by that of their block, the rest beside them."""
+    share = F.when(F.col("kind").startswith("answer"), _share()).otherwise(F.lit(SHARES))
+    return stored(rows.sparkSession, rows.withColumn("share", share), name, ("share",))
+
+
+def _by_block(blocks: list[DataFrame], table: DataFrame, work, schema: str, name: str, free: bool) -> list[DataFrame]:
+    """``work`` over each block with its answers, stored by share; a share's answers go then,
+    and its blocks if they are not in one folder with others."""
+    made = []
+    for share, mine in enumerate(blocks):
+        answers = table.where(F.col("share") == share).drop("share")
+        pairs = mine.groupBy("block").cogroup(answers.groupBy("block"))
+        made.append(stored(mine.sparkSession, pairs.applyInArrow(work, schema), name))
+        freed(mine.sparkSession, table, only=f"share={share}")
+        if free:
+            freed(mine.sparkSession, mine)
+    return made
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    whole = frames[0]
+    for frame in frames[1:]:
+        whole = whole.unionByName(frame)
+    return whole
+
+
+def _row(left: pa.Table) -> dict:
+    """The block of some answers. One that repeats is the same: the scan is stored."""
+    rows = left.to_pylist()
+    if len({r["block"] for r in rows}) != 1:
+        raise ValueError("an answer without its block: the scan has changed")
+    return rows[0]
+
+
+def _with_answers(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    """A block's row with one order's answers, after those that it has."""
+    row = _row(left)
+    sink = pa.BufferOutputStream()
+    answers = _packed([tuple(r.values()) for r in _kept(row) + right.to_pylist()])
+    with pa.ipc.new_stream(sink, answers.schema) as out:
+        out.write_batch(answers)
+    return pa.Table.from_batches([_packed([("answered", 0, row["block"], row["a"], row["b"], row["c"], row["d"], sink.getvalue().to_pybytes())])])
+
+
+def _kept(row: dict) -> list[dict]:
+    """The answers in a block's row."""
+    return pa.ipc.open_stream(row["e"]).read_all().to_pylist() if row["e"] else []
 
 
-def _replayed(left: pa.Table, right: pa.Table, unigrams: Unigrams, levels: list[Level], buckets: int):
+def _replayed(row: dict, answers: list[dict], unigrams: Unigrams, levels: list[Level], buckets: int):
     """A block, the ids and counts of its words in order of hash, and what the answers of
     all levels say of its tokens."""
-    rows, answers = left.to_pylist(), right.to_pylist()
-    if len({r["block"] for r in rows}) != 1 or not answers:
+    if not answers:
         raise ValueError("an answer without its block: the scan has changed")
     by_order: dict[str, list[dict]] = {}
     for r in answers:
         by_order.setdefault(r["kind"], []).append(r)
-    block = Block.from_row(rows[0])
+    block = Block.from_row(row)
     words = sorted(by_order["answer1"], key=lambda r: r["bucket"])
     ids = np.concatenate([get(r["a"]) for r in words])
     counts = np.concatenate([get(r["b"]) for r in words])
