@@ -224,6 +224,7 @@ class Level:
 
     order: int
     hot: np.ndarray  # ids of the split histories, sorted
+    below: np.ndarray  # the discounts of the order below
     discount: np.ndarray | None = None
     count: np.ndarray | None = None  # of the split histories, with START before the others
     mass: np.ndarray | None = None
@@ -307,7 +308,8 @@ class Chain:
             raise ValueError("the answers don't fit the block: the scan has changed")
         ranks = np.concatenate([get(r["b"]) for r in replies] or [np.zeros(0, np.int64)])
         ids = np.where(ranks > 0, START + (ranks - 1) * buckets + 1 + grams.place[: len(ranks)], UNKNOWN)
-        mass = np.concatenate([get(r["c"]) for r in replies] or [np.zeros(0)])
+        lower = np.concatenate([get(r["c"]).reshape(cutoff + 1, -1) for r in replies] or [np.zeros((cutoff + 1, 0), np.int64)], axis=1)
+        mass = _mass(lower, level.below)
         low = np.concatenate([get(r["d"]).reshape(cutoff, -1) for r in replies] or [np.zeros((cutoff, 0), np.int64)], axis=1)
         at = np.flatnonzero(np.append(True, grams.head[1:] != grams.head[:-1])[: len(grams.head)])
         heads, count = grams.history[at], grams.count[at]
@@ -391,7 +393,14 @@ def _pairs(history: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return first, inverse
 
 
-def _sum_grams(level: Level, below: np.ndarray, cutoff: int, buckets: int, last: bool):
+def _mass(lower: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """The discounted counts of histories' followers in the order below, from how many of them
+    have each low count, and the sum of the other counts. Small whole numbers take less room
+    than fractions."""
+    return (d[1:] * np.arange(1, len(d))) @ lower[:-1] + lower[-1]
+
+
+def _sum_grams(level: Level, cutoff: int, buckets: int, last: bool):
     """A bucket of histories: its part of the table, its totals, an answer to each block.
 
     The n-gram of rank r in the table has the id START + 1 + r * buckets + bucket."""
@@ -409,7 +418,8 @@ def _sum_grams(level: Level, below: np.ndarray, cutoff: int, buckets: int, last:
         h, w = history[first], word[first]
         heads_all, begin = _runs(h)
         seen = times > 0
-        mass = np.add.reduceat(np.where(seen, discounted(lower, below), 0.0), begin)
+        lower = [*((seen & (lower == r)).astype(np.int64) for r in range(1, cutoff + 1)), np.where(seen & (lower > cutoff), lower, 0)]
+        mass = np.stack([np.add.reduceat(x, begin) for x in lower])
         low = np.stack([np.add.reduceat((times == r).astype(np.int64), begin) for r in range(1, cutoff + 1)])
         of = np.bincount(np.minimum(times, cutoff + 2), minlength=cutoff + 3)[1 : cutoff + 2]
         followers = np.add.reduceat(seen.astype(np.int64), begin)
@@ -418,7 +428,7 @@ def _sum_grams(level: Level, below: np.ndarray, cutoff: int, buckets: int, last:
             out.append((f"gram{level.order}", bucket, "", put(heads_all), put(followers), put(w[seen]), put(times[seen])))
         here = _among(heads_all, level.split)
         if here.any():
-            out.append(("split", bucket, "", put(heads_all[here]), put(mass[here]), put(low[:, here].ravel())))
+            out.append(("split", bucket, "", put(heads_all[here]), put(mass[:, here].ravel()), put(low[:, here].ravel())))
         ranks = np.where(seen, np.cumsum(seen), 0)
         at = 0
         for r, own, n in zip(rows, heads, sizes, strict=True):
@@ -426,7 +436,7 @@ def _sum_grams(level: Level, below: np.ndarray, cutoff: int, buckets: int, last:
             at += len(mine)
             of_head = np.searchsorted(heads_all, own)
             known = np.zeros(0, np.int64) if last else ranks[mine]
-            answer = put(times[mine]), put(known), put(mass[of_head]), put(low[:, of_head].ravel())
+            answer = put(times[mine]), put(known), put(mass[:, of_head].ravel()), put(low[:, of_head].ravel())
             out.append((f"answer{level.order}", bucket, r["block"], *answer))
         return pa.Table.from_batches([_packed(out)])
 
@@ -515,13 +525,13 @@ def score(
     table, below = word_table, unigrams.discount
     for k in range(2, order + 1):
         hot = _hot(table, k - 1, total, buckets)
-        level = Level(k, np.array(sorted(hot), np.int64))
+        level = Level(k, np.array(sorted(hot), np.int64), below)
         freed(spark, table, only=f"share={SHARES}")
         blocks = _by_block(blocks, table, _with_answers, _PACKED, f"katz-{k - 1}-blocks", k > 2)
         if k == 2:
             freed(spark, scanned)
         asked = _union(blocks).mapInArrow(ask(level, list(levels)), _PACKED)
-        summed = asked.groupBy("bucket").applyInArrow(_sum_grams(level, below, cutoff, buckets, k == order), _PACKED)
+        summed = asked.groupBy("bucket").applyInArrow(_sum_grams(level, cutoff, buckets, k == order), _PACKED)
         table = _table(summed, f"katz-{k}-grams")
         level.discount = below = discounts(_total(table, cutoff + 1), cutoff)
         _add_split(table, level, hot, cutoff)
@@ -650,18 +660,19 @@ def _add_split(table: DataFrame, level: Level, hot: dict[int, int], cutoff: int)
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                columns = [pa.array(get(row["a"]).astype(np.int64)), pa.array(get(row["b"]))]
-                columns += [pa.array(x) for x in get(row["c"]).reshape(cutoff, -1).astype(np.int64)]
+                columns = [pa.array(get(row["a"]).astype(np.int64))]
+                for kind, rows in (("b", cutoff + 1), ("c", cutoff)):
+                    columns += [pa.array(x) for x in get(row[kind]).reshape(rows, -1).astype(np.int64)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    names = ["id", "mass", *[f"r{r}" for r in range(1, cutoff + 1)]]
-    parts = table.where("kind = 'split'").select("a", "b", "c").mapInArrow(run, "id long, mass double, " + ", ".join(f"{c} long" for c in names[2:]))
+    names = ["id", *[f"m{r}" for r in range(1, cutoff + 2)], *[f"r{r}" for r in range(1, cutoff + 1)]]
+    parts = table.where("kind = 'split'").select("a", "b", "c").mapInArrow(run, ", ".join(f"{c} long" for c in names))
     sums = {r.id: r for r in parts.groupBy("id").agg(*[F.sum(c).alias(c) for c in names[1:]]).collect()}
     counts = {**hot, START: _started(table)} if level.order == 2 else hot
     split = [int(h) for h in level.split]
     level.count = np.array([counts[h] for h in split], np.int64)
-    level.mass = np.array([sums[h].mass if h in sums else 0.0 for h in split])
-    level.low = np.array([[sums[h][2 + r] if h in sums else 0 for h in split] for r in range(cutoff)], np.int64).reshape(cutoff, -1)
+    found = np.array([[sums[h][1 + r] if h in sums else 0 for h in split] for r in range(2 * cutoff + 1)], np.int64).reshape(2 * cutoff + 1, -1)
+    level.mass, level.low = _mass(found[: cutoff + 1], level.below), found[cutoff + 1 :]
 
 
 def _started(table: DataFrame) -> int:
