@@ -18,6 +18,10 @@ task; a *bucket* is a share of all words or histories.
 3. Each block scores its texts from the answers: the recursion runs upwards, and at each
    order a token takes its seen n-gram, or the weight times what it had from the order below.
 
+An answer has a number for each history instead of all that the weights need of it, and a
+table of what the numbers mean, as most histories share it with others. Blocks and buckets
+keep words and n-grams in order of id, so that ids are sent as small steps.
+
 After each order its table goes, and the answers are stored with their block, a share of the
 blocks at a time. So disk holds the blocks and all answers once, and either the n-grams of one
 order on their way to the buckets or one share on its way to the blocks, never both.
@@ -78,8 +82,9 @@ def put(x: np.ndarray) -> bytes:
         return b"dict" + len(coded).to_bytes(8, "little") + coded + put(number)
     if x.dtype.kind == "i" and (top := int(x.max(initial=0))) < 1 << 32:
         x = x.astype(np.min_scalar_type(top))
-    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T
-    return x.dtype.str.encode().ljust(4) + zstandard.compress(planes.tobytes(), 3)
+    # planes by shifts: a strided copy of bytes takes several times as long
+    planes = b"".join((x >> x.dtype.type(8 * i)).astype(np.uint8).tobytes() for i in range(x.dtype.itemsize))
+    return x.dtype.str.encode().ljust(4) + zstandard.compress(planes, 3)
 
 
 def get(data: bytes) -> np.ndarray:
@@ -87,9 +92,22 @@ def get(data: bytes) -> np.ndarray:
         end = 12 + int.from_bytes(data[4:12], "little")
         return np.frombuffer(zstandard.decompress(data[12:end]), np.float64)[get(data[end:])]
     kind = np.dtype(data[:4].decode().strip())
-    raw = np.frombuffer(zstandard.decompress(data[4:]), np.uint8)
-    x = np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).ravel()
-    return x.astype(np.int64) if kind.kind in "iu" and kind.itemsize < 8 else x
+    planes = np.frombuffer(zstandard.decompress(data[4:]), np.uint8).reshape(kind.itemsize, -1)
+    x = planes[0].astype(kind if kind.itemsize == 8 else np.int64)
+    for i in range(1, kind.itemsize):
+        x |= planes[i].astype(x.dtype) << x.dtype.type(8 * i)
+    return x
+
+
+def steps(x: np.ndarray) -> np.ndarray:
+    """Whole numbers, mostly rising, as their differences; even ones are steps up."""
+    d = np.diff(x, prepend=0)
+    return (d << 1) ^ (d >> 63)
+
+
+def walked(x: np.ndarray) -> np.ndarray:
+    """The numbers of which these are the steps."""
+    return np.cumsum((x >> 1) ^ -(x & 1))
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
@@ -257,25 +275,30 @@ class Grams:
         before[np.cumsum(block.sizes) - block.sizes] = mark  # a text's start
         before[before < 0] = mark + 1
         own = np.append(below.ids, [START if level.order == 2 else UNKNOWN, UNKNOWN])
-        has = own[before] != UNKNOWN
+        has = np.flatnonzero((own != UNKNOWN)[before])
+        before, mine = before[has], below.local[has]
         # what was not seen after the shorter history was not seen after this one
-        lower = below.times()[has]
-        pairs, first, inverse = _distinct(before[has] * (n + 1) + np.where(lower > 0, block.local[has], n))
-        times = np.bincount(inverse, weights=block.train()[has], minlength=len(pairs)).astype(np.int64)
-        history, word = own[pairs // (n + 1)], np.append(words, UNKNOWN)[pairs % (n + 1)]
-        place = np.where(_among(history, level.split), _bucket(word + 0x1000003 * history, buckets), _bucket(history, buckets))
+        word = block.local[has] if level.order > 2 else mine
+        word = np.where(np.append(below.counts > 0, False)[mine], word, n)
+        pairs, first, inverse = _distinct(before * (n + 1) + word)
+        times = np.bincount(inverse[block.train()[has]], minlength=len(pairs))
+        head = pairs // (n + 1)
+        history, word = own[head], np.append(words, UNKNOWN)[pairs - head * (n + 1)]
+        place = _bucket(own, buckets)[head]
+        split = np.flatnonzero(_among(own, level.split)[head])
+        place[split] = _bucket(word[split] + 0x1000003 * history[split], buckets)
         # small numbers are sorted by radix; the runs of a history stay together
         order = np.argsort(place.astype(np.min_scalar_type(buckets)), kind="stable")
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
         of_token = np.full(len(block.local), -1)
         of_token[has] = rank[inverse]
-        place, history = place[order], history[order]
+        place, history, first = place[order], history[order], first[order]
         new = np.append(True, (place[1:] != place[:-1]) | (history[1:] != history[:-1]))[: len(place)]
-        count = np.append(below.counts, [0, 0])[pairs // (n + 1)]
+        count = np.append(below.counts, [0, 0])[head]
         return Grams(
-            place, history, word[order], times[order], lower[first][order], count[order],
-            below.size[has][first][order], np.cumsum(new) - 1, of_token,
+            place, history, word[order], times[order], np.append(below.counts, 0)[mine[first]], count[order],
+            below.size[has[first]], np.cumsum(new) - 1, of_token,
         )
 
 
@@ -290,9 +313,6 @@ class Chain:
     chance: np.ndarray  # each token's probability
     backed: np.ndarray  # whether it is the word's own, weighted
 
-    def times(self) -> np.ndarray:
-        return np.append(self.counts, 0)[self.local]
-
     @staticmethod
     def words(block: Block, ids: np.ndarray, counts: np.ndarray, unigrams: Unigrams) -> Chain:
         n = len(block.local)
@@ -303,29 +323,36 @@ class Chain:
         """The next order, by the answers to its n-grams."""
         replies = sorted(replies, key=lambda r: r["bucket"])
         d, cutoff = level.discount, len(level.discount) - 1
-        seen = np.concatenate([get(r["a"]) for r in replies] or [np.zeros(0, np.int64)])
+        times = [get(r["a"]) for r in replies]
+        seen = np.concatenate(times or [np.zeros(0, np.int64)])
         if len(seen) != len(grams.word):
             raise ValueError("the answers don't fit the block: the scan has changed")
-        ranks = np.concatenate([get(r["b"]) for r in replies] or [np.zeros(0, np.int64)])
-        ids = np.where(ranks > 0, START + (ranks - 1) * buckets + 1 + grams.place[: len(ranks)], UNKNOWN)
-        lower = np.concatenate([get(r["c"]).reshape(cutoff + 1, -1) for r in replies] or [np.zeros((cutoff + 1, 0), np.int64)], axis=1)
-        mass = _mass(lower, level.below)
-        low = np.concatenate([get(r["d"]).reshape(cutoff, -1) for r in replies] or [np.zeros((cutoff, 0), np.int64)], axis=1)
+        ids = np.full(len(seen), UNKNOWN)
+        if any(r["b"] for r in replies):  # the last order's have none
+            ranks, known = np.concatenate([walked(get(r["b"])) for r in replies]), seen > 0
+            ids[known] = START + (ranks - 1) * buckets + 1 + grams.place[known]
+        kinds = [(get(r["c"]), get(r["d"]).reshape(2 * cutoff + 1, -1)) for r in replies]
+        mass, lost = (
+            np.concatenate([np.zeros(0), *(of(kind)[number] for number, kind in kinds)])
+            for of in (lambda x: _mass(x[: cutoff + 1], level.below), lambda x: _lost(x[cutoff + 1 :], d))
+        )
         at = np.flatnonzero(np.append(True, grams.head[1:] != grams.head[:-1])[: len(grams.head)])
         heads, count = grams.history[at], grams.count[at]
         if len(level.split) and len(heads):
             where = np.minimum(np.searchsorted(level.split, heads), len(level.split) - 1)
             here = level.split[where] == heads
             where = where[here]
-            count[here], mass[here], low[:, here] = level.count[where], level.mass[where], level.low[:, where]
-        size, weight = _weights(count, mass / grams.size[at], low, d)
-        has = grams.of_token >= 0
+            count[here], mass[here], lost[here] = level.count[where], level.mass[where], _lost(level.low, d)[where]
+        size, weight = _weights(count, mass / grams.size[at], lost)
+        # by n-gram first, as tokens repeat them: what those that were seen get, and the weights
+        own = discounted(seen, d) / np.maximum(size, 1)[grams.head]
+        has = np.flatnonzero(grams.of_token >= 0)
         mine = grams.of_token[has]
-        head, times = grams.head[mine], seen[mine]
-        chance, sizes, backed = self.chance.copy(), np.ones(len(has)), self.backed.copy()
-        chance[has] = np.where(times > 0, discounted(times, d) / np.maximum(size[head], 1), weight[head] * chance[has])
+        head, found = grams.head[mine], (seen > 0)[mine]
+        chance, sizes, backed = self.chance.copy(), np.ones(len(self.chance)), self.backed.copy()
+        chance[has] = np.where(found, own[mine], weight[head] * chance[has])
         sizes[has] = size[head]
-        backed[has] &= times == 0
+        backed[has[found]] = False
         return Chain(grams.of_token, ids, seen, sizes, chance, backed)
 
 
@@ -410,17 +437,19 @@ def _sum_grams(level: Level, cutoff: int, buckets: int, last: bool):
         rows = table.sort_by("block").to_pylist()
         heads = [get(r["a"]) for r in rows]
         sizes = [get(r["b"]) for r in rows]
-        history = np.concatenate([np.repeat(h, n) for h, n in zip(heads, sizes, strict=True)])
+        history = np.concatenate([np.repeat(walked(h), n) for h, n in zip(heads, sizes, strict=True)])
         word = np.concatenate([get(r["c"]) for r in rows])
         first, inverse = _pairs(history, word)
         times = np.bincount(inverse, weights=np.concatenate([get(r["d"]) for r in rows])).astype(np.int64)
         lower = np.concatenate([get(r["e"]) for r in rows])[first]
         h, w = history[first], word[first]
         heads_all, begin = _runs(h)
+        head = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(h))))
         seen = times > 0
-        lower = [*((seen & (lower == r)).astype(np.int64) for r in range(1, cutoff + 1)), np.where(seen & (lower > cutoff), lower, 0)]
-        mass = np.stack([np.add.reduceat(x, begin) for x in lower])
-        low = np.stack([np.add.reduceat((times == r).astype(np.int64), begin) for r in range(1, cutoff + 1)])
+        rest = np.bincount(head, weights=np.where(seen & (lower > cutoff), lower, 0)).astype(np.int64)
+        mass = np.vstack([_how_many(head, np.where(seen, lower, 0), cutoff), rest])
+        low = _how_many(head, times, cutoff)
+        number, kinds = _kinds(np.vstack([mass, low]))
         of = np.bincount(np.minimum(times, cutoff + 2), minlength=cutoff + 3)[1 : cutoff + 2]
         followers = np.add.reduceat(seen.astype(np.int64), begin)
         out = [("total", bucket, "", put(of))]
@@ -431,23 +460,50 @@ def _sum_grams(level: Level, cutoff: int, buckets: int, last: bool):
             out.append(("split", bucket, "", put(heads_all[here]), put(mass[:, here].ravel()), put(low[:, here].ravel())))
         ranks = np.where(seen, np.cumsum(seen), 0)
         at = 0
-        for r, own, n in zip(rows, heads, sizes, strict=True):
+        for r, n in zip(rows, sizes, strict=True):
             mine = inverse[at : at + int(n.sum())]
             at += len(mine)
-            of_head = np.searchsorted(heads_all, own)
-            known = np.zeros(0, np.int64) if last else ranks[mine]
-            answer = put(times[mine]), put(known), put(mass[:, of_head].ravel()), put(low[:, of_head].ravel())
+            known = None if last else put(steps(ranks[mine[seen[mine]]]))
+            own = number[head[mine[np.cumsum(n) - n]]]
+            used = np.bincount(own, minlength=kinds.shape[1]) > 0
+            answer = put(times[mine]), known, put((np.cumsum(used) - 1)[own]), put(kinds[:, used].ravel())
             out.append((f"answer{level.order}", bucket, r["block"], *answer))
         return pa.Table.from_batches([_packed(out)])
 
     return work
 
 
-def _weights(count: np.ndarray, mass: np.ndarray, low: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _how_many(head: np.ndarray, counts: np.ndarray, cutoff: int) -> np.ndarray:
+    """How many of each head's counts are 1, 2 and so on up to the cutoff: a row for each."""
+    heads, few = int(head[-1]) + 1, np.flatnonzero((counts > 0) & (counts <= cutoff))
+    return np.bincount((counts[few] - 1) * heads + head[few], minlength=cutoff * heads).reshape(cutoff, heads)
+
+
+def _kinds(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each column's number, and the distinct columns by it, frequent ones first: few
+    histories differ in all they have, so a number takes much less room."""
+    factor = W.mix(np.arange(1, len(columns) + 1).astype(np.uint64))
+    hashes = np.zeros(columns.shape[1], np.uint64)
+    for row, by in zip(columns, factor, strict=True):
+        hashes += row.astype(np.uint64) * by
+    _, first, number = _distinct(hashes)
+    kinds = columns[:, first]
+    if not all(np.array_equal(kind[number], row) for kind, row in zip(kinds, columns, strict=True)):
+        kinds, number = np.unique(columns, axis=1, return_inverse=True)  # two had one hash
+    frequent = np.lexsort((*kinds, -np.bincount(number)))
+    rank = np.empty_like(frequent)
+    rank[frequent] = np.arange(len(frequent))
+    return rank[number], kinds[:, frequent]
+
+
+def _lost(low: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """What discounts take from histories, by how many followers have each low count."""
+    return ((1 - d[1:]) * np.arange(1, len(d))) @ low
+
+
+def _weights(count: np.ndarray, mass: np.ndarray, lost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each history's denominator and backoff weight, from its count, the mass that its
-    followers have by the order below, and how many followers have each low count."""
-    r = np.arange(1, len(d))
-    lost = ((1 - d[1:]) * r) @ low
+    followers have by the order below, and what the discounts take."""
     none = lost <= 0  # nothing was discounted: make room for one more event
     size = count + none
     weight = np.where(none, 1.0, lost) / np.maximum(size, 1) / np.maximum(1 - mass, 1e-300)
@@ -516,7 +572,7 @@ def score(
                 for p, s, e in _cuts(grams.place):
                     heads, at = _runs(grams.history[s:e])
                     sizes = np.diff(np.append(at, e - s))
-                    out.append(("ask", p, block.name, put(heads), put(sizes), put(grams.word[s:e]), put(grams.times[s:e]), put(grams.lower[s:e])))
+                    out.append(("ask", p, block.name, put(steps(heads)), put(sizes), put(grams.word[s:e]), put(grams.times[s:e]), put(grams.lower[s:e])))
                 yield _packed(out)
 
         return work
@@ -630,6 +686,11 @@ def _replayed(row: dict, answers: list[dict], unigrams: Unigrams, levels: list[L
     words = sorted(by_order["answer1"], key=lambda r: r["bucket"])
     ids = np.concatenate([get(r["a"]) for r in words])
     counts = np.concatenate([get(r["b"]) for r in words])
+    # from here on words are in order of id, as in the buckets: ids and ranks rise
+    order = np.argsort(ids)
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    block.local, ids, counts = rank[block.local], ids[order], counts[order]
     chain = Chain.words(block, ids, counts, unigrams)
     for level in levels:
         grams = Grams.of(block, ids, chain, level, buckets)
