@@ -134,3 +134,17 @@ def test_latest_day_prunes_the_mart(spark, tmp_path):
 def test_wide_rows_stay_compiled(spark):
     """No whole-stage method above the size that HotSpot refuses to compile."""
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_late_rows_are_counted_from_the_messages_that_arrived(spark, tmp_path):
+    """Not from messages made anew, but for those without an offset, which never arrive."""
+    spark.range(44).selectExpr(
+        "if(id = 2, null, id) AS event_id",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(int(id)) AS ts",
+        "id AS user_id", "'view' AS event_type", "1.0D AS value", """'{"k": 1}' AS props""",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    found = catalog.queries()["stream_late_rows"](spark, str(tmp_path))
+    late = found.selectExpr("dayofyear(window_start) - 1 AS day", "accepted", "held", "late")
+    assert sorted(tuple(r) for r in late.collect()) == [(day, 1, 0, 1) for day in (0, 2, 11, 22, 33)]
+    scans = [line for line in plan(found).splitlines() if "FileScan" in line and "event_id#" in line]
+    assert scans and all("IsNull(event_id)" in line for line in scans)
