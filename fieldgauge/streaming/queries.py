@@ -131,7 +131,7 @@ class ProgressLedger(StreamingQueryListener):
         self.spark, self.path, self._ended = spark, path, {}
 
     def onQueryStarted(self, event):  # noqa: N802 - names of the interface
-        self._ended.setdefault(str(event.id), threading.Event())
+        self._ended.setdefault(str(event.runId), threading.Event())
 
     def onQueryProgress(self, event):  # noqa: N802
         progress = event.progress
@@ -149,11 +149,11 @@ class ProgressLedger(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):  # noqa: N802
-        self._ended.setdefault(str(event.id), threading.Event()).set()
+        self._ended.setdefault(str(event.runId), threading.Event()).set()
 
     def wait(self, query: StreamingQuery, timeout: float | None = None) -> None:
         """Until all progress of an ended query is stored."""
-        if not self._ended.setdefault(str(query.id), threading.Event()).wait(timeout):
+        if not self._ended.setdefault(str(query.runId), threading.Event()).wait(timeout):
             raise TimeoutError(f"{query.id}: its end was not reported")
 
 

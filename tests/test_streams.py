@@ -293,3 +293,19 @@ def test_checkpoint_must_be_named(monkeypatch):
     monkeypatch.delenv("SPARK_CHECKPOINT_LOCATION", raising=False)
     with pytest.raises(ValueError, match="SPARK_CHECKPOINT_LOCATION"):
         stream_job.main(["--lake", "/nowhere"])
+
+
+def test_each_run_of_a_stream_is_waited_for(spark, tmp_path):
+    """The end of an earlier run of the same checkpoint is not that of this one."""
+    from types import SimpleNamespace
+
+    ledger = streams.ProgressLedger(spark, str(tmp_path))
+    first, second = (SimpleNamespace(id="stream", runId=run) for run in ("first", "second"))
+    ledger.onQueryStarted(first)
+    ledger.onQueryTerminated(first)
+    ledger.wait(first, 1)
+    ledger.onQueryStarted(second)
+    with pytest.raises(TimeoutError):
+        ledger.wait(second, 0.01)
+    ledger.onQueryTerminated(second)
+    ledger.wait(second, 1)
